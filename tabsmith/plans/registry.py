@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "tabsmith.plans.cases_eval",
+    "tabsmith.plans.cases_features",
 ]
 
 
