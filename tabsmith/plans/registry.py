@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "tabsmith.plans.cases_eval",
     "tabsmith.plans.cases_features",
+    "tabsmith.plans.cases_sampling",
 ]
 
 
