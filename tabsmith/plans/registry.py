@@ -8,6 +8,7 @@ _MODULES = [
     "tabsmith.plans.cases_eval",
     "tabsmith.plans.cases_features",
     "tabsmith.plans.cases_sampling",
+    "tabsmith.plans.cases_documented",
 ]
 
 
