@@ -9,6 +9,7 @@ _MODULES = [
     "tabsmith.plans.cases_features",
     "tabsmith.plans.cases_sampling",
     "tabsmith.plans.cases_documented",
+    "tabsmith.plans.cases_models",
 ]
 
 
