@@ -10,6 +10,7 @@ _MODULES = [
     "tabsmith.plans.cases_sampling",
     "tabsmith.plans.cases_documented",
     "tabsmith.plans.cases_models",
+    "tabsmith.plans.cases_tuning",
 ]
 
 
