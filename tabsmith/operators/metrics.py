@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,28 +56,37 @@ def _score_cell(score: str, cells: int):
     return F.least(F.floor(s * F.lit(cells)), F.lit(cells - 1))
 
 
-def score_histogram(df: DataFrame, group_cols: Sequence[str], label: str, score: str) -> DataFrame:
-    """Positive / negative counts per distinct score (map-side combined)."""
+def score_histogram(df: DataFrame, group_cols: Sequence[str], label: str = "label",
+                    score: str = "probability", prediction: str | None = "prediction",
+                    persist: bool = True) -> DataFrame:
+    """One map-side-combined pass: per (group, distinct score) the label /
+    prediction counts every metric here derives from.
+
+    The result (at most one row per distinct score) is persisted in memory
+    only, so the several aggregations of a report read the input once; an
+    evicted block is recomputed from lineage.
+    """
     y = F.col(label)
-    return df.groupBy(*group_cols, score).agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
+    aggs = [F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")]
+    if prediction is not None:
+        p = F.col(prediction)
+        aggs += [F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+                 F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn"),
+                 F.count(F.lit(1)).alias("n"), F.sum(p.cast("long")).alias("pred_sum")]
+    h = df.groupBy(*group_cols, score).agg(*aggs)
+    return h.persist(StorageLevel.MEMORY_ONLY) if persist else h
 
 
-def roc_auc(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label",
-            score: str = "probability", digits: int | None = 6,
-            cells: int | None = None) -> DataFrame:
-    """Exact ROC AUC per group; tied scores count one half.
+def counts_from_histogram(h: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    return h.groupBy(*group_cols).agg(*[F.sum(c).cast("long").alias(c) for c in ("tn", "fp", "fn", "tp")])
 
-    AUC = sum_s pos(s) * (neg(<s) + neg(s)/2) / (P * N).  The negatives below
-    each distinct score are a running sum computed by ``running_sums`` so one
-    model with many distinct scores is still spread over many tasks.
-    NULL when a group has a single class.
-    """
+
+def auc_from_histogram(h: DataFrame, group_cols: Sequence[str], score: str = "probability",
+                       digits: int | None = 6, cells: int | None = None) -> DataFrame:
     group_cols = list(group_cols)
-    cells = cells or default_cells(df)
-    hist = score_histogram(df, group_cols, label, score)
-    cum = running_sums(hist, group_cols, [F.col(score)], _score_cell(score, cells),
-                       {"neg": F.col("neg")}, inclusive=False)
+    cells = cells or default_cells(h)
+    cum = running_sums(h.select(*group_cols, score, "pos", "neg"), group_cols, [F.col(score)],
+                       _score_cell(score, cells), {"neg": F.col("neg")}, inclusive=False)
     agg = cum.groupBy(*group_cols).agg(
         F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") * 0.5)).alias("_area"),
         F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
@@ -87,6 +97,45 @@ def roc_auc(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label",
     return agg.select(*group_cols, auc.alias("auc_roc"))
 
 
+def stats_from_histogram(h: DataFrame, group_cols: Sequence[str], score: str = "probability",
+                         digits: int | None = 6) -> DataFrame:
+    """Prediction statistics from the histogram (sample std via sums of squares)."""
+    p = F.col(score).cast("double")
+    agg = h.groupBy(*group_cols).agg(
+        F.sum("n").cast("long").alias("total_predictions"),
+        F.sum("pred_sum").cast("long").alias("positive_count"),
+        F.sum(p * F.col("n")).alias("_s1"), F.sum(p * p * F.col("n")).alias("_s2"),
+        F.sum(F.when((p > 0.9) | (p < 0.1), F.col("n")).otherwise(0)).cast("long")
+        .alias("high_confidence_predictions"),
+        F.sum(F.when((p >= 0.4) & (p <= 0.6), F.col("n")).otherwise(0)).cast("long")
+        .alias("low_confidence_predictions"))
+    n = F.col("total_predictions").cast("double")
+    mean = F.col("_s1") / n
+    var = F.greatest((F.col("_s2") - n * mean * mean) / (n - 1), F.lit(0.0))
+    exprs = {"positive_rate": F.col("positive_count") / n, "average_confidence": mean,
+             "confidence_std": F.when(n > 1, F.sqrt(var))}
+    if digits is not None:
+        exprs = {k: F.round(v, digits) for k, v in exprs.items()}
+    out = agg.withColumns(exprs)
+    return out.select(*group_cols, "total_predictions", "positive_count", "positive_rate",
+                      "average_confidence", "confidence_std", "high_confidence_predictions",
+                      "low_confidence_predictions")
+
+
+def roc_auc(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label",
+            score: str = "probability", digits: int | None = 6,
+            cells: int | None = None) -> DataFrame:
+    """Exact ROC AUC per group; tied scores count one half.
+
+    AUC = sum_s pos(s) * (neg(<s) + neg(s)/2) / (P * N).  The negatives below
+    each distinct score are a running sum computed by ``running_sums`` so one
+    model with many distinct scores is still spread over many tasks.
+    NULL when a group has a single class.
+    """
+    h = score_histogram(df, group_cols, label, score, prediction=None, persist=False)
+    return auc_from_histogram(h, group_cols, score, digits, cells)
+
+
 def roc_curve(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label",
               score: str = "probability", digits: int | None = 6,
               cells: int | None = None) -> DataFrame:
@@ -96,7 +145,7 @@ def roc_curve(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label
     """
     group_cols = list(group_cols)
     cells = cells or default_cells(df)
-    hist = score_histogram(df, group_cols, label, score)
+    hist = score_histogram(df, group_cols, label, score, prediction=None, persist=False)
     cum = running_sums(hist, group_cols, [F.col(score)], _score_cell(score, cells),
                        {"pos": F.col("pos"), "neg": F.col("neg")},
                        inclusive=False, totals=True)
@@ -116,13 +165,18 @@ def roc_curve(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label
 
 def evaluate(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label",
              prediction: str = "prediction", score: str = "probability",
-             digits: int | None = 6) -> DataFrame:
-    """accuracy, precision, recall, f1 and auc_roc per group."""
-    m = binary_metrics(df, group_cols, label, prediction, digits)
-    a = roc_auc(df, group_cols, label, score, digits)
-    if not group_cols:
-        return _join_single(m, a)
-    return m.join(a, list(group_cols), "inner")
+             digits: int | None = 6, with_stats: bool = False) -> DataFrame:
+    """accuracy, precision, recall, f1 and auc_roc per group (optionally the
+    prediction statistics too), all from one pass over the input."""
+    group_cols = list(group_cols)
+    h = score_histogram(df, group_cols, label, score, prediction)
+    m = metrics_from_counts(counts_from_histogram(h, group_cols), digits).drop("tn", "fp", "fn", "tp")
+    a = auc_from_histogram(h, group_cols, score, digits)
+    out = m.join(a, group_cols, "inner") if group_cols else _join_single(m, a)
+    if with_stats:
+        st = stats_from_histogram(h, group_cols, score, digits=None)
+        out = out.join(st, group_cols, "inner") if group_cols else _join_single(out, st)
+    return out
 
 
 def _join_single(a: DataFrame, b: DataFrame) -> DataFrame:

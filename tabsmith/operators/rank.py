@@ -54,7 +54,9 @@ def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     local = x.withColumns({f"_l_{n}": F.coalesce(F.sum(f"_v_{n}").over(frame), F.lit(0))
                            for n in sums})
-    cell_tot = x.groupBy(*part).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    # totals from the windowed rows: they are already partitioned by (g, cell),
+    # so this aggregation adds no shuffle and the window's exchange is reused
+    cell_tot = local.groupBy(*part).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     before = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()) \
         .orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()

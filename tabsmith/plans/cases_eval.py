@@ -99,9 +99,8 @@ def leaderboard(spark, sf_dir):
     voted = _voted(spark, sf_dir).withColumn("model", F.lit("ensemble"))
     both = p.select("model", "label", "prediction", "probability").unionByName(
         voted.select("model", "label", "prediction", "probability"))
-    m = met.evaluate(both, ["model"])
-    s = ens.format_stats(ens.prediction_stats(both, ["model"], digits=None))
-    return m.join(s, "model").withColumnRenamed("model", "model_name")
+    return ens.format_stats(met.evaluate(both, ["model"], with_stats=True)) \
+        .withColumnRenamed("model", "model_name")
 
 
 def pivot_predictions(spark, sf_dir):
