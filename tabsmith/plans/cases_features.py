@@ -334,3 +334,53 @@ SQL = {
     "load_eval_users": f"""WITH {fx.predictions_sql()} SELECT user_id,
         make_timestamp(CAST(epoch_us(cutoff_ts) // 1000000 AS BIGINT) * 1000000) AS cutoff_ts, label FROM base""",
 }
+
+
+# ---- the whole dataset build and its streaming form
+
+def dataset_build(spark, sf_dir):
+    """orders + customer profile as raw student rows through the full build."""
+    from tabsmith.plans.dataset_build import BuildConfig, build
+    o = fx.table(spark, sf_dir, "orders")
+    c = fx.table(spark, sf_dir, "customer")
+    raw = o.join(c, o.o_custkey == c.c_custkey, "left").select(
+        F.col("o_orderkey").alias("row_id"), F.year("o_orderdate").alias("source"),
+        F.col("o_custkey").alias("user id"), F.col("o_orderdate").cast("string").alias("start_text"),
+        F.col("o_totalprice"), F.nullif(F.round(F.col("c_acctbal") / 100), F.lit(0.0)).alias("refund count"),
+        (F.pmod(F.col("o_orderkey"), F.lit(15))).cast("double").alias("age"),
+        (F.pmod(F.col("o_custkey"), F.lit(10))).cast("double").alias("class_size"),
+        (F.col("o_orderstatus") == "F").cast("double").alias("attended_1"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.lit(1.0)).alias("attended_2"),
+        F.col("c_mktsegment"), F.pmod(F.col("o_custkey"), F.lit(4)).alias("channel_code"))
+    cfg = BuildConfig(
+        n_buckets=4, sample_frac=0.8, label_columns=["attended_1", "attended_2"],
+        rename={"user id": "user_id", "refund count": "refund_count"},
+        new_features=[{"calculation_type": "datetime_to_timestamp", "cols": ["start_text"], "new_col": "start_epoch"},
+                      {"calculation_type": "division", "cols": ["o_totalprice", "class_size"], "new_col": "price_per_seat"},
+                      {"calculation_type": "is_not_null", "cols": ["refund_count"], "new_col": "has_refund"}],
+        null_indicators={"refund_count": "null", "class_size": 6},
+        fill_values={"refund_count": "中位数", "price_per_seat": 0.0},
+        clamp_positive=["refund_count"], range_to_zero={"age": (4, 13)}, whitelist_or_zero={"class_size": [6, 8]},
+        unusual={"price_per_seat": "greater_than_one"},
+        mapping_dict={"channel_code": {0: "app", 1: "web", 2: "phone"}},
+        categories_dict={"channel_code": ["app", "web", "phone"], "c_mktsegment": ["BUILDING", "MACHINERY"]},
+        columns_to_drop=["start_text", "attended_1", "attended_2"], keys=["user_id", "is_train", "label"])
+    return build(raw, cfg)
+
+
+def feature_stream(spark, sf_dir):
+    """The stateless feature chain applied to ``lineitem`` read as a stream."""
+    from tabsmith.streaming.stateless import run_stream
+    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
+
+    def tf(df):
+        x = df.select(*LI_KEYS, "l_quantity", "l_extendedprice", "l_tax", "l_returnflag",
+                      F.nullif(F.col("l_tax"), F.lit(0.0)).alias("t"))
+        x = ft.derive(x, CHAIN)
+        x = ft.indicators(x, {"t": "null"})
+        return ft.one_hot(x, {"l_returnflag": RETURN_FLAG_CATEGORIES})
+    return run_stream(spark, sf_dir, schema, tf, glob="lineitem.parquet")
+
+
+QUERIES["dataset_build"] = dataset_build
+QUERIES["feature_stream"] = feature_stream

@@ -75,3 +75,16 @@ def is_local_path(p: str) -> bool:
 def ensure_local_parent(p: str) -> None:
     if p.startswith("/"):
         os.makedirs(os.path.dirname(p), exist_ok=True)
+
+
+def materialize(df, name: str):
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Cuts a long lineage (e.g. several ranks feeding several consumers) so
+    later stages and statistics read the rows once; a lost executor re-reads
+    the files instead of recomputing the chain.
+    """
+    spark = df.sparkSession
+    path = output_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
