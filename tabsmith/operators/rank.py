@@ -21,10 +21,10 @@ from tabsmith.functions.hashing import hash_hex, hash_unit
 
 
 def default_cells(df: DataFrame) -> int:
-    """Cells per group: twice the shuffle parallelism configured for the job."""
+    """Cells per group: the shuffle parallelism configured for the job."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, 2 * n)
+    return max(2, n)
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

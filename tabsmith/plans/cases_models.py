@@ -170,7 +170,7 @@ def batch_score(spark, sf_dir):
     fm = md.fit_model(sc.apply_scaling(train, stats), FEATURES, "logistic_reg", CONFIGS["logistic_reg"])
     path = output_path(spark, "scorer")
     scoring.make_scorer(fm, stats, threshold=0.5).save(spark, path)
-    return scoring.score_batch(spark, path, test, id_col="row_id")
+    return scoring.score_batch(spark, path, test, id_col="row_id", keep=["label"])
 
 
 def model_round_trip(spark, sf_dir):

@@ -1,57 +1,73 @@
-"""Batch scoring: saved scaler statistics + fitted pipeline + threshold.
+"""Batch scoring: scaler statistics + fitted pipeline + threshold as ONE
+Spark ML ``PipelineModel``.
 
-One pass over the input: features are scaled, the pipeline scores, the
-threshold is applied, and (id, prediction, probability) is written.
+The scaling formulas and the threshold are a ``SQLTransformer`` stage in
+front of the fitted stages, so a single standard ``save`` / ``load`` restores
+the whole scorer and scoring is one pass: scale, assemble, score, threshold.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tabsmith.operators import scaling as sc
 from tabsmith.operators.models import FittedModel, predict
 
+THRESHOLD_COL = "_threshold"
+
+
+def _scaling_sql(scaling: Mapping[str, Mapping], threshold: float) -> str:
+    exprs = []
+    for c, s in scaling.items():
+        x = f"CAST(`{c}` AS DOUBLE)"
+        if s["method"] == "log_standard":
+            x = f"CASE WHEN {x} > -1 THEN log1p({x}) END"
+        elif s["method"] == "shift_log_standard":
+            x = f"CASE WHEN {x} + 1 > -1 THEN log1p({x} + 1) END"
+        if s["shift"] is None:
+            exprs.append(f"CAST(NULL AS DOUBLE) AS `{c}`")
+        else:
+            exprs.append(f"({x} - {float(s['shift'])!r}) / {float(s['scale'])!r} AS `{c}`")
+    scaled = ", ".join(exprs)
+    cols = f"* EXCEPT ({', '.join(f'`{c}`' for c in scaling)}), {scaled}" if scaling else "*"
+    return f"SELECT {cols}, CAST({float(threshold)!r} AS DOUBLE) AS {THRESHOLD_COL} FROM __THIS__"
+
 
 @dataclass
 class BatchScorer:
     model: PipelineModel
-    features: list[str]
-    scaling: dict
-    threshold: float = 0.5
 
-    def score(self, df: DataFrame, id_col: str | None = None) -> DataFrame:
-        x = sc.apply_scaling(df, self.scaling) if self.scaling else df
-        keep = [id_col] if id_col and id_col in df.columns else []
-        out = predict(self.model, x, keep=keep or [self.features[0]], threshold=self.threshold)
-        cols = (keep or []) + ["prediction", "probability"]
-        return out.select(*cols)
+    @property
+    def threshold(self) -> float:
+        stmt = self.model.stages[0].getStatement()
+        return float(stmt.rsplit(f"AS {THRESHOLD_COL}", 1)[0].rsplit("CAST(", 1)[1].split(" AS")[0])
+
+    def score(self, df: DataFrame, id_col: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+        cols = ([id_col] if id_col else []) + [c for c in keep if c != id_col]
+        out = predict(self.model, df, keep=cols or [df.columns[0]], threshold=self.threshold)
+        return out.select(*cols, "prediction", "probability")
 
     def save(self, spark: SparkSession, path: str) -> str:
-        self.model.write().overwrite().save(f"{path}/model")
-        meta = {"features": self.features, "scaling": self.scaling, "threshold": self.threshold}
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
-            .write.mode("overwrite").json(f"{path}/meta")
+        self.model.write().overwrite().save(path)
         return path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "BatchScorer":
-        meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
-        return cls(PipelineModel.load(f"{path}/model"), meta["features"], meta["scaling"], meta["threshold"])
+        return cls(PipelineModel.load(path))
 
 
 def make_scorer(fm: FittedModel, scaling: Mapping | None = None, threshold: float = 0.5) -> BatchScorer:
-    return BatchScorer(fm.model, list(fm.features), dict(scaling or {}), threshold)
+    prep = SQLTransformer(statement=_scaling_sql(dict(scaling or {}), threshold))
+    return BatchScorer(PipelineModel(stages=[prep, *fm.model.stages]))
 
 
 def score_batch(spark: SparkSession, scorer_path: str, df: DataFrame, out_path: str | None = None,
-                id_col: str | None = None) -> DataFrame:
-    scored = BatchScorer.load(spark, scorer_path).score(df, id_col)
+                id_col: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    scored = BatchScorer.load(spark, scorer_path).score(df, id_col, keep)
     if out_path:
         scored.write.mode("overwrite").parquet(out_path)
     return scored
