@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.nulls import ratio_or_zero
 from tabsmith.operators.rank import default_cells, running_sums
+from tabsmith.session import track_cached
 
 METRIC_COLUMNS = ["accuracy", "precision", "recall", "f1", "auc_roc"]
 
@@ -74,7 +75,7 @@ def score_histogram(df: DataFrame, group_cols: Sequence[str], label: str = "labe
                  F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn"),
                  F.count(F.lit(1)).alias("n"), F.sum(p.cast("long")).alias("pred_sum")]
     h = df.groupBy(*group_cols, score).agg(*aggs)
-    return h.persist(StorageLevel.MEMORY_ONLY) if persist else h
+    return track_cached(h.persist(StorageLevel.MEMORY_ONLY)) if persist else h
 
 
 def counts_from_histogram(h: DataFrame, group_cols: Sequence[str]) -> DataFrame:

@@ -88,3 +88,20 @@ def materialize(df, name: str):
     path = output_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_CACHED: list = []
+MAX_LIVE_CACHES = 8
+
+
+def track_cached(df, limit: int = MAX_LIVE_CACHES):
+    """Keep at most ``limit`` internally persisted frames alive; the oldest is
+    released first (a released frame is recomputed from lineage if reused)."""
+    _CACHED.append(df)
+    while len(_CACHED) > limit:
+        old = _CACHED.pop(0)
+        try:
+            old.unpersist(blocking=False)
+        except Exception:       # the session may already be gone
+            pass
+    return df
