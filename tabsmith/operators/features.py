@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.nulls import eq_or_false, safe_divide, zero_filled
+from tabsmith.operators.quantiles import exact_quantiles
 
 # The fill-value marker meaning "column median" in the
 # reference's configs, and the epoch value pandas produces for an
@@ -72,19 +73,21 @@ def indicators(df: DataFrame, spec: Mapping[str, object]) -> DataFrame:
 
 def fill_statistics(df: DataFrame, spec: Mapping[str, object], fit_filter: Column | None = None,
                     approx: bool = False) -> dict[str, float]:
-    """Median of every column whose fill value is the median marker, in one agg.
+    """Median of every column whose fill value is the median marker.
 
-    Only a single row comes back to the driver.  ``approx`` uses
-    ``percentile_approx`` (bounded memory per task) instead of the exact median.
+    Exact by default (distributed, see :mod:`tabsmith.operators.quantiles`);
+    ``approx`` uses one ``percentile_approx`` aggregation instead.
     """
     med_cols = [c for c, v in spec.items() if v in MEDIAN_MARKERS]
     if not med_cols:
         return {}
     src = df if fit_filter is None else df.filter(fit_filter)
-    aggs = [(F.percentile_approx(F.col(c).cast("double"), 0.5, 10000) if approx
-             else F.median(F.col(c).cast("double"))).alias(c) for c in med_cols]
-    row = src.agg(*aggs).first()
-    return {c: row[c] for c in med_cols}
+    if approx:
+        row = src.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c)
+                        for c in med_cols]).first()
+        return {c: row[c] for c in med_cols}
+    # exact, without gathering a column into one task
+    return {c: exact_quantiles(src, c, [0.5])[0] for c in med_cols}
 
 
 def fill_missing(df: DataFrame, spec: Mapping[str, object], stats: Mapping[str, float] | None = None,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions.nulls import ratio_or_zero
@@ -84,13 +84,28 @@ def counts_from_histogram(h: DataFrame, group_cols: Sequence[str]) -> DataFrame:
 
 def auc_from_histogram(h: DataFrame, group_cols: Sequence[str], score: str = "probability",
                        digits: int | None = 6, cells: int | None = None) -> DataFrame:
+    """Exact AUC from a score histogram.
+
+    The area splits into a within-cell part (negatives below each score inside
+    its cell: one window over (group, cell)) and a cross-cell part
+    (positives of a cell times negatives of all lower cells: a running sum over
+    the per-cell table, at most groups x cells rows).  Every term is a
+    multiple of 1/2, so the sums are exact in any order.
+    """
     group_cols = list(group_cols)
     cells = cells or default_cells(h)
-    cum = running_sums(h.select(*group_cols, score, "pos", "neg"), group_cols, [F.col(score)],
-                       _score_cell(score, cells), {"neg": F.col("neg")}, inclusive=False)
-    agg = cum.groupBy(*group_cols).agg(
-        F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") * 0.5)).alias("_area"),
-        F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    x = h.select(*group_cols, score, "pos", "neg").withColumn("_cell", _score_cell(score, cells))
+    w = Window.partitionBy(*group_cols, "_cell").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    loc = x.withColumn("_nb", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    per_cell = loc.groupBy(*group_cols, "_cell").agg(
+        F.sum(F.col("pos") * (F.col("_nb") + F.col("neg") * 0.5)).alias("_in"),
+        F.sum("pos").alias("_pc"), F.sum("neg").alias("_nc"))
+    wc = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()) \
+        .orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    per_cell = per_cell.withColumn("_below", F.coalesce(F.sum("_nc").over(wc), F.lit(0)))
+    agg = per_cell.groupBy(*group_cols).agg(
+        F.sum(F.col("_in") + F.col("_pc") * F.col("_below")).alias("_area"),
+        F.sum("_pc").alias("_p"), F.sum("_nc").alias("_n"))
     auc = F.when((F.col("_p") == 0) | (F.col("_n") == 0), F.lit(None).cast("double")) \
         .otherwise(F.col("_area") / (F.col("_p").cast("double") * F.col("_n")))
     if digits is not None:
@@ -190,19 +205,19 @@ def _join_single(a: DataFrame, b: DataFrame) -> DataFrame:
 def summarize_folds(fold_metrics: DataFrame, group_cols: Sequence[str] = (),
                     fold_col: str = "fold", metrics: Sequence[str] = METRIC_COLUMNS,
                     prefix: str = "cross_validation", digits: int | None = 6) -> DataFrame:
-    """Fold rows plus ``_mean`` and population ``_std`` rows (metrics_type)."""
+    """Fold rows plus ``_mean`` and population ``_std`` rows (metrics_type).
+
+    One pass over the per-fold table: each group's fold rows (k of them, a
+    bounded list) are collected next to their mean and std and exploded.
+    """
     group_cols = list(group_cols)
-    rows = fold_metrics.select(
-        *group_cols,
-        F.concat(F.lit(f"{prefix}_fold_"), F.col(fold_col).cast("string")).alias("metrics_type"),
-        *[F.col(m).cast("double").alias(m) for m in metrics])
-    mean = fold_metrics.groupBy(*group_cols).agg(
-        F.lit(f"{prefix}_mean").alias("metrics_type"),
-        *[F.avg(m).alias(m) for m in metrics])
-    std = fold_metrics.groupBy(*group_cols).agg(
-        F.lit(f"{prefix}_std").alias("metrics_type"),
-        *[F.stddev_pop(m).alias(m) for m in metrics])
-    out = rows.unionByName(mean).unionByName(std)
-    if digits is not None:
-        out = out.withColumns({m: F.round(m, digits) for m in metrics})
-    return out
+    r = (lambda e: F.round(e, digits)) if digits is not None else (lambda e: e)
+    row = lambda name, vals: F.struct(name.alias("metrics_type"),
+                                      *[r(v.cast("double")).alias(m) for m, v in zip(metrics, vals)])
+    agg = fold_metrics.groupBy(*group_cols).agg(
+        F.collect_list(row(F.concat(F.lit(f"{prefix}_fold_"), F.col(fold_col).cast("string")),
+                           [F.col(m) for m in metrics])).alias("_rows"),
+        row(F.lit(f"{prefix}_mean"), [F.avg(m) for m in metrics]).alias("_mean"),
+        row(F.lit(f"{prefix}_std"), [F.stddev_pop(m) for m in metrics]).alias("_std"))
+    out = agg.select(*group_cols, F.explode(F.concat("_rows", F.array("_mean", "_std"))).alias("_r"))
+    return out.select(*group_cols, "_r.*")

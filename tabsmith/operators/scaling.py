@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabsmith.operators.quantiles import exact_quantiles
+
 # Method names as they appear in the reference's configs,
 # mapped to short English names that are accepted too.
 METHOD_ALIASES = {
@@ -56,12 +58,17 @@ def fit_scaling(df: DataFrame, spec: Mapping[str, str], approx: bool = False) ->
         if m == "minmax":
             aggs += [F.min(x).alias(f"{c}__lo"), F.max(x).alias(f"{c}__hi")]
         elif m == "robust":
-            q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 10000) if approx
-                 else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-            aggs.append(q.alias(f"{c}__q"))
+            if approx:
+                aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"{c}__q"))
         else:
             aggs += [F.avg(x).alias(f"{c}__mu"), F.stddev_pop(x).alias(f"{c}__sd")]
     row = df.agg(*aggs).first().asDict() if aggs else {}
+    if not approx:
+        # exact quartiles, distributed (no column gathered into one task)
+        for c, m in spec.items():
+            if _method(m) == "robust":
+                q = exact_quantiles(df.select(_prepared(c, "robust").alias(c)), c, [0.25, 0.5, 0.75])
+                row[f"{c}__q"] = None if q[0] is None else q
     stats = {}
     for c, m in spec.items():
         m = _method(m)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.operators import metrics as met
 from tabsmith.operators import models as md
-from tabsmith.session import track_cached
+from tabsmith.session import output_path, track_cached
 
 
 class TooManyTrials(ValueError):
@@ -126,6 +126,8 @@ def score_candidates(folded: DataFrame, features: Sequence[str], model_type: str
                      parallelism: int = 4, return_train_score: bool = False) -> DataFrame:
     """Trials log rows for every (candidate, fold).  ``folded`` should be cached."""
     jobs = [(t, k) for t in range(len(candidates)) for k in folds]
+    spark = folded.sparkSession
+    out_path = output_path(spark, "trial-predictions")
 
     def one(job):
         t, k = job
@@ -137,13 +139,12 @@ def score_candidates(folded: DataFrame, features: Sequence[str], model_type: str
             parts.append(md.predict(fm, folded.filter(F.col(fold_col) != k), keep=["label"])
                          .withColumn("split", F.lit("train")))
         out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return out.withColumns({"trial_id": F.lit(t), "fold": F.lit(k)})
+        # each (trial, fold) lands in its own folder of one predictions table
+        out.write.mode("overwrite").parquet(f"{out_path}/trial_id={t}/fold={k}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        preds = list(pool.map(one, jobs))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
+        list(pool.map(one, jobs))
+    allp = spark.read.parquet(out_path)
     scored = met.evaluate(allp, ["trial_id", "fold", "split"], digits=None)
     params = folded.sparkSession.createDataFrame(
         [(i, dict((str(k), str(v)) for k, v in c.items())) for i, c in enumerate(candidates)],
