@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.nulls import eq_or_false, safe_divide, zero_filled
-from tabsmith.operators.quantiles import exact_quantiles
+from tabsmith.operators.quantiles import exact_quantiles_multi
 
 # The fill-value marker meaning "column median" in the
 # reference's configs, and the epoch value pandas produces for an
@@ -86,8 +86,9 @@ def fill_statistics(df: DataFrame, spec: Mapping[str, object], fit_filter: Colum
         row = src.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c)
                         for c in med_cols]).first()
         return {c: row[c] for c in med_cols}
-    # exact, without gathering a column into one task
-    return {c: exact_quantiles(src, c, [0.5])[0] for c in med_cols}
+    # exact, without gathering a column into one task; all columns in one flow
+    q = exact_quantiles_multi(src, {c: [0.5] for c in med_cols})
+    return {c: q[c][0] for c in med_cols}
 
 
 def fill_missing(df: DataFrame, spec: Mapping[str, object], stats: Mapping[str, float] | None = None,

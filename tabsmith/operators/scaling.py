@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.operators.quantiles import exact_quantiles
+from tabsmith.operators.quantiles import exact_quantiles_multi
 
 # Method names as they appear in the reference's configs,
 # mapped to short English names that are accepted too.
@@ -63,12 +63,12 @@ def fit_scaling(df: DataFrame, spec: Mapping[str, str], approx: bool = False) ->
         else:
             aggs += [F.avg(x).alias(f"{c}__mu"), F.stddev_pop(x).alias(f"{c}__sd")]
     row = df.agg(*aggs).first().asDict() if aggs else {}
-    if not approx:
-        # exact quartiles, distributed (no column gathered into one task)
-        for c, m in spec.items():
-            if _method(m) == "robust":
-                q = exact_quantiles(df.select(_prepared(c, "robust").alias(c)), c, [0.25, 0.5, 0.75])
-                row[f"{c}__q"] = None if q[0] is None else q
+    robust = [c for c, m in spec.items() if _method(m) == "robust"]
+    if robust and not approx:
+        # exact quartiles of all robust columns in one distributed flow
+        qs = exact_quantiles_multi(df, {c: [0.25, 0.5, 0.75] for c in robust})
+        for c in robust:
+            row[f"{c}__q"] = None if qs[c][0] is None else qs[c]
     stats = {}
     for c, m in spec.items():
         m = _method(m)

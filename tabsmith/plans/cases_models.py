@@ -19,7 +19,7 @@ from tabsmith.operators import scaling as sc
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans import scoring
 from tabsmith.plans.cases_documented import attendance
-from tabsmith.session import output_path
+from tabsmith.session import materialize, output_path
 
 FEATURES = ["total_price_k", "acctbal_k", "nation", "order_month", "order_dow", "order_year",
             "status_f", "status_o", "priority_high", "segment_building", "noise_a"]
@@ -66,8 +66,21 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sm.stratified_split(x, [], "label", "row_id", 0.3, fx.SEED)
 
 
+_PREPARED: dict = {}
+
+
+def prepared_table(spark, sf_dir):
+    """The model fixture written once per session and data folder to the
+    shared checkpoint folder; every fit, search and score reads that table
+    instead of recomputing the join and the split."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _PREPARED:
+        _PREPARED[key] = materialize(model_table(spark, sf_dir), "model-fixture")
+    return _PREPARED[key]
+
+
 def _train_test(spark, sf_dir):
-    t = model_table(spark, sf_dir)
+    t = prepared_table(spark, sf_dir)
     return t.filter("is_train = 1"), t.filter("is_train = 0")
 
 
