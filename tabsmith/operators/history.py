@@ -23,7 +23,7 @@ def epoch_micros(ts: str) -> Column:
 
 
 def historical_rate(df: DataFrame, entity: Sequence[str], ts: str, tiebreak: str, value: str,
-                    cell_seconds: int = DAY_SECONDS, prefix: str = "prior") -> DataFrame:
+                    cell_seconds: int = 3600, prefix: str = "prior") -> DataFrame:
     """``{prefix}_count`` and ``{prefix}_rate``: count and mean of ``value`` over
     the entity's strictly earlier rows (by ts, then tiebreak)."""
     cell = F.floor(epoch_micros(ts) / F.lit(cell_seconds * MICROS))

@@ -230,13 +230,6 @@ def evaluate(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label"
     return out.select(*cols)
 
 
-def _join_single(a: DataFrame, b: DataFrame) -> DataFrame:
-    # both sides have exactly one row: attach a constant key (no cartesian plan)
-    a = a.withColumn("_one", F.lit(1))
-    b = b.withColumn("_one", F.lit(1))
-    return a.join(b, "_one").drop("_one")
-
-
 def summarize_folds(fold_metrics: DataFrame, group_cols: Sequence[str] = (),
                     fold_col: str = "fold", metrics: Sequence[str] = METRIC_COLUMNS,
                     prefix: str = "cross_validation", digits: int | None = 6) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.naming import rename_positional, standardize_columns
 from tabsmith.operators import features as ft
-from tabsmith.operators.ensemble import percent  # noqa: F401  (re-exported for users)
 from tabsmith.operators.metrics import binary_metrics as _binary_metrics
 from tabsmith.plans import fixtures as fx
 from tabsmith.session import output_path

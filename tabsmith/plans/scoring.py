@@ -13,9 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabsmith.operators.models import FittedModel, predict
+from tabsmith.operators.models import PROB_VEC, FittedModel
 
 THRESHOLD_COL = "_threshold"
 
@@ -41,15 +43,13 @@ def _scaling_sql(scaling: Mapping[str, Mapping], threshold: float) -> str:
 class BatchScorer:
     model: PipelineModel
 
-    @property
-    def threshold(self) -> float:
-        stmt = self.model.stages[0].getStatement()
-        return float(stmt.rsplit(f"AS {THRESHOLD_COL}", 1)[0].rsplit("CAST(", 1)[1].split(" AS")[0])
-
     def score(self, df: DataFrame, id_col: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+        """(id, keep..., prediction, probability); prediction = probability >= threshold."""
         cols = ([id_col] if id_col else []) + [c for c in keep if c != id_col]
-        out = predict(self.model, df, keep=cols or [df.columns[0]], threshold=self.threshold)
-        return out.select(*cols, "prediction", "probability")
+        out = self.model.transform(df)
+        prob = vector_to_array(F.col(PROB_VEC))[1]
+        return out.select(*cols, (prob >= F.col(THRESHOLD_COL)).cast("int").alias("prediction"),
+                          prob.alias("probability"))
 
     def save(self, spark: SparkSession, path: str) -> str:
         self.model.write().overwrite().save(path)
