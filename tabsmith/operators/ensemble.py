@@ -60,11 +60,19 @@ def pivot_models(long: DataFrame, keys: Sequence[str], models: Sequence[str],
 
 
 def row_mode(cols: Sequence[str]) -> Column:
-    """Most frequent non-NULL value across columns; smallest value on ties."""
-    arr = F.filter(F.array(*[F.col(c) for c in cols]), lambda v: v.isNotNull())
-    scored = F.transform(arr, lambda v: F.struct(
-        (-F.size(F.filter(arr, lambda w: w == v))).alias("neg_count"), v.alias("value")))
-    return F.array_min(scored).getField("value")
+    """Most frequent non-NULL value across columns; smallest value on ties.
+
+    Closed form for a fixed column list (k^2 comparisons, all inside
+    whole-stage codegen): the least ``(-count, value)`` struct wins.
+    """
+    vals = [F.col(c) for c in cols]
+    cands = []
+    for v in vals:
+        count = reduce(lambda a, b: a + b, [F.coalesce((w == v).cast("int"), F.lit(0)) for w in vals])
+        key = F.when(v.isNull(), F.lit(1)).otherwise(-count)     # NULL entries never win
+        cands.append(F.struct(key.alias("k"), v.alias("value")))
+    best = cands[0] if len(cands) == 1 else F.least(*cands)
+    return F.when(best.getField("k") <= 0, best.getField("value"))
 
 
 def majority_vote(cols: Sequence[str], min_votes: int = 3) -> Column:

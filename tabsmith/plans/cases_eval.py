@@ -59,8 +59,8 @@ def cv_summary(spark, sf_dir):
 
 
 def _model_frames(spark, sf_dir, models):
-    p = _pred(spark, sf_dir)
-    return {m: p.filter(F.col("model") == m) for m in models}
+    # one prediction set per model (as the reference reads one file per model)
+    return {m: fx.predictions(spark, sf_dir, models=[m]) for m in models}
 
 
 def ensemble_join(spark, sf_dir):

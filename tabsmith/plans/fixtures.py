@@ -45,7 +45,8 @@ def order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate")
 
 
-def predictions(spark: SparkSession, sf_dir: str, extra_cols=(), base: DataFrame | None = None) -> DataFrame:
+def predictions(spark: SparkSession, sf_dir: str, extra_cols=(), base: DataFrame | None = None,
+                models=None) -> DataFrame:
     """Long table (model, row_id, user_id, cutoff_ts, label, prediction,
     probability [, extra]) from one scan of ``orders`` (a Generate, no union)."""
     base = base if base is not None else order_labels(spark, sf_dir)
@@ -53,7 +54,7 @@ def predictions(spark: SparkSession, sf_dir: str, extra_cols=(), base: DataFrame
     structs = [F.struct(F.lit(name).alias("model"),
                         ((F.pmod(k * a + c * b, F.lit(61)) + y * s).cast("double") / 100.0)
                         .alias("probability"))
-               for name, a, b, s in MODELS]
+               for name, a, b, s in MODELS if models is None or name in models]
     keep = ["row_id", "user_id", "cutoff_ts", "label", *extra_cols]
     out = base.select(*keep, F.inline(F.array(*structs)))
     return out.withColumn("prediction", (F.col("probability") >= 0.5).cast("int")) \
