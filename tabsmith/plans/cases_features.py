@@ -383,3 +383,65 @@ def feature_stream(spark, sf_dir):
 
 QUERIES["dataset_build"] = dataset_build
 QUERIES["feature_stream"] = feature_stream
+
+
+def _dataset_build_sql() -> str:
+    h = lambda tag: f"md5(CAST(row_id AS VARCHAR) || '|{tag}')"
+    floats = ["o_totalprice", "refund_count", "age", "class_size", "start_epoch", "price_per_seat", "has_refund",
+              "refund_count_null", "class_size_6"]
+    return f"""WITH raw AS (
+    SELECT o.o_orderkey AS row_id, CAST(year(o.o_orderdate) AS INTEGER) AS source, o.o_custkey AS user_id,
+           CAST(o.o_orderdate AS VARCHAR) AS start_text, o.o_totalprice,
+           nullif(round(c.c_acctbal / 100), 0.0) AS refund_count, CAST(o.o_orderkey % 15 AS DOUBLE) AS age,
+           CAST(o.o_custkey % 10 AS DOUBLE) AS class_size, CAST(o.o_orderstatus = 'F' AS DOUBLE) AS a1,
+           CASE WHEN o.o_orderpriority <> '5-LOW' THEN 1.0 END AS a2, c.c_mktsegment, o.o_custkey % 4 AS channel_code
+    FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+  x AS (SELECT *, ('0x' || substr({h('bucket')}, 1, 8))::BIGINT % 4 AS bucket,
+           1.0 - coalesce(CAST(a1 AS DOUBLE), 0.0) * coalesce(CAST(a2 AS DOUBLE), 0.0) AS label FROM raw),
+  r1 AS (SELECT *, row_number() OVER (PARTITION BY source, bucket ORDER BY {h(fx.SEED)}, row_id) AS rk,
+           count(*) OVER (PARTITION BY source, bucket) AS n FROM x),
+  s AS (SELECT * FROM r1 WHERE rk <= CAST(round_even(CAST(0.8 AS DOUBLE) * n, 0) AS BIGINT)),
+  u AS (SELECT * FROM r1 WHERE rk > CAST(round_even(CAST(0.8 AS DOUBLE) * n, 0) AS BIGINT)),
+  cc AS (SELECT source, label, count(*) AS n_c FROM s GROUP BY source, label),
+  q1 AS (SELECT *, CAST(ceil(CAST(0.3 AS DOUBLE) * sum(n_c) OVER (PARTITION BY source)) AS BIGINT) AS t,
+           sum(n_c) OVER (PARTITION BY source) AS nn FROM cc),
+  q2 AS (SELECT *, (t * n_c) // nn AS base, (t * n_c) % nn AS rem FROM q1),
+  q3 AS (SELECT *, t - sum(base) OVER (PARTITION BY source) AS lft,
+           row_number() OVER (PARTITION BY source ORDER BY rem DESC, label) AS rr FROM q2),
+  q AS (SELECT source, label, base + CASE WHEN rr <= lft THEN 1 ELSE 0 END AS quota FROM q3),
+  r3 AS (SELECT *, row_number() OVER (PARTITION BY source, label ORDER BY {h(f"{fx.SEED}|split")}, row_id) AS rk3 FROM s),
+  split AS (SELECT r3.*, CAST(CASE WHEN rk3 <= q.quota THEN 0 ELSE 1 END AS INTEGER) AS is_train
+           FROM r3 JOIN q ON r3.source = q.source AND r3.label = q.label),
+  tc AS (SELECT source, label, count(*) AS c FROM split WHERE is_train = 1 GROUP BY source, label),
+  tr AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY c, label) AS a,
+           row_number() OVER (PARTITION BY source ORDER BY c DESC, label) AS b FROM tc),
+  bal AS (SELECT source, max(CASE WHEN a = 1 THEN label END) AS minority_class, max(c) - min(c) AS gap
+           FROM tr GROUP BY source),
+  pool AS (SELECT u.*, bal.gap FROM u JOIN bal ON u.source = bal.source AND u.label = bal.minority_class
+           WHERE bal.gap > 0),
+  rp AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {h(f"{fx.SEED}|topup")}, row_id) AS rk5 FROM pool),
+  rows_ AS (SELECT row_id, source, user_id, start_text, o_totalprice, refund_count, age, class_size, c_mktsegment,
+                   channel_code, label, is_train FROM split
+           UNION ALL SELECT row_id, source, user_id, start_text, o_totalprice, refund_count, age, class_size,
+                   c_mktsegment, channel_code, label, CAST(1 AS INTEGER) FROM rp WHERE rk5 <= gap),
+  d AS (SELECT *, epoch_us(try_cast(start_text AS TIMESTAMP)) / 1e6 AS start_epoch,
+           {_div('o_totalprice', 'class_size')} AS price_per_seat,
+           CAST(refund_count IS NOT NULL AS FLOAT) AS has_refund,
+           CAST(refund_count IS NULL AS INTEGER) AS refund_count_null,
+           CAST(coalesce(class_size = 6, false) AS INTEGER) AS class_size_6 FROM rows_),
+  f AS (SELECT * REPLACE (coalesce(CAST(refund_count AS DOUBLE), (SELECT median(CAST(refund_count AS DOUBLE)) FROM rows_))
+           AS refund_count, coalesce(CAST(price_per_seat AS DOUBLE), 0.0) AS price_per_seat) FROM d),
+  c AS (SELECT * REPLACE (CASE WHEN refund_count > 0 THEN 1.0 ELSE refund_count END AS refund_count,
+           CASE WHEN age > 13 OR age < 4 THEN 0.0 ELSE age END AS age,
+           CASE WHEN class_size IN (6, 8) THEN class_size ELSE 0.0 END AS class_size,
+           CASE WHEN price_per_seat > 1 THEN 1.0 ELSE price_per_seat END AS price_per_seat) FROM f),
+  m AS (SELECT *, CASE channel_code WHEN 0 THEN 'app' WHEN 1 THEN 'web' WHEN 2 THEN 'phone' END AS ch FROM c)
+  SELECT row_id, source, user_id, label, is_train, """ + ", ".join(
+        [f"CAST({c} AS FLOAT) AS {c}" for c in floats[:9]] +
+        [f"CAST(CAST(coalesce(ch = '{v}', false) AS INTEGER) AS FLOAT) AS channel_code_{v}"
+         for v in ("app", "web", "phone")] +
+        [f"CAST(CAST(coalesce(c_mktsegment = '{v}', false) AS INTEGER) AS FLOAT) AS c_mktsegment_{v}"
+         for v in ("BUILDING", "MACHINERY")]) + " FROM m"
+
+
+SQL["dataset_build"] = _dataset_build_sql()

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabsmith.functions.hashing import hash_hex
 from tabsmith.functions.naming import rename_by_map
 from tabsmith.operators import features as ft
 from tabsmith.operators import sampling as sm
@@ -50,7 +51,10 @@ class BuildConfig:
 def sample_and_split(df: DataFrame, cfg: BuildConfig) -> DataFrame:
     """Rows of the training set (with top-up) and test set, tagged ``is_train``."""
     y, src, key = cfg.target_column, cfg.source_col, cfg.key
-    x = df.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(max(1, cfg.n_buckets))))
+    # the reader's chunk stands as a hash bucket of the key (md5 based, so the
+    # same bucket is computable in any SQL engine)
+    x = df.withColumn("_bucket", F.pmod(F.conv(F.substring(hash_hex([key], "bucket"), 1, 8), 16, 10).cast("long"),
+                                        F.lit(max(1, cfg.n_buckets))))
     x = x.withColumn(y, ft.any_zero_label(cfg.label_columns))
     flagged = sm.sample_flag(x, [src, "_bucket"], key, cfg.sample_frac, cfg.random_state)
     if cfg.materialize:
