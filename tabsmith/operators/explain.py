@@ -22,14 +22,26 @@ TOP_K = 10
 
 def linear_contributions(df: DataFrame, features: Sequence[str], weights: Sequence[float],
                          means: Mapping[str, float] | None = None, prefix: str = "contrib_",
-                         digits: int | None = 6) -> DataFrame:
-    """``contrib_<f> = w_f * (f - mean_f)``; means from one aggregation if not given."""
+                         digits: int | None = 6, spread_base: bool = False,
+                         intercept: float = 0.0) -> DataFrame:
+    """``contrib_<f> = w_f * (f - mean_f)``; means from one aggregation if not given.
+
+    With ``spread_base`` the base value (the margin at the means) is shared
+    equally by the features and added to each contribution, as the
+    reference's per-row attribution table does.
+    """
     if means is None:
         row = df.agg(*[F.avg(F.col(f).cast("double")).alias(f) for f in features]).first()
         means = {f: row[f] for f in features}
+    share = 0.0
+    if spread_base:
+        base = float(intercept) + sum(float(w) * float(means[f] or 0.0) for f, w in zip(features, weights))
+        share = base / len(features)
     new = {}
     for f, w in zip(features, weights):
         e = F.lit(float(w)) * (F.col(f).cast("double") - F.lit(float(means[f] or 0.0)))
+        if spread_base:
+            e = e + F.lit(share)
         new[f"{prefix}{f}"] = F.round(e, digits) if digits is not None else e
     return df.withColumns(new)
 
@@ -149,9 +161,11 @@ def shapley_batch(X: np.ndarray, Z: np.ndarray, tables, weights) -> np.ndarray:
 
 
 def tree_contributions(df: DataFrame, features: Sequence[str], model, background: np.ndarray,
-                       keep: Sequence[str], k: int = TOP_K) -> DataFrame:
+                       keep: Sequence[str], k: int = TOP_K, spread_base: bool = True) -> DataFrame:
     """Top-k Shapley contributions per row (``Feature_i_Name/_Contribution``)
-    plus ``base_value`` (mean model output over the background)."""
+    plus ``base_value`` (mean model output over the background).  With
+    ``spread_base`` each contribution carries base_value / n_features (the
+    reference's convention), before ranking by absolute value."""
     tables, weights = tree_tables(model)
     features = list(features)
     keep = list(keep)
@@ -167,6 +181,8 @@ def tree_contributions(df: DataFrame, features: Sequence[str], model, background
         for pdf in batches:
             X = pdf[features].astype(float).to_numpy()
             phi = shapley_batch(X, Z, tables, weights)
+            if spread_base:
+                phi = phi + base / len(features)
             order = np.lexsort((np.tile(np.arange(len(features)), (len(X), 1)), -np.abs(phi)), axis=1) \
                 if len(X) else np.zeros((0, len(features)), dtype=int)
             out = pdf[keep].copy()

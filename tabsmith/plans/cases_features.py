@@ -445,3 +445,24 @@ def _dataset_build_sql() -> str:
 
 
 SQL["dataset_build"] = _dataset_build_sql()
+
+
+def _sql_twins_for_sinks():
+    from tabsmith.plans.cases_eval import SQL as EVAL_SQL
+    pred = fx.predictions_sql()
+    chain = f"""WITH {LI}, a AS (SELECT *, {_div('l_extendedprice', 'l_quantity')} AS unit_price FROM li),
+        b AS (SELECT *, {_SUM_CHAIN} AS price_tax, CAST(t IS NOT NULL AS FLOAT) AS has_tax FROM a)
+        SELECT {_K}, l_quantity, l_extendedprice, l_tax, t, unit_price, price_tax, has_tax,
+               {_div('price_tax', 'has_tax')} AS price_per_tax_flag, CAST(t IS NULL AS INTEGER) AS t_null, """ + \
+        ", ".join(f"CAST(coalesce(l_returnflag = '{c}', false) AS INTEGER) AS l_returnflag_{c}"
+                  for c in RETURN_FLAG_CATEGORIES) + " FROM b"
+    return {
+        "write_split": f"""WITH {pred} SELECT row_id, o_custkey AS customer_id, label, CAST(1 AS INTEGER) AS is_train
+            FROM base WHERE year(o_orderdate) < 1999""",
+        "write_predictions": f"WITH {pred} SELECT row_id, prediction, probability FROM pred WHERE model = 'gbdt'",
+        "write_metrics": EVAL_SQL["binary_metrics"],
+        "feature_stream": chain,
+    }
+
+
+SQL.update(_sql_twins_for_sinks())

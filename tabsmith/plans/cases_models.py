@@ -232,7 +232,10 @@ def linear_attribution(spark, sf_dir):
 
 
 def top_k_contributions(spark, sf_dir):
-    c = linear_attribution(spark, sf_dir)
+    """Top-10 per row of the contributions with the base value spread over the
+    features (intercept 0: base = sum of w * mean)."""
+    t = attribution_table(spark, sf_dir)
+    c = ex.linear_contributions(t, ATTR_FEATURES, ATTR_WEIGHTS, spread_base=True)
     return c.select("row_id", *ex.top_k_columns(ATTR_FEATURES, [F.col(f"contrib_{f}") for f in ATTR_FEATURES]))
 
 
@@ -244,7 +247,8 @@ def user_attribution(spark, sf_dir):
     w = fm.classifier.coefficients.toArray().tolist()
     row = train.agg(*[F.avg(f).alias(f) for f in FEATURES]).first()
     scored = md.predict(fm, test, keep=["row_id", "user_id", "cutoff_ts", "label", *FEATURES])
-    c = ex.linear_contributions(scored, FEATURES, w, {f: row[f] for f in FEATURES}, digits=None)
+    c = ex.linear_contributions(scored, FEATURES, w, {f: row[f] for f in FEATURES}, digits=None,
+                                spread_base=True, intercept=float(fm.classifier.intercept))
     return c.select("user_id", "cutoff_ts", "label", "prediction", "probability",
                     *ex.top_k_columns(FEATURES, [F.col(f"contrib_{f}") for f in FEATURES]))
 
@@ -370,12 +374,17 @@ _ATTR_SQL = """t AS (SELECT o_orderkey AS row_id, o_totalprice / 1000.0 AS f_pri
     f"round(CAST({w} AS DOUBLE) * ({f} - m_{f}), 6) AS contrib_{f}" for f, w in zip(ATTR_FEATURES, ATTR_WEIGHTS)) + \
     " FROM t, mu)"
 
+_BASE_SHARE = "(" + " + ".join(f"CAST({w} AS DOUBLE) * m_{f}" for f, w in zip(ATTR_FEATURES, ATTR_WEIGHTS)) + \
+    f") / {len(ATTR_FEATURES)}"
+_SPREAD = "cs AS (SELECT row_id, " + ", ".join(
+    f"round(CAST({w} AS DOUBLE) * ({f} - m_{f}) + {_BASE_SHARE}, 6) AS contrib_{f}"
+    for f, w in zip(ATTR_FEATURES, ATTR_WEIGHTS)) + " FROM t, mu)"
 _UNPIV = " UNION ALL ".join(
-    f"SELECT row_id, {i} AS idx, '{f}' AS name, contrib_{f} AS value FROM c" for i, f in enumerate(ATTR_FEATURES))
+    f"SELECT row_id, {i} AS idx, '{f}' AS name, contrib_{f} AS value FROM cs" for i, f in enumerate(ATTR_FEATURES))
 
 SQL = {
     "linear_attribution": f"WITH {_ATTR_SQL} SELECT * FROM c",
-    "top_k_contributions": f"""WITH {_ATTR_SQL}, u AS ({_UNPIV}),
+    "top_k_contributions": f"""WITH {_ATTR_SQL}, {_SPREAD}, u AS ({_UNPIV}),
       r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY -abs(value), idx) AS pos FROM u)
       SELECT row_id, """ + ", ".join(
         f"max(CASE WHEN pos = {i} THEN name END) AS Feature_{i}_Name, "

@@ -39,13 +39,26 @@ def _scaling_sql(scaling: Mapping[str, Mapping], threshold: float) -> str:
     return f"SELECT {cols}, CAST({float(threshold)!r} AS DOUBLE) AS {THRESHOLD_COL} FROM __THIS__"
 
 
+def as_frame(spark: SparkSession, data) -> DataFrame:
+    """Accept a DataFrame, a record (dict) or a list of records."""
+    if isinstance(data, DataFrame):
+        return data
+    if isinstance(data, Mapping):
+        data = [data]
+    return spark.createDataFrame([dict(r) for r in data])
+
+
 @dataclass
 class BatchScorer:
     model: PipelineModel
 
-    def score(self, df: DataFrame, id_col: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
-        """(id, keep..., prediction, probability); prediction = probability >= threshold."""
-        cols = ([id_col] if id_col else []) + [c for c in keep if c != id_col]
+    def score(self, df, id_col: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+        """(id, keep..., prediction, probability); prediction = probability >= threshold.
+
+        ``df`` may be a DataFrame, one record (dict) or a list of records.
+        """
+        df = as_frame(SparkSession.getActiveSession(), df)
+        cols = ([id_col] if id_col and id_col in df.columns else []) + [c for c in keep if c != id_col]
         out = self.model.transform(df)
         prob = vector_to_array(F.col(PROB_VEC))[1]
         return out.select(*cols, (prob >= F.col(THRESHOLD_COL)).cast("int").alias("prediction"),

@@ -87,3 +87,14 @@ def test_halving_schedule():
     assert [c for _, _, c in s] == [9, 5, 3, 2]
     s = tu.halving_schedule(10000, 20, factor=2, min_resources="smallest", n_classes=2, cv=5)
     assert s[0][1] == 20
+
+
+def test_scorer_accepts_records(spark):
+    from tabsmith.plans import scoring
+    df = _planted(spark, 500)
+    fm = md.fit_model(df, ["x1", "x2", "x3"], "logistic_reg", {"C": 10.0})
+    sc = scoring.make_scorer(fm, {"x1": {"method": "standard", "shift": 0.5, "scale": 0.3}}, threshold=0.4)
+    out = sc.score([{"row_id": 1, "x1": 0.9, "x2": 0.5, "x3": 1.0}, {"row_id": 2, "x1": 0.1, "x2": 0.1, "x3": 0.0}],
+                   id_col="row_id").collect()
+    assert [r["row_id"] for r in out] == [1, 2]
+    assert all(r["prediction"] == int(r["probability"] >= 0.4) for r in out)
