@@ -17,7 +17,7 @@ def _planted(spark, n=2000):
         .withColumnRenamed("id", "row_id")
 
 
-def test_range_expansion_and_unknown_type():
+def test_range_expansion_and_unknown_type(spark):
     assert md.expand_range("range(3, 30, 2)") == list(range(3, 30, 2))
     assert md.expand_range("range(5)") == [0, 1, 2, 3, 4]
     assert md.expand_range("__import__('os')") == "__import__('os')"
