@@ -46,17 +46,14 @@ def ensemble_join(frames: dict[str, DataFrame], keys: Sequence[str],
 
 def pivot_models(long: DataFrame, keys: Sequence[str], models: Sequence[str],
                  value_cols: Sequence[str] = VALUE_COLUMNS) -> DataFrame:
-    """Long (model, keys, values) -> wide ``value_model`` columns, one shuffle.
+    """Long (model, keys, values) -> wide ``value_model`` columns in one
+    aggregation (one shuffle, map-side combined).
 
     Keys are expected to be unique per model; rows missing a model get NULLs.
-    The model list is given, so no extra job runs to find pivot values.
     """
-    wide = long.groupBy(*keys).pivot("model", list(models)).agg(
-        *[F.first(c).alias(c) for c in value_cols])
-    if len(value_cols) == 1:
-        return wide.select(*keys, *[F.col(m).alias(f"{value_cols[0]}_{m}") for m in models])
-    return wide.select(*keys, *[F.col(f"{m}_{c}").alias(f"{c}_{m}")
-                               for m in models for c in value_cols])
+    m = F.col("model")
+    return long.groupBy(*keys).agg(*[F.max(F.when(m == name, F.col(c))).alias(f"{c}_{name}")
+                                     for name in models for c in value_cols])
 
 
 def row_mode(cols: Sequence[str]) -> Column:

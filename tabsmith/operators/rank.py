@@ -27,52 +27,69 @@ def default_cells(df: DataFrame) -> int:
     return max(2, n)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(c).alias(f"_k_{c}") for c in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        e = left[k].eqNullSafe(r[f"_k_{k}"])
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, "inner").drop(*[f"_k_{k}" for k in keys])
+_DEFAULTS = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00",
+             "timestamp_ntz": "1970-01-01 00:00:00"}
+
+
+def _plain_keys(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Replace each group column by (null flag, value with a typed default) so
+    the window and the offsets join can use plain equality on the same
+    columns: the join then reuses the window's partitioning instead of
+    re-shuffling the rows (a null-safe join key would partition differently)."""
+    types = dict(df.dtypes)
+    keys, new = [], {}
+    for i, c in enumerate(group_cols):
+        t = types[c]
+        default = _DEFAULTS.get(t, 0)
+        new[f"_gn{i}"] = F.col(c).isNull()
+        new[f"_gk{i}"] = F.coalesce(F.col(c), F.lit(default).cast(t))
+        keys += [f"_gk{i}", f"_gn{i}"]
+    return df.withColumns(new), keys
 
 
 def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column],
                  cell: Column, sums: dict[str, Column], inclusive: bool = True,
-                 totals: bool = False) -> DataFrame:
+                 totals: bool = False, enrich=None) -> DataFrame:
     """Add ``cum_<name>`` (running sum in order) and optionally ``total_<name>``.
 
     ``cell`` must be non-decreasing in ``order_cols`` within a group and
     ``order_cols`` must be a total order (end with a unique key) for the result
-    to be deterministic.
+    to be deterministic.  ``enrich`` may add per-group columns to the small
+    offsets table (one row per group and cell) before it is joined to the
+    rows, so group-level values (quotas, thresholds) need no extra pass.
     """
-    group_cols = list(group_cols)
-    x = df.withColumn("_cell", cell.cast("long"))
+    user_groups = list(group_cols)
+    x, group_cols = _plain_keys(df, user_groups)
+    x = x.withColumn("_cell", cell.cast("long"))
     x = x.withColumns({f"_v_{n}": e for n, e in sums.items()})
     part = group_cols + ["_cell"]
     frame = (Window.partitionBy(*part).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-    local = x.withColumns({f"_l_{n}": F.coalesce(F.sum(f"_v_{n}").over(frame), F.lit(0))
-                           for n in sums})
-    # totals from the windowed rows: they are already partitioned by (g, cell),
-    # so this aggregation adds no shuffle and the window's exchange is reused
-    cell_tot = local.groupBy(*part).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    # rows are shuffled once, by (group, cell), for the window; the offsets
+    # join below keys on the same plain columns and reuses that partitioning
+    local = x.withColumns({f"_l_{n}": F.coalesce(F.sum(f"_v_{n}").over(frame), F.lit(0)) for n in sums})
+    # per-cell totals: map-side combined, so only partial sums are shuffled
+    cell_tot = x.groupBy(*part).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
     before = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()) \
         .orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
+    grp = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
     offs = {f"_o_{n}": F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)) for n in sums}
     if totals:
-        offs.update({f"total_{n}": F.sum(f"_t_{n}").over(whole) for n in sums})
+        offs.update({f"total_{n}": F.sum(f"_t_{n}").over(grp) for n in sums})
     offsets = cell_tot.select(*part, *[e.alias(k) for k, e in offs.items()])
-    out = _null_safe_join(local, offsets, part)
+    if enrich is not None:
+        # enrich sees the user's group columns (restored from the plain keys)
+        restore = {g: F.when(~F.col(f"_gn{i}"), F.col(f"_gk{i}")) for i, g in enumerate(user_groups)}
+        offsets = enrich(offsets.withColumns(restore)).drop(*user_groups)
+    out = local.join(offsets, part, "inner")
     out = out.withColumns({f"cum_{n}": F.col(f"_l_{n}") + F.col(f"_o_{n}") for n in sums})
-    drop = ["_cell"] + [f"_{p}_{n}" for n in sums for p in ("v", "l", "o")]
+    drop = ["_cell", *group_cols] + [f"_{p}_{n}" for n in sums for p in ("v", "l", "o")]
     return out.drop(*drop)
 
 
 def hash_rank(df: DataFrame, group_cols: Sequence[str], key_cols: Sequence[str] | str,
               salt, rank_col: str = "rank", size_col: str | None = "group_size",
-              cells: int | None = None) -> DataFrame:
+              cells: int | None = None, enrich=None) -> DataFrame:
     """1-based rank of each row by md5(key|salt) within its group.
 
     Equals ``row_number() OVER (PARTITION BY g ORDER BY md5(key|salt), key)``.
@@ -85,7 +102,7 @@ def hash_rank(df: DataFrame, group_cols: Sequence[str], key_cols: Sequence[str]
     cell = F.floor(hash_unit(F.col("_h")) * F.lit(cells))
     order = [F.col("_h")] + [F.col(k) for k in key_cols]
     out = running_sums(x, group_cols, order, cell, {"one": F.lit(1).cast("long")},
-                       inclusive=True, totals=size_col is not None)
+                       inclusive=True, totals=size_col is not None, enrich=enrich)
     out = out.withColumnRenamed("cum_one", rank_col)
     if size_col is not None:
         out = out.withColumnRenamed("total_one", size_col)

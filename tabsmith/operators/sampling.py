@@ -62,16 +62,22 @@ def stratified_split(df: DataFrame, group_cols: Sequence[str], label: str, key:
                      flag: str = "is_train") -> DataFrame:
     """Stratified train/test split inside each group (``is_train`` 1/0).
 
-    The quota table has one row per (group, class) -- a size bounded by the
-    number of groups times classes -- so it is broadcast.
+    One large shuffle: the rank's per-cell offsets table (one row per group,
+    class and cell) already holds each class size, so the quotas are computed
+    there and reach the rows with the offsets.  The quota table has one row
+    per (group, class) -- bounded by groups x classes -- and is broadcast.
     """
     g = list(group_cols)
-    counts = df.groupBy(*g, label).agg(F.count(F.lit(1)).alias("n_c"))
-    quotas = test_quotas(counts, g, label, test_size)
-    r = hash_rank(df, g + [label], key, _salt(seed, tag), rank_col="_rk", size_col=None)
-    r = r.join(F.broadcast(quotas), g + [label], "inner")
+
+    def with_quotas(offsets: DataFrame) -> DataFrame:
+        counts = offsets.groupBy(*g, label).agg(F.max("total_one").alias("n_c"))
+        quotas = test_quotas(counts, g, label, test_size)
+        return offsets.join(F.broadcast(quotas), g + [label], "inner")
+
+    r = hash_rank(df, g + [label], key, _salt(seed, tag), rank_col="_rk", size_col="_size",
+                  enrich=with_quotas)
     return r.withColumn(flag, F.when(F.col("_rk") <= F.col("quota"), 0).otherwise(1)) \
-        .drop("_rk", "quota")
+        .drop("_rk", "quota", "_size")
 
 
 def class_balance(df: DataFrame, group_cols: Sequence[str], label: str,
