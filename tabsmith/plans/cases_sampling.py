@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.operators import sampling as sm
 from tabsmith.plans import fixtures as fx
+from tabsmith.session import materialize
 
 FRAC = 0.3
 TEST_SIZE = 0.3
@@ -62,9 +63,18 @@ def minority_topup(spark, sf_dir):
 
 
 def train_test_union(spark, sf_dir):
-    split = stratified_split(spark, sf_dir)
-    top = minority_topup(spark, sf_dir).withColumn("is_train", F.lit(1))
-    return split.unionByName(top)
+    """The whole chain as the dataset build runs it: the flagged sample and
+    the split are written once to the shared checkpoint folder, so the
+    balance, the top-up and the union read them instead of recomputing."""
+    flagged = materialize(_flagged(spark, sf_dir), "sampling-flagged")
+    sampled = flagged.filter("sampled").select("source", "bucket", "row_id", "label")
+    pool = flagged.filter(~F.col("sampled")).select("source", "bucket", "row_id", "label")
+    split = materialize(sm.stratified_split(sampled, GROUP, "label", "row_id", TEST_SIZE, fx.SEED),
+                        "sampling-split")
+    bal = sm.class_balance(split, GROUP, "label", F.col("is_train") == 1)
+    top = sm.minority_topup(pool, bal, GROUP, "label", "row_id", fx.SEED)
+    return split.select("source", "row_id", "label", "is_train").unionByName(
+        top.select("source", "row_id", "label").withColumn("is_train", F.lit(1)))
 
 
 def kfold_assign(spark, sf_dir):
