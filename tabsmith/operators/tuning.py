@@ -262,3 +262,13 @@ def halving_search(ranked_rows: DataFrame, features: Sequence[str], model_type:
     for part in logs[1:]:
         out = out.unionByName(part)
     return out
+
+
+def refit_best(train: DataFrame, features: Sequence[str], model_type: str, candidates: Sequence[Mapping],
+               trials: DataFrame, metric: str = "recall", base_params: Mapping | None = None):
+    """Pick the first trial by (mean score desc, trial_id) and fit it on all
+    training rows; returns (trial_id, params, FittedModel)."""
+    ranked = rank_trials(trials, metric).orderBy(F.col("mean_test_score").desc_nulls_last(), "trial_id")
+    best = ranked.select("trial_id").first()["trial_id"]
+    params = {**(base_params or {}), **candidates[best]}
+    return best, params, md.fit_model(train, features, model_type, params)

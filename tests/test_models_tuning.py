@@ -98,3 +98,17 @@ def test_scorer_accepts_records(spark):
                    id_col="row_id").collect()
     assert [r["row_id"] for r in out] == [1, 2]
     assert all(r["prediction"] == int(r["probability"] >= 0.4) for r in out)
+
+
+def test_score_candidates_and_refit_best(spark):
+    from tabsmith.operators.sampling import kfold
+    df = _planted(spark, 800)
+    folded = kfold(df, "row_id", 3).cache()
+    cands = [{"max_depth": 1}, {"max_depth": 4}]
+    trials = tu.score_candidates(folded, ["x1", "x2", "x3"], "decision_tree", cands, [1, 2, 3], "f1")
+    assert trials.filter("metric = 'f1'").count() == 6
+    ranked = {r["trial_id"]: r for r in tu.rank_trials(trials, "f1").collect()}
+    assert ranked[1]["mean_test_score"] >= ranked[0]["mean_test_score"]
+    best, params, fm = tu.refit_best(folded, ["x1", "x2", "x3"], "decision_tree", cands, trials, "f1")
+    assert best == 1 and params == {"max_depth": 4} and fm.classifier.getMaxDepth() == 4
+    folded.unpersist()
