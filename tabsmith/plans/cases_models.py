@@ -254,11 +254,15 @@ def user_attribution(spark, sf_dir):
 
 
 def tree_attribution(spark, sf_dir, n_background=100):
+    """The per-user table for a tree model: users, cut-off, label, prediction,
+    probability and the top-10 Shapley contributions (base value spread)."""
     train, test = _train_test(spark, sf_dir)
     fm = md.fit_model(train, FEATURES, "decision_tree", CONFIGS["decision_tree"])
     bg = sm.background_sample(train, "row_id", n_background, fx.SEED).select(*FEATURES).collect()
     Z = np.array([[float(r[f]) for f in FEATURES] for r in bg])
-    return ex.tree_contributions(test, FEATURES, fm.classifier, Z, keep=["row_id"])
+    scored = md.predict(fm, test, keep=["row_id", "user_id", "cutoff_ts", "label", *FEATURES])
+    keep = ["user_id", "cutoff_ts", "label", "prediction", "probability"]
+    return ex.tree_contributions(scored, FEATURES, fm.classifier, Z, keep=keep)
 
 
 # ---- documented selection / clustering / ensembles

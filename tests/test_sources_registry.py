@@ -53,3 +53,13 @@ def test_oracle_sf0001(spark, duck, key):
     a = sorted(tuple(_norm(r[i]) for i in so) for r in sdf.collect())
     b = sorted(tuple(_norm(r[i]) for i in do) for r in res.fetchall())
     assert a == b
+
+
+def test_tree_attribution_table_shape(spark):
+    df = E.queries()["tree_attribution"](spark, SF001)
+    cols = df.columns
+    assert cols[:5] == ["user_id", "cutoff_ts", "label", "prediction", "probability"]
+    assert "Feature_10_Name" in cols and "Feature_10_Contribution" in cols and cols[-1] == "base_value"
+    r = df.first()
+    mags = [abs(r[f"Feature_{i}_Contribution"]) for i in range(1, 11)]
+    assert mags == sorted(mags, reverse=True)
