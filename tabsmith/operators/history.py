@@ -84,3 +84,69 @@ def calendar_flags(df: DataFrame, calendar: DataFrame, ts: str, kinds: Sequence[
                                        for k in kinds])
     out = df.withColumn("_day", F.to_date(F.col(ts))).join(F.broadcast(flags), "_day", "left")
     return out.withColumns({f"is_{k}": F.coalesce(F.col(f"is_{k}"), F.lit(0)) for k in kinds}).drop("_day")
+
+
+def rolling_stats_cells(df: DataFrame, entity: Sequence[str], ts: str, value: str, window_seconds: int,
+                        key: str, cell_seconds: int = 3600, prefix: str = "roll") -> DataFrame:
+    """Skew-safe form of :func:`rolling_stats` (same results).
+
+    The window [t - W, t) of a row in cell c (cells of ``cell_seconds``, W a
+    multiple of it, K = W / cell) is split into
+      A. earlier rows of its own cell            -- window per (entity, cell);
+      B. the K - 1 full cells in between         -- per-(entity, cell) sums, a
+         range window over the small cell table;
+      C. the rows of boundary cell c - K at or after t - W -- suffix sums of
+         that cell, found by an as-of lookup windowed per (entity, cell).
+    Every window is per (entity, cell), so an entity with a huge share of the
+    rows is spread over its cells.  ``key`` must identify rows uniquely.
+    """
+    if window_seconds % cell_seconds:
+        raise ValueError("window_seconds must be a multiple of cell_seconds")
+    entity = list(entity)
+    K = window_seconds // cell_seconds
+    W = window_seconds * MICROS
+    us, v = epoch_micros(ts), F.col(value).cast("double")
+    x = df.select(*entity, key, us.alias("_us"), v.alias("_v")) \
+        .withColumn("_c", F.floor(F.col("_us") / F.lit(cell_seconds * MICROS)))
+    part = [*entity, "_c"]
+    # A: own cell, strictly earlier instants
+    wa = Window.partitionBy(*part).orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
+    a = x.select(*entity, key, "_c", "_us",
+                 F.count("_v").over(wa).alias("a_n"), F.sum("_v").over(wa).alias("a_s"),
+                 F.sum(F.col("_v") * F.col("_v")).over(wa).alias("a_q"),
+                 F.max("_v").over(wa).alias("a_mx"), F.min("_v").over(wa).alias("a_mn"))
+    # B: full cells c-K+1 .. c-1 from the per-cell table
+    cells = x.groupBy(*part).agg(F.count("_v").alias("n"), F.sum("_v").alias("s"),
+                                 F.sum(F.col("_v") * F.col("_v")).alias("q"),
+                                 F.max("_v").alias("mx"), F.min("_v").alias("mn"))
+    wb = Window.partitionBy(*entity).orderBy("_c").rangeBetween(-(K - 1), -1)
+    b = cells.select(*part, F.sum("n").over(wb).alias("b_n"), F.sum("s").over(wb).alias("b_s"),
+                     F.sum("q").over(wb).alias("b_q"), F.max("mx").over(wb).alias("b_mx"),
+                     F.min("mn").over(wb).alias("b_mn"))
+    # C: suffix sums inside each cell, looked up at t - W in cell c - K
+    ws = Window.partitionBy(*part).orderBy("_us").rangeBetween(0, Window.unboundedFollowing)
+    data = x.select(*part, "_us", F.lit(1).alias("_kind"), F.lit(None).cast(df.schema[key].dataType).alias("_qk"),
+                    F.struct(F.count("_v").over(ws).alias("n"), F.sum("_v").over(ws).alias("s"),
+                             F.sum(F.col("_v") * F.col("_v")).over(ws).alias("q"),
+                             F.max("_v").over(ws).alias("mx"), F.min("_v").over(ws).alias("mn")).alias("_suf"))
+    queries = x.select(*entity, (F.col("_c") - K).alias("_c"), (F.col("_us") - W).alias("_us"),
+                       F.lit(0).alias("_kind"), F.col(key).alias("_qk"),
+                       F.lit(None).cast(data.schema["_suf"].dataType).alias("_suf"))
+    wq = Window.partitionBy(*part).orderBy("_us", "_kind").rowsBetween(0, Window.unboundedFollowing)
+    c = data.unionByName(queries).withColumn("_hit", F.first("_suf", ignorenulls=True).over(wq)) \
+        .filter(F.col("_kind") == 0).select(F.col("_qk").alias(key), "_hit")
+    out = a.join(b, part, "left").join(c, key, "left")
+    z = lambda col: F.coalesce(col, F.lit(0))
+    n = z(F.col("a_n")) + z(F.col("b_n")) + z(F.col("_hit.n"))
+    s = z(F.col("a_s")) + z(F.col("b_s")) + z(F.col("_hit.s"))
+    q = z(F.col("a_q")) + z(F.col("b_q")) + z(F.col("_hit.q"))
+    mean = s / n
+    var = (q - s * s / n) / (n - 1)
+    stats = out.select(
+        key,
+        F.when(n > 0, mean).alias(f"{prefix}_mean"),
+        F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias(f"{prefix}_std"),
+        F.greatest("a_mx", "b_mx", "_hit.mx").alias(f"{prefix}_max"),
+        F.least("a_mn", "b_mn", "_hit.mn").alias(f"{prefix}_min"),
+        n.cast("long").alias(f"{prefix}_count"))
+    return df.join(stats, key, "inner")

@@ -99,7 +99,7 @@ def rolling_30d(spark, sf_dir):
     # value in integer cents: sums are exact in every engine, so the check does
     # not depend on floating-point summation order
     a = attendance(spark, sf_dir).withColumn("value_cents", F.round(F.col("value") * 100).cast("long"))
-    out = hist.rolling_stats(a, ["user_id"], "ts", "value_cents",
+    out = hist.rolling_stats_cells(a, ["user_id"], "ts", "value_cents",
                              WINDOW_DAYS * hist.DAY_SECONDS, "event_id")
     return out.select("event_id", "user_id", *[F.round(f"roll_{s}", 6).alias(f"roll_{s}")
                                                for s in ("mean", "std", "max", "min")], "roll_count")
