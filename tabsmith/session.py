@@ -50,11 +50,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting points at shared storage and is only read here.
-    When it is unset (local tests) a private scratch folder is created once.
+    When it is unset a private scratch folder is created once, but only where
+    the driver and the executors are one process; a cluster must name one.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tabsmith-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
