@@ -35,3 +35,9 @@ def word_count(text: Column) -> Column:
 def safe(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns can never clash."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer that the registered queries use."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")

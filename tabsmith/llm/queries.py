@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import prepare
 
-from . import op4_chat, op7_mix, op8_url_filter
-from .common import read_table
+from . import op4_chat, op5_token_files, op7_mix, op8_url_filter, op10_neighbours
+from .common import read_table, tokenizer_path
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,12 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_chat.digest(op4_chat.format_conversations(messages))
 
 
+def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    manifest = op5_token_files.write_token_files(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return op5_token_files.read_token_files(manifest)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return op7_mix.mix(read_table(spark, sf_dir, "documents"))
@@ -35,11 +41,17 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       listed, keep=["page_id"])
 
 
-QUERIES = (op4_chat_format, op7_mix_sources, op8_url_rules)
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return op10_neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = (op4_chat_format, op5_token_frames, op7_mix_sources, op8_url_rules, op10_nearest)
 SQL = {
     "op4_chat_format": op4_chat.ORACLE_SQL,
     "op7_mix_sources": op7_mix.ORACLE_SQL,
     "op8_url_rules": op8_url_filter.ORACLE_SQL,
+    "op10_nearest": op10_neighbours.ORACLE_SQL,
 }
 
 
