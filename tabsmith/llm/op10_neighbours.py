@@ -5,17 +5,17 @@ block and a candidate block is one tile: the int8 codes of both give all inner
 products of the tile at once, each with a bound of its quantisation error.  A
 candidate stays if its upper bound reaches the query's k-th best lower bound so
 far; those are computed again from the original vectors in double precision,
-and a heap per query keeps the k best.  The bound is never broken, so nothing
-is lost.  A second, small step merges the heaps of a query's tiles.
+and a bounded heap per query (kept as a sorted array) holds the k best.  The
+bound is never broken, so nothing is lost.  The heaps of a query's runs of tiles
+are merged by one ranked window.
 
 A task works on one query block and a run of candidate blocks, streamed one by
-one, so memory is bounded by two blocks however large the table is, and the
-bound carries over from tile to tile.
+one, so memory is bounded by two blocks and a slice of their tile however large
+the table is, and the k-th best so far carries over from tile to tile.
 
-Defined cases: vectors that are null, zero, of another length than most callers
-expect (the length most common in the table counts), or that hold null or
-non-finite components take no part; ties go to the smaller id; equal ids are
-the same vector and never each other's neighbours; fewer than k candidates give
+Defined cases: vectors that are null, zero, of another length than the one most
+common in the table, or that hold null or non-finite components take no part;
+ties go to the smaller id; of rows with one id the least vector counts; fewer than k candidates give
 fewer rows; an empty table gives none; extra columns are ignored.
 """
 
@@ -25,15 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.session import materialize
 
-#: Rows of a block; a tile has so many squared products at most.
-QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 4096
-#: Candidate blocks that one task meets, one after the other.
-BLOCKS_PER_TASK = 16
+#: Rows of a block, and the queries that meet a candidate block at a time.
+QUERY_BLOCK, CANDIDATE_BLOCK, SLICE = 4096, 4096, 256
 BLOCK_SCHEMA = "block long, n int, ids binary, vectors binary"
 FOUND_SCHEMA = "query_id long, vec_id long, score double"
 _EPS = np.finfo(np.float64).eps
@@ -44,19 +43,19 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def _pack(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Blocks of about ``size`` rows of (id, vector), spread by a hash of the id."""
-    n = rows.count()
-    blocks = max(1, -(-n // size))
+def _pack(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+    """Blocks of about ``size`` rows of (id, vector), spread by a hash of the id,
+    and how many there are."""
+    blocks = max(1, -(-rows.count() // size))
 
-    def pack(key, part: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("id")
         vectors = np.array(part["vector"].tolist(), np.float64)
         return pd.DataFrame({"block": [key[0]], "n": [len(part)], "ids": [part["id"].to_numpy(np.int64).tobytes()],
                              "vectors": [vectors.tobytes()]})
 
     spread = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    return materialize(spread.groupBy("block").applyInPandas(pack, BLOCK_SCHEMA), name)
+    return materialize(spread.groupBy("block").applyInPandas(pack, BLOCK_SCHEMA), name), blocks
 
 
 def quantise(vectors: np.ndarray):
@@ -91,30 +90,32 @@ class Best:
         self.codes = quantise(vectors)
 
     def tile(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        k, dim = self.k, vectors.shape[1]
-        near, bound = tile_bounds(self.codes, quantise(vectors), dim)
-        own = self.query_ids[:, None] == ids[None, :]
-        lower = np.where(own, -np.inf, near - bound)
-        floor = self.scores[:, -1]
+        codes = quantise(vectors)
+        for a in range(0, len(self.query_ids), SLICE):
+            self._slice(slice(a, a + SLICE), ids, vectors, codes)
+
+    def _slice(self, at: slice, ids: np.ndarray, vectors: np.ndarray, codes) -> None:
+        k = self.k
+        near, bound = tile_bounds([x[at] for x in self.codes], codes, vectors.shape[1])
+        own = self.query_ids[at][:, None] == ids[None, :]
+        floor = self.scores[at, -1]
         if len(ids) > k:
+            lower = np.where(own, -np.inf, near - bound)
             floor = np.maximum(floor, np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k])
         stay = ~own & (near + bound >= floor[:, None])
-        for q in np.flatnonzero(stay.any(axis=1)):
-            which = np.flatnonzero(stay[q])
-            exact = vectors[which] @ self.vectors[q]
+        for i in np.flatnonzero(stay.any(axis=1)):
+            q, which = at.start + i, np.flatnonzero(stay[i])
+            # Summed row by row, so that equal vectors get equal scores.
+            exact = (vectors[which] * self.vectors[q]).sum(axis=1)
             scores = np.concatenate([self.scores[q], exact])
             found = np.concatenate([self.found[q], ids[which]])
             order = np.lexsort((found, -scores))[:k]
             self.scores[q], self.found[q] = scores[order], found[order]
 
-    def rows(self) -> pd.DataFrame:
-        full = np.isfinite(self.scores)
-        q, at = np.nonzero(full)
-        return pd.DataFrame({"query_id": self.query_ids[q], "vec_id": self.found[q, at], "score": self.scores[q, at]})
-
-
-def _unpack(row) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row.ids, np.int64), np.frombuffer(row.vectors, np.float64).reshape(row.n, -1)
+    def rows(self) -> pa.RecordBatch:
+        q, at = np.nonzero(np.isfinite(self.scores))
+        return pa.RecordBatch.from_pydict({"query_id": self.query_ids[q], "vec_id": self.found[q, at],
+                                           "score": self.scores[q, at]})
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
@@ -125,47 +126,42 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                           F.col(f"`{vector_col}`").cast("array<double>").alias("vector"),
                           is_query.alias("is_query")).where(F.col("id").isNotNull() & usable(F.col("vector")))
     lengths = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").head()
-    rows = rows.where(F.size("vector") == (lengths["dim"] if lengths else 0)).dropDuplicates(["id"])
-    rows = materialize(rows, "vectors")
-    candidates = _pack(rows.select("id", "vector"), CANDIDATE_BLOCK, "candidate-blocks")
-    queries = _pack(rows.where("is_query").select("id", "vector"), QUERY_BLOCK, "query-blocks")
-    n_runs = max(1, -(-candidates.count() // BLOCKS_PER_TASK))
-    # Every query block meets every run of candidate blocks.
-    run = F.floor(F.col("block") / BLOCKS_PER_TASK)
-    left = queries.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1)))).select(
-        "run", F.col("block").alias("q"), F.struct("n", "ids", "vectors").alias("query"))
-    tiles = left.join(candidates.select(run.cast("int").alias("run"), F.col("block").alias("c"),
-                                        F.struct("n", "ids", "vectors").alias("candidate")), "run")
-    tiles = tiles.repartition("q", "run").sortWithinPartitions("q", "run", "c")
-
-    def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, best = None, None
+    rows = rows.where(F.size("vector") == (lengths["dim"] if lengths else 0))
+    rows = materialize(rows.groupBy("id").agg(F.min("vector").alias("vector"), F.max("is_query").alias("is_query")),
+                       "vectors")
+    candidates, n_candidates = _pack(rows.select("id", "vector"), CANDIDATE_BLOCK, "candidate-blocks")
+    queries, n_queries = _pack(rows.where("is_query").select("id", "vector"), QUERY_BLOCK, "query-blocks")
+    # Every query block meets every candidate block; a task takes one query block
+    # and a run of candidate blocks, runs being as long as the parallelism allows.
+    tasks = 4 * vectors.sparkSession.sparkContext.defaultParallelism
+    n_runs = max(1, min(n_candidates, -(-tasks // n_queries)))
+    left = queries.select(F.col("block").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))).alias("run"),
+                          F.lit(-1).cast("long").alias("c"), "n", "ids", "vectors")
+    right = candidates.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_queries - 1).cast("long"))).alias("q"),
+                              (F.col("block") % n_runs).cast("int").alias("run"),
+                              F.col("block").alias("c"), "n", "ids", "vectors")
+    tiles = left.unionByName(right).repartition("q", "run").sortWithinPartitions("q", "run", "c")
+
+    def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
         for part in parts:
-            for row in part.itertuples(index=False):
-                if (row.q, row.run) != at:
+            for i in range(part.num_rows):
+                row = {name: part.column(name)[i] for name in ("c", "n", "ids", "vectors")}
+                ids = np.frombuffer(row["ids"].as_buffer(), np.int64)
+                block = np.frombuffer(row["vectors"].as_buffer(), np.float64).reshape(row["n"].as_py(), -1)
+                if row["c"].as_py() < 0:      # a query block comes before its candidates
                     if best is not None:
                         yield best.rows()
-                    at, best = (row.q, row.run), Best(*_unpack(_Block(row.query)), k)
-                best.tile(*_unpack(_Block(row.candidate)))
+                    best = Best(ids.copy(), block.copy(), k)
+                elif best is not None:
+                    best.tile(ids, block)
         if best is not None:
             yield best.rows()
 
-    found = tiles.mapInPandas(search, FOUND_SCHEMA)
-
-    def merge(key, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["score", "vec_id"], ascending=[False, True]).head(k)
-        return pd.DataFrame({"query_id": part["query_id"], "rank": np.arange(1, len(part) + 1, dtype=np.int32),
-                             "vec_id": part["vec_id"], "score": part["score"]})
-
-    return found.groupBy("query_id").applyInPandas(merge, "query_id long, rank int, vec_id long, score double")
-
-
-class _Block:
-    """A packed block, as a struct arrives in pandas (a mapping or a row)."""
-
-    def __init__(self, value):
-        get = value.__getitem__ if isinstance(value, dict) else lambda name: getattr(value, name)
-        self.n, self.ids, self.vectors = get("n"), get("ids"), get("vectors")
+    found = tiles.mapInArrow(search, FOUND_SCHEMA)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
 
 
 ORACLE_SQL = r"""
