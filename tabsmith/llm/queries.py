@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import prepare
 
-from . import op4_chat, op5_token_files, op7_mix, op8_url_filter, op10_neighbours
+from . import op4_chat, op5_token_files, op6_jaccard_join, op7_mix, op8_url_filter, op10_neighbours
 from .common import read_table, tokenizer_path
 
 
@@ -29,6 +29,11 @@ def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_token_files.read_token_files(manifest)
 
 
+def op6_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return op6_jaccard_join.jaccard_join(read_table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return op7_mix.mix(read_table(spark, sf_dir, "documents"))
@@ -46,7 +51,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = (op4_chat_format, op5_token_frames, op7_mix_sources, op8_url_rules, op10_nearest)
+QUERIES = (op4_chat_format, op5_token_frames, op6_jaccard_components, op7_mix_sources, op8_url_rules, op10_nearest)
 SQL = {
     "op4_chat_format": op4_chat.ORACLE_SQL,
     "op7_mix_sources": op7_mix.ORACLE_SQL,
