@@ -9,10 +9,22 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import prepare
 
-from . import op4_chat, op5_token_files, op6_jaccard_join, op7_mix, op8_url_filter, op10_neighbours
+from . import op2_line_crf, op3_decontaminate, op4_chat, op5_token_files, op6_jaccard_join, op7_mix, op8_url_filter, op10_neighbours
 from .common import read_table, tokenizer_path
 
 
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    model = op2_line_crf.fit(docs, read_table(spark, sf_dir, "labels"))
+    return op2_line_crf.score(docs, model)
+
+
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return op3_decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     rows = read_table(spark, sf_dir, "conversations").select(
@@ -51,7 +63,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = (op4_chat_format, op5_token_frames, op6_jaccard_components, op7_mix_sources, op8_url_rules, op10_nearest)
+QUERIES = (op2_line_quality, op3_benchmark_leaks, op4_chat_format, op5_token_frames, op6_jaccard_components, op7_mix_sources, op8_url_rules, op10_nearest)
 SQL = {
     "op4_chat_format": op4_chat.ORACLE_SQL,
     "op7_mix_sources": op7_mix.ORACLE_SQL,

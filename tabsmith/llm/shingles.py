@@ -25,6 +25,8 @@ _VALUES = _VALUES[np.frombuffer(ASCII_LOWER_BYTES, np.uint8)]
 _PLACES = _RANDOM.integers(1, 1 << 63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: Everything in ASCII but letters and digits separates words.
+NOT_ALNUM = np.array([not (chr(c).isascii() and chr(c).isalnum()) and c < 128 for c in range(256)])
 _UP = _DOWN = np.ones(1, np.uint64)
 
 
@@ -57,11 +59,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, offsets of the texts among them)."""
+def words_of(data: np.ndarray, offsets: np.ndarray,
+             blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, hash) of every word; no word crosses an offset."""
     if not len(data):
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    word = ~_BLANK[data]
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    word = ~blank[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
     begins = offsets[:-1][offsets[:-1] < len(data)]
@@ -76,6 +79,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     total[0] = 0
     np.cumsum(_VALUES[data] * up[:len(data)], out=total[1:])
     h = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return starts, ends, h
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, offsets of the texts among them)."""
+    starts, _, h = words_of(data, offsets)
     return h, np.searchsorted(starts, offsets)
 
 
