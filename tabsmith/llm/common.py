@@ -37,6 +37,14 @@ def safe(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def barrier(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that the optimizer can't copy into later expressions: what
+    stands inside a lambda would otherwise be computed for every element."""
+    fixed = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return (df.select("*", F.explode(F.array(fixed)).alias("__fixed"))
+            .select("*", *[F.col(f"__fixed.`{n}`").alias(n) for n in columns]).drop("__fixed"))
+
+
 def tokenizer_path() -> str:
     """The public tokenizer that the registered queries use."""
     import public_tokenizers

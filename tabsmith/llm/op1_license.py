@@ -34,6 +34,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import barrier
+
 WIDTH, CONTAINED, BANDS = 5, 0.8, 64
 #: Bands of all templates are broadcast up to so many, else joined by shuffle.
 MAX_BROADCAST_BANDS = 500_000
@@ -143,17 +145,19 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_
     wanted = F.array(*[F.lit(h).cast("long") for h in sorted({h for r in rows for h in r["notice"]})])
     notices = spark.createDataFrame(rows, "license string, notice array<bigint>, length int")
 
-    words = docs.select(F.col(f"`{id_col}`").alias("id"), words_of(F.col(f"`{text_col}`")).alias("words"))
+    words = barrier(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")),
+                    words=words_of(F.col("text"))).select("id", "words")
     words = words.where(F.arrays_overlap("words", F.array(*map(F.lit, anchors(templates)))))
-    hashed = words.select("id", shingles_of(F.col("words")).alias("h")).where(F.arrays_overlap("h", wanted))
+    hashed = barrier(words, h=shingles_of(F.col("words"))).select("id", "h").where(F.arrays_overlap("h", wanted))
     classes = F.array(*[F.struct(F.lit(n).alias("length"), F.lit(window_size(n)).alias("size"))
                         for n in sorted(set(lengths.values()))])
     starts = F.flatten(F.transform(classes, lambda c: F.transform(
         F.sequence(F.lit(0), F.floor((F.size("h") - 1) / c["length"]).cast("int")),
         lambda i: F.struct(c["length"].alias("length"), (i * c["length"]).alias("start"), c["size"].alias("size")))))
     starts = F.filter(starts, lambda w: F.arrays_overlap(F.slice(F.col("h"), w["start"] + 1, w["size"]), wanted))
-    windows = hashed.select("id", "h", F.explode(starts).alias("w")).select(
-        "id", "w.length", "w.start", F.slice(F.col("h"), F.col("w.start") + 1, F.col("w.size")).alias("window"))
+    windows = hashed.select("id", "h", F.explode(starts).alias("w"))
+    windows = barrier(windows, window=F.slice(F.col("h"), F.col("w.start") + 1, F.col("w.size"))).select(
+        "id", "w.length", "w.start", "window")
 
     bands = notices.select("license", "notice", "length", F.explode(_bands(F.col("notice"))).alias("b")).select(
         F.col("b.band").alias("t_band"), F.col("b.value").alias("t_value"), F.col("length").alias("t_length"),

@@ -34,7 +34,7 @@ MAX_TRAIN_DOCS = 4000          # the bound of the sample
 FOLDS, HELD_OUT = 4, 2
 ACCEPT = 0.7
 STEPS, RATE, DECAY = 150, 0.1, 1e-3
-RUN_BYTES = 4_000_000
+RUN_BYTES = 1_000_000
 
 
 def _class(chars: str) -> np.ndarray:

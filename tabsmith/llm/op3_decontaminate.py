@@ -45,7 +45,7 @@ MAX_EDITS = 0.2
 GRAM = 3
 WALKS, TABLES, SAMPLED = 16, 8, 2
 PART_CHARS = 32_000_000
-RUN_BYTES = 4_000_000
+RUN_BYTES = 1_000_000
 _FILTER_BITS = 22
 #: Windows that are embedded at a time.
 SLICE = 1000

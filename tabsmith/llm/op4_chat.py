@@ -33,6 +33,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import barrier
+
 PART_TYPE = ("struct<type:string,text:string,ref:string,width:int,height:int,"
              "seconds:double,pages:int>")
 ROLE, TEXT, END, BOS, EOS = "<|role|>", "<|text|>", "<|end|>", "<s>", "</s>"
@@ -103,12 +105,13 @@ def format_conversations(messages: DataFrame, id_col: str = "conv_id", turn_col:
             _run(F.lit(len(END)), F.lit(False))))).alias("mask"),
         F.flatten(F.transform("rows", lambda t: t["attached"])).alias("attachments"))
     whole = F.sort_array(F.collect_list(F.struct("block", "formatted", "mask", "attachments")))
-    return blocks.groupBy("id").agg(whole.alias("blocks")).select(
-        F.col("id").alias(id_col),
-        F.concat(F.lit(BOS), F.array_join(F.transform("blocks", lambda b: b["formatted"]), ""), F.lit(EOS)).alias("formatted"),
-        F.concat(F.array(_run(F.lit(len(BOS)), F.lit(False))), F.flatten(F.transform("blocks", lambda b: b["mask"])),
-                 F.array(_run(F.lit(len(EOS)), F.lit(False)))).alias("mask"),
-        F.flatten(F.transform("blocks", lambda b: b["attachments"])).alias("attachments"))
+    done = barrier(
+        blocks.groupBy("id").agg(whole.alias("blocks")),
+        formatted=F.concat(F.lit(BOS), F.array_join(F.transform("blocks", lambda b: b["formatted"]), ""), F.lit(EOS)),
+        mask=F.concat(F.array(_run(F.lit(len(BOS)), F.lit(False))), F.flatten(F.transform("blocks", lambda b: b["mask"])),
+                      F.array(_run(F.lit(len(EOS)), F.lit(False)))),
+        attachments=F.flatten(F.transform("blocks", lambda b: b["attachments"])))
+    return done.select(F.col("id").alias(id_col), "formatted", "mask", "attachments")
 
 
 def _run(n: Column, loss: Column) -> Column:
@@ -136,7 +139,7 @@ def read_back(formatted: Column, mask: Column) -> tuple[Column, Column]:
 def digest(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """What is read back from formatted conversations."""
     turns, losses = read_back(F.col("formatted"), F.col("mask"))
-    read = formatted.select(F.col(id_col), "formatted", turns.alias("turns"), F.array_join(losses, "").alias("loss"))
+    read = barrier(formatted.select(id_col, "formatted", "mask"), turns=turns, loss=F.array_join(losses, ""))
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         F.col(id_col), F.size("turns").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"),

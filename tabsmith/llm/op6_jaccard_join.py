@@ -5,8 +5,10 @@ A T-occurrence search in two steps.
 1. *Short lists.*  Every document sends out its rarest shingles: of n shingles
    it must share T = ceil(0.8 n) with any partner, so a partner shares at least
    k of its first n - T + k in any common order.  The order is by a bounded table
-   of frequent words (a shingle is as rare as its rarest word), then by hash, so
-   passages that many documents share come last.  Equal shingles meet, a list
+   of frequent words (a shingle is as rare as its rarest word), then by hash; a
+   first pass finds the lists that are long all the same, and their shingles go
+   last (a bounded table again).  So passages that many documents share come
+   last, and just copies have long lists.  Equal shingles meet, a list
    of up to ``SHORT_LIST`` documents gives its pairs of fitting size, and pairs
    that meet k times stay.  A longer list is not paired: its members are just
    tied to one of them.  Pairs and ties make *families*, which hold every link.
@@ -50,6 +52,8 @@ SHORT_LIST = 32
 FREQUENT_WORDS = 1 << 16       # entries of the order's table: 1 MB at most
 BLOCK_DOCS, BLOCK_SHINGLES = 8192, 8_000_000
 MAX_BROADCAST_ROWS = 1_000_000
+ORDER_ROUNDS = 1               # passes that look for shingles shared by many
+COMMON_SHINGLES = 1 << 18      # entries of their table: 2 MB at most
 SURE = 1 << 20                 # weight of a tie
 SCAN_SCHEMA = "doc_id long, n int, s1 long, s2 long, word long, uses long"
 
@@ -142,7 +146,34 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, tuple[
     return both.where("word is null").select("doc_id", "n", "s1", "s2"), (words[order], level[order])
 
 
-def rare_shingles(words: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Order:
+    """The common order: shingles known to be shared by many documents last, then
+    by the level of their rarest word, then by hash.  Any order is right; this
+    one keeps the lists short."""
+
+    def __init__(self, words: np.ndarray, levels: np.ndarray, common: np.ndarray):
+        self.words, self.levels, self.common = words, levels, common      # sorted
+        self.present = np.zeros(1 << 22, bool)
+        self.present[common & np.uint64((1 << 22) - 1)] = True
+
+    def word_levels(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(hashes), np.int64)
+        place = np.searchsorted(self.words, hashes)
+        place[place == len(self.words)] = 0
+        return np.where(self.words[place] == hashes, self.levels[place], 0)
+
+    def is_common(self, shingles: np.ndarray) -> np.ndarray:
+        out = self.present[shingles & np.uint64((1 << 22) - 1)]
+        some = np.flatnonzero(out)
+        if len(some):
+            place = np.searchsorted(self.common, shingles[some])
+            place[place == len(self.common)] = 0
+            out[some] = self.common[place] == shingles[some]
+        return out
+
+
+def rare_shingles(words: np.ndarray, levels: np.ndarray, order: Order) -> tuple[np.ndarray, np.ndarray]:
     """(whole set, its rarest shingles by the common order) of one text."""
     hashes = shingle_hashes(words, WIDTH)
     if len(words) >= WIDTH:
@@ -152,27 +183,25 @@ def rare_shingles(words: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np
     whole, at = np.unique(hashes, return_index=True)
     least = needed(len(whole))
     size = len(whole) - least + min(OVERLAP, least)
-    level = level[at]
+    level = level[at] + 64 * order.is_common(whole)
     # Hashes are sorted already, so a stable sort by level is the common order.
     return whole, whole[np.argsort(level, kind="stable")[:size]]
 
 
 def _postings(table):
     """Rows (h, node, n) of rare shingles; with a null h, ties (node, tie)."""
-    known, known_level = table
+    order = Order(*table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for first, hashes, at in runs_of_texts(batch.column(0)):
-                place = np.searchsorted(known, hashes)
-                place[place == len(known)] = 0
-                level = np.where(known[place] == hashes, known_level[place], 0) if len(known) else np.zeros(len(hashes), int)
+                level = order.word_levels(hashes)
                 rare, nodes, sizes = [], [], []
                 for i in range(len(at) - 1):
                     if at[i] == at[i + 1]:
                         continue
-                    whole, own = rare_shingles(hashes[at[i]:at[i + 1]], level[at[i]:at[i + 1]])
+                    whole, own = rare_shingles(hashes[at[i]:at[i + 1]], level[at[i]:at[i + 1]], order)
                     node = digest(whole)[0]
                     if node not in seen:
                         if len(seen) < 1_000_000:
@@ -363,20 +392,58 @@ def _bounded(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) per document."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    known, table = scan(docs, id_col, text_col)
-    shared = spark.sparkContext.broadcast(table)             # at most FREQUENT_WORDS entries
+def _sorted_postings(texts: DataFrame, table) -> DataFrame:
+    # At most FREQUENT_WORDS words and COMMON_SHINGLES shingles.
+    shared = texts.sparkSession.sparkContext.broadcast(table)
 
     def postings(batches):
         yield from _postings(shared.value)(batches)
 
-    sorted_lists = (rows.where("doc_id is not null").select("text").mapInArrow(postings, POSTING_SCHEMA)
-                    .repartition("h", F.when(F.col("h").isNull(), F.col("node")))
-                    .sortWithinPartitions("h", "node"))
-    candidates = (sorted_lists.mapInArrow(_pairs, PAIR_SCHEMA).groupBy("u", "v")
+    return (texts.mapInArrow(postings, POSTING_SCHEMA).repartition("h", F.when(F.col("h").isNull(), F.col("node")))
+            .sortWithinPartitions("h", "node"))
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, size) of the long lists in sorted postings; a marked row stands for
+    a list that is long by itself."""
+    now, size = None, 0
+    for batch in batches:
+        h, n = batch.column(0), np.asarray(batch.column(2))
+        there = ~np.asarray(h.is_null())
+        h, n = np.asarray(h.fill_null(0))[there], n[there]
+        if not len(h):
+            continue
+        start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        sizes = np.add.reduceat(np.where(n == 0, SHORT_LIST + 1, 1), start)
+        heads = h[start]
+        if now is not None:
+            if heads[0] == now:
+                sizes[0] += size
+            elif size > SHORT_LIST:
+                yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([size])], ["h", "size"])
+        now, size = int(heads[-1]), int(sizes[-1])
+        long = np.flatnonzero(sizes[:-1] > SHORT_LIST)
+        yield pa.RecordBatch.from_arrays([pa.array(heads[long]), pa.array(sizes[long].astype(np.int64))], ["h", "size"])
+    if now is not None and size > SHORT_LIST:
+        yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([size])], ["h", "size"])
+
+
+def _long_lists(texts: DataFrame, table) -> np.ndarray:
+    """Shingles whose lists are longest, COMMON_SHINGLES at most."""
+    top = (_sorted_postings(texts, table).mapInArrow(_sizes, "h long, size long")
+           .orderBy(F.desc("size"), "h").limit(COMMON_SHINGLES).collect())
+    return np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) per document."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    known, words = scan(docs, id_col, text_col)
+    texts = rows.where("doc_id is not null").select("text")
+    common = np.empty(0, np.uint64)
+    for _ in range(ORDER_ROUNDS):
+        common = np.union1d(common, _long_lists(texts, (*words, common)))
+    candidates = (_sorted_postings(texts, (*words, common)).mapInArrow(_pairs, PAIR_SCHEMA).groupBy("u", "v")
                   .agg(F.min("k").alias("k"), F.sum("weight").alias("weight")).where("weight >= k").select("u", "v"))
     families = connected_components(candidates, "families")
 
@@ -395,10 +462,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     units = placed.select("family", "block", "s1", "s2", "first_id", F.explode(others).alias("other")).select(
         F.concat_ws(":", "family", F.least("block", "other"), F.greatest("block", "other")).alias("unit"),
         "s1", "s2", F.col("first_id").alias("node"))
-    texts = (rows.join(_bounded(units), F.col("doc_id") == F.col("node"))
+    found = (rows.join(_bounded(units), F.col("doc_id") == F.col("node"))
              .select("unit", "node", "s1", "s2", "text")
              .repartition("unit").sortWithinPartitions("unit", "s1", "s2", "node"))
-    links = texts.mapInArrow(_family_links, "u long, v long")
+    links = found.mapInArrow(_family_links, "u long, v long")
     components = connected_components(links, "components")
 
     class_of = classes.join(components, F.col("first_id") == F.col("node"), "left").select(

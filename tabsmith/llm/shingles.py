@@ -102,7 +102,7 @@ def shingle_hashes(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     return mix(h + np.uint64(width))
 
 
-def runs_of_texts(column: pa.Array, run_bytes: int = 4_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def runs_of_texts(column: pa.Array, run_bytes: int = 1_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(index of the first text, word hashes, offsets) for runs of texts, so that
     the work arrays stay small whatever the batch holds."""
     data, offsets = text_bytes(column)

@@ -16,9 +16,9 @@ import re
 import numpy as np
 
 #: Chunks remembered by one Python worker; beyond it the memory starts anew.
-MAX_CHUNKS = 2_000_000
+MAX_CHUNKS = 1_000_000
 #: Texts are cut in runs of about so many bytes.
-RUN_BYTES = 4_000_000
+RUN_BYTES = 2_000_000
 _SPACE = rb"[\x09-\x0d\x20]"
 _UNSURE = (_SPACE + b"\x20" + _SPACE + rb"|[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80"
            rb"|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
