@@ -149,12 +149,15 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_
                     words=words_of(F.col("text"))).select("id", "words")
     words = words.where(F.arrays_overlap("words", F.array(*map(F.lit, anchors(templates)))))
     hashed = barrier(words, h=shingles_of(F.col("words"))).select("id", "h").where(F.arrays_overlap("h", wanted))
-    classes = F.array(*[F.struct(F.lit(n).alias("length"), F.lit(window_size(n)).alias("size"))
-                        for n in sorted(set(lengths.values()))])
-    starts = F.flatten(F.transform(classes, lambda c: F.transform(
+    of_class = {n: sorted({h for r in rows if r["length"] == n for h in r["notice"]}) for n in set(lengths.values())}
+    classes = F.array(*[F.struct(F.lit(n).alias("length"), F.lit(window_size(n)).alias("size"),
+                                 F.array(*[F.lit(h).cast("long") for h in own]).alias("wanted"))
+                        for n, own in sorted(of_class.items())])
+    # Windows of a class that hold a shingle of the class.
+    starts = F.flatten(F.transform(classes, lambda c: F.filter(F.transform(
         F.sequence(F.lit(0), F.floor((F.size("h") - 1) / c["length"]).cast("int")),
-        lambda i: F.struct(c["length"].alias("length"), (i * c["length"]).alias("start"), c["size"].alias("size")))))
-    starts = F.filter(starts, lambda w: F.arrays_overlap(F.slice(F.col("h"), w["start"] + 1, w["size"]), wanted))
+        lambda i: F.struct(c["length"].alias("length"), (i * c["length"]).alias("start"), c["size"].alias("size"))),
+        lambda w: F.arrays_overlap(F.slice(F.col("h"), w["start"] + 1, w["size"]), c["wanted"]))))
     windows = hashed.select("id", "h", F.explode(starts).alias("w"))
     windows = barrier(windows, window=F.slice(F.col("h"), F.col("w.start") + 1, F.col("w.size"))).select(
         "id", "w.length", "w.start", "window")
@@ -164,7 +167,8 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_
         "license", "notice")
     if len(templates) * BANDS <= MAX_BROADCAST_BANDS:
         bands = F.broadcast(bands)
-    probes = windows.select("id", "length", "start", "window", F.explode(_bands(F.array_distinct("window"))).alias("b"))
+    windows = barrier(windows, distinct=F.array_distinct("window"))
+    probes = windows.select("id", "length", "start", "window", F.explode(_bands(F.col("distinct"))).alias("b"))
     met = probes.join(bands, (F.col("length") == F.col("t_length")) & (F.col("b.band") == F.col("t_band"))
                       & (F.col("b.value") == F.col("t_value")))
     held = F.size(F.array_intersect("window", "notice"))
