@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import prepare
 
-from . import op1_license, op2_line_crf, op3_decontaminate, op4_chat, op5_token_files, op6_jaccard_join, op7_mix, op8_url_filter, op10_neighbours
+from . import op1_license, op2_line_crf, op3_decontaminate, op4_chat, op5_token_files, op6_jaccard_join, op7_mix, op8_url_filter, op9_html, op10_neighbours
 from .common import read_table, tokenizer_path
 
 
@@ -63,12 +63,19 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       listed, keep=["page_id"])
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    pages = read_table(spark, sf_dir, "pages")
+    return op9_html.extract_pages(pages, op9_html.fit(pages))
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return op10_neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = (op1_license_scan, op2_line_quality, op3_benchmark_leaks, op4_chat_format, op5_token_frames, op6_jaccard_components, op7_mix_sources, op8_url_rules, op10_nearest)
+QUERIES = (op1_license_scan, op2_line_quality, op3_benchmark_leaks, op4_chat_format, op5_token_frames, op6_jaccard_components, op7_mix_sources, op8_url_rules, op9_main_text,
+           op10_nearest)
 SQL = {
     "op1_license_scan": op1_license.ORACLE_SQL,
     "op4_chat_format": op4_chat.ORACLE_SQL,
