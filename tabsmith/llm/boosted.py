@@ -27,7 +27,7 @@ class Forest:
         return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.2,
+def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 100, depth: int = 4, rate: float = 0.2,
         bins: int = 32, hold: float = 1.0) -> Forest:
     n, k = x.shape
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(k)]

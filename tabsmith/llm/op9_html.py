@@ -202,7 +202,7 @@ class Maker:
         if kind == "foot":
             tag = r.choice(["footer", "footer", "div"])
             inner = r.choice([f"&copy; {self.text(8)}", self.paragraphs(r.randint(1, 2), 0, 30), self.links(), self.text()])
-            return self.mark(0, tag, self.attrs("foot", 0.3 if tag == "footer" else 1), inner)
+            return self.mark(0, tag, self.attrs("foot", 0.2 if tag == "footer" else 1), inner)
         if kind == "head":
             tag = r.choice(["header", "header", "div"])
             return self.mark(0, tag, self.attrs("head", 0.3 if tag == "header" else 1),
@@ -226,7 +226,23 @@ class Maker:
     def article(self):
         r = self.random
         parts = [self.mark(1, r.choice(["h1", "h1", "h2"]), "", self.text(12))] if self.chance(0.85) else []
-        for _ in range(r.choice([0, 1, 1, 1, 2, 3, 4, 6, 8, 12])):
+        if self.chance(0.2):                 # next to nothing
+            parts.append(self.paragraphs(1, 1, 8))
+        else:
+            parts += self.sections(r.choice([1, 1, 2, 3, 4, 6, 8, 12]))
+        for kind, p in (("ad", 0.2), ("share", 0.15), ("notice", 0.08), ("form", 0.1), ("side", 0.1), ("comment", 0.1)):
+            if self.chance(p):
+                parts.insert(r.randint(0, len(parts)), self.junk(kind))
+        tag, attrs = r.choice([("article", ""), ("article", self.attrs("body")), ("main", ""), ("main", self.attrs("body")),
+                               ("div", self.attrs("body", 1)), ("div", self.attrs("body", 1)), ("section", self.attrs("body", 1)), ("div", "")])
+        inner = "".join(parts)
+        if self.chance(0.2):
+            inner = self.mark(1, "div", self.attrs("body", 0.6), inner)
+        return self.mark(1, tag, attrs, inner)
+
+    def sections(self, n):
+        r, parts = self.random, []
+        for _ in range(n):
             roll = r.random()
             if roll < 0.75:
                 parts.append(self.paragraphs(1, 1, r.choice([None, None, None, 8, 4])))
@@ -244,15 +260,7 @@ class Maker:
                 parts.append(self.mark(1, "pre", "", self.text(20)))
             else:
                 parts.append(self.mark(1, "div", "", self.text()))
-        for kind, p in (("ad", 0.2), ("share", 0.15), ("notice", 0.08), ("form", 0.1), ("side", 0.1), ("comment", 0.1)):
-            if self.chance(p):
-                parts.insert(r.randint(0, len(parts)), self.junk(kind))
-        tag, attrs = r.choice([("article", ""), ("article", self.attrs("body")), ("main", ""), ("main", self.attrs("body")),
-                               ("div", self.attrs("body", 1)), ("div", self.attrs("body", 1)), ("section", self.attrs("body", 1)), ("div", "")])
-        inner = "".join(parts)
-        if self.chance(0.2):
-            inner = self.mark(1, "div", self.attrs("body", 0.6), inner)
-        return self.mark(1, tag, attrs, inner)
+        return parts
 
     def page(self) -> str:
         top = [self.junk(k) for k, p in (("head", 0.5), ("nav", 0.7), ("notice", 0.35), ("ad", 0.5), ("form", 0.2)) if self.chance(p)]
