@@ -42,6 +42,8 @@ def get_spark(master: str | None = None, app: str = "tabsmith",
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings every query relies on (safe on an existing session)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Long texts: a batch to Python is bounded by its bytes, not only its rows.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     checkpoint_dir(spark)
     return spark
 
