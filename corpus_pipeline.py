@@ -26,27 +26,32 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier accepts stay."""
+    prepare(spark)
     model = op2_line_crf.fit(docs, read_table(spark, sf_dir, "labels"))
     return op2_line_crf.keep_good(docs, model)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that of the smallest id."""
+    prepare(spark)
     return op6_jaccard_join.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item go."""
+    prepare(spark)
     return op3_decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources by weight: a row for each pass that takes a document."""
+    prepare(spark)
     return op7_mix.apply_mix(docs, length_col="n_chars")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in order of id, read back."""
+    prepare(spark)
     return op5_token_files.read_token_files(op5_token_files.write_token_files(docs, tokenizer_path()))
 
 
