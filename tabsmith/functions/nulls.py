@@ -24,6 +24,14 @@ def nan_to_null(c) -> Column:
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c.cast("double"))
 
 
+def nulls_for_nan(df):
+    """The one mapping at ingest: NaN is missing in every float and double column."""
+    floats = {c: t for c, t in df.dtypes if t in ("float", "double")}
+    if not floats:
+        return df
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats})
+
+
 def safe_divide(a, b) -> Column:
     """a / b with x/0 -> +-inf, 0/0 -> NULL, NULL in -> NULL.
 

@@ -65,7 +65,7 @@ def top_k_columns(names: Sequence[str], contribs: Sequence[Column], k: int = TOP
 
 # ------------------------------------------------------------------ trees
 
-def _tree_nodes(java_root) -> list[tuple]:
+def _tree_nodes(java_root, regression: bool = False) -> list[tuple]:
     """(feature, threshold, left, right, value) rows; leaves have feature -1.
 
     value is the class-1 share of the leaf's training statistics (classifier
@@ -82,7 +82,7 @@ def _tree_nodes(java_root) -> list[tuple]:
             right = walk(node.rightChild())
             rows[idx] = (int(split.featureIndex()), float(split.threshold()), left, right, float("nan"))
         else:
-            stats = list(node.impurityStats().stats())
+            stats = [] if regression else list(node.impurityStats().stats())
             if len(stats) >= 2 and sum(stats) > 0:
                 value = float(stats[1]) / float(sum(stats))
             else:
@@ -101,8 +101,8 @@ def tree_tables(model) -> tuple[list[list[tuple]], list[float]]:
         weights = list(model.treeWeights) if hasattr(model, "treeWeights") else [1.0] * len(trees)
         if type(model).__name__.startswith("RandomForest"):
             weights = [1.0 / len(trees)] * len(trees)
-        return [_tree_nodes(t._java_obj.rootNode()) for t in trees], weights
-    return [_tree_nodes(model._java_obj.rootNode())], [1.0]
+        return [_tree_nodes(t._java_obj.rootNode(), "Regression" in type(t).__name__) for t in trees], weights
+    return [_tree_nodes(model._java_obj.rootNode(), "Regression" in type(model).__name__)], [1.0]
 
 
 def _leaf_paths(nodes):

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.operators.rank import running_sums
+from tabsmith.operators.rank import NULL_CELL, _plain_keys, running_sums
+from tabsmith.session import materialize
 
 DAY_SECONDS = 86400
 MICROS = 1_000_000
@@ -98,26 +99,35 @@ def rolling_stats_cells(df: DataFrame, entity: Sequence[str], ts: str, value: st
       C. the rows of boundary cell c - K at or after t - W -- suffix sums of
          that cell, found by an as-of lookup windowed per (entity, cell).
     Every window is per (entity, cell), so an entity with a huge share of the
-    rows is spread over its cells.  ``key`` must identify rows uniquely.
+    rows is spread over its cells.  ``key`` is not relied on: nulls and doubles
+    in it are fine.
     """
     if window_seconds % cell_seconds:
         raise ValueError("window_seconds must be a multiple of cell_seconds")
     entity = list(entity)
     K = window_seconds // cell_seconds
     W = window_seconds * MICROS
-    us, v = epoch_micros(ts), F.col(value).cast("double")
-    x = df.select(*entity, key, us.alias("_us"), v.alias("_v")) \
-        .withColumn("_c", F.floor(F.col("_us") / F.lit(cell_seconds * MICROS)))
+    # Rows get an id of their own, so null or doubled keys lose or multiply none;
+    # null entities are a group like any other (plain keys, a null flag each).
+    base = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "rolling-rows")
+    key = "_rid"
+    x, entity = _plain_keys(base, entity)
+    x = x.select(*entity, "_rid", epoch_micros(ts).alias("_us"), F.col(value).cast("double").alias("_v")) \
+        .withColumn("_c", F.coalesce(F.floor(F.col("_us") / F.lit(cell_seconds * MICROS)), F.lit(NULL_CELL)))
+    # Sums of squares are taken around the entity's mean, so large values with a
+    # small spread keep their digits.
+    means = x.groupBy(*entity).agg(F.avg("_v").alias("_m"))
+    x = x.join(means, entity, "left").withColumn("_w", F.col("_v") - F.col("_m"))
     part = [*entity, "_c"]
     # A: own cell, strictly earlier instants
     wa = Window.partitionBy(*part).orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
-    a = x.select(*entity, key, "_c", "_us",
-                 F.count("_v").over(wa).alias("a_n"), F.sum("_v").over(wa).alias("a_s"),
-                 F.sum(F.col("_v") * F.col("_v")).over(wa).alias("a_q"),
+    a = x.select(*entity, key, "_c", "_us", "_m",
+                 F.count("_v").over(wa).alias("a_n"), F.sum("_w").over(wa).alias("a_s"),
+                 F.sum(F.col("_w") * F.col("_w")).over(wa).alias("a_q"),
                  F.max("_v").over(wa).alias("a_mx"), F.min("_v").over(wa).alias("a_mn"))
     # B: full cells c-K+1 .. c-1 from the per-cell table
-    cells = x.groupBy(*part).agg(F.count("_v").alias("n"), F.sum("_v").alias("s"),
-                                 F.sum(F.col("_v") * F.col("_v")).alias("q"),
+    cells = x.groupBy(*part).agg(F.count("_v").alias("n"), F.sum("_w").alias("s"),
+                                 F.sum(F.col("_w") * F.col("_w")).alias("q"),
                                  F.max("_v").alias("mx"), F.min("_v").alias("mn"))
     wb = Window.partitionBy(*entity).orderBy("_c").rangeBetween(-(K - 1), -1)
     b = cells.select(*part, F.sum("n").over(wb).alias("b_n"), F.sum("s").over(wb).alias("b_s"),
@@ -125,9 +135,9 @@ def rolling_stats_cells(df: DataFrame, entity: Sequence[str], ts: str, value: st
                      F.min("mn").over(wb).alias("b_mn"))
     # C: suffix sums inside each cell, looked up at t - W in cell c - K
     ws = Window.partitionBy(*part).orderBy("_us").rangeBetween(0, Window.unboundedFollowing)
-    data = x.select(*part, "_us", F.lit(1).alias("_kind"), F.lit(None).cast(df.schema[key].dataType).alias("_qk"),
-                    F.struct(F.count("_v").over(ws).alias("n"), F.sum("_v").over(ws).alias("s"),
-                             F.sum(F.col("_v") * F.col("_v")).over(ws).alias("q"),
+    data = x.select(*part, "_us", F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_qk"),
+                    F.struct(F.count("_v").over(ws).alias("n"), F.sum("_w").over(ws).alias("s"),
+                             F.sum(F.col("_w") * F.col("_w")).over(ws).alias("q"),
                              F.max("_v").over(ws).alias("mx"), F.min("_v").over(ws).alias("mn")).alias("_suf"))
     queries = x.select(*entity, (F.col("_c") - K).alias("_c"), (F.col("_us") - W).alias("_us"),
                        F.lit(0).alias("_kind"), F.col(key).alias("_qk"),
@@ -140,7 +150,7 @@ def rolling_stats_cells(df: DataFrame, entity: Sequence[str], ts: str, value: st
     n = z(F.col("a_n")) + z(F.col("b_n")) + z(F.col("_hit.n"))
     s = z(F.col("a_s")) + z(F.col("b_s")) + z(F.col("_hit.s"))
     q = z(F.col("a_q")) + z(F.col("b_q")) + z(F.col("_hit.q"))
-    mean = s / n
+    mean = F.col("_m") + s / n
     var = (q - s * s / n) / (n - 1)
     stats = out.select(
         key,
@@ -149,4 +159,4 @@ def rolling_stats_cells(df: DataFrame, entity: Sequence[str], ts: str, value: st
         F.greatest("a_mx", "b_mx", "_hit.mx").alias(f"{prefix}_max"),
         F.least("a_mn", "b_mn", "_hit.mn").alias(f"{prefix}_min"),
         n.cast("long").alias(f"{prefix}_count"))
-    return df.join(stats, key, "inner")
+    return base.join(stats, key, "inner").drop("_rid")

@@ -69,11 +69,22 @@ def _depth(v, default):
     return min(int(v), SPARK_MAX_DEPTH)
 
 
+def _depth_used(p) -> set:
+    """A depth that Spark can't reach is reported as ignored, not cut silently."""
+    v = p.get("max_depth")
+    return set() if v is not None and int(v) > SPARK_MAX_DEPTH else {"max_depth"}
+
+
+def _only(p, name, accepted) -> set:
+    """``name`` counts as used only where Spark does what its value asks for."""
+    return {name} if p.get(name) in (None, *accepted) else set()
+
+
 def _decision_tree(p, n_features, n_rows):
     kw, used = {}, {"random_state"}
     _common(kw, p, used, "criterion", "impurity", "gini")
-    kw["maxDepth"] = _depth(p.get("max_depth"), SPARK_MAX_DEPTH if "max_depth" in p else 5)
-    used.add("max_depth")
+    kw["maxDepth"] = _depth(p.get("max_depth"), SPARK_MAX_DEPTH)
+    used |= _depth_used(p)
     _common(kw, p, used, "min_samples_leaf", "minInstancesPerNode", conv=int)
     _common(kw, p, used, "min_impurity_decrease", "minInfoGain", conv=float)
     _common(kw, p, used, "max_bins", "maxBins", conv=int)
@@ -85,9 +96,12 @@ def _random_forest(p, n_features, n_rows):
     kw, used = {}, {"random_state"}
     _common(kw, p, used, "n_estimators", "numTrees", 100, int)
     _common(kw, p, used, "criterion", "impurity", "gini")
-    kw["maxDepth"] = _depth(p.get("max_depth"), SPARK_MAX_DEPTH if "max_depth" in p else 5)
-    used.add("max_depth")
+    kw["maxDepth"] = _depth(p.get("max_depth"), SPARK_MAX_DEPTH)
+    used |= _depth_used(p)
     _common(kw, p, used, "max_features", "featureSubsetStrategy", "sqrt", _feature_strategy)
+    if "max_features" in p and p["max_features"] is None:
+        kw["featureSubsetStrategy"] = "all"
+        used.add("max_features")
     _common(kw, p, used, "min_samples_leaf", "minInstancesPerNode", conv=int)
     _common(kw, p, used, "bootstrap", "bootstrap", conv=bool)
     _common(kw, p, used, "max_samples", "subsamplingRate", conv=float)
@@ -96,11 +110,16 @@ def _random_forest(p, n_features, n_rows):
 
 
 def _gbt(p, n_features, n_rows, depth_default=3):
-    kw, used = {}, {"random_state", "loss", "objective"}
+    kw, used = {}, {"random_state"}
+    used |= _only(p, "loss", ("log_loss", "deviance", "logistic"))
+    used |= _only(p, "objective", ("binary", "binary:logistic"))
     _common(kw, p, used, "n_estimators", "maxIter", 100, int)
     _common(kw, p, used, "learning_rate", "stepSize", 0.1, float)
     kw["maxDepth"] = _depth(p.get("max_depth"), depth_default)
-    used.add("max_depth")
+    used |= _depth_used(p)
+    if p.get("max_features") is not None:
+        kw["featureSubsetStrategy"] = _feature_strategy(p["max_features"])
+        used.add("max_features")
     _common(kw, p, used, "subsample", "subsamplingRate", conv=float)
     _common(kw, p, used, "min_samples_leaf", "minInstancesPerNode", conv=int)
     kw["seed"] = int(p.get("random_state", 42))
@@ -167,7 +186,7 @@ def _mlp(p, n_features, n_rows):
     if p.get("solver") == "sgd":
         kw["solver"] = "gd"
         _common(kw, p, used, "learning_rate_init", "stepSize", conv=float)
-    used.add("solver")
+    used |= _only(p, "solver", ("sgd", "lbfgs", "l-bfgs"))      # adam runs as l-bfgs: reported
     kw["seed"] = int(p.get("random_state", 42))
     return MultilayerPerceptronClassifier(**kw), used
 

@@ -27,6 +27,7 @@ def default_cells(df: DataFrame) -> int:
     return max(2, n)
 
 
+NULL_CELL = -(1 << 62)
 _DEFAULTS = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp": "1970-01-01 00:00:00",
              "timestamp_ntz": "1970-01-01 00:00:00"}
 
@@ -60,7 +61,8 @@ def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     """
     user_groups = list(group_cols)
     x, group_cols = _plain_keys(df, user_groups)
-    x = x.withColumn("_cell", cell.cast("long"))
+    # a null order value sorts first, so its rows form the first cell
+    x = x.withColumn("_cell", F.coalesce(cell.cast("long"), F.lit(NULL_CELL)))
     x = x.withColumns({f"_v_{n}": e for n, e in sums.items()})
     part = group_cols + ["_cell"]
     frame = (Window.partitionBy(*part).orderBy(*order_cols)

@@ -18,6 +18,7 @@ from tabsmith.functions.hashing import hash_hex
 from tabsmith.functions.naming import rename_by_map
 from tabsmith.operators import features as ft
 from tabsmith.operators import sampling as sm
+from tabsmith.functions.nulls import nulls_for_nan
 from tabsmith.session import materialize
 
 
@@ -94,7 +95,7 @@ def transform(df: DataFrame, cfg: BuildConfig) -> DataFrame:
 
 
 def build(df: DataFrame, cfg: BuildConfig) -> DataFrame:
-    rows = sample_and_split(df, cfg)
+    rows = sample_and_split(nulls_for_nan(df), cfg)
     if cfg.materialize and cfg.fill_values:
         rows = materialize(rows, "build-rows")   # the fill statistics and the output read it once
     return transform(rows, cfg)

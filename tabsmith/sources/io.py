@@ -7,34 +7,69 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tabsmith.functions.naming import strip_table_prefix
+from tabsmith.functions.nulls import nulls_for_nan
 
+SOURCE_COLUMN = "__source_file"
 
-def scan_project(spark: SparkSession, path: str, columns: Sequence[str], fmt: str = "parquet",
-                 schema: StructType | None = None, header: bool = True) -> DataFrame:
-    """Read only ``columns``; a ``t.`` prefix is stripped by name.
 
-    The file may carry either the prefixed or the plain header: the header is
-    read once and each requested column is matched by name, so config order
-    never mislabels columns.
+def _read_csv(spark: SparkSession, path: str, schema: StructType | None, pattern: str | None = None) -> DataFrame:
+    """CSV files with headers, columns matched by name in every file.
+
+    Spark takes the names of one file (or of the schema) for all and reads by
+    position, so files are grouped by their header line first: one read per
+    distinct header, united by name.  A column that a file lacks is null.
     """
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", header)
-        if schema is not None:
-            reader = reader.schema(schema)
-    df = reader.load(path)
-    present = set(df.columns)
-    sel = []
+    text = spark.read.format("text")
+    if pattern:
+        text = text.option("pathGlobFilter", pattern)
+    lines = text.load(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                   F.col("_metadata.file_block_start").alias("block")).where("block = 0")
+    # the first line of a file is the first row of its first block
+    headers = lines.groupBy("file").agg(F.first("value").alias("header"))
+    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
+    types = {strip_table_prefix(f.name): f.dataType for f in schema.fields} if schema is not None else None
+    parts = []
+    for g in groups:
+        names = spark.read.option("header", True).csv(g["files"][0]).columns
+        own = StructType([StructField(n, types.get(strip_table_prefix(n), StringType()) if types else StringType())
+                          for n in names])
+        parts.append(spark.read.option("header", True).option("enforceSchema", False).schema(own).csv(g["files"])
+                     .select("*", F.col("_metadata.file_path").alias(SOURCE_COLUMN)))
+    if not parts:
+        return spark.createDataFrame([], (schema or StructType()).add(SOURCE_COLUMN, "string"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _select(df: DataFrame, columns: Sequence[str], path: str) -> list:
+    """Each column by its own or its prefixed name."""
+    present = {strip_table_prefix(c): c for c in reversed(df.columns)} | {c: c for c in df.columns}
+    out = []
     for c in columns:
         plain = strip_table_prefix(c)
-        src = c if c in present else plain
-        if src not in present:
+        src = present.get(c, present.get(plain))
+        if src is None:
             raise KeyError(f"column {c!r} not in {path}")
-        sel.append(F.col(f"`{src}`").alias(plain))
-    return df.select(*sel)
+        out.append(F.col(f"`{src}`").alias(plain))
+    return out
+
+
+def scan_project(spark: SparkSession, path: str, columns: Sequence[str], fmt: str = "parquet",
+                 schema: StructType | None = None, header: bool = True) -> DataFrame:
+    """Read only ``columns``; a ``t.`` prefix is stripped by name; NaN is null.
+
+    The file may carry either the prefixed or the plain header: each requested
+    column is matched by name, per file, so neither the order of the config nor
+    that of a header mislabels columns.
+    """
+    if fmt == "csv" and header:
+        df = _read_csv(spark, path, schema)
+    else:
+        reader = spark.read.format(fmt)
+        df = (reader.schema(schema) if schema is not None else reader).load(path)
+    return nulls_for_nan(df.select(*_select(df, columns, path)))
 
 
 def scan_directory(spark: SparkSession, directory: str, fmt: str = "csv", pattern: str | None = None,
@@ -44,16 +79,20 @@ def scan_directory(spark: SparkSession, directory: str, fmt: str = "csv", patter
     Spark already skips names starting with ``.`` or ``_``.  Per-file
     semantics downstream (sampling, splits) group on ``source``.
     """
-    reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    df = reader.load(directory)
-    cols = [F.col(f"`{c}`").alias(strip_table_prefix(c)) for c in (columns or df.columns)]
-    return df.select(*cols, F.col("_metadata.file_path").alias("source"))
+        df = _read_csv(spark, directory, schema, pattern)
+        source = F.col(SOURCE_COLUMN)
+    else:
+        reader = spark.read.format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        if pattern:
+            reader = reader.option("pathGlobFilter", pattern)
+        df = reader.load(directory)
+        source = F.col("_metadata.file_path")
+    wanted = columns or [f.name for f in (schema.fields if schema is not None else df.schema.fields)
+                         if f.name != SOURCE_COLUMN]
+    return nulls_for_nan(df.select(*_select(df, wanted, directory), source.alias("source")))
 
 
 def union_sources(frames: Mapping[str, DataFrame], mapping: Mapping[str, Sequence[str]] | None = None) -> DataFrame:

@@ -38,13 +38,18 @@ def write_stream(df: DataFrame, spark: SparkSession, sink: str | None = None,
 
 
 def run_stream(spark: SparkSession, source: str, schema: StructType,
-               transform: Callable[[DataFrame], DataFrame], timeout_s: int = 300,
+               transform: Callable[[DataFrame], DataFrame], timeout_s: int | None = None,
                glob: str | None = None) -> DataFrame:
     """Apply ``transform`` to the stream of files under the folder ``source``
     (optionally only names matching ``glob``) until all available input is
-    processed, and return the sink as a table."""
+    processed, and return the sink as a table.  A limit, if one is given, stops
+    the query and raises: a part of the output is never returned."""
     q, sink = write_stream(transform(read_stream(spark, source, schema, glob=glob)), spark)
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the stream did not end within {timeout_s} s; its sink is incomplete")
     if q.exception() is not None:
         raise q.exception()
     return spark.read.parquet(sink)
