@@ -43,7 +43,7 @@ from .shingles import NOT_ALNUM, mix, text_bytes, words_of
 
 MAX_EDITS = 0.2
 GRAM = 3
-WALKS, TABLES, SAMPLED = 16, 8, 2
+WALKS, TABLES, SAMPLED = 24, 16, 2
 PART_CHARS = 32_000_000
 RUN_BYTES = 1_000_000
 _FILTER_BITS = 22
