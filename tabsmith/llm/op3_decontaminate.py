@@ -5,7 +5,8 @@ share of the item's words) word edits of the whole item.  Words are runs of
 letters and digits, A-Z lower-cased.
 
 1. Windows.  An item of n words and a run within d edits of it share at least
-   n - 2 - 3d of the item's runs of three words, all within d of one diagonal.
+   n - 2 - 3d of the item's runs of three words (of two, if an item is so short
+   that none of three need be left), all within d of one diagonal.
    Places of a document where fewer meet can't hold a leak; at every other
    diagonal stands a window of the item's size.  This loses nothing.
 2. CGK embedding.  A random walk over a window emits 3n symbols, stepping on
@@ -118,11 +119,13 @@ class Index:
     def __post_init__(self):
         self.size = np.array([len(w) for w in self.words], np.int64)
         self.edits = np.where(self.size >= GRAM, np.floor(MAX_EDITS * self.size), 0).astype(np.int64)
-        self.need = np.maximum(1, self.size - (GRAM - 1) - GRAM * self.edits)
-        #: By gram width (3, or the whole of a shorter item): hashes, items, offsets.
+        #: Grams so short that one at least survives any d edits.
+        self.width = np.minimum(GRAM, self.size // (self.edits + 1))
+        self.need = np.maximum(1, self.size - (self.width - 1) - self.width * self.edits)
+        #: By gram width (3, less for the shortest items): hashes, items, offsets.
         self.tables = {}
-        for width in sorted({min(GRAM, int(n)) for n in self.size if n}):
-            which = [i for i, n in enumerate(self.size) if min(GRAM, n) == width]
+        for width in sorted(set(self.width.tolist()) - {0}):
+            which = np.flatnonzero(self.width == width).tolist()
             grams = [_grams(self.words[i], width) for i in which]
             hashes = np.concatenate(grams)
             items = np.repeat(which, [len(g) for g in grams])
