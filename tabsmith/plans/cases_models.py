@@ -4,6 +4,10 @@ documented selection / clustering / bagging experiments (D10-D12)."""
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
+
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler as _VecScaler
@@ -106,8 +110,8 @@ def cross_validate(spark, sf_dir, model_type="decision_tree", k=5):
         full = md.fit_model(folded, FEATURES, model_type, CONFIGS[model_type])
         tr = met.evaluate(md.predict(full, folded, keep=["row_id", "label"])) \
             .withColumn("metrics_type", F.lit("train"))
-        out = summary.unionByName(tr.select(*summary.columns))
-        return out
+        # a few rows, written while the folds are still cached
+        return materialize(summary.unionByName(tr.select(*summary.columns)), "cv-metrics")
     finally:
         folded.unpersist()
 
@@ -195,7 +199,22 @@ def model_round_trip(spark, sf_dir):
     a = md.predict(fm, test, keep=["row_id"]).withColumnRenamed("probability", "p_before")
     b = md.predict(loaded, test, keep=["row_id"]).withColumnRenamed("probability", "p_after")
     return a.select("row_id", "p_before").join(b.select("row_id", "p_after"), "row_id") \
-        .withColumn("same", F.col("p_before") == F.col("p_after"))
+        .select("row_id", (F.col("p_before") == F.col("p_after")).alias("same"))
+
+
+def scored_rows(spark, sf_dir):
+    """What every model type must give for the test rows, whatever it learned: one
+    row per model and test row, its label untouched, a probability in [0, 1] and
+    the prediction that the probability implies."""
+    train, test = _train_test(spark, sf_dir)
+    parts = []
+    for model_type, config in CONFIGS.items():
+        scored = md.predict(md.fit_model(train, FEATURES, model_type, config), test, keep=["row_id", "label"])
+        p = F.col("probability")
+        parts.append(scored.select(
+            F.lit(model_type).alias("model"), "row_id", "label", p.between(0.0, 1.0).alias("in_range"),
+            (F.col("prediction").cast("int") == (p >= 0.5).cast("int")).alias("decided")))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 # ---- attribution
@@ -307,9 +326,9 @@ def course_clusters(spark, sf_dir, k=4):
     return km.transform(vec).select("course_id", "rate", "mean_value", "n_events", "cluster")
 
 
-# Cumulative Poisson(1) probabilities P(K <= i), i = 0..7.
-POISSON1_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-                0.9963401531726563, 0.9994058151824183, 0.9999167588507965, 0.9999897508033682]
+# Cumulative Poisson(1) probabilities P(K <= i), until what is left is below the
+# resolution of a double in [0, 1): no draw is cut off.
+POISSON1_CDF = list(itertools.accumulate(math.exp(-1.0) / math.factorial(i) for i in range(20)))
 
 
 def _poisson1(u):
@@ -354,6 +373,7 @@ QUERIES = {
     "pipeline_stack": pipeline_stack,
     "batch_score": batch_score,
     "model_round_trip": model_round_trip,
+    "scored_rows": scored_rows,
     "linear_attribution": linear_attribution,
     "top_k_contributions": top_k_contributions,
     "user_attribution": user_attribution,
@@ -386,7 +406,26 @@ _SPREAD = "cs AS (SELECT row_id, " + ", ".join(
 _UNPIV = " UNION ALL ".join(
     f"SELECT row_id, {i} AS idx, '{f}' AS name, contrib_{f} AS value FROM cs" for i, f in enumerate(ATTR_FEATURES))
 
+# The test rows of the model fixture: label from the planted signal, quotas by
+# largest remainder, order by hash.
+_TEST_ROWS = f"""m AS (SELECT o_orderkey AS row_id, CAST(CAST(o_totalprice AS DOUBLE) / 1e3 / 3e2
+      + (CAST(c_acctbal AS DOUBLE) / 1e3 + 1e0) * 3e-1 + CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS DOUBLE) * 3e-1
+      + CAST(CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|noise'), 1, 8) AS BIGINT) AS DOUBLE)
+        / 4294967296e0 * 6e-1 > 1e0 AS INTEGER) AS label
+      FROM orders JOIN customer ON o_custkey = c_custkey),
+  cc AS (SELECT label, count(*) AS n_c, CAST(sum(count(*)) OVER () AS BIGINT) AS n FROM m GROUP BY label),
+  ct AS (SELECT *, CAST(ceil(3e-1 * n) AS BIGINT) AS t FROM cc),
+  cq AS (SELECT label, t * n_c // n AS base, t - sum(t * n_c // n) OVER () AS rest,
+      row_number() OVER (ORDER BY (t * n_c) % n DESC, label) AS rr FROM ct),
+  rk AS (SELECT *, row_number() OVER (PARTITION BY label
+      ORDER BY md5(CAST(row_id AS VARCHAR) || '|{fx.SEED}|split'), row_id) AS r FROM m),
+  test AS (SELECT rk.row_id, rk.label FROM rk JOIN cq ON rk.label = cq.label
+      WHERE r <= base + CAST(rr <= rest AS BIGINT))"""
+
 SQL = {
+    "model_round_trip": f"WITH {_TEST_ROWS} SELECT row_id, true AS same FROM test",
+    "scored_rows": f"""WITH {_TEST_ROWS} SELECT model, row_id, label, true AS in_range, true AS decided
+      FROM test, (VALUES {", ".join(f"('{m}')" for m in CONFIGS)}) AS k(model)""",
     "linear_attribution": f"WITH {_ATTR_SQL} SELECT * FROM c",
     "top_k_contributions": f"""WITH {_ATTR_SQL}, {_SPREAD}, u AS ({_UNPIV}),
       r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY -abs(value), idx) AS pos FROM u)

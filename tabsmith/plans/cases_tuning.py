@@ -79,7 +79,9 @@ def param_histogram(spark, sf_dir):
 def write_trials(spark, sf_dir):
     path = output_path(spark, "trials")
     io.write_table(trials_log(spark, sf_dir), path, partition_by=["run_id"])
-    return io.read_table(spark, path)
+    back = io.read_table(spark, path)
+    return back.select("run_id", "trial_id", "fold", "metric", F.round("value", 6).alias("value"),
+                       *[F.col("params")[k].alias(k) for k in ("max_depth", "learning_rate", "criterion")])
 
 
 # ---- fitted searches on the model fixture
@@ -186,6 +188,9 @@ _N_HALV = tu.grid_size(HALVING_GRID)
 _SCHED_ROUNDS = 1 + int(__import__("math").floor(__import__("math").log(_N_HALV, 2) + 1e-12))
 
 SQL = {
+    "write_trials": f"""WITH {TRIALS} SELECT tl.run_id, tl.trial_id, tl.fold, 'recall' AS metric,
+        round(tl.value, 6) AS value, pr.max_depth, pr.learning_rate, pr.criterion
+        FROM tl JOIN pr ON tl.run_id = pr.run_id AND tl.trial_id = pr.trial_id""",
     "trial_rank": f"WITH {TRIALS} SELECT * FROM rk",
     "best_trial": f"""WITH {TRIALS}, b AS (SELECT *, row_number() OVER (PARTITION BY run_id
         ORDER BY mean_test_score DESC NULLS LAST, trial_id) AS r FROM rk)
