@@ -17,7 +17,7 @@ A T-occurrence search in two steps.
    inverted lists, which are merged by counting; only documents whose count can
    still reach the threshold are probed in the bit rows.  Documents that are
    already in one component are not compared, so a group of n copies costs no n
-   squared.  What leaves a task is a spanning forest of the links.
+   squared.  What leaves a task are the components of its links, as stars.
 
 A family too large for one task is cut into blocks and every two blocks meet.
 Documents with equal sets are one class from the start (128-bit digest), and
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import materialize
 
-from .components import connected_components
+from .components import connected_components, stars
 from .shingles import WIDTH, runs_of_texts, shingle_hashes
 
 THRESHOLD = 80                 # percent
@@ -362,13 +362,13 @@ def divide_skip(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _family_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (unit, node, s1, s2, text), sorted by unit, to links between nodes."""
+    """Rows (unit, node, s1, s2, text), sorted by unit, to the components of the
+    unit's links, as stars."""
     unit, nodes, sets = None, [], []
 
     def links():
-        found = divide_skip(sets) if len(sets) > 1 else []
-        u = np.array([nodes[i] for i, _ in found], np.int64)
-        v = np.array([nodes[j] for _, j in found], np.int64)
+        found = np.array(divide_skip(sets) if len(sets) > 1 else [], np.int64).reshape(-1, 2)
+        u, v = stars(*np.array(nodes, np.int64)[found].T)
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     for batch in batches:

@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsmith.llm import (op1_license, op2_line_crf, op3_decontaminate, op4_chat, op5_token_files, op6_jaccard_join,
-                          op7_mix, op8_url_filter, op9_html, op10_neighbours)
+from tabsmith.llm import (components, op1_license, op2_line_crf, op3_decontaminate, op4_chat, op5_token_files,
+                          op6_jaccard_join, op7_mix, op8_url_filter, op9_html, op10_neighbours)
 from tabsmith.llm.common import ASCII_LOWER, tokenizer_path
 
 # Columns that clash with names the operators use inside.
@@ -75,6 +75,28 @@ def test_jaccard_components_are_brute_force(spark, texts, monkeypatch, short_lis
     assert {r.doc_id for r in kept} - {None} == {c for _, c in want.values()}
 
 
+@pytest.mark.parametrize("edges", [
+    [], [(3, 3), (None, 4), (5, None)], [(1, 0)] * 3,
+    [(i, i + 1) for i in range(200)],                                   # a path
+    [(100, i) for i in range(200)],                                     # a star around a middle node
+    [(i * 7919 % 400, i * 104729 % 397) for i in range(350)] + [(-9, 399), (2**62, -(2**62))]])
+def test_components_are_union_find(spark, edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, v in edges:
+        if u is not None and v is not None and u != v:
+            a, b = sorted((find(u), find(v)))
+            root[b] = a
+    frame = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    got = components.connected_components(frame).collect()
+    assert sorted((r["node"], r["component"]) for r in got) == sorted((x, find(x)) for x in root)
+
+
 def test_divide_skip_uses_both_kinds_of_lists():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 60, 200).astype(np.uint64)
