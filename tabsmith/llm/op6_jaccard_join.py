@@ -101,7 +101,7 @@ class _WordCounts:
     def add(self, hashes: np.ndarray) -> None:
         self.fresh.append(hashes)
         self.n += len(hashes)
-        if self.n > 4_000_000:
+        if self.n > 1_000_000:
             self._merge()
 
     def _merge(self) -> None:
