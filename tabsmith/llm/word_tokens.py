@@ -17,6 +17,8 @@ import numpy as np
 
 #: Chunks remembered by one Python worker; beyond it the memory starts anew.
 MAX_CHUNKS = 1_000_000
+#: New chunks are encoded so many at a time: the library's results are large.
+PART_CHUNKS = 4096
 #: Texts are cut in runs of about so many bytes.
 RUN_BYTES = 1_000_000
 _SPACE = rb"[\x09-\x0d\x20]"
@@ -148,10 +150,14 @@ class WordTokens:
     def _learn(self, data, starts, keys, at, second):
         ends = np.append(starts[1:], len(data))
         raw = data.tobytes()
-        own = self._encode([raw[starts[i]:ends[i]].decode() for i in at])
-        n = np.fromiter(map(len, own), np.int64, len(own))
+        sizes, ids = [], [self.ids]
+        for a in range(0, len(at), PART_CHUNKS):
+            own = self._encode([raw[starts[i]:ends[i]].decode() for i in at[a:a + PART_CHUNKS]])
+            sizes.append(np.fromiter(map(len, own), np.int64, len(own)))
+            ids.append(np.fromiter((i for x in own for i in x), np.uint32, int(sizes[-1].sum())))
+        n = np.concatenate(sizes)
         begin = len(self.ids) + np.cumsum(n) - n
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in own for i in x), np.uint32, int(n.sum()))])
+        self.ids = np.concatenate(ids)
         place = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, place, keys)
         self.check = np.insert(self.check, place, second[at])
