@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tabsmith.operators import metrics as met
 from tabsmith.operators import models as md
 from tabsmith.session import output_path, track_cached
+from tabsmith.sources.io import read_table, write_table
 
 
 class TooManyTrials(ValueError):
@@ -171,6 +172,27 @@ def best_trials(ranked: DataFrame) -> DataFrame:
     return ranked.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 
+def best_with_params(trials: DataFrame, metric: str = "recall") -> DataFrame:
+    """(run_id, trial_id, best_score, params): the best trial of each run."""
+    params = trials.select("run_id", "trial_id", "params").dropDuplicates(["run_id", "trial_id"])
+    return best_trials(rank_trials(trials, metric)).join(params, ["run_id", "trial_id"]).select(
+        "run_id", "trial_id", F.col("mean_test_score").alias("best_score"), "params")
+
+
+def save_search(trials: DataFrame, path: str, metric: str = "recall",
+                fitted: md.FittedModel | None = None) -> dict[str, str]:
+    """Write a search: its trial log, the ranked trials, the best parameters and
+    score of each run, and the refitted model if given; what -> path."""
+    paths = {"trials": write_table(trials, f"{path}/trials", partition_by=["run_id"])}
+    back = read_table(trials.sparkSession, paths["trials"])
+    paths["cv_results"] = write_table(rank_trials(back, metric), f"{path}/cv_results")
+    paths["best"] = write_table(best_with_params(back, metric), f"{path}/best")
+    if fitted is not None:
+        paths["model"] = f"{path}/model"
+        fitted.model.write().overwrite().save(paths["model"])
+    return paths
+
+
 def trial_history(ranked: DataFrame, digits: int | None = 6) -> DataFrame:
     """Per run, in trial order: score, std and the running best so far."""
     w = Window.partitionBy("run_id").orderBy("trial_id").rowsBetween(Window.unboundedPreceding, 0)

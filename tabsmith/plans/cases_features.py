@@ -3,6 +3,8 @@ sinks (S*, K1/K2/K4)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,6 +185,11 @@ def split_by_flag(spark, sf_dir):
     return _flagged_orders(spark, sf_dir).filter(F.col("is_train") == 1).drop("is_train")
 
 
+def split_halves(spark, sf_dir):
+    """Both halves of P5 with their flag; rows without a flag are in neither."""
+    return _flagged_orders(spark, sf_dir).filter(F.col("is_train").isin(0, 1))
+
+
 def threshold_predict(spark, sf_dir):
     p = fx.predictions(spark, sf_dir)
     return p.select("model", "row_id", (F.col("probability") >= 0.3).cast("int").alias("prediction"))
@@ -226,20 +233,40 @@ def load_eval_users(spark, sf_dir):
     return e.select("user_id", F.timestamp_seconds("start_epoch").cast("timestamp_ntz").alias("cutoff_ts"), "label")
 
 
+def _write_split(spark, sf_dir):
+    return io.write_split_tables(_flagged_orders(spark, sf_dir), output_path(spark, "split"),
+                                 "is_train", "label", ["row_id"])
+
+
 def write_split(spark, sf_dir):
-    """Write the flagged table partitioned by is_train; read the train part
-    back (the filter prunes to one partition folder)."""
-    path = output_path(spark, "split")
-    io.write_table(_flagged_orders(spark, sf_dir), path, partition_by=["is_train"])
-    return io.read_table(spark, path).filter(F.col("is_train") == 1)
+    """Write the clean table partitioned by is_train and the four split tables;
+    read the clean table's train part back (the filter prunes to one partition
+    folder).  ``write_split_tables`` reads all five."""
+    paths = _write_split(spark, sf_dir)
+    return io.read_table(spark, paths["clean"]).filter(F.col("is_train") == 1)
+
+
+def write_split_tables(spark, sf_dir):
+    """The five written tables as one, with their name."""
+    parts = [io.read_table(spark, path).withColumn("table_name", F.lit(name))
+             for name, path in _write_split(spark, sf_dir).items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _write_predictions(spark, sf_dir):
+    p = fx.predictions(spark, sf_dir).select("model", "row_id", "prediction", "probability")
+    return io.write_predictions(p, output_path(spark, "predictions"))
 
 
 def write_predictions(spark, sf_dir):
-    path = output_path(spark, "predictions")
-    p = fx.predictions(spark, sf_dir).filter(F.col("model") == "gbdt") \
-        .select("row_id", "prediction", "probability")
-    io.write_table(p, path)
-    return io.read_table(spark, path)
+    """Write every model's rows to a run-stamped folder; read one model's back.
+    ``write_all_predictions`` reads them all."""
+    back = io.read_table(spark, _write_predictions(spark, sf_dir))
+    return back.filter(F.col("model") == "gbdt").select("row_id", "prediction", "probability")
+
+
+def write_all_predictions(spark, sf_dir):
+    return io.read_table(spark, _write_predictions(spark, sf_dir))
 
 
 def write_metrics(spark, sf_dir):
@@ -253,8 +280,9 @@ QUERIES = {k: v for k, v in globals().items() if k in {
     "value_indicator", "fill_constant", "fill_median", "clamp_positive_to_one", "range_to_zero",
     "whitelist_or_zero", "clip_below_zero", "clip_above_one", "flag_repair", "map_codes", "one_hot_custom",
     "label_any_zero", "rename_columns", "standardize_names", "drop_columns", "cast_features",
-    "split_by_flag", "threshold_predict", "epoch_to_ts", "scan_project", "multi_source_union", "load_xy",
-    "load_eval_users", "write_split", "write_predictions", "write_metrics"}}
+    "split_by_flag", "split_halves", "threshold_predict", "epoch_to_ts", "scan_project", "multi_source_union", "load_xy",
+    "load_eval_users", "write_split", "write_split_tables", "write_predictions", "write_all_predictions",
+    "write_metrics"}}
 
 # ---------------------------------------------------------------- SQL twins
 
@@ -460,6 +488,16 @@ def _sql_twins_for_sinks():
         "write_split": f"""WITH {pred} SELECT row_id, o_custkey AS customer_id, label, CAST(1 AS INTEGER) AS is_train
             FROM base WHERE year(o_orderdate) < 1999""",
         "write_predictions": f"WITH {pred} SELECT row_id, prediction, probability FROM pred WHERE model = 'gbdt'",
+        "split_halves": f"""WITH {pred} SELECT row_id, o_custkey AS customer_id, label,
+            CAST(year(o_orderdate) < 1999 AS INTEGER) AS is_train FROM base WHERE o_orderdate IS NOT NULL""",
+        "write_split_tables": f"""WITH {pred}, c AS (SELECT row_id, o_custkey AS customer_id, label,
+            CAST(year(o_orderdate) < 1999 AS INTEGER) AS is_train FROM base)
+            SELECT 'clean' AS table_name, row_id, customer_id, label, is_train FROM c
+            UNION ALL SELECT 'X_train', row_id, customer_id, NULL, is_train FROM c WHERE is_train = 1
+            UNION ALL SELECT 'X_test', row_id, customer_id, NULL, is_train FROM c WHERE is_train = 0
+            UNION ALL SELECT 'y_train', row_id, NULL, label, NULL FROM c WHERE is_train = 1
+            UNION ALL SELECT 'y_test', row_id, NULL, label, NULL FROM c WHERE is_train = 0""",
+        "write_all_predictions": f"WITH {pred} SELECT model, row_id, prediction, probability FROM pred",
         "write_metrics": EVAL_SQL["binary_metrics"],
         "feature_stream": chain,
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
 from tabsmith.operators import tuning as tu
 from tabsmith.operators.rank import hash_rank
@@ -76,12 +77,24 @@ def param_histogram(spark, sf_dir):
     return tu.param_histogram(param_slice(spark, sf_dir))
 
 
+PARAMS = ("max_depth", "learning_rate", "criterion")
+
+
+def _write_trials(spark, sf_dir):
+    return tu.save_search(trials_log(spark, sf_dir), output_path(spark, "trials"))
+
+
 def write_trials(spark, sf_dir):
-    path = output_path(spark, "trials")
-    io.write_table(trials_log(spark, sf_dir), path, partition_by=["run_id"])
-    back = io.read_table(spark, path)
+    """Write the trial log, the ranked trials and each run's best row; read the
+    log back.  ``write_best_trials`` reads the best rows."""
+    back = io.read_table(spark, _write_trials(spark, sf_dir)["trials"])
     return back.select("run_id", "trial_id", "fold", "metric", F.round("value", 6).alias("value"),
-                       *[F.col("params")[k].alias(k) for k in ("max_depth", "learning_rate", "criterion")])
+                       *[F.col("params")[k].alias(k) for k in PARAMS])
+
+
+def write_best_trials(spark, sf_dir):
+    back = io.read_table(spark, _write_trials(spark, sf_dir)["best"])
+    return back.select("run_id", "trial_id", "best_score", *[F.col("params")[k].alias(k) for k in PARAMS])
 
 
 # ---- fitted searches on the model fixture
@@ -108,6 +121,18 @@ def grid_search(spark, sf_dir):
     return tu.rank_trials(_search(spark, sf_dir, tu.grid_candidates(TREE_GRID, max_trials=16)))
 
 
+def write_tuned_model(spark, sf_dir):
+    """Grid search, refit of the best candidate on all training rows, all of it
+    written; the model read back scores the test rows."""
+    train, test = _train_test(spark, sf_dir)
+    cands = tu.grid_candidates(TREE_GRID, max_trials=16)
+    trials = _search(spark, sf_dir, cands)
+    _, _, fm = tu.refit_best(train, FEATURES, "decision_tree", cands, trials, base_params={"random_state": 42})
+    paths = tu.save_search(trials, output_path(spark, "search"), fitted=fm)
+    loaded = md.FittedModel(md.PipelineModel.load(paths["model"]), fm.model_type, fm.features)
+    return md.predict(loaded, test, keep=["row_id", "label"])
+
+
 def random_search(spark, sf_dir):
     return tu.rank_trials(_search(spark, sf_dir, tu.random_candidates(TREE_GRID, 3, fx.SEED)))
 
@@ -157,6 +182,8 @@ QUERIES = {
     "param_importance": param_importance,
     "param_histogram": param_histogram,
     "write_trials": write_trials,
+    "write_best_trials": write_best_trials,
+    "write_tuned_model": write_tuned_model,
     "grid_search": grid_search,
     "random_search": random_search,
     "space_search": space_search,
@@ -225,3 +252,4 @@ SQL = {
                count_if(sample_rank <= n_resources AND label = 1) AS n_positive
         FROM sch, o GROUP BY round, n_resources, n_candidates""",
 }
+SQL["write_best_trials"] = SQL["best_trial"]

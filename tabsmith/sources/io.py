@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,3 +122,32 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     if fmt == "csv":
         r = r.option("header", True).option("inferSchema", True)
     return r.load(path)
+
+
+SPLIT_TABLES = ("X_train", "X_test", "y_train", "y_test")
+
+
+def split_tables(df: DataFrame, flag: str, label: str, keys: Sequence[str]) -> dict[str, DataFrame]:
+    """X and y of both halves by a 1 / 0 flag.  y carries ``keys``, which stand for
+    the reference's positional alignment; rows without a flag are in no half."""
+    halves = {"train": df.filter(F.col(flag) == 1), "test": df.filter(F.col(flag) == 0)}
+    return {f"{kind}_{half}": rows.drop(label) if kind == "X" else rows.select(*keys, label)
+            for kind in ("X", "y") for half, rows in halves.items()}
+
+
+def write_split_tables(df: DataFrame, path: str, flag: str, label: str, keys: Sequence[str],
+                       fmt: str = "parquet") -> dict[str, str]:
+    """Write the clean table (partitioned by the flag) and the four split tables
+    made of it; table name -> path."""
+    paths = {"clean": write_table(df, f"{path}/clean", fmt, partition_by=[flag])}
+    clean = read_table(df.sparkSession, paths["clean"], fmt)
+    for name, part in split_tables(clean, flag, label, keys).items():
+        paths[name] = write_table(part, f"{path}/{name}", fmt)
+    return paths
+
+
+def write_predictions(df: DataFrame, folder: str, fmt: str = "parquet") -> str:
+    """Write all rows to a folder of their own, stamped with the UTC time of the
+    run; an earlier run's folder is never overwritten."""
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
+    return write_table(df, f"{folder}/predictions_{stamp}", fmt, mode="errorifexists")

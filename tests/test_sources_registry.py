@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import pytest
 
@@ -63,3 +64,47 @@ def test_tree_attribution_table_shape(spark):
     r = df.first()
     mags = [abs(r[f"Feature_{i}_Contribution"]) for i in range(1, 11)]
     assert mags == sorted(mags, reverse=True)
+
+
+@pytest.mark.parametrize("key", ["split_by_flag", "split_halves", "write_split", "write_split_tables",
+                                 "write_predictions", "write_all_predictions", "write_trials", "write_best_trials"])
+def test_sink_oracle_sf0001(spark, duck, key):
+    test_oracle_sf0001(spark, duck, key)
+
+
+def test_split_tables_hold_both_halves(spark, tmp_path):
+    from tabsmith.sources import io
+    df = spark.createDataFrame([(1, 1.0, 1, 0), (2, 2.0, 0, 1), (3, 3.0, 0, 0), (4, 4.0, None, 1)],
+                               "id int, x double, is_train int, label int")
+    paths = io.write_split_tables(df, str(tmp_path), "is_train", "label", ["id"])
+    got = {name: io.read_table(spark, path) for name, path in paths.items()}
+    ids = {name: sorted(r.id for r in rows.collect()) for name, rows in got.items()}
+    assert ids == {"clean": [1, 2, 3, 4], "X_train": [1], "X_test": [2, 3], "y_train": [1], "y_test": [2, 3]}
+    assert "label" not in got["X_test"].columns and sorted(got["y_test"].columns) == ["id", "label"]
+    assert {r.id: r.is_train for r in got["clean"].collect()} == {1: 1, 2: 0, 3: 0, 4: None}
+
+
+def test_predictions_of_all_models_in_stamped_runs(spark, tmp_path):
+    from tabsmith.sources import io
+    df = spark.createDataFrame([("a", 1, 0.5), ("b", 1, 0.7)], "model string, row_id int, probability double")
+    first, second = io.write_predictions(df, str(tmp_path)), io.write_predictions(df.limit(1), str(tmp_path))
+    assert first != second and re.fullmatch(r"predictions_\d{8}_\d{6}_\d{6}", os.path.basename(first))
+    assert sorted(r.model for r in io.read_table(spark, first).collect()) == ["a", "b"]
+
+
+def test_saved_search_has_best_row_and_model(spark, tmp_path):
+    from tabsmith.operators import models as md
+    from tabsmith.operators import tuning as tu
+    from tabsmith.sources import io
+    rows = [(0, 0, {"max_depth": "1"}, f, "recall", 0.5) for f in (1, 2)] + \
+           [(0, 1, {"max_depth": "4"}, f, "recall", 0.9) for f in (1, 2)]
+    trials = spark.createDataFrame(rows, "run_id int, trial_id int, params map<string,string>, fold int, "
+                                         "metric string, value double")
+    train = spark.range(60).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 2 AS INT) AS label")
+    _, _, fm = tu.refit_best(train, ["x"], "decision_tree", [{"max_depth": 1}, {"max_depth": 4}], trials)
+    paths = tu.save_search(trials, str(tmp_path), fitted=fm)
+    best = io.read_table(spark, paths["best"]).collect()
+    assert [(r.trial_id, r.best_score, r.params) for r in best] == [(1, 0.9, {"max_depth": "4"})]
+    assert io.read_table(spark, paths["trials"]).count() == 4
+    assert io.read_table(spark, paths["cv_results"]).count() == 2
+    assert md.PipelineModel.load(paths["model"]).stages[-1].getMaxDepth() == 4
