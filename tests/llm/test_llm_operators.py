@@ -248,6 +248,26 @@ def test_leaks_are_brute_force(spark):
     assert {r.doc_id for r in clean.collect()} == {d for d, _, _ in rows} - {d for d, _ in got}
 
 
+@pytest.mark.parametrize("edit", ["change", "insert", "delete"])
+@pytest.mark.parametrize("size", [5, 14, 59, 200, 1000])
+def test_no_leak_is_lost_at_most_edits(size, edit):
+    rng = np.random.default_rng(size)
+    items = list(rng.integers(1, 2**63, (8, size)).astype(np.uint64))
+    texts = []
+    for item in items:
+        at = rng.choice(size, size // 5, replace=False)
+        fresh = rng.integers(1, 2**63, len(at)).astype(np.uint64)
+        run = item.copy()
+        run[at] = fresh
+        run = {"change": run, "insert": np.insert(item, at, fresh), "delete": np.delete(item, at)}[edit]
+        texts.append(np.concatenate([rng.integers(1, 2**63, 20).astype(np.uint64), run]))
+    index = op3_decontaminate.Index(list(range(len(items))), items)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    found = index.leaks(np.concatenate(texts), offsets)
+    assert set(found) == {(i, i) for i in range(len(items))}
+    assert not index.leaks(rng.integers(1, 2**63, 5000).astype(np.uint64), np.array([0, 5000]))
+
+
 def test_neighbours_are_brute_force(spark, monkeypatch):
     monkeypatch.setattr(op10_neighbours, "CANDIDATE_BLOCK", 50)
     monkeypatch.setattr(op10_neighbours, "QUERY_BLOCK", 7)
