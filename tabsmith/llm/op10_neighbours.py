@@ -13,10 +13,11 @@ A task works on one query block and a run of candidate blocks, streamed one by
 one, so memory is bounded by two blocks and a slice of their tile however large
 the table is, and the k-th best so far carries over from tile to tile.
 
-Defined cases: vectors that are null, zero, of another length than the one most
-common in the table, or that hold null or non-finite components take no part;
-ties go to the smaller id; of rows with one id the least vector counts; fewer than k candidates give
-fewer rows; an empty table gives none; extra columns are ignored.
+Defined cases: vectors that are null, zero or that hold null or non-finite
+components take no part; vectors of one length are searched among their own
+kind; rows that repeat an id all count, as queries and as candidates, and a
+query id gets the k best of its rows; ties go to the smaller id; fewer than k
+candidates give fewer rows; an empty table gives none; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from tabsmith.session import materialize
 
 #: Rows of a block, and the queries that meet a candidate block at a time.
 QUERY_BLOCK, CANDIDATE_BLOCK, SLICE = 4096, 4096, 256
-BLOCK_SCHEMA = "block long, n int, ids binary, vectors binary"
+BLOCK_SCHEMA = "dim int, block long, n int, ids binary, vectors binary"
 FOUND_SCHEMA = "query_id long, vec_id long, score double"
 _EPS = np.finfo(np.float64).eps
 
@@ -43,19 +44,20 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def _pack(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
-    """Blocks of about ``size`` rows of (id, vector), spread by a hash of the id,
-    and how many there are."""
-    blocks = max(1, -(-rows.count() // size))
+def _pack(rows: DataFrame, copies: str, blocks: str, name: str) -> DataFrame:
+    """Blocks of rows of (id, vector) of one length, as many as ``blocks`` says,
+    spread by a hash of the row; a row stands there ``copies`` times."""
 
     def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("id")
         vectors = np.array(part["vector"].tolist(), np.float64)
-        return pd.DataFrame({"block": [key[0]], "n": [len(part)], "ids": [part["id"].to_numpy(np.int64).tobytes()],
-                             "vectors": [vectors.tobytes()]})
+        return pd.DataFrame({"dim": [key[0]], "block": [key[1]], "n": [len(part)],
+                             "ids": [part["id"].to_numpy(np.int64).tobytes()], "vectors": [vectors.tobytes()]})
 
-    spread = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    return materialize(spread.groupBy("block").applyInPandas(pack, BLOCK_SCHEMA), name), blocks
+    spread = (rows.where(F.col(copies) > 0)
+              .select("dim", "id", "vector", blocks, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias("copy"))
+              .select("dim", F.pmod(F.xxhash64("id", "vector", "copy"), F.col(blocks)).alias("block"), "id", "vector"))
+    return materialize(spread.groupBy("dim", "block").applyInPandas(pack, BLOCK_SCHEMA), name)
 
 
 def quantise(vectors: np.ndarray):
@@ -125,35 +127,43 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                           F.col(f"`{vector_col}`").cast("array<double>").alias("vector"),
                           is_query.alias("is_query")).where(F.col("id").isNotNull() & usable(F.col("vector")))
-    lengths = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").head()
-    rows = rows.where(F.size("vector") == (lengths["dim"] if lengths else 0))
-    rows = materialize(rows.groupBy("id").agg(F.min("vector").alias("vector"), F.max("is_query").alias("is_query")),
-                       "vectors")
-    candidates, n_candidates = _pack(rows.select("id", "vector"), CANDIDATE_BLOCK, "candidate-blocks")
-    queries, n_queries = _pack(rows.where("is_query").select("id", "vector"), QUERY_BLOCK, "query-blocks")
-    # Every query block meets every candidate block; a task takes one query block
-    # and a run of candidate blocks, runs being as long as the parallelism allows.
-    tasks = 4 * vectors.sparkSession.sparkContext.defaultParallelism
-    n_runs = max(1, min(n_candidates, -(-tasks // n_queries)))
-    left = queries.select(F.col("block").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))).alias("run"),
+    # Of equal rows of one id k copies at most can be among the k best.
+    copies = [F.least(n, F.lit(k).cast("long")).alias(name) for n, name in (
+        (F.count(F.lit(1)), "copies"), (F.count_if(F.col("is_query")), "query_copies"))]
+    rows = materialize(rows.groupBy("id", "vector").agg(*copies).withColumn("dim", F.size("vector")), "vectors")
+    # A task takes one query block and a run of candidate blocks, runs being as
+    # long as the parallelism allows.
+    tasks = F.lit(4 * vectors.sparkSession.sparkContext.defaultParallelism)
+    sizes = rows.groupBy("dim").agg(F.ceil(F.sum("copies") / CANDIDATE_BLOCK).alias("n_candidates"),
+                                    F.ceil(F.sum("query_copies") / QUERY_BLOCK).alias("n_queries")).where("n_queries > 0")
+    sizes = materialize(sizes.withColumn("n_runs", F.least("n_candidates", F.ceil(tasks / F.col("n_queries")))), "lengths")
+    # One row for each length of vectors: n lengths take n * n / 2 components in the table at least.
+    sizes = F.broadcast(sizes)
+    rows = rows.join(sizes, "dim")
+    candidates = _pack(rows, "copies", "n_candidates", "candidate-blocks").join(sizes, "dim")
+    queries = _pack(rows, "query_copies", "n_queries", "query-blocks").join(sizes, "dim")
+    # Every query block meets every candidate block of its length.
+    zero = F.lit(0).cast("long")
+    left = queries.select("dim", F.col("block").alias("q"), F.explode(F.sequence(zero, F.col("n_runs") - 1)).alias("run"),
                           F.lit(-1).cast("long").alias("c"), "n", "ids", "vectors")
-    right = candidates.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_queries - 1).cast("long"))).alias("q"),
-                              (F.col("block") % n_runs).cast("int").alias("run"),
+    right = candidates.select("dim", F.explode(F.sequence(zero, F.col("n_queries") - 1)).alias("q"),
+                              (F.col("block") % F.col("n_runs")).alias("run"),
                               F.col("block").alias("c"), "n", "ids", "vectors")
-    tiles = left.unionByName(right).repartition("q", "run").sortWithinPartitions("q", "run", "c")
+    tiles = left.unionByName(right).repartition("dim", "q", "run").sortWithinPartitions("dim", "q", "run", "c")
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = None
+        best = own = None
         for part in parts:
             for i in range(part.num_rows):
                 row = {name: part.column(name)[i] for name in ("c", "n", "ids", "vectors")}
+                key = tuple(part.column(name)[i].as_py() for name in ("dim", "q", "run"))
                 ids = np.frombuffer(row["ids"].as_buffer(), np.int64)
                 block = np.frombuffer(row["vectors"].as_buffer(), np.float64).reshape(row["n"].as_py(), -1)
                 if row["c"].as_py() < 0:      # a query block comes before its candidates
                     if best is not None:
                         yield best.rows()
-                    best = Best(ids.copy(), block.copy(), k)
-                elif best is not None:
+                    best, own = Best(ids.copy(), block.copy(), k), key
+                elif own == key:              # a query block may have no rows
                     best.tile(ids, block)
         if best is not None:
             yield best.rows()

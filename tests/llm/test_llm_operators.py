@@ -284,6 +284,22 @@ def test_neighbours_are_brute_force(spark, monkeypatch):
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == sorted(want)
 
 
+def test_neighbours_of_every_length_and_repeated_id(spark, monkeypatch):
+    monkeypatch.setattr(op10_neighbours, "CANDIDATE_BLOCK", 20)
+    monkeypatch.setattr(op10_neighbours, "QUERY_BLOCK", 3)
+    rng = np.random.default_rng(2)
+    rows = [(int(i), rng.normal(size=d).round(3).tolist()) for d, n in ((8, 90), (5, 40), (3, 1)) for i in rng.integers(0, 60, n)]
+    rows += [(20, rows[0][1])] * 30 + [(7, rows[1][1])] * 30               # equal rows of one id
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = op10_neighbours.nearest(df, F.col("vec_id") % 20 == 0).collect()
+    want = []
+    for q in (0, 20, 40):
+        pairs = sorted((-float((np.array(x) * np.array(y)).sum()), j) for i, x in rows if i == q
+                       for j, y in rows if j != q and len(x) == len(y))[:20]
+        want += [(q, n, j, round(-s, 9)) for n, (s, j) in enumerate(pairs, 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got) == sorted(want)
+
+
 def test_licenses_in_text(spark):
     filler = "lorem ipsum dolor sit amet " * 30
     mit = op1_license.TEMPLATES["MIT-permission"]
