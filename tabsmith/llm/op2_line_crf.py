@@ -28,9 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabsmith.session import materialize
+
 from .shingles import mix, text_bytes, words_of
 
-MAX_TRAIN_DOCS = 4000          # the bound of the sample
+MAX_TRAIN_DOCS = 4000          # the bounds of the sample: documents, and their lines together
+MAX_TRAIN_LINES = 400_000
+#: Lines of a group of texts with its padding, and texts of a group in training.
+PADDED_LINES, GROUP_DOCS = 200_000, 500
 FOLDS, HELD_OUT = 4, 2
 ACCEPT = 0.7
 STEPS, RATE, DECAY = 150, 0.1, 1e-3
@@ -174,7 +179,7 @@ def _mean_marginals(features, size, lines_of, centre, spread, weights, moves) ->
     a = 0
     while a < len(order):
         b = a + 1
-        while b < len(order) and (b + 1 - a) * n[order[b]] <= 200_000:
+        while b < len(order) and (b + 1 - a) * n[order[b]] <= PADDED_LINES:
             b += 1
         part = order[a:b]
         rows = np.concatenate([np.arange(lines_of[i], lines_of[i + 1]) for i in part])
@@ -227,7 +232,10 @@ def train(parts: list[tuple[np.ndarray, np.ndarray]], quality: np.ndarray) -> Mo
     moved = np.array([[(1 - label[inner]).sum(), 0.0], [0.0, label[inner].sum()]])
     groups, a = [], 0
     while a < len(parts):
-        b = min(len(parts), a + 500)
+        b = a + 1
+        # By size, so the last one is the longest.
+        while b < min(len(parts), a + GROUP_DOCS) and (b + 1 - a) * len(parts[b][0]) <= PADDED_LINES:
+            b += 1
         groups.append((a, b))
         a = b
     weights, moves, adam = np.zeros(x.shape[1]), np.zeros((2, 2)), _Adam(x.shape[1], (2, 2))
@@ -271,20 +279,39 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         out = [(f[at[i]:at[i + 1]].tobytes(), s[at[i]:at[i + 1]].tobytes())
                for f, s, at in _runs(batch.column(0)) for i in range(len(at) - 1)]
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([x for _, x in out], pa.binary()),
-                                          batch.column(1)], ["features", "size", "quality"])
+                                          batch.column(1), batch.column(2)], ["features", "size", "quality", "place"])
+
+
+def _within(lines: list[tuple[int, int]], max_lines: int) -> list[int]:
+    """Places in order, without documents that would go beyond ``max_lines``."""
+    kept, total = [], 0
+    for place, n in sorted(lines):
+        if total + n <= max_lines:
+            kept.append(place)
+            total += n
+    return kept
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_docs: int = MAX_TRAIN_DOCS) -> Model:
+        label_col: str = "quality", max_docs: int = MAX_TRAIN_DOCS, max_lines: int = MAX_TRAIN_LINES) -> Model:
     """Fits the field on at most ``max_docs`` labelled documents, those with the
-    smallest hashes of their ids among all that are not held out."""
+    smallest hashes of their ids among all that are not held out, and at most
+    ``max_lines`` lines, leaving out documents that would go beyond.  Of rows that
+    repeat an id the one with the smallest hash of the text counts."""
     own = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("quality"))
     sample = (own.where(F.col("quality").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
               .groupBy("id").agg(F.avg("quality").alias("quality"))
               .orderBy(F.xxhash64("id"), "id").limit(max_docs))
     texts = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    rows = (texts.join(F.broadcast(sample), F.col("doc") == F.col("id")).select("text", "quality", "doc")
-            .mapInArrow(lambda b: _sample_features(b), "features binary, size binary, quality double").collect())
+    one = (texts.where(F.col("text").isNotNull()).join(F.broadcast(sample), F.col("doc") == F.col("id"))
+           .groupBy("doc", "quality").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
+    features = materialize(one.select("text", "quality", F.xxhash64("doc").alias("place")).mapInArrow(
+        lambda b: _sample_features(b), "features binary, size binary, quality double, place long"), "line-features")
+    lines = [(r["place"], r["n"]) for r in features.select("place", (F.length("size") / 8).cast("int").alias("n")).collect()]
+    kept = _within(lines, max_lines)
+    if len(kept) < len(lines):
+        features = features.where(F.col("place").isin(kept))
+    rows = features.collect()
     rows.sort(key=lambda r: (r["features"], r["quality"]))
     parts = [(np.frombuffer(r["features"], np.float32).reshape(-1, N_FEATURES), np.frombuffer(r["size"], np.float64))
              for r in rows]

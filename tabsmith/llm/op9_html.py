@@ -308,10 +308,13 @@ def _sample_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> boosted.Forest:
     """Fits the trees on texts of at most ``SAMPLE_PAGES`` pages, those with the
-    smallest hashes of their ids."""
+    smallest hashes of their ids.  Of rows that repeat an id (or have none) the one
+    with the smallest hash of the page counts."""
     ids = pages.select(F.col(f"`{id_col}`").alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PAGES)
     sample = pages.select(F.col(f"`{html_col}`").alias("html"), F.col(f"`{id_col}`").alias("page"))
-    rows = sample.join(F.broadcast(ids), F.col("page").eqNullSafe(F.col("id"))).select("html").mapInArrow(_sample_texts, "text string")
+    one = (sample.where(F.col("html").isNotNull()).join(F.broadcast(ids), F.col("page").eqNullSafe(F.col("id")))
+           .groupBy("page").agg(F.min_by("html", F.struct(F.xxhash64("html"), "html")).alias("html")))
+    rows = one.select("html").mapInArrow(_sample_texts, "text string")
     return train(sorted(r["text"] for r in rows.collect()))
 
 

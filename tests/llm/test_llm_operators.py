@@ -326,6 +326,20 @@ def test_quality_on_made_lines(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
 
 
+def test_fits_take_one_row_of_an_id_and_bounded_lines(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(op2_line_crf, "train", lambda parts, quality: seen.append(sorted(len(f) for f, _ in parts)))
+    monkeypatch.setattr(op9_html, "train", lambda texts: seen.append(len(texts)))
+    ids = [r.id for r in spark.range(40).where(~op2_line_crf.held_out(F.col("id"))).collect()][:4]
+    rows = [(ids[0], f"row {k}\nof one id", "s") for k in range(50)] + [(i, "a\nb\nc", "s") for i in ids[1:]]
+    labels = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
+    op2_line_crf.fit(docs(spark, rows), labels)
+    op2_line_crf.fit(docs(spark, rows), labels, max_lines=6)
+    pages = [(k, f"<p>a long enough text of the page number {i}</p>") for i, k in enumerate([None] * 20 + [1] * 20 + [2])]
+    op9_html.fit(spark.createDataFrame(pages, "page_id long, html string"))
+    assert seen[0] == [2, 3, 3, 3] and 3 <= sum(seen[1]) <= 6 and seen[2] == 3
+
+
 def test_forward_backward_is_enumeration():
     rng = np.random.default_rng(3)
     good, moves = rng.normal(size=4), rng.normal(size=(2, 2))
