@@ -385,3 +385,46 @@ def test_empty_tables(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert op9_html.extract_pages(pages, op9_html.train([], pages=60)).count() == 0
     assert op8_url_filter.filter_urls(pages, op8_url_filter.QUERY_RULES, spark.createDataFrame([("a.b",)], "h string"), keep=["page_id"]).count() == 0
+
+
+def test_pipeline_run_is_brute_force(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    import pyarrow as pa
+    rng = random.Random(8)
+    good = ["The committee described several reasons for the new library.", "A careful reader will find the answer in the second chapter.",
+            "Every summer the river carries sand to the old harbour."]
+    rows, labels = [], []
+    for i in range(60):
+        bad = i % 3 == 0
+        lines = [" ".join(rng.sample(["buy", "click", "$$$", "!!!", "www", "free", "sale"], 4)) if bad else
+                 rng.choice(good) + f" {rng.randrange(10**6)} {rng.randrange(10**6)}" for _ in range(8)]
+        rows.append((i, "\n".join(lines), "s"))
+        labels.append((i, 0 if bad else 1))
+    rows += [(100 + i, rows[i][1] + " end", "s") for i in (1, 2, 4, 5)]            # near copies
+    item = "one passage of a benchmark that nobody should train a model on"
+    rows += [(200, rows[7][1].replace("\n", f"\n{item}\n", 1) + " own words", "s")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    model = op2_line_crf.fit(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    fine = [r for r in rows if op2_line_crf.text_scores(pa.array([r[1]]), model)[0] >= op2_line_crf.ACCEPT]
+    heads = {c for _, c in brute_components(fine).values()}
+    single = [r for r in fine if r[0] in heads]
+    left = [r for r in single if item not in r[1]]
+    assert len(rows) > len(fine) > len(single) > len(left) > 0
+    # One source: all words once, then half of them again by hashed id.
+    left.sort(key=lambda r: hashlib.md5(f"{r[0]}:mix-1".encode()).hexdigest())
+    more = sum(len(WORD.findall(t)) for _, t, _ in left) // 2
+    want = [(i, t) for i, t, _ in left]
+    for i, t, _ in left:
+        ends = [m.end() for m in WORD.finditer(t)][:more]
+        if ends:
+            want.append((i, t[:ends[-1]]))
+            more -= len(ends)
+    encode = Tokenizer.from_file(tokenizer_path()).encode
+    ids = [(i, np.array(encode(t, add_special_tokens=False).ids + [0], "<u4")) for i, t in want]
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == sorted((i, len(x), zlib.crc32(x.tobytes())) for i, x in ids)
