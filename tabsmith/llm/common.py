@@ -49,3 +49,9 @@ def tokenizer_path() -> str:
     """The public tokenizer that the registered queries use."""
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def model_path() -> str:
+    """The public sentence model that the registered queries use."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import prepare
 
-from . import op1_license, op2_line_crf, op3_decontaminate, op4_chat, op5_token_files, op6_jaccard_join, op7_mix, op8_url_filter, op9_html, op10_neighbours
-from .common import read_table, tokenizer_path
+from . import (op1_license, op2_line_crf, op3_decontaminate, op4_chat, op5_token_files, op6_jaccard_join, op7_mix, op8_url_filter,
+               op9_html, op10_neighbours, op11_hard_negatives, op12_alignment, op13_token_counts)
+from .common import model_path, read_table, tokenizer_path
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,14 +75,31 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op11_hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, moved)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return op12_alignment.align(read_table(spark, sf_dir, "documents"), tokenizer_path(), model_path())
+
+
+def op13_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return op13_token_counts.count_tokens(read_table(spark, sf_dir, "documents"), model_path())
+
+
 QUERIES = (op1_license_scan, op2_line_quality, op3_benchmark_leaks, op4_chat_format, op5_token_frames, op6_jaccard_components, op7_mix_sources, op8_url_rules, op9_main_text,
-           op10_nearest)
+           op10_nearest, op11_negatives, op12_token_alignment, op13_counts)
 SQL = {
     "op1_license_scan": op1_license.ORACLE_SQL,
     "op4_chat_format": op4_chat.ORACLE_SQL,
     "op7_mix_sources": op7_mix.ORACLE_SQL,
     "op8_url_rules": op8_url_filter.ORACLE_SQL,
     "op10_nearest": op10_neighbours.ORACLE_SQL,
+    "op11_negatives": op11_hard_negatives.ORACLE_SQL,
 }
 
 
