@@ -19,9 +19,10 @@ tokenizer crosses (see ``word_starts``), so that a chunk's own groups are closed
 and a worker aligns each distinct chunk once, in a memory of bounded size.
 
 *Counts.*  Links are counted per task by chunk, then summed per id pair in one
-shuffle.  A second pass looks the counts up.  They are broadcast in slices of at
-most about ``MAX_PAIRS`` pairs, a pass for each slice; a corpus whose pairs fit
-into one slice needs one pass.
+shuffle.  The links of short texts are written beside their figures, so that no
+text is encoded twice; a second pass looks their counts up.  These are broadcast
+in slices of at most about ``MAX_PAIRS`` pairs, a pass over the written links for
+each slice; a corpus whose pairs fit into one slice needs one.
 
 Defined cases: null and empty texts, and texts whose tokens' joined bytes differ
 from the text's (such as those that hold U+2581), have no tokens: zeros, no hash
@@ -36,7 +37,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -52,7 +53,7 @@ from .op13_token_counts import MARK
 #: Bytes of a range; texts of fewer bytes are one.
 RANGE_BYTES = 32768
 FAN = 16                    # neighbours composed by one step of the tree
-MAX_CHUNKS = 300_000        # remembered by one Python worker
+MAX_CHUNKS = 500_000        # remembered by one Python worker
 PART_CHUNKS = 4096          # encoded at a time: the library's results are large
 MAX_PAIRS = 2_000_000       # id pairs in a slice of the counts: 34 MB
 #: Where no token of A crosses: a single space between characters that are no white space.
@@ -103,21 +104,54 @@ def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) << 32 | b.astype(np.int64)
 
 
+def spell(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """(text, end of each group in it) of whole groups of ids; group i ends with the
+    ids at last_a[i] and last_b[i]."""
+    size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+    at_a = np.arange(len(a)) + np.repeat(last_b + 1 - size_b, size_a)      # behind the B ids of earlier groups
+    at_b = np.arange(len(b)) + np.repeat(last_a + 1, size_b)
+    ids, stops = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    ids[at_a], ids[at_b] = a, b
+    stops[at_a[last_a]], stops[at_b[last_b]] = ord("|"), ord(";")
+    digits = np.ones(len(ids), np.int64)
+    for power in range(1, len(str(int(ids.max(initial=0))))):
+        digits += ids >= 10 ** power
+    ends = np.cumsum(digits + 1)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    out[ends - 1] = stops
+    left, place = ids, ends - 2
+    some = np.arange(len(ids))
+    while len(some):
+        out[place[some]] = left[some] % 10 + ord("0")
+        left, place = left // 10, place - 1
+        some = some[left[some] > 0]
+    return out.tobytes(), ends[at_b[last_b]]
+
+
+def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens of A and of B that end together."""
+    begin = min(ends_a[0], ends_b[0]) if len(ends_a) and len(ends_b) else 0
+    size = int(max(ends_a[-1], ends_b[-1]) - begin) + 1 if len(ends_a) and len(ends_b) else 0
+    if not size:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    seen = np.zeros((2, size), bool)
+    seen[0, ends_a - begin] = True
+    seen[1, ends_b - begin] = True
+    return np.flatnonzero(seen[1, ends_a - begin]), np.flatnonzero(seen[0, ends_b - begin])
+
+
 def close(a: Tokens, b: Tokens) -> Groups:
     """Groups of tokens whose last ends are common."""
-    common, at_a, at_b = np.intersect1d(a.ends, b.ends, assume_unique=True, return_indices=True)
-    ids_a, ids_b = [str(i) for i in a.ids.tolist()], [str(i) for i in b.ids.tolist()]
-    out, x, y = [], 0, 0
-    for i, j in zip(at_a.tolist(), at_b.tolist(), strict=True):
-        out.append(f"{','.join(ids_a[x:i + 1])}|{','.join(ids_b[y:j + 1])};")
-        x, y = i + 1, j + 1
-    return Groups("".join(out).encode(), x, y, pair_key(a.ids[at_a], b.ids[at_b]))
+    if not len(a.ids):
+        return NO_GROUPS
+    last_a, last_b = common_ends(a.ends, b.ends)
+    return Groups(spell(a.ids, b.ids, last_a, last_b)[0], len(a.ids), len(b.ids), pair_key(a.ids[last_a], b.ids[last_b]))
 
 
 def fragment(a: Tokens, b: Tokens) -> Fragment:
     """What a range's tokens of A and of B make."""
-    common, at_a, at_b = np.intersect1d(a.ends, b.ends, assume_unique=True, return_indices=True)
-    if not len(common):
+    at_a, at_b = common_ends(a.ends, b.ends)
+    if not len(at_a):
         return Fragment((a, b), None, (NO_TOKENS, NO_TOKENS))
     i, j, k, m = at_a[0] + 1, at_b[0] + 1, at_a[-1] + 1, at_b[-1] + 1
     return Fragment((a.part(0, i), b.part(0, j)), close(a.part(i, k), b.part(j, m)), (a.part(k), b.part(m)))
@@ -170,7 +204,7 @@ class Tokenizers:
         added = {t.content for t in self.a.get_added_tokens_decoder().values()}
         for entry, i in vocab.items():
             self.bytes_a[i] = entry.encode() if entry in added else bytes(spelt.get(c, 0) for c in entry)
-        self.sizes_a, self.sizes_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
+        self.array_a, self.array_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         kind = json.loads(self.a.to_str())
         before = kind["pre_tokenizer"] or {}
         #: Texts may be cut where the module says.
@@ -195,28 +229,36 @@ class Tokenizers:
         table = self.bytes_a if which == "a" else self.bytes_b
         return b"".join([table[i] for i in ids]) == part
 
-    def close_chunk(self, a: list[int], b: list[int]) -> tuple[bytes, list[int]]:
-        """(text, pairs) of the groups of a chunk's tokens."""
-        if len(a) == len(b) == 1:
-            return b"%d|%d;" % (a[0], b[0]), [a[0] << 32 | b[0]]
-        size_a, size_b = self.sizes_a, self.sizes_b
-        out, pairs, x, y, i, j, end_a, end_b = [], [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                end_a += size_a[a[i]]
-                i += 1
-            else:
-                end_b += size_b[b[j]]
-                j += 1
-            if end_a == end_b:
-                out.append(f"{','.join(map(str, a[x:i]))}|{','.join(map(str, b[y:j]))};")
-                pairs.append(a[i - 1] << 32 | b[j - 1])
-                x, y = i, j
-        return "".join(out).encode(), pairs
+    def align_chunks(self, chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(text of the groups, (tokens of A, of B, groups, whether it reads back), id
+        pairs) of chunks that no token leaves."""
+        lists = [list(self.ids_a(chunks)), list(self.ids_b(chunks))]
+        counts = [np.fromiter(map(len, own), np.int64, len(own)) for own in lists]
+        ids = [np.fromiter(chain.from_iterable(own), np.int64, int(n.sum())) for own, n in zip(lists, counts, strict=True)]
+        good = np.ones(len(chunks), bool)
+        for which, own in zip("ab", lists, strict=True):
+            table = self.bytes_a if which == "a" else self.bytes_b
+            if b"".join(map(table.__getitem__, chain.from_iterable(own))) != b"".join(chunks):
+                good &= [self.read(part, x, which) for part, x in zip(chunks, own, strict=True)]
+        # Another join of tokens could look alike as a whole: sizes tell chunks apart.
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        for own, n, sizes in zip(ids, counts, (self.array_a, self.array_b), strict=True):
+            good &= sums(sizes[own], np.concatenate([[0], np.cumsum(n)])) == size
+        if not good.all():
+            ids = [own[np.repeat(good, n)] for own, n in zip(ids, counts, strict=True)]
+            counts = [n * good for n in counts]
+        ends = [np.cumsum(sizes[own]) for own, sizes in zip(ids, (self.array_a, self.array_b), strict=True)]
+        last_a, last_b = common_ends(*ends)
+        text, stops = spell(*ids, last_a, last_b)
+        groups = np.searchsorted(last_a, np.cumsum(counts[0]))             # up to each chunk's end
+        at = np.concatenate([[0], stops])[groups].tolist()
+        texts = [text[i:j] for i, j in zip([0, *at], at)]
+        return (texts, np.stack([*counts, np.diff(groups, prepend=0), good], axis=1),
+                pair_key(ids[0][last_a], ids[1][last_b]))
 
     def ends(self, ids: list[int], which: str, at: int = 0) -> Tokens:
-        sizes = self.sizes_a if which == "a" else self.sizes_b
-        return Tokens(np.array(ids, np.int64), at + np.cumsum([sizes[i] for i in ids], dtype=np.int64))
+        ids = np.array(ids, np.int64)
+        return Tokens(ids, at + np.cumsum((self.array_a if which == "a" else self.array_b)[ids]))
 
 
 class Aligner:
@@ -228,8 +270,8 @@ class Aligner:
         self.links = None
         self._forget()
 
-    def use(self, links: CountLinks | LookUp | None) -> Aligner:
-        """Sets what a pass does with the links of chunks."""
+    def use(self, links: CountLinks | None) -> Aligner:
+        """Sets who counts the links of chunks."""
         self.links = links
         return self
 
@@ -241,18 +283,16 @@ class Aligner:
         self.pairs = np.empty(0, np.int64)                 # of all chunks, in order
 
     def _learn(self, chunks: list[bytes]) -> None:
-        both, sizes, pairs = self.tokenizers, [], []
-        for part, a, b in zip(chunks, both.ids_a(chunks), both.ids_b(chunks), strict=True):
-            if both.read(part, a, "a") and both.read(part, b, "b"):
-                text, own = both.close_chunk(a, b)
-                self.texts.append(text)
-                sizes.append((len(a), len(b), len(own), 1))
-                pairs.append(own)
-            else:
-                self.texts.append(b"")
-                sizes.append((0, 0, 0, 0))
-        self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64).reshape(-1, 4)])
-        self.pairs = np.concatenate([self.pairs, np.fromiter((x for own in pairs for x in own), np.int64)])
+        texts, sizes, pairs = self.tokenizers.align_chunks(chunks)
+        self.texts += texts
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.pairs = np.concatenate([self.pairs, pairs])
+
+    def links_of(self, numbers: np.ndarray) -> np.ndarray:
+        """The id pairs of chunks, one after the other."""
+        n = self.sizes[numbers, 2]
+        begin = np.cumsum(self.sizes[:, 2]) - self.sizes[:, 2]
+        return self.pairs[np.repeat(begin[numbers] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
 
     def runs(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(first row, chunk numbers, begins of texts among them, good texts)."""
@@ -308,15 +348,11 @@ class CountLinks:
 
 
 class LookUp:
-    """For every chunk the links whose count is their B id's best, and the sum of
-    the counts, from one slice of the counts."""
+    """One slice of the counts: for any pairs, their counts and whether each is the
+    highest of its B id."""
 
     def __init__(self, pairs: np.ndarray, counts: np.ndarray, best: np.ndarray):
         self.table = pairs, counts, best
-        self.forget()
-
-    def forget(self, own: Aligner | None = None) -> None:
-        self.values = np.empty((0, 2), np.int64)
 
     def of(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(count, best) of every pair, 0 where another slice has it."""
@@ -327,16 +363,6 @@ class LookUp:
         there = keys[at] == pairs
         return np.where(there, counts[at], 0), (best[at] & there).astype(np.int64)
 
-    def chunks(self, own: Aligner) -> np.ndarray:
-        """(best, count) of every chunk that the aligner knows."""
-        n = len(self.values)
-        if n < len(own.texts):
-            begins = np.concatenate([[0], np.cumsum(own.sizes[:, 2])])
-            counts, best = self.of(own.pairs[begins[n]:])
-            begins = begins[n:] - begins[n]
-            self.values = np.concatenate([self.values, np.stack([sums(best, begins), sums(counts, begins)], axis=1)])
-        return self.values
-
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
@@ -490,21 +516,49 @@ def _long_groups(docs: DataFrame, paths: tuple[str, str], kind: str, range_bytes
 
 # --- counts, and the passes that look them up ---------------------------------------------------------------------
 
-def _count_short(paths: tuple[str, str]):
+SHORT_SCHEMA = "id {}, n_a long, n_b long, n_groups long, groups_sha256 string, links array<long>, pair long, n long"
+
+
+def _align_short(paths: tuple[str, str]):
+    """Rows (id, text) to their figures and links, and rows (pair, n) of the counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        links = CountLinks()
-        own = aligner(paths).use(links)
+        counted, kind = CountLinks(), None
+        own = aligner(paths).use(counted)
+
+        def counts() -> pa.RecordBatch:
+            pair, n = counted.rows().columns
+            none = [pa.nulls(len(pair), t) for t in (kind, *[pa.int64()] * 3, pa.string(), pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays([*none, pair, n], SHORT_NAMES)
+
         for batch in batches:
-            for _, numbers, begins, good in own.runs(batch.column(1)):
-                links.used(own, numbers[np.repeat(good, np.diff(begins))])
-            if links.size() > MAX_PAIRS:
-                yield links.rows()
-        links.forget(own.use(None))
-        yield links.rows()
+            kind = batch.column(0).type
+            for first, numbers, begins, good in own.runs(batch.column(1)):
+                if not good.all():
+                    stay = np.repeat(good, np.diff(begins))
+                    numbers, begins = numbers[stay], np.concatenate([[0], np.cumsum(np.diff(begins) * good)])
+                counted.used(own, numbers)
+                n = [sums(own.sizes[numbers, c], begins) for c in range(3)]
+                digests = []
+                for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+                    text = b"".join([own.texts[x] for x in numbers[a:b].tolist()])
+                    digests.append(hashlib.sha256(text[:-1]).hexdigest() if a < b else "")
+                links = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n[2])]).astype(np.int32)),
+                                                 pa.array(own.links_of(numbers)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(digests)), *map(pa.array, n), pa.array(digests, pa.string()), links,
+                     *[pa.nulls(len(digests), pa.int64())] * 2], SHORT_NAMES)
+            if counted.size() > MAX_PAIRS:
+                yield counts()
+        if kind is not None:
+            counted.forget(own.use(None))
+            yield counts()
 
     return run
 
 
+SHORT_NAMES = [c.split()[0] for c in SHORT_SCHEMA.split(", ")]
+
+
 def _count_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     links = CountLinks()
     for batch in batches:
@@ -527,25 +581,18 @@ def _found_rows(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
                                       ["id", *FOUND_NAMES])
 
 
-def _look_up_short(paths: tuple[str, str], table):
+def _look_up_short(table):
+    """Written figures and links to the rows of the result."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = LookUp(*table.value)
-        own = aligner(paths).use(links)
         for batch in batches:
-            for first, numbers, begins, good in own.runs(batch.column(1)):
-                n = [sums(own.sizes[numbers, c], begins) for c in range(3)]
-                values = links.chunks(own)
-                best, total = (sums(values[numbers, c], begins) for c in range(2))
-                rows = []
-                for i, (a, b) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)):
-                    if a == b or not good[i]:
-                        rows.append((0, 0, 0, 0, 0, 0, ""))
-                        continue
-                    text = b"".join([own.texts[x] for x in numbers[a:b].tolist()])
-                    rows.append((int(n[0][i]), int(n[1][i]), int(n[2][i]), int(n[2][i]), int(best[i]), int(total[i]),
-                                 hashlib.sha256(text[:-1]).hexdigest()))
-                yield _found_rows(batch.column(0).slice(first, len(rows)), rows)
-        own.use(None)
+            own = batch.column("links")
+            counts, best = links.of(own.flatten().to_numpy())
+            begins = own.offsets.to_numpy().astype(np.int64) - own.offsets[0].as_py()
+            n_groups = batch.column("n_groups")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("n_a"), batch.column("n_b"), n_groups, n_groups, pa.array(sums(best, begins)),
+                 pa.array(sums(counts, begins)), batch.column("groups_sha256")], ["id", *FOUND_NAMES])
 
     return run
 
@@ -597,7 +644,8 @@ def align(docs: DataFrame, tokenizer_a: str, model_b: str, id_col: str = "doc_id
     is_long = F.coalesce(F.octet_length("text") >= range_bytes, F.lit(False))
     short = rows.where(~is_long)
     long_rows, groups = _long_groups(rows.where(is_long), paths, kind, range_bytes)
-    pairs = short.mapInArrow(_count_short(paths), "pair long, n long").unionByName(
+    aligned = materialize(short.mapInArrow(_align_short(paths), SHORT_SCHEMA.format(kind)), "aligned")
+    pairs = aligned.where("pair is not null").select("pair", "n").unionByName(
         groups.select("pairs").mapInArrow(_count_groups, "pair long, n long"))
     counted = pairs.groupBy("pair").agg(F.sum("n").alias("n"))
     # At most as many pairs for one id of B as A has ids.
@@ -606,6 +654,7 @@ def align(docs: DataFrame, tokenizer_a: str, model_b: str, id_col: str = "doc_id
     schema = f"id {kind}, {FOUND}"
     zeros = long_rows.where("not good").select("id", *[F.lit(0).cast("long").alias(n) for n in FOUND_NAMES[:-1]],
                                                F.lit("").alias(FOUND_NAMES[-1]))
+    short = aligned.where("pair is null").drop("pair", "n")
     ordered = groups.select("key", "id", "at", "text", "n_a", "n_b", "pairs").repartition("key").sortWithinPartitions("key", "at")
     found, n_slices = None, 0
     for table in _slices(counted, max_pairs):
@@ -613,7 +662,7 @@ def align(docs: DataFrame, tokenizer_a: str, model_b: str, id_col: str = "doc_id
             found = materialize(found, "slice")
         # About max_pairs pairs, whatever the corpus.
         shared = spark.sparkContext.broadcast(table)
-        part = short.mapInArrow(_look_up_short(paths, shared), schema).unionByName(
+        part = short.mapInArrow(_look_up_short(shared), schema).unionByName(
             ordered.mapInArrow(_look_up_long(shared), schema)).unionByName(zeros)
         n_slices += 1
         if n_slices > 1:
