@@ -233,8 +233,10 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
 
 
 def fit_model(df: DataFrame, features: Sequence[str], model_type: str, params: Mapping | None = None,
-              label: str = "label", n_rows: int | None = None, weight_col: str | None = None) -> FittedModel:
-    """Fit ``assembler -> classifier`` on ``df`` (label column ``label``)."""
+              label: str = "label", n_rows: int | None = None, weight_col: str | None = None,
+              keep_rows: bool = True) -> FittedModel:
+    """Fit ``assembler -> classifier`` on ``df`` (label column ``label``).  Where the
+    caller has the rows cached already, ``keep_rows`` is False: no second copy."""
     features = list(features)
     if model_type == "logistic_reg" and n_rows is None:
         n_rows = df.count()
@@ -246,6 +248,8 @@ def fit_model(df: DataFrame, features: Sequence[str], model_type: str, params: M
     train = train.select(*cols).withColumn("label", F.col("label").cast("double"))
     # the learners read their input several times: keep the projected rows
     # (memory, spilling to disk; lost blocks are recomputed from lineage)
+    if not keep_rows:
+        return FittedModel(Pipeline(stages=[assembler(features), est]).fit(train), model_type, features, ignored)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pm = Pipeline(stages=[assembler(features), est]).fit(train)
@@ -317,7 +321,7 @@ def fit_folds(df: DataFrame, features: Sequence[str], model_type: str, params: M
     """
     def one(k):
         tr = df.filter(F.col(fold_col) != k)
-        fm = fit_model(tr, features, model_type, params)
+        fm = fit_model(tr, features, model_type, params, keep_rows=False)
         return predict(fm, df.filter(F.col(fold_col) == k), keep=[*keep, fold_col, "label"])
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

@@ -116,6 +116,30 @@ def kfold(df: DataFrame, key: str, k: int = 5, seed=42, tag: str | None = "fold"
     return r.withColumn(fold_col, (F.pmod(F.col("_rk") - 1, F.lit(k)) + 1).cast("int")).drop("_rk")
 
 
+def nested_order(df: DataFrame, label: str, key: str, seed=42, tag: str | None = "nested",
+                 rank_col: str = "sample_rank") -> DataFrame:
+    """A position 1..n for every row such that each prefix holds every class of
+    ``label`` by its share, to less than one row: class ranks by hash, interleaved.
+
+    Row r of a class of n rows stands at (2r - 1) / 2n; its position is the number
+    of rows of all classes that stand before it, in closed form from the class
+    sizes (one row for each class).  Ties go to the smaller class.
+    """
+    ranked = hash_rank(df, [label], key, _salt(seed, tag), rank_col="_rk", size_col="_n")
+    sizes = sorted(((r[0], r[1]) for r in df.groupBy(label).count().collect()), key=lambda c: (c[0] is not None, c[0]))
+    position = F.lit(0).cast("long")
+    for i, (value, size) in enumerate(sizes):
+        # rows r' of this class with (2r' - 1) / 2size below, or up to, (2 _rk - 1) / 2 _n
+        upto = F.expr(f"least({size}L, (cast(2 * _rk - 1 as decimal(19, 0)) * cast({size}L as decimal(19, 0)) + _n) div (2 * _n))")
+        below = F.expr(f"least({size}L, (cast(2 * _rk - 1 as decimal(19, 0)) * cast({size}L as decimal(19, 0)) + _n - 1) div (2 * _n))")
+        before = F.lit(False)
+        for other, _ in sizes[:i]:
+            before = before | F.col(label).eqNullSafe(F.lit(other))
+        own = F.col(label).eqNullSafe(F.lit(value))
+        position = position + F.when(own, F.col("_rk")).when(before, below).otherwise(upto)
+    return ranked.withColumn(rank_col, position.cast("long")).drop("_rk", "_n")
+
+
 def background_sample(df: DataFrame, key: str, n: int = 100, seed=42,
                       tag: str | None = "background") -> DataFrame:
     """The ``n`` rows with the smallest hash (a top-n: TakeOrdered, no full sort)."""

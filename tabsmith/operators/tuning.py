@@ -16,12 +16,14 @@ import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabsmith.operators import metrics as met
 from tabsmith.operators import models as md
-from tabsmith.session import output_path, track_cached
+from tabsmith.operators.stacking import NothingSelected, route
+from tabsmith.session import is_written, output_path, track_cached
 from tabsmith.sources.io import read_table, write_table
 
 
@@ -41,11 +43,11 @@ def grid_size(space: Mapping) -> int:
     return math.prod(len(v) for _, v in _values(space))
 
 
-def grid_candidates(space: Mapping, max_trials: int = 1000) -> list[dict]:
+def grid_candidates(space: Mapping, max_trials: int | None = None) -> list[dict]:
     """Cartesian product of the value lists (``range(...)`` strings expanded);
-    refuses grids larger than ``max_trials``."""
+    refuses grids larger than ``max_trials``, if given."""
     n = grid_size(space)
-    if n > max_trials:
+    if max_trials is not None and n > max_trials:
         raise TooManyTrials(f"grid has {n} candidates (> max_trials={max_trials})")
     vals = _values(space)
     return [dict(zip([k for k, _ in vals], combo)) for combo in itertools.product(*[v for _, v in vals])]
@@ -121,11 +123,24 @@ def _param_map(params: Mapping):
     return F.create_map(*[x for k, v in items for x in (F.lit(str(k)), F.lit(str(v)))])
 
 
-def score_candidates(folded: DataFrame, features: Sequence[str], model_type: str,
+def fit_candidate(train: DataFrame, features: Sequence[str], model: str | Estimator, params: Mapping,
+                  keep_rows: bool = False) -> md.FittedModel:
+    """A candidate fitted: a model type of the registry with its parameters, or any
+    Estimator with the candidate's parameters set by nested name."""
+    if isinstance(model, str):
+        return md.fit_model(train, features, model, params, keep_rows=keep_rows)
+    fitted = model.fit(train.withColumn("label", F.col("label").cast("double")), route(model, params))
+    return md.FittedModel(fitted, type(model).__name__, list(features))
+
+
+def score_candidates(folded: DataFrame, features: Sequence[str], model_type: str | Estimator,
                      candidates: Sequence[Mapping], folds: Sequence[int], metric: str = "recall",
                      run_id: int = 0, base_params: Mapping | None = None, fold_col: str = "fold",
                      parallelism: int = 4, return_train_score: bool = False) -> DataFrame:
-    """Trials log rows for every (candidate, fold).  ``folded`` should be cached."""
+    """Trials log rows for every (candidate, fold).  ``folded`` should be cached.
+    ``model_type`` is one of the registry or an Estimator, whose candidates name
+    its parameters (``stacking__rf__max_depth``); one whose selector keeps no
+    feature has a missing score."""
     jobs = [(t, k) for t in range(len(candidates)) for k in folds]
     spark = folded.sparkSession
     out_path = output_path(spark, "trial-predictions")
@@ -133,7 +148,10 @@ def score_candidates(folded: DataFrame, features: Sequence[str], model_type: str
     def one(job):
         t, k = job
         params = {**(base_params or {}), **candidates[t]}
-        fm = md.fit_model(folded.filter(F.col(fold_col) != k), features, model_type, params)
+        try:
+            fm = fit_candidate(folded.filter(F.col(fold_col) != k), features, model_type, params)
+        except NothingSelected:
+            return                      # the candidate has no score here
         parts = [md.predict(fm, folded.filter(F.col(fold_col) == k), keep=["label"])
                  .withColumn("split", F.lit("test"))]
         if return_train_score:
@@ -145,8 +163,14 @@ def score_candidates(folded: DataFrame, features: Sequence[str], model_type: str
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         list(pool.map(one, jobs))
-    allp = spark.read.parquet(out_path)
-    scored = met.evaluate(allp, ["trial_id", "fold", "split"], digits=None)
+    splits = ("test", "train") if return_train_score else ("test",)
+    asked = spark.createDataFrame([(t, k, s) for t, k in jobs for s in splits], "trial_id int, fold int, split string")
+    if is_written(spark, out_path):
+        allp = spark.read.parquet(out_path)
+        scored = met.evaluate(allp, ["trial_id", "fold", "split"], digits=None)
+        scored = asked.join(scored, ["trial_id", "fold", "split"], "left")
+    else:
+        scored = asked.withColumn(metric, F.lit(None).cast("double"))
     params = folded.sparkSession.createDataFrame(
         [(i, dict((str(k), str(v)) for k, v in c.items())) for i, c in enumerate(candidates)],
         "trial_id int, params map<string,string>")
@@ -208,18 +232,32 @@ def trial_params(ranked: DataFrame, params: DataFrame) -> DataFrame:
         F.col("mean_test_score").alias("score"))
 
 
-def param_importance(slices: DataFrame, digits: int | None = 6) -> DataFrame:
-    """Share of the trial-score variance explained by each parameter's values
-    (between-group / total variance), normalised to sum to 1 per run."""
+IMPORTANCE_BINS = 10
+
+
+def param_importance(slices: DataFrame, digits: int | None = 6, bins: int = IMPORTANCE_BINS) -> DataFrame:
+    """Share of the trial-score variance that each parameter explains, normalised to
+    sum to 1 per run: the variance between the parameter's groups less what groups
+    of these sizes show by chance (epsilon squared).  Groups are the values; a
+    numeric parameter of more than ``bins`` values is cut at its quantiles."""
     s = slices.filter(F.col("score").isNotNull())
+    by = ["run_id", "param"]
+    number = F.col("param_value").try_cast("double")
+    of_param, in_order = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("_x")
+    s = s.withColumn("_x", number).withColumns({
+        "_many": (F.size(F.collect_set("param_value").over(of_param)) > bins) & (F.count("_x").over(of_param) == F.count(F.lit(1)).over(of_param)),
+        "_bin": F.floor((F.rank().over(in_order) - 1) * bins / F.count(F.lit(1)).over(of_param))})
+    s = s.withColumn("param_value", F.when(F.col("_many"), F.col("_bin").cast("string")).otherwise(F.col("param_value")))
     tot = s.groupBy("run_id", "param").agg(F.avg("score").alias("_mu"), F.var_pop("score").alias("_var"),
                                            F.count(F.lit(1)).alias("_n"))
     grp = s.groupBy("run_id", "param", "param_value").agg(F.avg("score").alias("_gm"),
                                                           F.count(F.lit(1)).alias("_gn"))
     between = grp.join(tot, ["run_id", "param"]).groupBy("run_id", "param").agg(
         (F.sum(F.col("_gn") * (F.col("_gm") - F.col("_mu")) ** 2) / F.first("_n")).alias("_b"),
-        F.first("_var").alias("_var"))
-    raw = between.withColumn("_r", F.when(F.col("_var") > 0, F.col("_b") / F.col("_var")).otherwise(F.lit(0.0)))
+        F.first("_var").alias("_var"), F.first("_n").alias("_n"), F.count(F.lit(1)).alias("_k"))
+    chance = F.greatest(F.col("_var") - F.col("_b"), F.lit(0.0)) * (F.col("_k") - 1) / (F.col("_n") - F.col("_k"))
+    raw = between.withColumn("_r", F.when((F.col("_var") > 0) & (F.col("_n") > F.col("_k")), F.greatest(
+        (F.col("_b") - chance) / F.col("_var"), F.lit(0.0))).otherwise(F.lit(0.0)))
     w = Window.partitionBy("run_id")
     imp = F.when(F.sum("_r").over(w) > 0, F.col("_r") / F.sum("_r").over(w)).otherwise(F.lit(0.0))
     out = raw.select("run_id", "param", imp.alias("importance"))
@@ -256,11 +294,22 @@ def halving_schedule(n_rows: int, n_candidates: int, factor: int = 2, min_resour
     return out
 
 
-def halving_search(ranked_rows: DataFrame, features: Sequence[str], model_type: str,
+def halving_candidates(space: Mapping, n_rows: int, n_candidates: int | str = "exhaust", factor: int = 2,
+                       min_resources="smallest", n_classes: int = 2, cv: int = 5, seed: int = 42) -> list[dict]:
+    """Random candidates of a halving search; ``exhaust`` draws as many as the rows
+    allow at the size of the first round."""
+    if n_candidates == "exhaust":
+        first = halving_schedule(n_rows, 1, factor, min_resources, n_classes, cv)[0][1]
+        n_candidates = max(1, n_rows // first)
+    return random_candidates(space, int(n_candidates), seed)
+
+
+def halving_search(ranked_rows: DataFrame, features: Sequence[str], model_type: str | Estimator,
                    candidates: Sequence[Mapping], schedule, k: int = 3, metric: str = "recall",
                    seed: int = 42, rank_col: str = "sample_rank", parallelism: int = 4) -> DataFrame:
     """Successive halving: round i scores the surviving candidates on the rows
-    with ``sample_rank <= resources_i`` (nested samples) and keeps the best
+    with ``sample_rank <= resources_i`` (nested samples; ``sampling.nested_order``
+    keeps the label's shares in each) and keeps the best
     ``ceil(n / factor)``.  Returns the trials log of every round (run_id = round)."""
     from tabsmith.operators.sampling import kfold
     alive = list(range(len(candidates)))
@@ -286,11 +335,11 @@ def halving_search(ranked_rows: DataFrame, features: Sequence[str], model_type:
     return out
 
 
-def refit_best(train: DataFrame, features: Sequence[str], model_type: str, candidates: Sequence[Mapping],
+def refit_best(train: DataFrame, features: Sequence[str], model_type: str | Estimator, candidates: Sequence[Mapping],
                trials: DataFrame, metric: str = "recall", base_params: Mapping | None = None):
     """Pick the first trial by (mean score desc, trial_id) and fit it on all
     training rows; returns (trial_id, params, FittedModel)."""
     ranked = rank_trials(trials, metric).orderBy(F.col("mean_test_score").desc_nulls_last(), "trial_id")
     best = ranked.select("trial_id").first()["trial_id"]
     params = {**(base_params or {}), **candidates[best]}
-    return best, params, md.fit_model(train, features, model_type, params)
+    return best, params, fit_candidate(train, features, model_type, params, keep_rows=True)

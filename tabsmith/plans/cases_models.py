@@ -20,6 +20,7 @@ from tabsmith.operators import metrics as met
 from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
 from tabsmith.operators import scaling as sc
+from tabsmith.operators.stacking import ConfiguredClassifier, ImportanceSelector, pipeline_from_config
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans import scoring
 from tabsmith.plans.cases_documented import attendance
@@ -127,54 +128,99 @@ def top_importance(spark, sf_dir, n=20):
 
 
 def select_from_model(spark, sf_dir, threshold="mean"):
+    """Importances, and which features the fitted selector keeps."""
     train, _ = _train_test(spark, sf_dir)
-    fm = md.fit_model(train, FEATURES, "lightgbm", CONFIGS["lightgbm"])
-    imp = md.importances(fm)
-    t = md.selection_threshold([v for _, v in imp], threshold)
-    return spark.createDataFrame([(f, v, v >= t) for f, v in imp],
+    selector = ImportanceSelector(ConfiguredClassifier("lightgbm", CONFIGS["lightgbm"]), threshold)
+    fitted = selector.fit(md.assembler(FEATURES).transform(train.withColumn("label", F.col("label").cast("double"))))
+    kept = set(fitted.selected)
+    return spark.createDataFrame([(f, v, f in kept) for f, v in zip(fitted.names, fitted.importances)],
                                  "feature string, importance double, selected boolean")
 
 
 STACK_BASES = ["decision_tree", "logistic_reg", "gbdt"]
+# Shaped like the reference's stacked experiments: selector, named bases, meta learner.
+STACK_CONFIG = {
+    "is_stacking": True,
+    "feature_selector": {"enabled": True, "type": "lightgbm", "params": CONFIGS["lightgbm"], "threshold": "mean"},
+    "base_models": [{"name": name, "type": name, "params": CONFIGS[name]} for name in STACK_BASES],
+    "meta_learner": {"type": "logistic_reg", "params": {"penalty": "l2", "C": 1.0}},
+}
+STACK_FOLDS = 3
+# Candidates by nested name, one at least of the selector, a base and the meta learner.
+STACK_GRID = {"feature_selection__threshold": ["mean", 0.01], "stacking__decision_tree__max_depth": [3],
+              "stacking__final_estimator__C": [0.1, 1.0]}
 
 
-def _stack(spark, sf_dir, features, k=3):
-    """Out-of-fold base probabilities -> logistic meta model; bases refit on
-    all training rows score the test rows for the meta model."""
-    train, test = _train_test(spark, sf_dir)
-    folded = sm.kfold(train, "row_id", k, fx.SEED, tag="stack", strata=["label"]).cache()
-    try:
-        oof_parts = []
-        test_parts = []
-        for base in STACK_BASES:
-            oof = md.fit_folds(folded, features, base, CONFIGS[base], range(1, k + 1), keep=["row_id"])
-            oof_parts.append(oof.select("row_id", F.col("probability").alias(f"p_{base}")))
-            full = md.fit_model(folded, features, base, CONFIGS[base])
-            test_parts.append(md.predict(full, test, keep=["row_id"]).select(
-                "row_id", F.col("probability").alias(f"p_{base}")))
-        meta_cols = [f"p_{b}" for b in STACK_BASES]
-        meta_train = folded.select("row_id", "label")
-        for p in oof_parts:
-            meta_train = meta_train.join(p, "row_id")
-        meta = md.fit_model(meta_train, meta_cols, "logistic_reg", {"penalty": "l2", "C": 1.0})
-        meta_test = test.select("row_id", "label")
-        for p in test_parts:
-            meta_test = meta_test.join(p, "row_id")
-        return md.predict(meta, meta_test, keep=["row_id", "label"])
-    finally:
-        folded.unpersist()
+def stack_pipeline(selector: bool = True):
+    config = STACK_CONFIG if selector else {**STACK_CONFIG, "feature_selector": {"enabled": False}}
+    return pipeline_from_config(config, FEATURES, STACK_FOLDS, "row_id")
+
+
+def _fit_stack(train: DataFrame, selector: bool):
+    return stack_pipeline(selector).fit(train.withColumn("label", F.col("label").cast("double")))
 
 
 def stacking_oof(spark, sf_dir):
-    return _stack(spark, sf_dir, FEATURES)
+    """The stack over all features: out-of-fold base scores under a meta model."""
+    train, test = _train_test(spark, sf_dir)
+    return md.predict(_fit_stack(train, False), test, keep=["row_id", "label"])
 
 
 def pipeline_stack(spark, sf_dir):
-    """Feature selection (importance >= mean) followed by the stack."""
+    """Feature selection (importance >= mean) followed by the stack, one Pipeline."""
+    train, test = _train_test(spark, sf_dir)
+    return md.predict(_fit_stack(train, True), test, keep=["row_id", "label"])
+
+
+def stack_round_trip(spark, sf_dir):
+    """The fitted pipeline of selector and stack, saved and loaded, scores alike."""
+    train, test = _train_test(spark, sf_dir)
+    fitted, path = _fit_stack(train, True), output_path(spark, "stack")
+    fitted.write().overwrite().save(path)
+    before = md.predict(fitted, test, keep=["row_id"]).withColumnRenamed("probability", "p_before")
+    both = md.predict(md.PipelineModel.load(path), before.select("row_id", "p_before").join(test, "row_id"), keep=["row_id", "p_before"])
+    return both.select("row_id", (F.col("p_before") == F.col("probability")).alias("same"))
+
+
+def stack_rows(spark, sf_dir):
+    """What both stacks must give for the test rows, whatever they learned (see ``scored_rows``)."""
+    p, parts = F.col("probability"), []
+    for name, query in (("stacking", stacking_oof), ("pipeline_stack", pipeline_stack)):
+        parts.append(query(spark, sf_dir).select(
+            F.lit(name).alias("model"), "row_id", "label", p.between(0.0, 1.0).alias("in_range"),
+            (F.col("prediction").cast("int") == (p >= 0.5).cast("int")).alias("decided")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def stack_fold_rows(spark, sf_dir):
+    """The meta model's training rows: every training row once, in the fold that the
+    hash order gives it, each base's score a probability."""
+    train, _ = _train_test(spark, sf_dir)
+    stack = stack_pipeline(False).getStages()[-1]
+    rows = md.assembler(FEATURES).transform(train.withColumn("label", F.col("label").cast("double")))
+    folded = stack._folded(rows)[0].cache()
+    try:
+        scored = stack.out_of_fold(rows, folded)
+        scores = [F.col(f"{stack.uid}_p{i}") for i in range(len(STACK_BASES))]
+        out = scored.select(F.col("id").alias("row_id"), "fold", F.col("label").cast("int").alias("label"),
+                            functools.reduce(lambda a, b: a & b, [c.between(0.0, 1.0) for c in scores]).alias("in_range"))
+        return materialize(out, "stack-folds")
+    finally:
+        folded.unpersist()
+
+
+def stack_search(spark, sf_dir):
+    """Grid search over selector, base and meta learner by nested names: the trial
+    log's rows, each score a share."""
+    from tabsmith.operators import tuning as tu
     train, _ = _train_test(spark, sf_dir)
-    sel = md.fit_model(train, FEATURES, "lightgbm", CONFIGS["lightgbm"])
-    chosen = md.select_features(sel, "mean") or FEATURES
-    return _stack(spark, sf_dir, chosen)
+    folded = sm.kfold(train, "row_id", 2, fx.SEED, strata=["label"]).cache()
+    try:
+        trials = tu.score_candidates(folded, FEATURES, stack_pipeline(True), tu.grid_candidates(STACK_GRID), [1, 2], "recall")
+        return materialize(trials.select("trial_id", "fold", "metric", F.col("value").between(0.0, 1.0).alias("in_range"),
+                                         *[F.col("params")[k].alias(k) for k in STACK_GRID]), "stack-search")
+    finally:
+        folded.unpersist()
 
 
 SCALING = {"total_price_k": "标准化", "acctbal_k": "min-max变换", "order_month": "robustscaler变换"}
@@ -371,6 +417,10 @@ QUERIES = {
     "select_from_model": select_from_model,
     "stacking_oof": stacking_oof,
     "pipeline_stack": pipeline_stack,
+    "stack_round_trip": stack_round_trip,
+    "stack_rows": stack_rows,
+    "stack_fold_rows": stack_fold_rows,
+    "stack_search": stack_search,
     "batch_score": batch_score,
     "model_round_trip": model_round_trip,
     "scored_rows": scored_rows,
@@ -426,6 +476,16 @@ SQL = {
     "model_round_trip": f"WITH {_TEST_ROWS} SELECT row_id, true AS same FROM test",
     "scored_rows": f"""WITH {_TEST_ROWS} SELECT model, row_id, label, true AS in_range, true AS decided
       FROM test, (VALUES {", ".join(f"('{m}')" for m in CONFIGS)}) AS k(model)""",
+    "stack_round_trip": f"WITH {_TEST_ROWS} SELECT row_id, true AS same FROM test",
+    "stack_rows": f"""WITH {_TEST_ROWS} SELECT model, row_id, label, true AS in_range, true AS decided
+      FROM test, (VALUES ('stacking'), ('pipeline_stack')) AS k(model)""",
+    "stack_fold_rows": f"""WITH {_TEST_ROWS}, train AS (SELECT * FROM rk WHERE row_id NOT IN (SELECT row_id FROM test))
+      SELECT row_id, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(row_id AS VARCHAR) || '|{fx.SEED}|stack'), row_id) - 1)
+        % {STACK_FOLDS} + 1 AS INTEGER) AS fold, label, true AS in_range FROM train""",
+    "stack_search": """SELECT CAST(row_number() OVER (ORDER BY t DESC, c) - 1 AS INTEGER) AS trial_id, 'recall' AS metric,
+        true AS in_range, t AS feature_selection__threshold, '3' AS stacking__decision_tree__max_depth,
+        c AS stacking__final_estimator__C, UNNEST([1, 2]) AS fold
+      FROM (VALUES ('mean'), ('0.01')) a(t), (VALUES ('0.1'), ('1.0')) b(c)""",
     "linear_attribution": f"WITH {_ATTR_SQL} SELECT * FROM c",
     "top_k_contributions": f"""WITH {_ATTR_SQL}, {_SPREAD}, u AS ({_UNPIV}),
       r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY -abs(value), idx) AS pos FROM u)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
 from tabsmith.operators import tuning as tu
-from tabsmith.operators.rank import hash_rank
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans.cases_models import FEATURES, _train_test
 from tabsmith.plans.cases_sampling import keyed_orders
@@ -147,31 +146,37 @@ def trial_scores(spark, sf_dir):
     return _search(spark, sf_dir, tu.grid_candidates(TREE_GRID, max_trials=16))
 
 
-def _halving_rows(spark, sf_dir):
-    return hash_rank(keyed_orders(spark, sf_dir), [], "row_id", f"{fx.SEED}|halving",
-                     rank_col="sample_rank", size_col=None)
-
-
 def halving_samples(spark, sf_dir):
-    """Rows and positives in each successive-halving round's nested sample."""
-    rows = _halving_rows(spark, sf_dir)
+    """Rows and positives in each round's nested sample, for both starts of a search
+    over the halving grid: as small as it may be, or so that the last round takes
+    all rows."""
+    rows = sm.nested_order(keyed_orders(spark, sf_dir), "label", "row_id", fx.SEED, tag="halving")
     n = rows.count()
-    sched = tu.halving_schedule(n, tu.grid_size(HALVING_GRID), factor=2, min_resources="exhaust")
-    agg = rows.agg(*[F.count_if(F.col("sample_rank") <= r).alias(f"n{i}") for i, r, _ in sched],
+    rounds = [(start, *r) for start in ("exhaust", "smallest")
+              for r in tu.halving_schedule(n, tu.grid_size(HALVING_GRID), factor=2, min_resources=start)]
+    agg = rows.agg(*[F.count_if(F.col("sample_rank") <= r).alias(f"n{i}") for i, (_, _, r, _) in enumerate(rounds)],
                    *[F.count_if((F.col("sample_rank") <= r) & (F.col("label") == 1)).alias(f"p{i}")
-                     for i, r, _ in sched])
-    stack = ", ".join(f"{i}, CAST({r} AS BIGINT), {c}, n{i}, p{i}" for i, r, c in sched)
-    return agg.selectExpr(f"stack({len(sched)}, {stack}) AS (round, n_resources, n_candidates, n_rows, n_positive)")
+                     for i, (_, _, r, _) in enumerate(rounds)])
+    stack = ", ".join(f"'{s}', {k}, CAST({r} AS BIGINT), {c}, n{i}, p{i}" for i, (s, k, r, c) in enumerate(rounds))
+    return agg.selectExpr(f"stack({len(rounds)}, {stack}) AS (start, round, n_resources, n_candidates, n_rows, n_positive)")
+
+
+def _halve(spark, sf_dir, candidates, min_resources):
+    train, _ = _train_test(spark, sf_dir)
+    ranked = sm.nested_order(train, "label", "row_id", fx.SEED, tag="halving")
+    sched = tu.halving_schedule(train.count(), len(candidates), factor=2, min_resources=min_resources, cv=3)
+    return tu.halving_search(ranked, FEATURES, "decision_tree", candidates, sched, k=3, seed=fx.SEED)
 
 
 def halving_search(spark, sf_dir):
     """Halving over a decision-tree grid on the model fixture (rows = resource)."""
+    return _halve(spark, sf_dir, tu.grid_candidates(TREE_GRID, max_trials=16), "exhaust")
+
+
+def halving_random_search(spark, sf_dir):
+    """Halving over random candidates, from the smallest sample on."""
     train, _ = _train_test(spark, sf_dir)
-    ranked = hash_rank(train, [], "row_id", f"{fx.SEED}|halving", rank_col="sample_rank", size_col=None)
-    n = train.count()
-    cands = tu.grid_candidates(TREE_GRID, max_trials=16)
-    sched = tu.halving_schedule(n, len(cands), factor=2, min_resources="exhaust")
-    return tu.halving_search(ranked, FEATURES, "decision_tree", cands, sched, k=3, seed=fx.SEED)
+    return _halve(spark, sf_dir, tu.halving_candidates(TREE_GRID, train.count(), 4, cv=3, seed=fx.SEED), "smallest")
 
 
 QUERIES = {
@@ -190,6 +195,7 @@ QUERIES = {
     "trial_scores": trial_scores,
     "halving_samples": halving_samples,
     "halving_search": halving_search,
+    "halving_random_search": halving_random_search,
 }
 
 # ---------------------------------------------------------------- SQL twins
@@ -227,12 +233,17 @@ SQL = {
         max(mean_test_score) OVER (PARTITION BY run_id ORDER BY trial_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
         AS best_so_far FROM rk""",
     "param_slice": f"WITH {TRIALS} SELECT * FROM sl",
-    "param_importance": f"""WITH {TRIALS}, s AS (SELECT * FROM sl WHERE score IS NOT NULL),
+    "param_importance": f"""WITH {TRIALS}, s0 AS (SELECT *, try_cast(param_value AS DOUBLE) AS x FROM sl WHERE score IS NOT NULL),
+        s AS (SELECT run_id, param, score, CASE WHEN (SELECT count(DISTINCT o.param_value) FROM s0 o
+                  WHERE o.run_id = s0.run_id AND o.param = s0.param) > 10 AND bool_and(x IS NOT NULL) OVER (PARTITION BY run_id, param)
+                THEN CAST((rank() OVER (PARTITION BY run_id, param ORDER BY x) - 1) * 10 // count(*) OVER (PARTITION BY run_id, param)
+                  AS VARCHAR) ELSE param_value END AS param_value FROM s0),
         tot AS (SELECT run_id, param, avg(score) AS mu, var_pop(score) AS v, count(*) AS n FROM s GROUP BY run_id, param),
         grp AS (SELECT run_id, param, param_value, avg(score) AS gm, count(*) AS gn FROM s GROUP BY run_id, param, param_value),
-        btw AS (SELECT g.run_id, g.param, sum(g.gn * (g.gm - t.mu) * (g.gm - t.mu)) / max(t.n) AS b, max(t.v) AS v
-            FROM grp g JOIN tot t ON g.run_id = t.run_id AND g.param = t.param GROUP BY g.run_id, g.param),
-        raw AS (SELECT run_id, param, CASE WHEN v > 0 THEN b / v ELSE 0.0 END AS r FROM btw)
+        btw AS (SELECT g.run_id, g.param, sum(g.gn * (g.gm - t.mu) * (g.gm - t.mu)) / max(t.n) AS b, max(t.v) AS v,
+                max(t.n) AS n, count(*) AS k FROM grp g JOIN tot t ON g.run_id = t.run_id AND g.param = t.param GROUP BY g.run_id, g.param),
+        raw AS (SELECT run_id, param, CASE WHEN v > 0 AND n > k
+            THEN greatest((b - greatest(v - b, 0e0) * (k - 1) / (n - k)) / v, 0e0) ELSE 0e0 END AS r FROM btw)
         SELECT run_id, param, round(CASE WHEN sum(r) OVER (PARTITION BY run_id) > 0
             THEN r / sum(r) OVER (PARTITION BY run_id) ELSE 0.0 END, 6) AS importance FROM raw""",
     "param_histogram": f"""WITH {TRIALS}, v AS (SELECT *, try_cast(param_value AS DOUBLE) AS x FROM sl),
@@ -241,15 +252,18 @@ SQL = {
         SELECT v2.run_id, v2.param, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / (hi - lo) * 20), 19) END
             AS INTEGER) AS bin, count(*) AS n_trials
         FROM v2 JOIN r ON v2.run_id = r.run_id AND v2.param = r.param GROUP BY ALL""",
-    "halving_samples": f"""WITH o AS (SELECT o_orderkey AS row_id, CAST(o_orderpriority = '5-LOW' AS INTEGER) AS label,
-        row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '|{fx.SEED}|halving'), o_orderkey) AS sample_rank
-        FROM orders),
+    "halving_samples": f"""WITH o AS (SELECT o_orderkey AS row_id, CAST(o_orderpriority = '5-LOW' AS INTEGER) AS label FROM orders),
+        c AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(row_id AS VARCHAR) || '|{fx.SEED}|halving'), row_id) AS r,
+                count(*) OVER (PARTITION BY label) AS n_class FROM o),
+        p AS (SELECT *, row_number() OVER (ORDER BY CAST(2 * r - 1 AS DOUBLE) / n_class, label) AS sample_rank FROM c),
         n AS (SELECT count(*) AS n FROM o),
-        sch AS (SELECT CAST(i AS INTEGER) AS round, CAST((n // CAST(pow(2, {_SCHED_ROUNDS} - 1) AS BIGINT))
-                * CAST(pow(2, i) AS BIGINT) AS BIGINT) AS n_resources,
-                CAST(ceil({_N_HALV} / pow(2, i)) AS INTEGER) AS n_candidates FROM n, range({_SCHED_ROUNDS}) t(i))
-        SELECT round, n_resources, n_candidates, count_if(sample_rank <= n_resources) AS n_rows,
+        st AS (SELECT 'exhaust' AS start, n, n // CAST(pow(2, {_SCHED_ROUNDS} - 1) AS BIGINT) AS first FROM n
+               UNION ALL SELECT 'smallest', n, 20 FROM n),
+        sch AS (SELECT start, CAST(i AS INTEGER) AS round, first * CAST(pow(2, i) AS BIGINT) AS n_resources,
+                CAST(ceil({_N_HALV} / pow(2, i)) AS INTEGER) AS n_candidates FROM st, range({_SCHED_ROUNDS}) t(i)
+                WHERE first * CAST(pow(2, i) AS BIGINT) <= n)
+        SELECT start, round, n_resources, n_candidates, count_if(sample_rank <= n_resources) AS n_rows,
                count_if(sample_rank <= n_resources AND label = 1) AS n_positive
-        FROM sch, o GROUP BY round, n_resources, n_candidates""",
+        FROM sch, p GROUP BY start, round, n_resources, n_candidates""",
 }
 SQL["write_best_trials"] = SQL["best_trial"]

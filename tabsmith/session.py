@@ -73,6 +73,12 @@ def output_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tabsmith-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path of any store that Spark reads."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def is_local_path(p: str) -> bool:
     return p.startswith("/") or p.startswith("file:")
 
