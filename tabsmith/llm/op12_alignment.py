@@ -55,6 +55,7 @@ RANGE_BYTES = 32768
 FAN = 16                    # neighbours composed by one step of the tree
 MAX_CHUNKS = 500_000        # remembered by one Python worker
 PART_CHUNKS = 4096          # encoded at a time: the library's results are large
+JOINED = 256                # plain chunks read together
 MAX_PAIRS = 2_000_000       # id pairs in a slice of the counts: 34 MB
 #: Where no token of A crosses: a single space between characters that are no white space.
 CUT_A = re.compile(rb"(?:(?<=[\x21-\x7e])|(?<=[\xc3-\xdf][\x80-\xbf]))\x20(?=[\x21-\x7e\xc3-\xe0\xe4-\xf4])")
@@ -62,6 +63,11 @@ CUT_A = re.compile(rb"(?:(?<=[\x21-\x7e])|(?<=[\xc3-\xdf][\x80-\xbf]))\x20(?=[\x
 CUT_B = re.compile(rb"(?<!\x20)(?<!\xe2\x96\x81)\x20")
 
 
+#: Chunks that may be read together: no white space at their ends, but for one space before.
+PLAIN_START = re.compile(rb"\x20?[\x21-\x7e\xc3-\xe0\xe4-\xf4]")
+PLAIN_END = re.compile(rb"(?:[\x21-\x7e]|[\xc3-\xdf][\x80-\xbf]|[\xe0\xe4-\xef][\x80-\xbf]{2})\Z")
+
+
 class Tokens(NamedTuple):
     """Tokens of one tokenizer: ids and the byte at which each ends."""
     ids: np.ndarray
@@ -229,32 +235,64 @@ class Tokenizers:
         table = self.bytes_a if which == "a" else self.bytes_b
         return b"".join([table[i] for i in ids]) == part
 
-    def align_chunks(self, chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """(text of the groups, (tokens of A, of B, groups, whether it reads back), id
-        pairs) of chunks that no token leaves."""
+    def _each(self, chunks: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """(ids, numbers of ids by chunk) of A and of B, and which chunks read back;
+        those that don't have no ids."""
         lists = [list(self.ids_a(chunks)), list(self.ids_b(chunks))]
+        good = np.array([self.read(c, a, "a") and self.read(c, b, "b") for c, a, b in zip(chunks, *lists, strict=True)], bool)
+        lists = [[x if g else [] for x, g in zip(own, good, strict=True)] for own in lists]
         counts = [np.fromiter(map(len, own), np.int64, len(own)) for own in lists]
-        ids = [np.fromiter(chain.from_iterable(own), np.int64, int(n.sum())) for own, n in zip(lists, counts, strict=True)]
-        good = np.ones(len(chunks), bool)
-        for which, own in zip("ab", lists, strict=True):
-            table = self.bytes_a if which == "a" else self.bytes_b
-            if b"".join(map(table.__getitem__, chain.from_iterable(own))) != b"".join(chunks):
-                good &= [self.read(part, x, which) for part, x in zip(chunks, own, strict=True)]
-        # Another join of tokens could look alike as a whole: sizes tell chunks apart.
+        return [np.fromiter(chain.from_iterable(own), np.int64, int(n.sum())) for own, n in zip(lists, counts, strict=True)], counts, good
+
+    def _joined(self, chunks: list[bytes]):
+        """The same of plain chunks, read together with line feeds between them, which
+        neither tokenizer lets a token cross; None if they don't read back so."""
+        runs = [b"\n" + b"\n".join(chunks[i:i + JOINED]) for i in range(0, len(chunks), JOINED)]
         size = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        for own, n, sizes in zip(ids, counts, (self.array_a, self.array_b), strict=True):
-            good &= sums(sizes[own], np.concatenate([[0], np.cumsum(n)])) == size
-        if not good.all():
-            ids = [own[np.repeat(good, n)] for own, n in zip(ids, counts, strict=True)]
-            counts = [n * good for n in counts]
-        ends = [np.cumsum(sizes[own]) for own, sizes in zip(ids, (self.array_a, self.array_b), strict=True)]
-        last_a, last_b = common_ends(*ends)
+        texts, ids, counts = [r.decode() for r in runs], [], []
+        for which, table, sizes in (("a", self.bytes_a, self.array_a), ("b", self.bytes_b, self.array_b)):
+            lead = int(which == "b")                       # the space that B sets before a text
+            own = ([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)] if which == "a"
+                   else self.b.encode(texts, num_threads=1))
+            flat = list(chain.from_iterable(own))
+            if b"".join(map(table.__getitem__, flat)) != b"".join([b" " * lead + r for r in runs]):
+                return None
+            flat = np.array(flat, np.int64)
+            ends = np.cumsum(sizes[flat])
+            step = np.ones(len(chunks), np.int64)
+            step[::JOINED] += lead
+            stops = np.cumsum(size + step)                 # where chunks end, and begin
+            begins = stops - size
+            at = np.searchsorted(ends, np.concatenate([begins, stops]))
+            if not np.array_equal(ends[np.minimum(at, len(ends) - 1)], np.concatenate([begins, stops])):
+                return None
+            first, last = at[:len(chunks)] + 1, at[len(chunks):] + 1
+            counts.append(last - first)
+            ids.append(flat[np.repeat(first - np.cumsum(counts[-1]) + counts[-1], counts[-1]) + np.arange(int(counts[-1].sum()))])
+        return ids, counts, np.ones(len(chunks), bool)
+
+    def align_chunks(self, chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(text of the groups, (tokens of A, of B, groups, whether it reads back), id
+        pairs) of chunks that no token leaves."""
+        plain = np.array([PLAIN_START.match(c) is not None and PLAIN_END.search(c) is not None for c in chunks], bool) & self.cuts
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        easy = [chunks[i] for i in order[:int(plain.sum())].tolist()]
+        rest = [chunks[i] for i in order[len(easy):].tolist()]
+        found = [(self._joined(easy) if easy else None) or self._each(easy), self._each(rest)]
+        ids, counts = ([np.concatenate([f[k][w] for f in found]) for w in (0, 1)] for k in (0, 1))
+        good = np.concatenate([f[2] for f in found])
+        last_a, last_b = common_ends(*(np.cumsum(sizes[own]) for own, sizes in zip(ids, (self.array_a, self.array_b), strict=True)))
         text, stops = spell(*ids, last_a, last_b)
         groups = np.searchsorted(last_a, np.cumsum(counts[0]))             # up to each chunk's end
         at = np.concatenate([[0], stops])[groups].tolist()
         texts = [text[i:j] for i, j in zip([0, *at], at)]
-        return (texts, np.stack([*counts, np.diff(groups, prepend=0), good], axis=1),
-                pair_key(ids[0][last_a], ids[1][last_b]))
+        pairs, n = pair_key(ids[0][last_a], ids[1][last_b]), np.diff(groups, prepend=0)
+        # Back to the order in which the chunks came.
+        back = np.argsort(order)
+        first = (groups - n)[back]
+        n = n[back]
+        pairs = pairs[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        return [texts[i] for i in back.tolist()], np.stack([counts[0][back], counts[1][back], n, good[back]], axis=1), pairs
 
     def ends(self, ids: list[int], which: str, at: int = 0) -> Tokens:
         ids = np.array(ids, np.int64)
@@ -288,6 +326,18 @@ class Aligner:
         self.sizes = np.concatenate([self.sizes, sizes])
         self.pairs = np.concatenate([self.pairs, pairs])
 
+    def fragment(self, part: bytes, at: int) -> tuple[bool, Fragment]:
+        """(whether it reads back, the fragment) of a range that no token crosses."""
+        ((_, numbers, begins, good),) = self.runs(pa.array([part[1:].decode()]))
+        if not good[0] or begins[1] == begins[0]:
+            return bool(good[0]), EMPTY
+        n_a, n_b, _ = (int(x) for x in self.sizes[numbers, :3].sum(axis=0))
+        first, text = b"".join([self.texts[x] for x in numbers.tolist()]).split(b";", 1)
+        a, b = ([int(x) for x in ids.split(b",")] for ids in first.split(b"|"))
+        prefix = self.tokenizers.ends(a, "a", at), self.tokenizers.ends(b, "b", at)
+        closed = Groups(text, n_a - len(a), n_b - len(b), self.links_of(numbers)[1:])
+        return True, Fragment(prefix, closed, (NO_TOKENS, NO_TOKENS))
+
     def links_of(self, numbers: np.ndarray) -> np.ndarray:
         """The id pairs of chunks, one after the other."""
         n = self.sizes[numbers, 2]
@@ -443,13 +493,17 @@ def _first_end(part: Fragment) -> int:
 def _align_ranges(paths: tuple[str, str]):
     """Ranges to the open ends and the closed groups of their fragments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = aligner(paths).tokenizers
+        own = aligner(paths).use(None)
+        both = own.tokenizers
         for batch in batches:
             for row in batch.to_pylist():
-                a = next(both.ids_a([row["part_a"]])) if row["part_a"] else []
-                b = next(both.ids_b([row["part_b"]])) if row["part_b"] else []
-                good = both.read(row["part_a"], a, "a") and both.read(row["part_b"], b, "b")
-                part = fragment(both.ends(a, "a", row["at_a"]), both.ends(b, "b", row["at_b"])) if good else EMPTY
+                if row["at_a"] == row["at_b"] and row["part_a"] == row["part_b"] and len(row["part_a"]) > 1 and both.cuts:
+                    good, part = own.fragment(row["part_a"], row["at_a"])
+                else:
+                    a = next(both.ids_a([row["part_a"]])) if row["part_a"] else []
+                    b = next(both.ids_b([row["part_b"]])) if row["part_b"] else []
+                    good = both.read(row["part_a"], a, "a") and both.read(row["part_b"], b, "b")
+                    part = fragment(both.ends(a, "a", row["at_a"]), both.ends(b, "b", row["at_b"])) if good else EMPTY
                 out = [_open_row(row["key"], row["id"], row["no"], good, part)]
                 if part.closed is not None and part.closed.n_a:
                     out.append(_closed_row(row["key"], row["id"], _first_end(part), part.closed))
