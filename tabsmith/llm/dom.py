@@ -1,4 +1,4 @@
-"""A small, forgiving HTML tree for text extraction.
+"""A small, forgiving HTML tree for text extraction, in time linear in the page.
 
 Block elements are nodes; inline elements are not, but links are counted.  A node
 keeps its own text in runs, so text before and after a child stays apart.
@@ -8,6 +8,7 @@ Scripts, styles and other elements without readable text leave nothing.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 #: Fixed values of the HTML standard.
@@ -21,7 +22,11 @@ CLOSES_P = frozenset("address article aside blockquote details div dl fieldset f
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"})}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+#: A tag by the rules of the standard: quotes count only right after ``=``, and what
+#: is open at the page's end takes the rest.  Nothing is given back (``*+``), so a
+#: page is read once, however its tags are broken.
+_ATTRIBUTE = r"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+"
+TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)(>|\Z)|<(?:[!?]|/(?=[^a-zA-Z]))[^>]*+(?:>|\Z)", re.S | re.A)
 ATTRIBUTES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -42,6 +47,8 @@ def parse(html: str) -> tuple[Node, list[Node]]:
     root = Node("body", "", None)
     nodes, stack, links, order = [root], [root], 0, 0
     at, end, fresh = 0, len(html), True
+    #: Places of the open elements of each kind, so that none is searched for in the stack.
+    places: dict[str, list[int]] = {}
 
     def text(raw: str):
         nonlocal fresh, order
@@ -52,15 +59,17 @@ def parse(html: str) -> tuple[Node, list[Node]]:
             raw = unescape(raw)
         if fresh or not node.runs:
             order += 1
-            node.runs.append([order, raw])
+            node.runs.append([order, [raw]])
             fresh = False
         else:
-            node.runs[-1][1] += raw
+            node.runs[-1][1].append(raw)
         if links:
             node.linked += len(raw)
 
     def close(index: int):
         nonlocal fresh
+        for node in stack[index:]:
+            places[node.tag].pop()
         del stack[index:]
         fresh = True
 
@@ -73,7 +82,7 @@ def parse(html: str) -> tuple[Node, list[Node]]:
             text(html[at:m.start()])
         at = m.end()
         tag = m.group(2)
-        if tag is None:
+        if tag is None or not m.group(4):        # a comment, or a tag that never ends
             continue
         tag, closing = tag.lower(), m.group(1)
         if tag in RAW:
@@ -96,10 +105,8 @@ def parse(html: str) -> tuple[Node, list[Node]]:
                 root.tokens = _tokens(m.group(3))
             continue
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
+            if places.get(tag):
+                close(places[tag][-1])
             links = 0
             continue
         links = 0
@@ -112,20 +119,20 @@ def parse(html: str) -> tuple[Node, list[Node]]:
                     break
         elif tag in ENDS:
             kinds, limits = ENDS[tag]
-            cut = None
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in limits:
-                    break
-                if stack[i].tag in kinds:
-                    cut = i
-            if cut is not None:
-                close(cut)
+            limit = max((places[t][-1] for t in limits if places.get(t)), default=0)
+            inside = [places[t][i] for t in kinds if (i := bisect_right(places.get(t, ()), limit)) < len(places.get(t, ()))]
+            if inside:
+                close(min(inside))
         node = Node(tag, _tokens(m.group(3)), stack[-1])
         stack[-1].children.append(node)
         nodes.append(node)
         fresh = True
         if not m.group(3).endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
+    for node in nodes:
+        for run in node.runs:
+            run[1] = "".join(run[1])
     return root, nodes
 
 

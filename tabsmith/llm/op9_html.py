@@ -34,6 +34,7 @@ from . import boosted
 from .dom import Node, block_texts, parse
 
 SAMPLE_PAGES, TRAIN_PAGES, SAMPLE_TEXTS = 300, 1200, 20      # bounds of the fit
+SAMPLE_WORDS, LEAST_CHARS = 120, 20     # of a text that is laid out anew: its first words, if it has more characters
 RUN_PAGES = 256
 
 #: Attribute tokens by what they speak for.
@@ -302,13 +303,15 @@ def _sample_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for html in batch.column(0).to_pylist():
             _, nodes = parse(html or "")
             texts = [" ".join(t.split()) for n in nodes for _, t in n.runs]
-            out += [" ".join(t.split()[:120]) for t in texts if len(t) > 20][:SAMPLE_TEXTS]
+            out += [" ".join(t.split()[:SAMPLE_WORDS]) for t in texts if len(t) > LEAST_CHARS][:SAMPLE_TEXTS]
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> boosted.Forest:
     """Fits the trees on texts of at most ``SAMPLE_PAGES`` pages, those with the
-    smallest hashes of their ids.  Of rows that repeat an id (or have none) the one
+    smallest hashes of their ids, ``SAMPLE_TEXTS`` texts of a page and
+    ``SAMPLE_WORDS`` words of a text at most; texts of no more than
+    ``LEAST_CHARS`` characters are left out.  Only the fit is so bounded.  Of rows that repeat an id (or have none) the one
     with the smallest hash of the page counts."""
     ids = pages.select(F.col(f"`{id_col}`").alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PAGES)
     sample = pages.select(F.col(f"`{html_col}`").alias("html"), F.col(f"`{id_col}`").alias("page"))
