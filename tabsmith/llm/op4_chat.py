@@ -1,9 +1,9 @@
 """Chat formatting with typed content parts.
 
 A message is a list of typed parts.  The visitor :func:`visit_parts` flattens
-them, in order, into one string: text parts are escaped and copied, image, audio
-and document parts become placeholders, each with an attachment reference and
-the number of tokens into which the placeholder expands.  A conversation is its
+them, in order, into one string: text parts are copied (neighbours are joined,
+then escaped), image, audio and document parts become placeholders, each with an
+attachment reference and the number of tokens into which the placeholder expands.  A conversation is its
 turns in order between ``<s>`` and ``</s>``, a turn being
 
     <|role|>ROLE<|text|>FLATTENED<|end|>
@@ -21,8 +21,9 @@ blocks), so one very long conversation is not sorted row by row in one task.
 
 Defined cases: null text or null parts are empty; a null role is empty; rows are
 ordered by turn (null first), then role, then text, and repeated rows stay; a
-null conversation id is a conversation of its own; parts of unknown type are
-kept as placeholders that expand to no token; an empty table gives none; extra
+null conversation id is a conversation of its own; parts of any other type are
+kept as placeholders ``<|unknown|>`` that expand to no token, their type and
+reference among the attachments; an empty table gives none; extra
 columns are ignored.
 """
 
@@ -37,6 +38,8 @@ from .common import barrier
 
 PART_TYPE = ("struct<type:string,text:string,ref:string,width:int,height:int,"
              "seconds:double,pages:int>")
+#: Types whose placeholder bears their name.
+PLACEHOLDERS = ("image", "audio", "document")
 ROLE, TEXT, END, BOS, EOS = "<|role|>", "<|text|>", "<|end|>", "<s>", "</s>"
 #: First character, escapes so far, and the rest of any control string.
 CONTROL = r"(<|\[)(\\*)(\||/?s>|/?INST\])"
@@ -77,12 +80,33 @@ def _expanded(part: Column) -> Column:
 def visit_parts(parts: Column) -> tuple[Column, Column]:
     """(flattened text, attachments) of a message's parts, in order."""
     parts = F.coalesce(parts, F.array().cast(f"array<{PART_TYPE}>"))
-    flat = F.transform(parts, lambda p: F.when(p["type"] == "text", escape(F.coalesce(p["text"], F.lit(""))))
-                       .otherwise(F.concat(F.lit("<|"), escape(F.coalesce(p["type"], F.lit("unknown"))), F.lit("|>"))))
+    is_text = lambda p: p["type"].eqNullSafe("text")
+    texts = F.transform(parts, lambda p: F.when(is_text(p), F.coalesce(p["text"], F.lit(""))).otherwise(F.lit("")))
+    other = F.filter(F.transform(parts, lambda p, i: F.struct(
+        (i + 1).alias("at"), (~is_text(p)).alias("other"),
+        F.when(p["type"].isin(*PLACEHOLDERS), p["type"]).otherwise(F.lit("unknown")).alias("name"))), lambda p: p["other"])
+    # An array of one element, so that both are worked out once.
+    flat = F.element_at(F.transform(F.array(F.struct(texts.alias("texts"), other.alias("other"))), _flatten), 1)
     attached = F.transform(F.filter(parts, lambda p: ~p["type"].eqNullSafe("text")),
                            lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"),
                                               _expanded(p).alias("n_tokens")))
-    return F.array_join(flat, ""), attached
+    return flat, attached
+
+
+def _flatten(parts: Column) -> Column:
+    """Neighbouring texts are joined before they are escaped, so that no control
+    string can come about where they meet."""
+    texts, other = parts["texts"], parts["other"]
+
+    def run(begin: Column, end: Column) -> Column:
+        return escape(F.array_join(F.slice(texts, begin, end - begin), ""))
+
+    def begin(i: Column) -> Column:
+        return F.when(i == 0, F.lit(1)).otherwise(F.get(other, i - 1)["at"] + 1)
+
+    return F.concat(
+        F.array_join(F.transform(other, lambda p, i: F.concat(run(begin(i), p["at"]), F.lit("<|"), p["name"], F.lit("|>"))), ""),
+        run(begin(F.size(other)), F.size(texts) + 1))
 
 
 def format_conversations(messages: DataFrame, id_col: str = "conv_id", turn_col: str = "turn",
