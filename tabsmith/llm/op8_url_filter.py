@@ -5,7 +5,7 @@ without a join: level 1 encodes the listed keys; the keys of the corpus that it
 lets through by mistake are encoded in level 2, the listed keys that level 2
 lets through by mistake in level 3, and so on until a level makes no mistake.
 Building it needs the distinct keys of the whole corpus (hosts and their parent
-domains, pre-aggregated before the shuffle, so one very common host costs a row
+domains, of no more labels than the longest listed host has; pre-aggregated before the shuffle, so one very common host costs a row
 per task).  Only the bits of the levels, whose size follows the number of
 *listed* keys and is checked, reach the plan, as array literals; a page is
 judged where it is read, in generated code.
@@ -59,12 +59,13 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
-def host_keys(host: Column) -> Column:
-    """The host and all its parent domains."""
-    labels = F.split(host, r"\.")
+def host_keys(host: Column, most: int) -> Column:
+    """The host and its parent domains of up to ``most`` labels (the host itself
+    only if it has no more): no other can be a listed host of so many labels."""
+    labels = F.regexp_count(host, F.lit(r"\.")) + 1
     return F.when(host == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size(labels)),
-                    lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+        F.transform(F.sequence(F.lit(1), F.least(labels, F.lit(max(1, most)))),
+                    lambda i: F.call_function("substring_index", host, F.lit("."), -i)))
 
 
 def rule_column(rules: Sequence[Rule], host: Column, path: Column, value) -> Column:
@@ -158,22 +159,23 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame, url_
     host, path = split_url(F.col("__url"))
     parts = url.select(*[F.col(f"`{c}`") for c in keep], host.alias("__host"), path.alias("__path"))
     hosts = parts.select(F.col("__host").alias("h")).groupBy("h").count()
-    keys = hosts.select(F.explode(host_keys(F.col("h"))).alias("key")).groupBy("key").count().select("key")
     column = listed.columns[0]
     blocked = (listed.select(ascii_lower(F.col(f"`{column}`")).alias("key"))
                .where("key is not null and key <> ''").distinct().withColumn("hit", F.lit(True)))
+    most = blocked.agg(F.max(F.regexp_count("key", F.lit(r"\.")) + 1)).head()[0] or 1
+    keys = hosts.select(F.explode(host_keys(F.col("h"), most)).alias("key")).groupBy("key").count().select("key")
     universe = materialize(keys.join(blocked, "key", "left")
                            .select("key", F.coalesce("hit", F.lit(False)).alias("listed")), "url-keys")
     levels = build_cascade(universe, max_bits)
     host, path = F.col("__host"), F.col("__path")
     if levels is None:
-        bad = (hosts.select("h", F.explode(host_keys(F.col("h"))).alias("key"))
+        bad = (hosts.select("h", F.explode(host_keys(F.col("h"), most)).alias("key"))
                .join(universe.where("listed").select("key"), "key", "left_semi")
                .groupBy("h").count().select("h", F.lit(True).alias("__bad")))
         parts = parts.join(bad, host == F.col("h"), "left")
         is_listed = F.coalesce("__bad", F.lit(False))
     elif levels:
-        is_listed = F.exists(host_keys(host), lambda k: contains(levels, k))
+        is_listed = F.exists(host_keys(host, most), lambda k: contains(levels, k))
     else:
         is_listed = F.lit(False)
     return parts.select(
