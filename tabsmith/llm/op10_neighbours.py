@@ -16,8 +16,9 @@ the table is, and the k-th best so far carries over from tile to tile.
 Defined cases: vectors that are null, zero or that hold null or non-finite
 components take no part; vectors of one length are searched among their own
 kind; rows that repeat an id all count, as queries and as candidates, and a
-query id gets the k best of its rows; ties go to the smaller id; fewer than k
-candidates give fewer rows; an empty table gives none; extra columns are ignored.
+query id gets the k best of its rows; ties go to the smaller id; products beyond
+a double's range count as they come, infinite or, before all others, not a number
+(as SQL orders them); fewer than k candidates give fewer rows; an empty table gives none; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from tabsmith.session import materialize
 
 #: Rows of a block, and the queries that meet a candidate block at a time.
-QUERY_BLOCK, CANDIDATE_BLOCK, SLICE = 4096, 4096, 256
+QUERY_BLOCK, CANDIDATE_BLOCK, SLICE = 16384, 4096, 256
 BLOCK_SCHEMA = "dim int, block long, n int, ids binary, vectors binary"
 FOUND_SCHEMA = "query_id long, vec_id long, score double"
 _EPS = np.finfo(np.float64).eps
@@ -88,7 +89,8 @@ class Best:
     def __init__(self, query_ids: np.ndarray, vectors: np.ndarray, k: int):
         self.query_ids, self.vectors, self.k = query_ids, vectors, k
         self.scores = np.full((len(query_ids), k), -np.inf)
-        self.found = np.full((len(query_ids), k), np.iinfo(np.int64).max)
+        self.found = np.zeros((len(query_ids), k), np.int64)
+        self.there = np.zeros((len(query_ids), k), bool)           # places that are taken
         self.codes = quantise(vectors)
 
     def tile(self, ids: np.ndarray, vectors: np.ndarray) -> None:
@@ -98,24 +100,31 @@ class Best:
 
     def _slice(self, at: slice, ids: np.ndarray, vectors: np.ndarray, codes) -> None:
         k = self.k
-        near, bound = tile_bounds([x[at] for x in self.codes], codes, vectors.shape[1])
+        with np.errstate(over="ignore", invalid="ignore"):
+            near, bound = tile_bounds([x[at] for x in self.codes], codes, vectors.shape[1])
+            lower, upper = near - bound, near + bound
+        # Where a product or its bound overflows nothing is known of it.
+        known = np.isfinite(lower) & np.isfinite(upper)
         own = self.query_ids[at][:, None] == ids[None, :]
-        floor = self.scores[at, -1]
+        floor = np.where(self.there[at, -1], self.scores[at, -1], -np.inf)
         if len(ids) > k:
-            lower = np.where(own, -np.inf, near - bound)
-            floor = np.maximum(floor, np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k])
-        stay = ~own & (near + bound >= floor[:, None])
+            lower = np.where(own | ~known, -np.inf, lower)
+            floor = np.fmax(floor, np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k])
+        stay = ~own & ~(known & (upper < floor[:, None]))
         for i in np.flatnonzero(stay.any(axis=1)):
             q, which = at.start + i, np.flatnonzero(stay[i])
             # Summed row by row, so that equal vectors get equal scores.
-            exact = (vectors[which] * self.vectors[q]).sum(axis=1)
-            scores = np.concatenate([self.scores[q], exact])
-            found = np.concatenate([self.found[q], ids[which]])
-            order = np.lexsort((found, -scores))[:k]
-            self.scores[q], self.found[q] = scores[order], found[order]
+            with np.errstate(over="ignore", invalid="ignore"):
+                exact = (vectors[which] * self.vectors[q]).sum(axis=1)
+            held = self.there[q]
+            scores = np.concatenate([self.scores[q][held], exact])
+            found = np.concatenate([self.found[q][held], ids[which]])
+            order = np.lexsort((found, -scores, ~np.isnan(scores)))[:k]
+            self.scores[q, :len(order)], self.found[q, :len(order)] = scores[order], found[order]
+            self.there[q, :len(order)] = True
 
     def rows(self) -> pa.RecordBatch:
-        q, at = np.nonzero(np.isfinite(self.scores))
+        q, at = np.nonzero(self.there)
         return pa.RecordBatch.from_pydict({"query_id": self.query_ids[q], "vec_id": self.found[q, at],
                                            "score": self.scores[q, at]})
 
