@@ -37,6 +37,14 @@ def safe(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def numbered(df: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """The table with its columns called ``c0``, ``c1`` and on, so that no name of
+    its own can clash with one that an operator adds, and what the wanted columns
+    are called there."""
+    names = df.columns
+    return df.toDF(*[f"c{i}" for i in range(len(names))]), [f"c{names.index(n)}" for n in wanted]
+
+
 def barrier(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns that the optimizer can't copy into later expressions: what
     stands inside a lambda would otherwise be computed for every element."""

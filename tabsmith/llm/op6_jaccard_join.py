@@ -27,8 +27,9 @@ all links come from star contraction.
 
 Defined cases: null and empty texts, and texts without words, have an empty set
 and are linked with nothing; with fewer words than a shingle the whole sequence
-is the one shingle; repeated rows are copies, rows that share an id count as one
-document; rows with a null id are returned with a null component and link
+is the one shingle; repeated rows are copies; rows that share an id count as one
+document, linked with all that any of its texts is linked with, and have one
+component; rows with a null id are returned with a null component and link
 nothing; extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -43,6 +44,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import materialize
 
+from .common import numbered
 from .components import connected_components, stars
 from .shingles import WIDTH, runs_of_texts, shingle_hashes
 
@@ -466,18 +468,37 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .select("unit", "node", "s1", "s2", "text")
              .repartition("unit").sortWithinPartitions("unit", "s1", "s2", "node"))
     links = found.mapInArrow(_family_links, "u long, v long")
+    several = materialize(_several_texts(known), "several-texts")
+    # The texts of one id are linked by it.
+    own = known.join(several, "doc_id").join(classes.select("s1", "s2", "first_id"), ["s1", "s2"]).select("doc_id", "first_id")
+    tied = own.join(own.groupBy("doc_id").agg(F.min("first_id").alias("least")), "doc_id").where("first_id <> least")
+    links = links.unionByName(tied.select(F.col("first_id").alias("u"), F.col("least").alias("v")))
     components = connected_components(links, "components")
 
     class_of = classes.join(components, F.col("first_id") == F.col("node"), "left").select(
         F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.coalesce("component", "first_id").alias("component"))
-    labelled = known.join(class_of, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")), "left")
+    # A row without words has the component that the id has by its other texts.
+    of_id = own.join(components, F.col("first_id") == F.col("node"), "left").groupBy(F.col("doc_id").alias("id")).agg(
+        F.min(F.coalesce("component", "first_id")).alias("by_id"))
+    labelled = (known.join(class_of, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")), "left")
+                .join(_bounded(materialize(of_id, "component-of-id")), F.col("doc_id") == F.col("id"), "left"))
     return labelled.select(
         F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("by_id", "component", "doc_id")).alias("component_id"))
+
+
+def _several_texts(known: DataFrame) -> DataFrame:
+    """Ids that have rows of different sets (a set without words is one too)."""
+    ends = [e(F.coalesce(c, F.lit(0))).alias(f"{name}_{c}") for c in ("s1", "s2") for name, e in (("low", F.min), ("high", F.max))]
+    ends += [F.min("n").alias("low_n"), F.max("n").alias("high_n")]
+    return (known.where("doc_id is not null").groupBy("doc_id").agg(*ends)
+            .where("low_s1 <> high_s1 or low_s2 <> high_s2 or low_n <> high_n").select("doc_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay: of every component the one with the smallest id."""
-    found = materialize(jaccard_join(docs, id_col, text_col).where(f"`{id_col}` <> component_id")
-                        .select(F.col(f"`{id_col}`").alias("__gone")).distinct(), "near-copies")
-    return docs.join(_bounded(found), F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    names = docs.columns
+    docs, (id_col, text_col) = numbered(docs, id_col, text_col)
+    found = materialize(jaccard_join(docs, id_col, text_col).where(f"{id_col} <> component_id")
+                        .select(F.col(id_col).alias("gone")).distinct(), "near-copies")
+    return docs.join(_bounded(found), F.col(id_col) == F.col("gone"), "left_anti").toDF(*names)

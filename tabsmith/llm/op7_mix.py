@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import materialize
 
-from .common import SPACE_CLASS, safe, word_count
+from .common import SPACE_CLASS, numbered, safe, word_count
 
 #: Rows a range cell holds on average; only a source's last cell is sorted.
 ROWS_PER_CELL = 1024
@@ -166,6 +166,8 @@ def apply_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float
     takes words of a document.  The one row per source at which its budget ends
     holds the words that the budget still takes; ``length_col``, if given, is
     set to that text's characters."""
+    names, kinds = docs.columns, [f.dataType for f in docs.schema.fields]
+    docs, (id_col, source_col, text_col) = numbered(docs, id_col, source_col, text_col)
     keyed = _keyed(docs, seed, id_col, source_col, text_col)
     small = materialize(keyed.select("__mix"), "mix-keys")
     plan = materialize(plan_mix(small, weights, share, max_epochs), "mix-plan")
@@ -182,12 +184,12 @@ def apply_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float
     cut_text = F.regexp_replace(F.left(trimmed, F.length(trimmed) - F.length(behind)), f"[{SPACE_CLASS}]+$", "")
     rows = rows.withColumn("__words", F.explode(passes))
     new_text = F.when(F.col("__words") < 0, text).otherwise(cut_text)
-    columns = {c: F.col(f"`{c}`") for c in docs.columns}
+    columns = {c: F.col(c) for c in docs.columns}
     columns[text_col] = new_text
-    if length_col in columns:
-        columns[length_col] = (F.when(F.col("__words") < 0, columns[length_col])
-                               .otherwise(F.length(new_text)).cast(docs.schema[length_col].dataType))
-    return rows.select(*[c.alias(n) for n, c in columns.items()])
+    if length_col in names:
+        at = names.index(length_col)
+        columns[f"c{at}"] = F.when(F.col("__words") < 0, F.col(f"c{at}")).otherwise(F.length(new_text)).cast(kinds[at])
+    return rows.select(*[c.alias(n) for n, c in zip(names, columns.values(), strict=True)])
 
 
 ORACLE_SQL = r"""
