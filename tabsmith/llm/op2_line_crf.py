@@ -343,11 +343,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents that the classifier accepts, with all their columns."""
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(text_scores(batch.column(at), model) >= ACCEPT))
-
-    return docs.mapInArrow(run, docs.schema)
+    """The documents that the classifier accepts, with all their columns: the text
+    alone goes to Python, and its decision comes back."""
+    @F.arrow_udf("boolean")
+    def good(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            yield pa.array(text_scores(column, model) >= ACCEPT)
+
+    return docs.where(good(F.col(f"`{text_col}`")))

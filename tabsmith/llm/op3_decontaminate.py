@@ -227,19 +227,24 @@ def _records(found, id_col, item_col) -> pa.RecordBatch:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text") -> DataFrame:
-    """The documents that leak no item, with all their columns."""
-    at_text = docs.columns.index(text_col)
+    """The documents that leak no item, with all their columns: the text alone goes
+    to Python, and its decision comes back."""
     for index in _parts(benchmark, item_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast((index.item_ids, index.words))
 
-        def clean(batches, shared=shared):
-            own = Index(*shared.value)
-            for batch in batches:
-                bad = np.zeros(batch.num_rows, bool)
-                for first, words, offsets in _words(batch.column(at_text)):
-                    for t, _ in own.leaks(words, offsets):
-                        bad[first + t] = True
-                yield batch.filter(pa.array(~bad))
-
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = docs.where(_clean(shared)(F.col(f"`{text_col}`")))
     return docs
+
+
+def _clean(shared):
+    @F.arrow_udf("boolean")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = Index(*shared.value)
+        for column in texts:
+            bad = np.zeros(len(column), bool)
+            for first, words, offsets in _words(column):
+                for t, _ in own.leaks(words, offsets):
+                    bad[first + t] = True
+            yield pa.array(~bad)
+
+    return clean
