@@ -53,7 +53,7 @@ from .op13_token_counts import MARK
 #: Bytes of a range; texts of fewer bytes are one.
 RANGE_BYTES = 32768
 FAN = 16                    # neighbours composed by one step of the tree
-MAX_CHUNKS = 500_000        # remembered by one Python worker
+MAX_CHUNKS = 300_000        # remembered by one Python worker
 PART_CHUNKS = 4096          # encoded at a time: the library's results are large
 JOINED = 256                # plain chunks read together
 MAX_PAIRS = 2_000_000       # id pairs in a slice of the counts: 34 MB
@@ -326,17 +326,19 @@ class Aligner:
         self.sizes = np.concatenate([self.sizes, sizes])
         self.pairs = np.concatenate([self.pairs, pairs])
 
-    def fragment(self, part: bytes, at: int) -> tuple[bool, Fragment]:
-        """(whether it reads back, the fragment) of a range that no token crosses."""
-        ((_, numbers, begins, good),) = self.runs(pa.array([part[1:].decode()]))
-        if not good[0] or begins[1] == begins[0]:
-            return bool(good[0]), EMPTY
-        n_a, n_b, _ = (int(x) for x in self.sizes[numbers, :3].sum(axis=0))
-        first, text = b"".join([self.texts[x] for x in numbers.tolist()]).split(b";", 1)
-        a, b = ([int(x) for x in ids.split(b",")] for ids in first.split(b"|"))
-        prefix = self.tokenizers.ends(a, "a", at), self.tokenizers.ends(b, "b", at)
-        closed = Groups(text, n_a - len(a), n_b - len(b), self.links_of(numbers)[1:])
-        return True, Fragment(prefix, closed, (NO_TOKENS, NO_TOKENS))
+    def fragments(self, parts: list[bytes], places: list[int]) -> Iterator[tuple[bool, Fragment]]:
+        """(whether it reads back, the fragment) of ranges that no token crosses."""
+        for first, numbers, begins, good in self.runs(pa.array([p[1:].decode() for p in parts], pa.string())):
+            for i, at in enumerate(places[first:first + len(good)]):
+                own = numbers[begins[i]:begins[i + 1]]
+                if not good[i] or not len(own):
+                    yield bool(good[i]), EMPTY
+                    continue
+                n_a, n_b, _ = (int(x) for x in self.sizes[own, :3].sum(axis=0))
+                head, text = b"".join([self.texts[x] for x in own.tolist()]).split(b";", 1)
+                a, b = ([int(x) for x in ids.split(b",")] for ids in head.split(b"|"))
+                prefix = self.tokenizers.ends(a, "a", at), self.tokenizers.ends(b, "b", at)
+                yield True, Fragment(prefix, Groups(text, n_a - len(a), n_b - len(b), self.links_of(own)[1:]), (NO_TOKENS, NO_TOKENS))
 
     def links_of(self, numbers: np.ndarray) -> np.ndarray:
         """The id pairs of chunks, one after the other."""
@@ -490,20 +492,27 @@ def _first_end(part: Fragment) -> int:
     return int(part.prefix[0].ends[-1])
 
 
+def _fragment_of(both: Tokenizers, row: dict) -> tuple[bool, Fragment]:
+    """A range whose tokens of A and of B lie between different cuts."""
+    a = next(both.ids_a([row["part_a"]])) if row["part_a"] else []
+    b = next(both.ids_b([row["part_b"]])) if row["part_b"] else []
+    good = both.read(row["part_a"], a, "a") and both.read(row["part_b"], b, "b")
+    return good, fragment(both.ends(a, "a", row["at_a"]), both.ends(b, "b", row["at_b"])) if good else EMPTY
+
+
 def _align_ranges(paths: tuple[str, str]):
     """Ranges to the open ends and the closed groups of their fragments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(paths).use(None)
         both = own.tokenizers
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["at_a"] == row["at_b"] and row["part_a"] == row["part_b"] and len(row["part_a"]) > 1 and both.cuts:
-                    good, part = own.fragment(row["part_a"], row["at_a"])
-                else:
-                    a = next(both.ids_a([row["part_a"]])) if row["part_a"] else []
-                    b = next(both.ids_b([row["part_b"]])) if row["part_b"] else []
-                    good = both.read(row["part_a"], a, "a") and both.read(row["part_b"], b, "b")
-                    part = fragment(both.ends(a, "a", row["at_a"]), both.ends(b, "b", row["at_b"])) if good else EMPTY
+            rows = batch.to_pylist()
+            # Ranges with one cut for both tokenizers go through the memory of chunks, together.
+            whole = [r for r in rows if both.cuts and r["at_a"] == r["at_b"] and r["part_a"] == r["part_b"] and len(r["part_a"]) > 1]
+            found = own.fragments([r["part_a"] for r in whole], [r["at_a"] for r in whole])
+            found = dict(zip(map(id, whole), found, strict=True))
+            for row in rows:
+                good, part = found.get(id(row)) or _fragment_of(both, row)
                 out = [_open_row(row["key"], row["id"], row["no"], good, part)]
                 if part.closed is not None and part.closed.n_a:
                     out.append(_closed_row(row["key"], row["id"], _first_end(part), part.closed))
