@@ -44,6 +44,27 @@ def ensemble_join(frames: dict[str, DataFrame], keys: Sequence[str],
     return reduce(lambda a, b: a.join(b, list(keys), "inner"), parts)
 
 
+def ensemble_rows(long: DataFrame, keys: Sequence[str], models: Sequence[str],
+                  value_cols: Sequence[str] = VALUE_COLUMNS, strict: bool = False) -> DataFrame:
+    """What ``ensemble_join`` gives, from one long table (model, keys, values): rows are
+    grouped once by key, keys that lack a model go, and the rows of a key are combined
+    (d of each of k models: d**k).  ``strict`` raises on a key that a model repeats.
+    """
+    m, entry = F.col("model"), F.struct(*[F.col(c) for c in value_cols])
+    names = [f"_m{i}" for i in range(len(models))]
+    out = long.where(m.isin(list(models))).groupBy(*keys).agg(
+        *[F.collect_list(F.when(m == name, entry)).alias(n) for name, n in zip(models, names)])
+    out = out.where(reduce(lambda a, b: a & b, [F.size(n) > 0 for n in names]))
+    for name, n in zip(models, names):
+        if strict:
+            once = F.when(F.size(n) == 1, F.get(F.col(n), 0)).otherwise(
+                F.raise_error(F.concat(F.lit(f"{name} repeats the key "), F.to_json(F.struct(*[F.col(k) for k in keys])))))
+            out = out.withColumn(n, once)
+        else:
+            out = out.withColumn(n, F.explode(n))
+    return out.select(*keys, *[F.col(f"{n}.{c}").alias(f"{c}_{name}") for name, n in zip(models, names) for c in value_cols])
+
+
 def pivot_models(long: DataFrame, keys: Sequence[str], models: Sequence[str],
                  value_cols: Sequence[str] = VALUE_COLUMNS) -> DataFrame:
     """Long (model, keys, values) -> wide ``value_model`` columns in one
@@ -102,12 +123,13 @@ def percent(c) -> Column:
 def prediction_stats(df: DataFrame, group_cols: Sequence[str] = (),
                      prediction: str = "prediction", probability: str = "probability",
                      digits: int | None = 6) -> DataFrame:
-    """Counts, positive rate, mean / sample std of probability, confidence bands."""
+    """Counts, positive rate (of all rows, also those without a prediction), mean /
+    sample std of probability, confidence bands."""
     p = F.col(probability)
     out = df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("total_predictions"),
         F.sum(F.col(prediction)).cast("long").alias("positive_count"),
-        F.avg(F.col(prediction)).alias("positive_rate"),
+        (F.sum(F.col(prediction)).cast("double") / F.count(F.lit(1))).alias("positive_rate"),
         F.avg(p).alias("average_confidence"),
         F.stddev_samp(p).alias("confidence_std"),
         (F.count_if(p > 0.9) + F.count_if(p < 0.1)).alias("high_confidence_predictions"),

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.operators.rank import NULL_CELL, _plain_keys, running_sums
+from tabsmith.operators.rank import _plain_keys, running_sums
 from tabsmith.session import materialize
 
 DAY_SECONDS = 86400
@@ -38,7 +38,8 @@ def historical_rate(df: DataFrame, entity: Sequence[str], ts: str, tiebreak: str
 def rolling_stats(df: DataFrame, entity: Sequence[str], ts: str, value: str, window_seconds: int,
                   key: str, cell_seconds: int | None = None, prefix: str = "roll") -> DataFrame:
     """Mean, sample std, max, min and count of ``value`` over the entity's rows
-    with ts in [ts - window, ts) (the current instant excluded).
+    with ts in [ts - window, ts) (the current instant excluded).  A row without a
+    time has no earlier rows and is none: its count is 0.
 
     Each row is windowed inside its time cell; copies of the rows of the
     preceding cells that can fall inside a window (the halo) are added, so a
@@ -48,7 +49,7 @@ def rolling_stats(df: DataFrame, entity: Sequence[str], ts: str, value: str, win
     cell_seconds = cell_seconds or window_seconds
     halo = -(-window_seconds // cell_seconds)           # ceil
     us = epoch_micros(ts)
-    x = df.withColumn("_us", us).withColumn("_home", F.floor(F.col("_us") / F.lit(cell_seconds * MICROS)))
+    x = df.where(us.isNotNull()).withColumn("_us", us).withColumn("_home", F.floor(F.col("_us") / F.lit(cell_seconds * MICROS)))
     x = x.withColumn("_cell", F.explode(F.sequence(F.col("_home"), F.col("_home") + F.lit(halo))))
     w = (Window.partitionBy(*entity, "_cell").orderBy("_us")
          .rangeBetween(-window_seconds * MICROS, -1))
@@ -60,7 +61,9 @@ def rolling_stats(df: DataFrame, entity: Sequence[str], ts: str, value: str, win
         F.max(v).over(w).alias(f"{prefix}_max"),
         F.min(v).over(w).alias(f"{prefix}_min"),
         F.count(v).over(w).alias(f"{prefix}_count"))
-    return out.filter(F.col("_cell") == F.col("_home")).drop("_cell", "_home")
+    out = out.filter(F.col("_cell") == F.col("_home")).drop("_cell", "_home")
+    none = {f"{prefix}_{c}": F.lit(None).cast("double") for c in ("mean", "std", "max", "min")}
+    return out.unionByName(df.where(us.isNull()).withColumns({**none, f"{prefix}_count": F.lit(0).cast("long")}))
 
 
 def calendar_parts(ts: str) -> dict[str, Column]:
@@ -100,7 +103,7 @@ def rolling_stats_cells(df: DataFrame, entity: Sequence[str], ts: str, value: st
          that cell, found by an as-of lookup windowed per (entity, cell).
     Every window is per (entity, cell), so an entity with a huge share of the
     rows is spread over its cells.  ``key`` is not relied on: nulls and doubles
-    in it are fine.
+    in it are fine.  Rows without a time take no part and get a count of 0.
     """
     if window_seconds % cell_seconds:
         raise ValueError("window_seconds must be a multiple of cell_seconds")
@@ -113,7 +116,7 @@ def rolling_stats_cells(df: DataFrame, entity: Sequence[str], ts: str, value: st
     key = "_rid"
     x, entity = _plain_keys(base, entity)
     x = x.select(*entity, "_rid", epoch_micros(ts).alias("_us"), F.col(value).cast("double").alias("_v")) \
-        .withColumn("_c", F.coalesce(F.floor(F.col("_us") / F.lit(cell_seconds * MICROS)), F.lit(NULL_CELL)))
+        .where("_us is not null").withColumn("_c", F.floor(F.col("_us") / F.lit(cell_seconds * MICROS)))
     # Sums of squares are taken around the entity's mean, so large values with a
     # small spread keep their digits.
     means = x.groupBy(*entity).agg(F.avg("_v").alias("_m"))
@@ -159,4 +162,5 @@ def rolling_stats_cells(df: DataFrame, entity: Sequence[str], ts: str, value: st
         F.greatest("a_mx", "b_mx", "_hit.mx").alias(f"{prefix}_max"),
         F.least("a_mn", "b_mn", "_hit.mn").alias(f"{prefix}_min"),
         n.cast("long").alias(f"{prefix}_count"))
-    return base.join(stats, key, "inner").drop("_rid")
+    out = base.join(stats, key, "left").drop("_rid")
+    return out.withColumn(f"{prefix}_count", F.coalesce(f"{prefix}_count", F.lit(0)))

@@ -113,29 +113,56 @@ def auc_from_histogram(h: DataFrame, group_cols: Sequence[str], score: str = "pr
     return agg.select(*group_cols, auc.alias("auc_roc"))
 
 
-def stats_from_histogram(h: DataFrame, group_cols: Sequence[str], score: str = "probability",
-                         digits: int | None = 6) -> DataFrame:
-    """Prediction statistics from the histogram (sample std via sums of squares)."""
-    p = F.col(score).cast("double")
-    agg = h.groupBy(*group_cols).agg(
-        F.sum("n").cast("long").alias("total_predictions"),
-        F.sum("pred_sum").cast("long").alias("positive_count"),
-        F.sum(p * F.col("n")).alias("_s1"), F.sum(p * p * F.col("n")).alias("_s2"),
-        F.sum(F.when((p > 0.9) | (p < 0.1), F.col("n")).otherwise(0)).cast("long")
-        .alias("high_confidence_predictions"),
-        F.sum(F.when((p >= 0.4) & (p <= 0.6), F.col("n")).otherwise(0)).cast("long")
-        .alias("low_confidence_predictions"))
+def _by_cell(p, n) -> list:
+    """Sums of a cell from which means and spreads are put together: scores count from
+    the cell's least one (``_low``), so that their squares stay small."""
+    return [F.sum((p - F.col("_low")) * n).alias("_d1"), F.sum((p - F.col("_low")) * (p - F.col("_low")) * n).alias("_d2"),
+            F.max("_low").alias("_low")]
+
+
+def _with_spread(per_cell: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list]:
+    """(cells with the group's mean, aggregates ``_mean`` and ``_m2`` of the group): the
+    squares around the mean within cells and between them."""
+    every = Window.partitionBy(*group_cols)
+    out = per_cell.withColumn("_mean", F.col("_low") + F.col("_d1") / F.col("n"))
+    # The group's mean is taken from its least cell on, for the same reason.
+    out = out.withColumn("_base", F.min("_low").over(every))
+    out = out.withColumn("_all", F.col("_base") + F.sum((F.col("_mean") - F.col("_base")) * F.col("n")).over(every) / F.sum("n").over(every))
+    around = F.col("_d2") - F.col("_d1") * F.col("_d1") / F.col("n") + F.col("n") * F.pow(F.col("_mean") - F.col("_all"), F.lit(2.0))
+    return out, [F.max("_all").alias("_mean"), F.sum(around).alias("_m2")]
+
+
+def _stats_columns() -> dict:
     n = F.col("total_predictions").cast("double")
-    mean = F.col("_s1") / n
-    var = F.greatest((F.col("_s2") - n * mean * mean) / (n - 1), F.lit(0.0))
-    exprs = {"positive_rate": F.col("positive_count") / n, "average_confidence": mean,
-             "confidence_std": F.when(n > 1, F.sqrt(var))}
+    var = F.greatest(F.col("_m2"), F.lit(0.0)) / F.when(n > 1, n - 1)
+    return {"positive_rate": F.col("positive_count") / n, "average_confidence": F.col("_mean"), "confidence_std": F.sqrt(var)}
+
+
+def _confidence(p, n) -> list:
+    return [F.sum(F.when((p > 0.9) | (p < 0.1), n).otherwise(0)).alias("_hi"),
+            F.sum(F.when((p >= 0.4) & (p <= 0.6), n).otherwise(0)).alias("_lo")]
+
+
+STATS_COLUMNS = ["total_predictions", "positive_count", "positive_rate", "average_confidence", "confidence_std",
+                 "high_confidence_predictions", "low_confidence_predictions"]
+
+
+def stats_from_histogram(h: DataFrame, group_cols: Sequence[str], score: str = "probability",
+                         digits: int | None = 6, cells: int | None = None) -> DataFrame:
+    """Prediction statistics from the histogram."""
+    group_cols, p, n = list(group_cols), F.col(score).cast("double"), F.col("n")
+    x = h.withColumn("_cell", _score_cell(score, cells or default_cells(h)))
+    x = x.withColumn("_low", F.min(p).over(Window.partitionBy(*group_cols, "_cell")))
+    per_cell = x.groupBy(*group_cols, "_cell").agg(F.sum("n").alias("n"), F.sum("pred_sum").alias("pred_sum"),
+                                                   *_by_cell(p, n), *_confidence(p, n))
+    per_cell, spread = _with_spread(per_cell, group_cols)
+    agg = per_cell.groupBy(*group_cols).agg(
+        F.sum("n").cast("long").alias("total_predictions"), F.sum("pred_sum").cast("long").alias("positive_count"), *spread,
+        F.sum("_hi").cast("long").alias("high_confidence_predictions"), F.sum("_lo").cast("long").alias("low_confidence_predictions"))
+    exprs = _stats_columns()
     if digits is not None:
         exprs = {k: F.round(v, digits) for k, v in exprs.items()}
-    out = agg.withColumns(exprs)
-    return out.select(*group_cols, "total_predictions", "positive_count", "positive_rate",
-                      "average_confidence", "confidence_std", "high_confidence_predictions",
-                      "low_confidence_predictions")
+    return agg.withColumns(exprs).select(*group_cols, *STATS_COLUMNS)
 
 
 def roc_auc(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label",
@@ -195,25 +222,23 @@ def evaluate(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label"
     h = score_histogram(df, group_cols, label, score, prediction, persist=False)
     x = h.withColumn("_cell", _score_cell(score, cells))
     w = Window.partitionBy(*group_cols, "_cell").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    loc = x.withColumn("_nb", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    p = F.col(score).cast("double")
+    p, n = F.col(score).cast("double"), F.col("n")
+    loc = x.withColumns({"_nb": F.coalesce(F.sum("neg").over(w), F.lit(0)),
+                         "_low": F.min(p).over(Window.partitionBy(*group_cols, "_cell"))})
     per_cell = loc.groupBy(*group_cols, "_cell").agg(
         F.sum(F.col("pos") * (F.col("_nb") + F.col("neg") * 0.5)).alias("_in"),
         F.sum("pos").alias("_pc"), F.sum("neg").alias("_nc"),
-        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn", "n", "pred_sum")],
-        F.sum(p * F.col("n")).alias("_s1"), F.sum(p * p * F.col("n")).alias("_s2"),
-        F.sum(F.when((p > 0.9) | (p < 0.1), F.col("n")).otherwise(0)).alias("_hi"),
-        F.sum(F.when((p >= 0.4) & (p <= 0.6), F.col("n")).otherwise(0)).alias("_lo"))
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn", "n", "pred_sum")], *_by_cell(p, n), *_confidence(p, n))
     wc = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()) \
         .orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     per_cell = per_cell.withColumn("_below", F.coalesce(F.sum("_nc").over(wc), F.lit(0)))
+    per_cell, spread = _with_spread(per_cell, group_cols)
     agg = per_cell.groupBy(*group_cols).agg(
         F.sum(F.col("_in") + F.col("_pc") * F.col("_below")).alias("_area"),
         F.sum("_pc").alias("_p"), F.sum("_nc").alias("_n"),
         *[F.sum(c).cast("long").alias(c) for c in ("tp", "fp", "fn", "tn")],
         F.sum("n").cast("long").alias("total_predictions"),
-        F.sum("pred_sum").cast("long").alias("positive_count"),
-        F.sum("_s1").alias("_s1"), F.sum("_s2").alias("_s2"),
+        F.sum("pred_sum").cast("long").alias("positive_count"), *spread,
         F.sum("_hi").cast("long").alias("high_confidence_predictions"),
         F.sum("_lo").cast("long").alias("low_confidence_predictions"))
     out = metrics_from_counts(agg, digits)
@@ -221,12 +246,8 @@ def evaluate(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label"
         .otherwise(F.col("_area") / (F.col("_p").cast("double") * F.col("_n")))
     cols = [*group_cols, *METRIC_COLUMNS[:4], (F.round(auc, digits) if digits is not None else auc).alias("auc_roc")]
     if with_stats:
-        n = F.col("total_predictions").cast("double")
-        mean = F.col("_s1") / n
-        var = F.greatest((F.col("_s2") - n * mean * mean) / (n - 1), F.lit(0.0))
-        cols += ["total_predictions", "positive_count", (F.col("positive_count") / n).alias("positive_rate"),
-                 mean.alias("average_confidence"), F.when(n > 1, F.sqrt(var)).alias("confidence_std"),
-                 "high_confidence_predictions", "low_confidence_predictions"]
+        own = _stats_columns()
+        cols += [own[c].alias(c) if c in own else c for c in STATS_COLUMNS]
     return out.select(*cols)
 
 

@@ -109,6 +109,28 @@ def _random_forest(p, n_features, n_rows):
     return RandomForestClassifier(**kw), used
 
 
+#: Column that marks the rows on which boosting is watched.
+VALIDATION = "_validation"
+EARLY_STOPPING = ("n_iter_no_change", "early_stopping_rounds")
+
+
+def _early_stopping(est, p, used):
+    """Boosting ends once a further tree no longer lowers the error on held-back rows
+    by ``tol`` (Spark waits for one such tree, however many rounds are asked for)."""
+    if any(p.get(name) for name in EARLY_STOPPING):
+        est._set(validationIndicatorCol=VALIDATION, validationTol=float(p.get("tol") or 1e-4))
+        used |= {*EARLY_STOPPING, "validation_fraction", "tol"}
+
+
+def with_validation(df: DataFrame, est, params: Mapping, inputs) -> DataFrame:
+    """The rows with their mark, if the estimator asks for one: ``validation_fraction``
+    of them (a tenth, if not said) by a hash of ``inputs``, so equal rows stay together."""
+    if not est.hasParam("validationIndicatorCol") or not est.isSet("validationIndicatorCol"):
+        return df
+    share = float((params or {}).get("validation_fraction") or 0.1)
+    return df.withColumn(VALIDATION, F.pmod(F.xxhash64(*inputs), F.lit(1 << 20)) < share * (1 << 20))
+
+
 def _gbt(p, n_features, n_rows, depth_default=3):
     kw, used = {}, {"random_state"}
     used |= _only(p, "loss", ("log_loss", "deviance", "logistic"))
@@ -123,7 +145,9 @@ def _gbt(p, n_features, n_rows, depth_default=3):
     _common(kw, p, used, "subsample", "subsamplingRate", conv=float)
     _common(kw, p, used, "min_samples_leaf", "minInstancesPerNode", conv=int)
     kw["seed"] = int(p.get("random_state", 42))
-    return GBTClassifier(**kw), used
+    est = GBTClassifier(**kw)
+    _early_stopping(est, p, used)
+    return est, used
 
 
 def _xgboost(p, n_features, n_rows):
@@ -246,6 +270,7 @@ def fit_model(df: DataFrame, features: Sequence[str], model_type: str, params: M
     train = df if label == "label" else df.withColumnRenamed(label, "label")
     cols = [*features, "label"] + ([weight_col] if weight_col else [])
     train = train.select(*cols).withColumn("label", F.col("label").cast("double"))
+    train = with_validation(train, est, params, [F.col(f"`{c}`") for c in [*features, "label"]])
     # the learners read their input several times: keep the projected rows
     # (memory, spilling to disk; lost blocks are recomputed from lineage)
     if not keep_rows:

@@ -62,13 +62,19 @@ def average_ranks(df: DataFrame, key: str, columns: Sequence[str], cells: int |
 
 
 def correlations(df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
-    """(feature_a, feature_b, corr) of all pairs, over the rows that have both."""
+    """(feature_a, feature_b, corr) of all pairs, over the rows that have both; null
+    where one of them has no spread."""
     names = list(names or columns)
     pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
-    row = df.agg(*[F.corr(F.col(f"`{columns[i]}`").cast("double"), F.col(f"`{columns[j]}`").cast("double")).alias(f"c{i}_{j}")
-                   for i, j in pairs])
+    x = [F.col(f"`{c}`").cast("double") for c in columns]
+
+    def corr(i, j):
+        spread = F.stddev_pop(F.when(x[j].isNotNull(), x[i])) * F.stddev_pop(F.when(x[i].isNotNull(), x[j]))
+        return F.when(spread > 0, F.covar_pop(x[i], x[j]) / F.when(spread > 0, spread))
+
+    row = df.agg(*[corr(i, j).alias(f"c{i}_{j}") for i, j in pairs])
     cells = [F.struct(F.lit(names[i]).alias("feature_a"), F.lit(names[j]).alias("feature_b"), F.col(f"c{i}_{j}").alias("corr"))
              for i, j in pairs]
     return row.select(F.explode(F.array(*cells)).alias("p")).select("p.*")

@@ -16,6 +16,9 @@ candidate into a ParamMap for ``Estimator.fit`` / ``copy``.
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
 import os
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -23,14 +26,15 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasOutputCol, HasPredictionCol, HasProbabilityCol,
-                                     HasRawPredictionCol)
+                                     HasRawPredictionCol, HasWeightCol)
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabsmith.functions.hashing import hash_hex, hash_unit
 from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
 
@@ -103,7 +107,7 @@ def _with_columns(stage, **columns):
 # ---------------------------------------------------------------- classifiers of the registry
 
 class ConfiguredClassifier(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol,
-                           HasRawPredictionCol, _Saved):
+                           HasRawPredictionCol, HasWeightCol, _Saved):
     """A model type of the registry; parameters that depend on the data (numbers of
     features and rows) are worked out in ``fit``, which gives the Spark ML model."""
 
@@ -122,13 +126,17 @@ class ConfiguredClassifier(Estimator, HasFeaturesCol, HasLabelCol, HasPrediction
         est, ignored = md.create_estimator(self.getOrDefault("modelType"), self.getOrDefault("modelParams"), n_features, n_rows)
         for column in ("featuresCol", "labelCol", *OUTPUTS):
             est._set(**{column: self.getOrDefault(column)})
+        if self.isSet("weightCol"):
+            est.setWeightCol(self.getWeightCol())
         return est, ignored
 
     def _fit(self, dataset: DataFrame):
         kind = self.getOrDefault("modelType")
         n_features = len(vector_names(dataset, self.getFeaturesCol())) if kind == "mlp" else 1
         n_rows = dataset.count() if kind == "logistic_reg" else 1
-        return self.estimator(n_features, n_rows)[0].fit(dataset)
+        est, params = self.estimator(n_features, n_rows)[0], self.getOrDefault("modelParams")
+        inputs = [vector_to_array(F.col(f"`{self.getFeaturesCol()}`")), F.col(f"`{self.getLabelCol()}`")]
+        return est.fit(md.with_validation(dataset, est, params, inputs))
 
 
 def vector_names(df: DataFrame, column: str) -> list[str]:
@@ -351,6 +359,93 @@ class StackingModel(Model, _StackColumns, _Saved):
         return out.drop(f"{self.uid}_meta", *[self._meta(i) for i in range(n)])
 
 
+# ---------------------------------------------------------------- bagging
+
+#: Cumulative Poisson(1) probabilities P(K <= i), until what is left is below the
+#: resolution of a double in [0, 1): no draw is cut off.
+POISSON1 = list(itertools.accumulate(math.exp(-1.0) / math.factorial(i) for i in range(20)))
+
+
+def bootstrap_weight(key: str, salt: str):
+    """How often a row is drawn: Poisson(1) by the inverse of a hash of its key, so
+    sampling with replacement makes no copies."""
+    u, w = hash_unit(hash_hex([key], salt)), F.lit(len(POISSON1))
+    for i in reversed(range(len(POISSON1))):
+        w = F.when(u < F.lit(POISSON1[i]), F.lit(i)).otherwise(w)
+    return w.cast("double")
+
+
+class BaggingClassifier(Estimator, _StackColumns, _Saved):
+    """``numModels`` copies of a base (one that takes row weights), each fitted on
+    bootstrap weights of the rows; their probabilities are averaged."""
+
+    STAGE_PARAMS = ("estimator",)
+    estimator = Param(Params._dummy(), "estimator", "the estimator that is fitted on each draw")
+    numModels = Param(Params._dummy(), "numModels", "draws", typeConverter=TypeConverters.toInt)
+    idCol = Param(Params._dummy(), "idCol", "key by whose hash rows are drawn", typeConverter=TypeConverters.toString)
+    seed = Param(Params._dummy(), "seed", "seed of the draws", typeConverter=TypeConverters.toInt)
+    name = Param(Params._dummy(), "name", NAME_DOC, typeConverter=TypeConverters.toString)
+
+    def __init__(self, estimator: Estimator | None = None, numModels: int = 10, idCol: str = "row_id", featuresCol: str = md.FEATURES,
+                 labelCol: str = "label", seed: int = 42, name: str = "bagging"):
+        super().__init__()
+        self._setDefault(predictionCol="prediction_d", probabilityCol=md.PROB_VEC, rawPredictionCol="raw_prediction")
+        self._set(estimator=estimator or ConfiguredClassifier("decision_tree"), numModels=numModels, idCol=idCol,
+                  featuresCol=featuresCol, labelCol=labelCol, seed=seed, name=name)
+
+    def copy(self, extra=None):
+        out = super().copy(extra)
+        return out._set(estimator=out.getOrDefault("estimator").copy(extra))
+
+    def _nested(self):
+        return {"estimator": [self.getOrDefault("estimator")]}
+
+    @classmethod
+    def _of(cls, nested, facts):
+        return cls(nested["estimator"][0])
+
+    def _fit(self, dataset: DataFrame) -> BaggingModel:
+        weight = f"{self.uid}_weight"
+        rows = dataset.select(F.col(f"`{self.getOrDefault('idCol')}`").alias(f"{self.uid}_id"), self.getFeaturesCol(),
+                              self.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            models = []
+            for i in range(self.getOrDefault("numModels")):
+                drawn = rows.withColumn(weight, bootstrap_weight(f"{self.uid}_id", f"{self.getOrDefault('seed')}|bag{i}"))
+                base = _with_columns(self.getOrDefault("estimator"), featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
+                                     weightCol=weight, **self._columns(i))
+                models.append(base.fit(drawn))
+        finally:
+            rows.unpersist()
+        out = BaggingModel(models)
+        out._resetUid(self.uid)
+        return out._set(featuresCol=self.getFeaturesCol(), **{c: self.getOrDefault(c) for c in OUTPUTS})
+
+
+class BaggingModel(Model, _StackColumns, _Saved):
+    """Fitted draws; adds the mean probability, and the decision by it."""
+
+    def __init__(self, bases: Sequence[Model] = ()):
+        super().__init__()
+        self.bases = list(bases)
+
+    def _nested(self):
+        return {"bases": self.bases}
+
+    @classmethod
+    def _of(cls, nested, facts):
+        return cls(nested["bases"])
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = dataset
+        for i, model in enumerate(self.bases):
+            out = self._add_base(out, model, i)
+        p = functools.reduce(lambda a, b: a + b, [F.col(self._meta(i)) for i in range(len(self.bases))]) / len(self.bases)
+        vector = array_to_vector(F.array(1 - p, p))
+        return out.withColumns({self.getRawPredictionCol(): vector, self.getProbabilityCol(): vector,
+                                self.getPredictionCol(): (p >= 0.5).cast("double")}).drop(*[self._meta(i) for i in range(len(self.bases))])
+
+
 # ---------------------------------------------------------------- configuration and nested names
 
 def pipeline_from_config(model: Mapping, features: Sequence[str], n_folds: int = 5, id_col: str = "row_id") -> Pipeline:

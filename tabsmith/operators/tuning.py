@@ -306,7 +306,7 @@ def halving_candidates(space: Mapping, n_rows: int, n_candidates: int | str = "e
 
 def halving_search(ranked_rows: DataFrame, features: Sequence[str], model_type: str | Estimator,
                    candidates: Sequence[Mapping], schedule, k: int = 3, metric: str = "recall",
-                   seed: int = 42, rank_col: str = "sample_rank", parallelism: int = 4) -> DataFrame:
+                   seed: int = 42, rank_col: str = "sample_rank", parallelism: int = 4, key: str = "row_id") -> DataFrame:
     """Successive halving: round i scores the surviving candidates on the rows
     with ``sample_rank <= resources_i`` (nested samples; ``sampling.nested_order``
     keeps the label's shares in each) and keeps the best
@@ -316,7 +316,7 @@ def halving_search(ranked_rows: DataFrame, features: Sequence[str], model_type:
     logs = []
     for i, (rnd, resources, _) in enumerate(schedule):
         sample = ranked_rows.filter(F.col(rank_col) <= resources)
-        folded = kfold(sample, "row_id", k, seed, strata=["label"]).cache()
+        folded = kfold(sample, key, k, seed, strata=["label"]).cache()
         try:
             trials = score_candidates(folded, features, model_type, [candidates[j] for j in alive],
                                       range(1, k + 1), metric, run_id=rnd, parallelism=parallelism)

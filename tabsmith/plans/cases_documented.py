@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.operators import history as hist
 from tabsmith.operators import scaling as sc
+from tabsmith.operators.selection import correlations
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans.cases_features import LI_KEYS
 
@@ -122,7 +123,7 @@ def group_rates(spark, sf_dir):
     a = attendance(spark, sf_dir).withColumn("slot", F.hour("ts"))
     course = a.groupBy("course_id").agg(F.avg("attended").alias("course_rate"))
     slot = a.groupBy("slot").agg(F.avg("attended").alias("slot_rate"))
-    out = a.join(course, "course_id").join(slot, "slot")
+    out = a.join(course, "course_id").join(F.broadcast(slot), "slot")       # 24 slots at most
     return out.select("event_id", F.round("course_rate", 6).alias("course_rate"),
                       F.round("slot_rate", 6).alias("slot_rate"))
 
@@ -153,12 +154,7 @@ def feature_correlation(spark, sf_dir):
     """All pairwise Pearson correlations in one aggregation, then unpivoted."""
     a = attendance(spark, sf_dir).join(courses(spark, sf_dir), "course_id", "left") \
         .withColumn("hour", F.hour("ts"))
-    pairs = [(x, y) for i, x in enumerate(CORR_FEATURES) for y in CORR_FEATURES[i + 1:]]
-    row = a.agg(*[F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"{x}__{y}")
-                  for x, y in pairs])
-    stack = ", ".join(f"'{x}', '{y}', `{x}__{y}`" for x, y in pairs)
-    return row.selectExpr(f"stack({len(pairs)}, {stack}) AS (feature_a, feature_b, corr)") \
-        .withColumn("corr", F.round("corr", 6))
+    return correlations(a, CORR_FEATURES).withColumn("corr", F.round("corr", 6))
 
 
 QUERIES = {

@@ -58,13 +58,9 @@ def cv_summary(spark, sf_dir):
     return met.summarize_folds(per_fold, ["model"])
 
 
-def _model_frames(spark, sf_dir, models):
-    # one prediction set per model (as the reference reads one file per model)
-    return {m: fx.predictions(spark, sf_dir, models=[m]) for m in models}
-
-
 def ensemble_join(spark, sf_dir):
-    return ens.ensemble_join(_model_frames(spark, sf_dir, fx.ENSEMBLE_MODELS), KEYS, strict=False)
+    """All models' predictions of a key side by side, repeated keys combined."""
+    return ens.ensemble_rows(fx.predictions(spark, sf_dir, models=fx.ENSEMBLE_MODELS), KEYS, fx.ENSEMBLE_MODELS)
 
 
 def _voted(spark, sf_dir):
@@ -225,6 +221,19 @@ def _pct(c):
     return f"printf('%.2f%%', {c} * 100)"
 
 
+def _combined_sql() -> str:
+    """The rows of each key by model, combined by unnesting."""
+    entry = "struct_pack(label := label, prediction := prediction, probability := probability)"
+    lists = ", ".join(f"list({entry}) FILTER (WHERE model = '{m}') AS l{i}" for i, m in enumerate(fx.ENSEMBLE_MODELS))
+    steps, n = "", len(fx.ENSEMBLE_MODELS)
+    for i in range(n):
+        held = [f"u{j}" for j in range(i)] + [f"l{j}" for j in range(i + 1, n)]
+        steps += f", s{i} AS (SELECT user_id, cutoff_ts, {', '.join([*held, f'unnest(l{i}) AS u{i}'])} FROM {f's{i - 1}' if i else 'g'})"
+    columns = ", ".join(f"u{i}.{c} AS {c}_{m}" for i, m in enumerate(fx.ENSEMBLE_MODELS) for c in ens.VALUE_COLUMNS)
+    return f"""WITH {_P}, g AS (SELECT user_id, cutoff_ts, {lists} FROM pred GROUP BY user_id, cutoff_ts){steps}
+      SELECT user_id, cutoff_ts, {columns} FROM s{n - 1}"""
+
+
 SQL = {
     "confusion_matrix": f"WITH {_P} {_counts_sql('pred', 'model')}",
     "binary_metrics": f"WITH {_P}, c AS ({_counts_sql('pred', 'model')}) {_metrics_sql('model')}",
@@ -240,7 +249,7 @@ SQL = {
   UNION ALL SELECT DISTINCT model, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM pred""",
     "metrics_long": f"""WITH {_P}, pp AS (SELECT *, {_PHASE} AS metrics_type FROM pred),
   {_evaluate_sql('pp', 'model, metrics_type')} SELECT * FROM e""",
-    "ensemble_join": f"WITH {_P}, {_join_sql()} SELECT * FROM j",
+    "ensemble_join": _combined_sql(),
     "row_mode": f"WITH {_P}, {_join_sql()}, {_vote_sql()} SELECT user_id, cutoff_ts, label FROM v",
     "majority_vote": f"WITH {_P}, {_join_sql()}, {_vote_sql()} SELECT user_id, cutoff_ts, prediction FROM v",
     "soft_vote": f"WITH {_P}, {_join_sql()}, {_vote_sql()} SELECT user_id, cutoff_ts, round(probability, 6) AS probability FROM v",

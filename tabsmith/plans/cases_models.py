@@ -5,8 +5,6 @@ documented selection / clustering / bagging experiments (D10-D12)."""
 from __future__ import annotations
 
 import functools
-import itertools
-import math
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
@@ -20,7 +18,8 @@ from tabsmith.operators import metrics as met
 from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
 from tabsmith.operators import scaling as sc
-from tabsmith.operators.stacking import ConfiguredClassifier, ImportanceSelector, pipeline_from_config
+from tabsmith.operators import selection as sel
+from tabsmith.operators.stacking import BaggingClassifier, ConfiguredClassifier, ImportanceSelector, pipeline_from_config
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans import scoring
 from tabsmith.plans.cases_documented import attendance
@@ -99,22 +98,12 @@ def _fit_and_score(model_type):
 
 
 def cross_validate(spark, sf_dir, model_type="decision_tree", k=5):
-    """k fold fits (concurrent), one grouped evaluation of all fold
-    predictions, mean / population-std rows, and the full-data fit's train row
-    (the full fit is kept separate from the fold fits)."""
+    """k fold fits, one grouped evaluation of all fold predictions, mean /
+    population-std rows, and the full-data fit's train row."""
+    from tabsmith.plans import experiment as exp
     train, _ = _train_test(spark, sf_dir)
-    folded = sm.kfold(train, "row_id", k, fx.SEED).cache()
-    try:
-        oof = md.fit_folds(folded, FEATURES, model_type, CONFIGS[model_type], range(1, k + 1), keep=["row_id"])
-        per_fold = met.evaluate(oof, ["fold"], digits=None)
-        summary = met.summarize_folds(per_fold, [])
-        full = md.fit_model(folded, FEATURES, model_type, CONFIGS[model_type])
-        tr = met.evaluate(md.predict(full, folded, keep=["row_id", "label"])) \
-            .withColumn("metrics_type", F.lit("train"))
-        # a few rows, written while the folds are still cached
-        return materialize(summary.unionByName(tr.select(*summary.columns)), "cv-metrics")
-    finally:
-        folded.unpersist()
+    config = {"model": {"type": model_type, "params": CONFIGS[model_type]}, "cross_validation": {"n_splits": k}}
+    return exp.train(config, train, FEATURES, "row_id").metrics
 
 
 def feature_importance(spark, sf_dir):
@@ -148,7 +137,9 @@ STACK_CONFIG = {
 STACK_FOLDS = 3
 # Candidates by nested name, one at least of the selector, a base and the meta learner.
 STACK_GRID = {"feature_selection__threshold": ["mean", 0.01], "stacking__decision_tree__max_depth": [3],
-              "stacking__final_estimator__C": [0.1, 1.0]}
+              "stacking__final_estimator__C": [0.1]}
+SEARCH_CONFIG = {**STACK_CONFIG, "base_models": STACK_CONFIG["base_models"][:2],
+                 "feature_selector": {"enabled": True, "type": "decision_tree", "params": CONFIGS["decision_tree"], "threshold": "mean"}}
 
 
 def stack_pipeline(selector: bool = True):
@@ -216,7 +207,8 @@ def stack_search(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
     folded = sm.kfold(train, "row_id", 2, fx.SEED, strata=["label"]).cache()
     try:
-        trials = tu.score_candidates(folded, FEATURES, stack_pipeline(True), tu.grid_candidates(STACK_GRID), [1, 2], "recall")
+        pipe = pipeline_from_config(SEARCH_CONFIG, FEATURES, 2, "row_id")
+        trials = tu.score_candidates(folded, FEATURES, pipe, tu.grid_candidates(STACK_GRID), [1, 2], "recall")
         return materialize(trials.select("trial_id", "fold", "metric", F.col("value").between(0.0, 1.0).alias("in_range"),
                                          *[F.col("params")[k].alias(k) for k in STACK_GRID]), "stack-search")
     finally:
@@ -333,30 +325,20 @@ def tree_attribution(spark, sf_dir, n_background=100):
 # ---- documented selection / clustering / ensembles
 
 
-def lasso_select(spark, sf_dir, reg=0.01):
+def lasso_select(spark, sf_dir, at=0.01):
+    """Coefficients of the LASSO path at one penalty."""
     train, _ = _train_test(spark, sf_dir)
-    fm = md.fit_model(train, FEATURES, "logistic_reg", {"penalty": "l1", "C": 1.0 / (reg * 1.0)},
-                      n_rows=1)
-    coefs = fm.classifier.coefficients.toArray().tolist()
-    return spark.createDataFrame([(f, float(c), abs(c) > 0) for f, c in zip(FEATURES, coefs)],
+    return spark.createDataFrame([row[:3] for row in sel.lasso_ranking(train, FEATURES, "label", at=at)],
                                  "feature string, coefficient double, selected boolean")
 
 
 def rfe(spark, sf_dir, keep_n=4):
     """Recursive elimination: refit, drop the least important feature, repeat."""
     train, _ = _train_test(spark, sf_dir)
-    train = train.select("row_id", "label", *FEATURES).cache()
+    train = train.select("label", *FEATURES).cache()
     try:
-        left, ranking = list(FEATURES), {}
-        while len(left) > keep_n:
-            fm = md.fit_model(train, left, "decision_tree", CONFIGS["decision_tree"])
-            worst = min(md.importances(fm), key=lambda t: (t[1], -left.index(t[0])))[0]
-            ranking[worst] = len(left)
-            left.remove(worst)
-        for f in left:
-            ranking[f] = 1
-        return spark.createDataFrame(sorted(ranking.items(), key=lambda t: (t[1], t[0])),
-                                     "feature string, ranking int")
+        ranking = sel.eliminate(train, FEATURES, keep_n, "decision_tree", CONFIGS["decision_tree"])
+        return spark.createDataFrame(sorted(ranking, key=lambda t: (t[1], t[0])), "feature string, ranking int")
     finally:
         train.unpersist()
 
@@ -372,35 +354,13 @@ def course_clusters(spark, sf_dir, k=4):
     return km.transform(vec).select("course_id", "rate", "mean_value", "n_events", "cluster")
 
 
-# Cumulative Poisson(1) probabilities P(K <= i), until what is left is below the
-# resolution of a double in [0, 1): no draw is cut off.
-POISSON1_CDF = list(itertools.accumulate(math.exp(-1.0) / math.factorial(i) for i in range(20)))
-
-
-def _poisson1(u):
-    """Poisson(1) draw by inverse CDF of a uniform hash value (bootstrap weight)."""
-    w = F.lit(len(POISSON1_CDF))
-    for i in reversed(range(len(POISSON1_CDF))):
-        w = F.when(u < F.lit(POISSON1_CDF[i]), F.lit(i)).otherwise(w)
-    return w.cast("double")
-
-
 def bagging(spark, sf_dir, n_models=5):
-    """Bootstrap aggregation: each tree is fitted with Poisson(1) row weights
-    drawn from a hash of (row, replicate) -- sampling with replacement without
-    materialising copies -- and the probabilities are averaged."""
+    """Trees on bootstrap weights of the rows, probabilities averaged."""
     train, test = _train_test(spark, sf_dir)
-    parts = []
-    for b in range(n_models):
-        wtrain = train.withColumn("w", _poisson1(hash_unit(hash_hex(["row_id"], f"{fx.SEED}|bag{b}"))))
-        fm = md.fit_model(wtrain, FEATURES, "decision_tree", CONFIGS["decision_tree"], weight_col="w")
-        parts.append(md.predict(fm, test, keep=["row_id"]).select("row_id", F.col("probability").alias(f"p{b}")))
-    out = test.select("row_id", "label")
-    for p in parts:
-        out = out.join(p, "row_id")
-    prob = sum(F.col(f"p{b}") for b in range(n_models)) / n_models
-    return out.select("row_id", "label", prob.alias("probability"),
-                      (prob >= 0.5).cast("int").alias("prediction"))
+    bags = BaggingClassifier(ConfiguredClassifier("decision_tree", CONFIGS["decision_tree"]), n_models, "row_id", seed=fx.SEED)
+    frame = md.assembler(FEATURES).transform(train.withColumn("label", F.col("label").cast("double")))
+    return md.predict(md.PipelineModel(stages=[md.assembler(FEATURES), bags.fit(frame)]), test, keep=["row_id", "label"]).select(
+        "row_id", "label", "probability", "prediction")
 
 
 QUERIES = {
@@ -482,10 +442,9 @@ SQL = {
     "stack_fold_rows": f"""WITH {_TEST_ROWS}, train AS (SELECT * FROM rk WHERE row_id NOT IN (SELECT row_id FROM test))
       SELECT row_id, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(row_id AS VARCHAR) || '|{fx.SEED}|stack'), row_id) - 1)
         % {STACK_FOLDS} + 1 AS INTEGER) AS fold, label, true AS in_range FROM train""",
-    "stack_search": """SELECT CAST(row_number() OVER (ORDER BY t DESC, c) - 1 AS INTEGER) AS trial_id, 'recall' AS metric,
-        true AS in_range, t AS feature_selection__threshold, '3' AS stacking__decision_tree__max_depth,
-        c AS stacking__final_estimator__C, UNNEST([1, 2]) AS fold
-      FROM (VALUES ('mean'), ('0.01')) a(t), (VALUES ('0.1'), ('1.0')) b(c)""",
+    "stack_search": """SELECT i AS trial_id, 'recall' AS metric, true AS in_range, t AS feature_selection__threshold,
+        '3' AS stacking__decision_tree__max_depth, '0.1' AS stacking__final_estimator__C, f AS fold
+      FROM (VALUES (0, 'mean'), (1, '0.01')) a(i, t), (VALUES (1), (2)) b(f)""",
     "linear_attribution": f"WITH {_ATTR_SQL} SELECT * FROM c",
     "top_k_contributions": f"""WITH {_ATTR_SQL}, {_SPREAD}, u AS ({_UNPIV}),
       r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY -abs(value), idx) AS pos FROM u)

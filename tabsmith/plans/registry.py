@@ -11,6 +11,7 @@ _MODULES = [
     "tabsmith.plans.cases_documented",
     "tabsmith.plans.cases_models",
     "tabsmith.plans.cases_tuning",
+    "tabsmith.plans.cases_library",
 ]
 
 

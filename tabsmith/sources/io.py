@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
@@ -16,29 +17,60 @@ from tabsmith.functions.nulls import nulls_for_nan
 SOURCE_COLUMN = "__source_file"
 
 
-def _read_csv(spark: SparkSession, path: str, schema: StructType | None, pattern: str | None = None) -> DataFrame:
-    """CSV files with headers, columns matched by name in every file.
+def _headers(spark: SparkSession, path: str, pattern: str | None = None) -> list[tuple[str, list[str]]]:
+    """(header line, files that have it) of the CSV files under a path.
 
-    Spark takes the names of one file (or of the schema) for all and reads by
-    position, so files are grouped by their header line first: one read per
-    distinct header, united by name.  A column that a file lacks is null.
+    Every split is a task of its own that takes one line and stops, so only the
+    first bytes of each are read; a file's header is the line of its first split.
     """
-    text = spark.read.format("text")
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    text = own.read.format("text")
     if pattern:
         text = text.option("pathGlobFilter", pattern)
     lines = text.load(path).select("value", F.col("_metadata.file_path").alias("file"),
-                                   F.col("_metadata.file_block_start").alias("block")).where("block = 0")
-    # the first line of a file is the first row of its first block
-    headers = lines.groupBy("file").agg(F.first("value").alias("header"))
-    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
+                                   F.col("_metadata.file_block_start").alias("block"))
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    found = lines.mapInArrow(first, lines.schema).where("block = 0")
+    rows = found.groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("value").collect()
+    return [(r["value"], r["files"]) for r in rows]
+
+
+def _read_csv(spark: SparkSession, path: str, schema: StructType | None, pattern: str | None = None,
+              corrupt: str | None = None) -> DataFrame:
+    """CSV files with headers, columns matched by name in every file.
+
+    Spark takes the names of one file (or of the schema) for all and reads by
+    position, so files are grouped by their header line: one read per distinct
+    header, united by name.  A column that a file lacks is null.  ``corrupt`` names
+    a column for lines that don't fit their header or the declared types.
+    """
     types = {strip_table_prefix(f.name): f.dataType for f in schema.fields} if schema is not None else None
-    parts = []
-    for g in groups:
-        names = spark.read.option("header", True).csv(g["files"][0]).columns
+    parts, groups = [], _headers(spark, path, pattern)
+    for header, files in groups:
+        names = next(csv.reader([header.lstrip("\ufeff")]))
         own = StructType([StructField(n, types.get(strip_table_prefix(n), StringType()) if types else StringType())
                           for n in names])
-        parts.append(spark.read.option("header", True).option("enforceSchema", False).schema(own).csv(g["files"])
-                     .select("*", F.col("_metadata.file_path").alias(SOURCE_COLUMN)))
+        reader = spark.read.option("header", True).option("enforceSchema", False)
+        if corrupt:
+            own = own.add(corrupt, StringType())
+            reader = reader.option("columnNameOfCorruptRecord", corrupt)
+        if pattern and len(groups) == 1:
+            reader = reader.option("pathGlobFilter", pattern)
+        # One header for all: the path itself, no list of files.
+        part = reader.schema(own).csv(path if len(groups) == 1 else files)
+        # United under plain names; a file that has a name both ways keeps both.
+        plain = [strip_table_prefix(c) for c in part.columns]
+        shown = [p if plain.count(p) == 1 else c for p, c in zip(plain, part.columns)]
+        parts.append(part.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(part.columns, shown)],
+                                 F.col("_metadata.file_path").alias(SOURCE_COLUMN)))
     if not parts:
         return spark.createDataFrame([], (schema or StructType()).add(SOURCE_COLUMN, "string"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -58,15 +90,17 @@ def _select(df: DataFrame, columns: Sequence[str], path: str) -> list:
 
 
 def scan_project(spark: SparkSession, path: str, columns: Sequence[str], fmt: str = "parquet",
-                 schema: StructType | None = None, header: bool = True) -> DataFrame:
+                 schema: StructType | None = None, header: bool = True, corrupt: str | None = None) -> DataFrame:
     """Read only ``columns``; a ``t.`` prefix is stripped by name; NaN is null.
 
     The file may carry either the prefixed or the plain header: each requested
     column is matched by name, per file, so neither the order of the config nor
-    that of a header mislabels columns.
+    that of a header mislabels columns.  ``corrupt`` adds a column of that name
+    with the CSV lines that fit neither their header nor the declared types.
     """
     if fmt == "csv" and header:
-        df = _read_csv(spark, path, schema)
+        df = _read_csv(spark, path, schema, corrupt=corrupt)
+        columns = [*columns, corrupt] if corrupt else columns
     else:
         reader = spark.read.format(fmt)
         df = (reader.schema(schema) if schema is not None else reader).load(path)
@@ -74,14 +108,15 @@ def scan_project(spark: SparkSession, path: str, columns: Sequence[str], fmt: st
 
 
 def scan_directory(spark: SparkSession, directory: str, fmt: str = "csv", pattern: str | None = None,
-                   columns: Sequence[str] | None = None, schema: StructType | None = None) -> DataFrame:
+                   columns: Sequence[str] | None = None, schema: StructType | None = None,
+                   corrupt: str | None = None) -> DataFrame:
     """All files of a folder as one table with a ``source`` column (file path).
 
     Spark already skips names starting with ``.`` or ``_``.  Per-file
     semantics downstream (sampling, splits) group on ``source``.
     """
     if fmt == "csv":
-        df = _read_csv(spark, directory, schema, pattern)
+        df = _read_csv(spark, directory, schema, pattern, corrupt)
         source = F.col(SOURCE_COLUMN)
     else:
         reader = spark.read.format(fmt)
@@ -92,7 +127,8 @@ def scan_directory(spark: SparkSession, directory: str, fmt: str = "csv", patter
         df = reader.load(directory)
         source = F.col("_metadata.file_path")
     wanted = columns or [f.name for f in (schema.fields if schema is not None else df.schema.fields)
-                         if f.name != SOURCE_COLUMN]
+                         if f.name not in (SOURCE_COLUMN, corrupt)]
+    wanted = [*wanted, corrupt] if corrupt and fmt == "csv" else wanted
     return nulls_for_nan(df.select(*_select(df, wanted, directory), source.alias("source")))
 
 
@@ -101,7 +137,9 @@ def union_sources(frames: Mapping[str, DataFrame], mapping: Mapping[str, Sequenc
     parts = []
     for name, df in frames.items():
         if mapping is not None:
-            df = df.toDF(*mapping[name]) if len(mapping[name]) == len(df.columns) else df
+            if len(mapping[name]) != len(df.columns):
+                raise ValueError(f"{name}: {len(mapping[name])} names for {len(df.columns)} columns")
+            df = df.toDF(*mapping[name])
         parts.append(df.withColumn("source", F.lit(name)))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -146,8 +184,18 @@ def write_split_tables(df: DataFrame, path: str, flag: str, label: str, keys: Se
     return paths
 
 
+def run_folder(folder: str) -> str:
+    """A folder's place for the predictions of one run, stamped with its UTC time."""
+    return f"{folder}/predictions_{datetime.now(timezone.utc).strftime('%Y%m%d_%H%M%S_%f')}"
+
+
 def write_predictions(df: DataFrame, folder: str, fmt: str = "parquet") -> str:
     """Write all rows to a folder of their own, stamped with the UTC time of the
     run; an earlier run's folder is never overwritten."""
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
-    return write_table(df, f"{folder}/predictions_{stamp}", fmt, mode="errorifexists")
+    return write_table(df, run_folder(folder), fmt, mode="errorifexists")
+
+
+def write_batch(df: DataFrame, run: str, batch_id: int, fmt: str = "parquet") -> str:
+    """Write one batch of a run to its own folder.  A batch that comes again (a stream
+    that restarts) replaces itself and adds no row."""
+    return write_table(df, f"{run}/batch_id={batch_id}", fmt, mode="overwrite")

@@ -83,3 +83,26 @@ def test_boosted_leaves_are_predictions(spark):
     for r in model.transform(x).limit(30).collect():
         margin = sum(w * walk(t, r.features) for t, w in zip(tables, weights, strict=True))
         assert abs(2 * margin - r.rawPrediction[1] * 2) < 1e-9 or abs(2 * margin - r.rawPrediction[1]) < 1e-9
+
+
+def test_rows_without_a_time_have_no_earlier_rows(spark):
+    from tabsmith.operators import history as hist
+    rows = [(1, "u", "2024-01-01 00:00:00", 5.0), (2, "u", "2024-01-01 05:00:00", 7.0), (3, "u", None, 100.0), (4, "u", None, 9.0),
+            (5, None, None, 1.0), (6, "v", "2024-01-02 00:00:00", 2.0)]
+    df = spark.createDataFrame(rows, "id long, who string, ts string, v double").withColumn("ts", F.col("ts").cast("timestamp"))
+    for stats in (hist.rolling_stats, hist.rolling_stats_cells):
+        got = {r.id: (r.roll_count, r.roll_mean, r.roll_max) for r in stats(df, ["who"], "ts", "v", 86400, "id").collect()}
+        assert got == {1: (0, None, None), 2: (1, 5.0, 5.0), 3: (0, None, None), 4: (0, None, None), 5: (0, None, None), 6: (0, None, None)}
+
+
+def test_spread_of_scores_far_from_zero_and_one_positive_rate(spark):
+    import numpy as np
+    from tabsmith.operators import ensemble as ens
+    from tabsmith.operators import metrics as met
+    rng = np.random.default_rng(1)
+    p = (0.7 + rng.random(2000) * 1e-7).tolist()
+    df = spark.createDataFrame([(i % 2, i % 3 if i % 3 < 2 else None, x) for i, x in enumerate(p)], "label int, prediction int, probability double")
+    a = met.evaluate(df, [], digits=None, with_stats=True).head()
+    b = ens.prediction_stats(df, digits=None).head()
+    assert abs(a.confidence_std / np.std(p, ddof=1) - 1) < 1e-6 and abs(a.average_confidence - np.mean(p)) < 1e-12
+    assert a.positive_rate == b.positive_rate == a.positive_count / 2000

@@ -186,3 +186,19 @@ def test_random_halving_candidates():
     assert len(tu.halving_candidates(space, 1000, cv=5)) == 50
     assert tu.halving_candidates(space, 1000, 3, seed=1) == tu.halving_candidates(space, 1000, 3, seed=1)
     assert len(tu.grid_candidates({"x": list(range(60)), "y": list(range(60))})) == 3600
+
+
+def test_bagging_draws_saves_and_averages(rows, tmp_path):
+    frame = md.assembler(FEATS).transform(rows)
+    fitted = st.BaggingClassifier(st.ConfiguredClassifier("decision_tree", {"max_depth": 2}), 3).fit(frame)
+    out = fitted.transform(frame)
+    assert set(out.columns) - set(frame.columns) == {"raw_prediction", md.PROB_VEC, "prediction_d"}
+    own = [m.transform(frame).select("row_id", st.vector_to_array(F.col(m.getProbabilityCol()))[1].alias("p")).collect() for m in fitted.bases]
+    assert len({tuple(r.p for r in x) for x in own}) > 1                       # draws differ
+    mean = {r.row_id: sum(x[i].p for x in own) / 3 for i, r in enumerate(own[0])}
+    fitted.write().overwrite().save(str(tmp_path / "b"))
+    for model in (fitted, st.BaggingModel.load(str(tmp_path / "b"))):
+        got = model.transform(frame).select("row_id", "prediction_d", st.vector_to_array(md.PROB_VEC)[1].alias("p")).collect()
+        assert all(abs(r.p - mean[r.row_id]) < 1e-12 and r.prediction_d == float(r.p >= 0.5) for r in got)
+    total = frame.select(F.sum(st.bootstrap_weight("row_id", "42|bag0"))).head()[0]
+    assert 800 < total < 1000
