@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabsmith.llm import (op2_line_crf, op3_decontaminate, op5_token_files, op6_jaccard_join,
                           op7_mix)
 from tabsmith.llm.common import read_table, tokenizer_path
-from tabsmith.session import materialize, prepare
+from tabsmith.session import discard, output_path, prepare, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -68,9 +68,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over the whole of ``documents``."""
+    """All stages, one after the other, over the whole of ``documents``.  What a
+    stage wrote on its way goes when it is over, and its result when the next one
+    has been written."""
     prepare(spark)
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        path = output_path(spark, f"stage-{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    discard(spark, before)          # the token files hold all that is left to read
+    return out
