@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions.nulls import ratio_or_zero
 from tabsmith.operators.rank import default_cells, running_sums
-from tabsmith.session import track_cached
 
 METRIC_COLUMNS = ["accuracy", "precision", "recall", "f1", "auc_roc"]
 
@@ -58,15 +56,9 @@ def _score_cell(score: str, cells: int):
 
 
 def score_histogram(df: DataFrame, group_cols: Sequence[str], label: str = "label",
-                    score: str = "probability", prediction: str | None = "prediction",
-                    persist: bool = True) -> DataFrame:
+                    score: str = "probability", prediction: str | None = "prediction") -> DataFrame:
     """One map-side-combined pass: per (group, distinct score) the label /
-    prediction counts every metric here derives from.
-
-    The result (at most one row per distinct score) is persisted in memory
-    only, so the several aggregations of a report read the input once; an
-    evicted block is recomputed from lineage.
-    """
+    prediction counts every metric here derives from."""
     y = F.col(label)
     aggs = [F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")]
     if prediction is not None:
@@ -74,8 +66,7 @@ def score_histogram(df: DataFrame, group_cols: Sequence[str], label: str = "labe
         aggs += [F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
                  F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn"),
                  F.count(F.lit(1)).alias("n"), F.sum(p.cast("long")).alias("pred_sum")]
-    h = df.groupBy(*group_cols, score).agg(*aggs)
-    return track_cached(h.persist(StorageLevel.MEMORY_ONLY)) if persist else h
+    return df.groupBy(*group_cols, score).agg(*aggs)
 
 
 def counts_from_histogram(h: DataFrame, group_cols: Sequence[str]) -> DataFrame:
@@ -175,7 +166,7 @@ def roc_auc(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label",
     model with many distinct scores is still spread over many tasks.
     NULL when a group has a single class.
     """
-    h = score_histogram(df, group_cols, label, score, prediction=None, persist=False)
+    h = score_histogram(df, group_cols, label, score, prediction=None)
     return auc_from_histogram(h, group_cols, score, digits, cells)
 
 
@@ -188,7 +179,7 @@ def roc_curve(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label
     """
     group_cols = list(group_cols)
     cells = cells or default_cells(df)
-    hist = score_histogram(df, group_cols, label, score, prediction=None, persist=False)
+    hist = score_histogram(df, group_cols, label, score, prediction=None)
     cum = running_sums(hist, group_cols, [F.col(score)], _score_cell(score, cells),
                        {"pos": F.col("pos"), "neg": F.col("neg")},
                        inclusive=False, totals=True)
@@ -219,7 +210,7 @@ def evaluate(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label"
     """
     group_cols = list(group_cols)
     cells = cells or default_cells(df)
-    h = score_histogram(df, group_cols, label, score, prediction, persist=False)
+    h = score_histogram(df, group_cols, label, score, prediction)
     x = h.withColumn("_cell", _score_cell(score, cells))
     w = Window.partitionBy(*group_cols, "_cell").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     p, n = F.col(score).cast("double"), F.col("n")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tabsmith.operators import metrics as met
 from tabsmith.operators import models as md
 from tabsmith.operators.stacking import NothingSelected, route
-from tabsmith.session import is_written, output_path, track_cached
+from tabsmith.session import is_written, materialize, output_path
 from tabsmith.sources.io import read_table, write_table
 
 
@@ -321,7 +321,7 @@ def halving_search(ranked_rows: DataFrame, features: Sequence[str], model_type:
             trials = score_candidates(folded, features, model_type, [candidates[j] for j in alive],
                                       range(1, k + 1), metric, run_id=rnd, parallelism=parallelism)
             ids = F.array(*[F.lit(j) for j in alive])
-            trials = track_cached(trials.withColumn("trial_id", F.element_at(ids, F.col("trial_id") + 1)).cache())
+            trials = materialize(trials.withColumn("trial_id", F.element_at(ids, F.col("trial_id") + 1)), "halving-round")
             ranked = rank_trials(trials, metric).orderBy(F.col("mean_test_score").desc_nulls_last(), "trial_id")
             order = [r["trial_id"] for r in ranked.select("trial_id").collect()]   # one row per candidate
             logs.append(trials)

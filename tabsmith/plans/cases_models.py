@@ -77,7 +77,7 @@ def prepared_table(spark, sf_dir):
     """The model fixture written once per session and data folder to the
     shared checkpoint folder; every fit, search and score reads that table
     instead of recomputing the join and the split."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PREPARED:
         _PREPARED[key] = materialize(model_table(spark, sf_dir), "model-fixture")
     return _PREPARED[key]

@@ -11,7 +11,7 @@ from tabsmith.operators import tuning as tu
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans.cases_models import FEATURES, _train_test
 from tabsmith.plans.cases_sampling import keyed_orders
-from tabsmith.session import output_path, track_cached
+from tabsmith.session import materialize, output_path
 from tabsmith.sources import io
 
 N_TRIALS = 40
@@ -109,9 +109,7 @@ def _search(spark, sf_dir, candidates, k=3):
     try:
         trials = tu.score_candidates(folded, FEATURES, "decision_tree", candidates, range(1, k + 1),
                                      "recall", base_params={"random_state": 42}, return_train_score=True)
-        trials = track_cached(trials.cache())
-        trials.count()          # materialise before the folds are released
-        return trials
+        return materialize(trials, "trials")          # before the folds are released
     finally:
         folded.unpersist()
 

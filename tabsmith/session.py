@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -67,10 +68,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+#: Folders of the steps under way (see ``scratch``), the innermost last.
+_STEPS: list[str] = []
+
+
 def output_path(spark: SparkSession, name: str) -> str:
     """A fresh output location inside the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tabsmith-out/{name}-{uuid.uuid4().hex[:12]}"
+    base = _STEPS[-1] if _STEPS else f"{checkpoint_dir(spark).rstrip('/')}/tabsmith-out"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is written to ``output_path`` inside goes when the step is over.  Whatever
+    is to stay must have been written elsewhere by then, to a path taken before."""
+    _STEPS.append(output_path(spark, "step"))
+    try:
+        yield
+    finally:
+        discard(spark, _STEPS.pop())
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder that ``output_path`` gave."""
+    if "/tabsmith-out/" not in path:
+        raise ValueError(f"not a folder of this library: {path}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def is_written(spark: SparkSession, path: str) -> bool:
@@ -99,20 +123,3 @@ def materialize(df, name: str):
     path = output_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-_CACHED: list = []
-MAX_LIVE_CACHES = 8
-
-
-def track_cached(df, limit: int = MAX_LIVE_CACHES):
-    """Keep at most ``limit`` internally persisted frames alive; the oldest is
-    released first (a released frame is recomputed from lineage if reused)."""
-    _CACHED.append(df)
-    while len(_CACHED) > limit:
-        old = _CACHED.pop(0)
-        try:
-            old.unpersist(blocking=False)
-        except Exception:       # the session may already be gone
-            pass
-    return df
