@@ -286,3 +286,59 @@ def test_long_texts_and_null_ids(spark):
     got = sorted(((x.doc_id, x.item_id) for x in op3_decontaminate.find_leaks(df, bench).collect()), key=str)
     assert got == sorted([(None, None), (None, 4), (1, None), (1, 4)], key=str)
     assert sorted((x.doc_id or 0, len(x.text or "")) for x in op3_decontaminate.drop_leaks(df, bench).collect()) == [(0, 0), (0, 1), (2, len(long))]
+
+
+# --- 3: walks and bit sampling ------------------------------------------------------------------------------------
+
+def edited(rng, item, edit):
+    at = rng.choice(len(item), len(item) // 5, replace=False)
+    fresh = rng.integers(1, 2**63, len(at)).astype(np.uint64)
+    run = item.copy()
+    run[at] = fresh
+    return {"change": run, "insert": np.insert(item, at, fresh), "delete": np.delete(item, at)}[edit]
+
+
+@pytest.mark.parametrize("size, n_items", [(3, 60), (5, 60), (7, 60), (10, 60), (14, 60), (30, 40), (200, 20), (1000, 6), (3000, 3)])
+def test_walks_recall_leaks_of_the_most_edits(size, n_items):
+    rng = np.random.default_rng(size)
+    items = list(rng.integers(1, 2**63, (n_items, size)).astype(np.uint64))
+    index = op3_decontaminate.Index(list(range(n_items)), items)
+    for edit in ("change", "insert", "delete"):
+        texts = [np.concatenate([rng.integers(1, 2**63, 20).astype(np.uint64), edited(rng, item, edit), rng.integers(1, 2**63, 9).astype(np.uint64)])
+                 for item in items]
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        pairs = {tuple(p) for p in index.candidates(np.concatenate(texts), offsets).tolist()}
+        kept = sum((i, i) in pairs for i in range(n_items))
+        assert kept >= 0.95 * n_items, (size, edit, kept)
+        assert len(pairs) <= 1.05 * n_items                                    # no other item
+        found = index.leaks(np.concatenate(texts), offsets)
+        assert set(found) == {p for p in pairs if p[0] == p[1]}
+
+
+def test_walks_reject_unrelated_windows():
+    """Texts made of the items' own runs of three words, in other orders: every place
+    passes the screen, and few items are candidates."""
+    rng = np.random.default_rng(3)
+    items = list(rng.integers(1, 2**63, (50, 60)).astype(np.uint64))
+    index = op3_decontaminate.Index(list(range(50)), items)
+    every = np.concatenate(items).reshape(-1, 3)
+    texts = [rng.permutation(every)[:100].ravel() for _ in range(40)]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    words = np.concatenate(texts)
+    screened = sum(len(s.places(words, offsets)) for s in index.segments)
+    assert screened > 0.3 * len(words)
+    windows = 40 * 50                                         # pairs of a text and an item
+    assert len(index.candidates(words, offsets)) < 0.6 * windows
+    assert not index.leaks(words, offsets)
+    plain = rng.integers(1, 2**63, 20_000).astype(np.uint64)
+    assert not len(index.candidates(plain, np.array([0, 20_000])))
+
+
+def test_walks_never_count_what_is_behind_an_end():
+    rng = np.random.default_rng(4)
+    item = rng.integers(1, 2**63, 12).astype(np.uint64)
+    index = op3_decontaminate.Index([0], [item])
+    # The text ends within the segment: what is behind belongs to another text.
+    words = np.concatenate([item[:6], item[6:]])
+    assert len(index.leaks(words, np.array([0, 12]))) == 1
+    assert not index.leaks(words, np.array([0, 6, 12]))
