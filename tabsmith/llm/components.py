@@ -21,6 +21,8 @@ from tabsmith.session import materialize
 
 #: Edges that a task contracts at a time.
 CHUNK = 1 << 20
+#: A node with more than one in so many of the edges is looked up without a shuffle.
+HOT_SHARES = 512
 EDGE_SCHEMA = "u long, v long"
 
 
@@ -61,10 +63,16 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _with_least(edges: DataFrame) -> DataFrame:
-    """(u, v, m): m is the least of u and its neighbours v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-    return edges.join(least, F.col("u") == F.col("k")).select("u", "v", "m")
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """(u, v, m): m is the least of u and its neighbours v; ``total`` edges.  Nodes
+    with a large share of the edges, HOT_SHARES at most, are looked up where the
+    edges are read, so that the centre of a star is no key of a shuffle."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(
+        F.col("u").alias("k"), F.least("u", "m").alias("m"), (F.col("n") * HOT_SHARES > total).alias("hot"))
+    hot = F.broadcast(least.where("hot").select("k", "m"))
+    far = edges.join(hot, F.col("u") == F.col("k"), "left_anti")
+    return (edges.join(hot, F.col("u") == F.col("k")).select("u", "v", "m")
+            .unionByName(far.join(least.where("not hot").select("k", "m"), F.col("u") == F.col("k")).select("u", "v", "m")))
 
 
 def _pairs(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
@@ -73,15 +81,15 @@ def _pairs(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
     return df.select(F.explode(F.array(*each)).alias("e")).select("e.u", "e.v")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Larger neighbours move to the least one; edges u > v come and go."""
-    far = _with_least(_pairs(edges, ("u", "v"), ("v", "u"))).where(F.col("v") > F.col("u"))
+    far = _with_least(_pairs(edges, ("u", "v"), ("v", "u")), 2 * total).where(F.col("v") > F.col("u"))
     return far.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Smaller neighbours and the node itself move to the least one."""
-    return _pairs(_with_least(edges), ("v", "m"), ("u", "m")).where("u <> v")
+    return _pairs(_with_least(edges, total), ("v", "m"), ("u", "m")).where("u <> v")
 
 
 def _parents(edges: DataFrame) -> DataFrame:
@@ -104,5 +112,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     now = materialize(read.mapInArrow(_contract, EDGE_SCHEMA), name)
     while not _is_done(now):
         # Where the rows of one u are together, this also drops repeated edges.
-        now = materialize(_small_star(_large_star(now)).mapInArrow(_contract, EDGE_SCHEMA), name)
+        # A large star gives as many edges as it takes at most, but for loops.
+        total = now.count()
+        now = materialize(_small_star(_large_star(now, total), total).mapInArrow(_contract, EDGE_SCHEMA), name)
     return _parents(now).select("node", "component")
