@@ -342,3 +342,68 @@ def test_walks_never_count_what_is_behind_an_end():
     words = np.concatenate([item[:6], item[6:]])
     assert len(index.leaks(words, np.array([0, 12]))) == 1
     assert not index.leaks(words, np.array([0, 6, 12]))
+
+
+# --- 6: counting in place of heap merging and probing -----------------------------------------------------------
+
+def heap_merged(lists, least):
+    """(document, lists that hold it) for those in ``least`` lists: the smallest heads
+    are popped, and lists that can't matter skip to the next head left."""
+    from bisect import bisect_left
+    from heapq import heapify, heappop, heappush
+    heap = [(own[0], i, 0) for i, own in enumerate(lists) if own]
+    heapify(heap)
+    while len(heap) >= least:
+        top, popped = heap[0][0], []
+        while heap and heap[0][0] == top:
+            popped.append(heappop(heap))
+        if len(popped) >= least:
+            yield top, len(popped)
+            goal = top + 1
+        else:
+            while heap and len(popped) < least - 1:
+                popped.append(heappop(heap))
+            if not heap:
+                return
+            goal = heap[0][0]
+        for _, i, at in popped:
+            at = bisect_left(lists[i], goal, at)
+            if at < len(lists[i]):
+                heappush(heap, (lists[i][at], i, at))
+
+
+def test_counting_links_what_heap_merging_and_probing_link():
+    from bisect import bisect_left
+    rng = np.random.default_rng(6)
+    for rows, edits, shared in ((60, 8, 0), (60, 30, 0), (40, 10, 20), (80, 45, 30)):
+        base = rng.integers(0, 1 << 60, 60).astype(np.uint64)
+        sets = []
+        for _ in range(rows):
+            own = base.copy()
+            at = shared + rng.choice(60 - shared, rng.integers(0, min(edits, 60 - shared) + 1), replace=False)
+            own[at] = rng.integers(0, 1 << 60, len(at))
+            sets.append(np.unique(own))
+        lists = {}
+        for i, own in enumerate(sets):
+            for t in own.tolist():
+                lists.setdefault(t, []).append(i)
+        long = {t for t, own in lists.items() if len(own) > rows // 3}
+        want = set()
+        for r, own in enumerate(sets):
+            short, probed = [lists[t] for t in own.tolist() if t not in long], [lists[t] for t in own.tolist() if t in long]
+            least = -(-80 * len(own) // 100) - len(probed)
+            found = heap_merged(short, least) if least > 0 else ((j, sum(j in x for x in short)) for j in range(rows))
+            for j, n in found:
+                n += sum((at := bisect_left(x, j)) < len(x) and x[at] == j for x in probed)
+                if j != r and 100 * n >= 80 * (len(own) + len(sets[j]) - n):
+                    want.add((min(j, r), max(j, r)))
+        got = op6_jaccard_join.divide_skip(sets)
+        assert {(min(p), max(p)) for p in got} <= want
+
+        def classes(links):
+            out = list(range(rows))
+            for a, b in sorted(links):
+                low, high = sorted((out[a], out[b]))
+                out = [low if x == high else x for x in out]
+            return out
+        assert classes(got) == classes(want)
