@@ -262,24 +262,24 @@ def fit_model(df: DataFrame, features: Sequence[str], model_type: str, params: M
     """Fit ``assembler -> classifier`` on ``df`` (label column ``label``).  Where the
     caller has the rows cached already, ``keep_rows`` is False: no second copy."""
     features = list(features)
-    if model_type == "logistic_reg" and n_rows is None:
-        n_rows = df.count()
-    est, ignored = create_estimator(model_type, params, len(features), n_rows or 1)
-    if weight_col is not None:
-        est.setWeightCol(weight_col)
     train = df if label == "label" else df.withColumnRenamed(label, "label")
     cols = [*features, "label"] + ([weight_col] if weight_col else [])
     train = train.select(*cols).withColumn("label", F.col("label").cast("double"))
-    train = with_validation(train, est, params, [F.col(f"`{c}`") for c in [*features, "label"]])
     # the learners read their input several times: keep the projected rows
     # (memory, spilling to disk; lost blocks are recomputed from lineage)
-    if not keep_rows:
-        return FittedModel(Pipeline(stages=[assembler(features), est]).fit(train), model_type, features, ignored)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    if keep_rows:
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        pm = Pipeline(stages=[assembler(features), est]).fit(train)
+        if model_type == "logistic_reg" and n_rows is None:
+            n_rows = train.count()          # of the kept rows, which the fit reads next
+        est, ignored = create_estimator(model_type, params, len(features), n_rows or 1)
+        if weight_col is not None:
+            est.setWeightCol(weight_col)
+        rows = with_validation(train, est, params, [F.col(f"`{c}`") for c in [*features, "label"]])
+        pm = Pipeline(stages=[assembler(features), est]).fit(rows)
     finally:
-        train.unpersist()
+        if keep_rows:
+            train.unpersist()
     return FittedModel(pm, model_type, features, ignored)
 
 

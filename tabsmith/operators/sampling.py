@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.hashing import hash_hex
 from tabsmith.operators.rank import hash_rank
+from tabsmith.session import broadcast_small, materialize
 
 
 def _salt(seed, tag: str | None) -> str:
@@ -65,14 +66,14 @@ def stratified_split(df: DataFrame, group_cols: Sequence[str], label: str, key:
     One large shuffle: the rank's per-cell offsets table (one row per group,
     class and cell) already holds each class size, so the quotas are computed
     there and reach the rows with the offsets.  The quota table has one row
-    per (group, class) -- bounded by groups x classes -- and is broadcast.
+    per (group, class); Spark broadcasts it where its measured size allows.
     """
     g = list(group_cols)
 
     def with_quotas(offsets: DataFrame) -> DataFrame:
         counts = offsets.groupBy(*g, label).agg(F.max("total_one").alias("n_c"))
         quotas = test_quotas(counts, g, label, test_size)
-        return offsets.join(F.broadcast(quotas), g + [label], "inner")
+        return offsets.join(quotas, g + [label], "inner")
 
     r = hash_rank(df, g + [label], key, _salt(seed, tag), rank_col="_rk", size_col="_size",
                   enrich=with_quotas)
@@ -98,12 +99,12 @@ def minority_topup(pool: DataFrame, balance: DataFrame, group_cols: Sequence[str
                    key: str, seed=42, tag: str | None = "topup") -> DataFrame:
     """Rows of the minority class drawn from ``pool``: min(gap, pool size) per group.
 
-    ``balance`` has one row per group (bounded by the number of sources), so
-    it is broadcast.
+    ``balance`` has one row per group; it is broadcast if it is small, so that no
+    group is a key of a shuffle.
     """
     g = list(group_cols)
     b = balance.filter(F.col("gap") > 0).select(*g, F.col("minority_class").alias(label), "gap")
-    cand = pool.join(F.broadcast(b), g + [label], "inner")
+    cand = pool.join(broadcast_small(materialize(b, "balance")), g + [label], "inner")
     r = hash_rank(cand, g, key, _salt(seed, tag), rank_col="_rk", size_col=None)
     return r.filter(F.col("_rk") <= F.col("gap")).drop("_rk", "gap")
 

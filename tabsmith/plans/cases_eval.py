@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from tabsmith.operators import ensemble as ens
 from tabsmith.operators import metrics as met
 from tabsmith.operators.rank import hash_rank
 from tabsmith.plans import fixtures as fx
+from tabsmith.session import output_path
 
 KEYS = ["user_id", "cutoff_ts"]
 N_FOLDS = 5
@@ -104,14 +103,12 @@ def pivot_predictions(spark, sf_dir):
 
 
 def scoring_time(spark, sf_dir):
-    """Wall time to score and evaluate each model, forced with the noop sink."""
-    p = _pred(spark, sf_dir)
-    rows = []
-    for m in fx.MODEL_NAMES:
-        t0 = time.perf_counter()
-        met.evaluate(p.filter(F.col("model") == m)).write.format("noop").mode("overwrite").save()
-        rows.append((m, float(time.perf_counter() - t0)))
-    return spark.createDataFrame(rows, "model_name string, prediction_time double")
+    """Wall time to load each saved model and to score and write the test rows with
+    it, and that of the vote."""
+    from tabsmith.plans import cases_library as lib
+    paths, test = lib.saved_models(spark, sf_dir)
+    table = lib.saved_model_report(spark, paths, test, output_path(spark, "report"))
+    return table.select("model_name", "prediction_time")
 
 
 QUERIES = {

@@ -221,8 +221,7 @@ def multi_source_union(spark, sf_dir):
 
 
 def load_xy(spark, sf_dir):
-    o = fx.order_labels(spark, sf_dir).join(
-        fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), "o_totalprice"), "row_id")
+    o = fx.order_labels(spark, sf_dir, ["o_totalprice"])
     return o.select("row_id", "user_id", "o_totalprice",
                     F.month("o_orderdate").alias("order_month"), "label")
 

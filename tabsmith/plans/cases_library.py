@@ -156,6 +156,27 @@ def stream_scoring(spark, sf_dir):
     return scored.join(batch, "row_id", "left").select("row_id", (F.col("probability") == F.col("in_batch")).alias("same"))
 
 
+def tuned_rows(spark, sf_dir):
+    """The tuned, refitted model as read back from its sink: what it must give for the
+    test rows, whatever was found."""
+    from tabsmith.plans.cases_tuning import write_tuned_model
+    p = F.col("probability")
+    return write_tuned_model(spark, sf_dir).select(
+        "row_id", "label", p.between(0.0, 1.0).alias("in_range"), (F.col("prediction").cast("int") == (p >= 0.5).cast("int")).alias("decided"))
+
+
+def user_rows(spark, sf_dir):
+    """The per-user attribution table: every test row's user and cut-off once, ten
+    different features in falling order of size."""
+    from tabsmith.plans.cases_models import user_attribution
+    top = range(1, 11)
+    names = F.array(*[F.col(f"Feature_{i}_Name") for i in top])
+    sizes = [F.abs(F.col(f"Feature_{i}_Contribution")) for i in top]
+    falling = functools.reduce(lambda a, b: a & b, [x >= y for x, y in zip(sizes, sizes[1:])])
+    return user_attribution(spark, sf_dir).select("user_id", "cutoff_ts", "label", F.size(F.array_distinct(names)).alias("n_features"),
+                                                  falling.alias("falling"))
+
+
 # ---------------------------------------------------------------- experiments and the report
 
 TRAIN_CONFIG = {"model": {"type": "decision_tree", "params": CONFIGS["decision_tree"]}, "cross_validation": {"n_splits": 3}}
@@ -191,7 +212,7 @@ def tune_experiment(spark, sf_dir):
 REPORT_MODELS = ("logistic_reg", "decision_tree", "random_forest", "gbdt")
 
 
-def _saved_models(spark, sf_dir) -> tuple[dict[str, str], DataFrame]:
+def saved_models(spark, sf_dir) -> tuple[dict[str, str], DataFrame]:
     train, test = _train_test(spark, sf_dir)
     paths = {}
     for name in REPORT_MODELS:
@@ -227,7 +248,7 @@ def saved_model_report(spark: SparkSession, paths: dict[str, str], test: DataFra
 def fitted_report(spark, sf_dir):
     """The report's rows over fitted models: how many rows each scored, and whether its
     figures are in their ranges."""
-    paths, test = _saved_models(spark, sf_dir)
+    paths, test = saved_models(spark, sf_dir)
     table = saved_model_report(spark, paths, test, output_path(spark, "report"))
     ok = functools.reduce(lambda a, b: a & b, [F.col(m).between(0.0, 1.0) for m in met.METRIC_COLUMNS])
     return table.select("model_name", "total_predictions", ok.alias("in_range"), (F.col("prediction_time") > 0).alias("timed"))
@@ -235,7 +256,7 @@ def fitted_report(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     forest_attribution, boosted_attribution, attribution_sums, spearman_correlation, average_ranks, feature_ranking, moment_sums,
-    lasso_path, scan_csv, scan_directory, fit_gbt_stopped, stream_scoring, train_experiment, tune_experiment, fitted_report)}
+    lasso_path, scan_csv, scan_directory, fit_gbt_stopped, stream_scoring, tuned_rows, user_rows, train_experiment, tune_experiment, fitted_report)}
 
 # ---------------------------------------------------------------- SQL twins
 
@@ -265,6 +286,9 @@ SQL = {
       CASE WHEN o_orderkey % 2 = 1 THEN 'odd' ELSE 'even' END AS part FROM orders""",
     "fit_gbt_stopped": f"WITH {_TEST_ROWS} SELECT row_id, label, true AS in_range, true AS decided, true AS as_asked FROM test",
     "stream_scoring": f"WITH {_TEST_ROWS} SELECT row_id, true AS same FROM test",
+    "tuned_rows": f"WITH {_TEST_ROWS} SELECT row_id, label, true AS in_range, true AS decided FROM test",
+    "user_rows": f"""WITH {_TEST_ROWS} SELECT o_custkey AS user_id, o_orderdate AS cutoff_ts, label, 10 AS n_features, true AS falling
+      FROM test JOIN orders ON o_orderkey = row_id""",
     "train_experiment": """SELECT 'cross_validation_' || k AS metrics_type, true AS in_range
       FROM (VALUES ('fold_1'), ('fold_2'), ('fold_3'), ('mean'), ('std')) a(k)
       UNION ALL SELECT k, true FROM (VALUES ('train'), ('test')) b(k)""",

@@ -35,14 +35,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_labels(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").alias("row_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("cutoff_ts"),
         F.when(F.col("o_orderpriority").isin(*POSITIVE_PRIORITIES), 1).otherwise(0).alias("label"),
-        "o_orderkey", "o_custkey", "o_orderdate")
+        "o_orderkey", "o_custkey", "o_orderdate", *extra)
 
 
 def predictions(spark: SparkSession, sf_dir: str, extra_cols=(), base: DataFrame | None = None,

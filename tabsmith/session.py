@@ -8,6 +8,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -68,6 +69,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_small(df, most: int = MAX_BROADCAST_ROWS):
+    """``df``, marked for broadcast if it has no more rows than ``most``."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 #: Folders of the steps under way (see ``scratch``), the innermost last.
 _STEPS: list[str] = []
 
