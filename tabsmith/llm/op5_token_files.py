@@ -14,7 +14,7 @@ So a reader loads the two tables from the end of the file and then decompresses
 just the frames of the documents it wants, checking each.
 
 Writing: documents are range-partitioned by id (rows with one id are spread by
-a hash of their text), sorted, encoded and written by the tasks, straight to the
+a hash of their text, equal rows by their place in the input), sorted, encoded and written by the tasks, straight to the
 shared folder.  A task's file name is unique to its attempt, and only the files
 that successful tasks report reach the manifest, so a lost executor or a
 speculative copy never leaves a wrong file in it.  A shard's first position is a
@@ -142,8 +142,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col:
     spark = docs.sparkSession
     folder = folder or output_path(spark, "tokens")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    rows = rows.withColumn("spread", F.xxhash64("text"))
-    rows = rows.repartitionByRange("id", "spread").sortWithinPartitions("id", "spread").select("id", "text")
+    # Equal rows are told apart by where they are read, so that they are no single range.
+    rows = rows.withColumns({"spread": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange("id", "spread", "place").sortWithinPartitions("id", "spread").select("id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
