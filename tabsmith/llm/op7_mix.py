@@ -116,8 +116,17 @@ def plan_mix(keyed: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float
                          & (F.col("rest") < F.col("before") + F.col("cell_size")))
                   .select("s", F.col("cell").alias("last_cell"), (F.col("rest") - F.col("before")).alias("rest_in_cell")))
     # One cell of each source: rows equal in order are summed first.
-    tied = (rows.join(last_cells, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("last_cell")))
-            .groupBy("source", "rest_in_cell", "key", "size", "tie").agg(F.count("*").alias("n")))
+    tied = materialize(rows.join(last_cells, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("last_cell")))
+                       .groupBy("source", "rest_in_cell", "key", "size", "tie").agg(F.count("*").alias("n")), "mix-cell")
+    # An id that repeats has all its texts at one key: down to one key, then one size.
+    for level in ("key", "size"):
+        sums = tied.groupBy("source", "rest_in_cell", level).agg(F.sum(F.col("size") * F.col("n")).alias("part"))
+        in_level = Window.partitionBy("source").orderBy(level)
+        here = (sums.withColumn("before", F.sum("part").over(in_level) - F.col("part"))
+                .where((F.col("before") <= F.col("rest_in_cell")) & (F.col("rest_in_cell") < F.col("before") + F.col("part")))
+                .select(F.col("source").alias("s"), F.col(level).alias("at"), (F.col("rest_in_cell") - F.col("before")).alias("rest")))
+        tied = (tied.join(here, F.col("source").eqNullSafe(F.col("s")) & (F.col(level) == F.col("at")))
+                .select("source", F.col("rest").alias("rest_in_cell"), "key", "size", "tie", "n"))
     row_order = Window.partitionBy("source").orderBy("key", "size", "tie")
     cuts = (tied.withColumn("here", F.col("size") * F.col("n"))
             .withColumn("before", F.sum("here").over(row_order) - F.col("here"))
