@@ -407,3 +407,22 @@ def test_counting_links_what_heap_merging_and_probing_link():
                 out = [low if x == high else x for x in out]
             return out
         assert classes(got) == classes(want)
+
+
+# --- 7: the cut within an id that repeats -----------------------------------------------------------------------
+
+def test_mix_cuts_within_one_repeated_id(spark):
+    r = random.Random(4)
+    rows = [(7, " ".join(["w"] * r.randint(1, 6)) + f" {i}", "s") for i in range(200)] + [(i, "a b c", "s") for i in range(5)]
+    rows += [(9, "x y", None)] * 40 + [(8, f"t {i}", "r") for i in range(30)]
+    got = op7_mix.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    total = sum(len(WORD.findall(t)) for _, t, _ in rows)
+    by = {}
+    for x in got:
+        assert 0 <= x.taken <= 2 * x.size
+        by.setdefault((x.source_size, x.target), []).append(x.taken)
+    assert abs(sum(t for _, t in by) - 1.5 * total) < 1e-6
+    for (_, target), taken in by.items():
+        assert abs(sum(taken) - target) < 40                   # equal rows share the words left evenly
+    exact = [k for k in by if k[0] == sum(len(WORD.findall(t)) for _, t, s in rows if s == "s")]
+    assert abs(sum(by[exact[0]]) - exact[0][1]) <= 5
