@@ -34,6 +34,7 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import materialize
 
-from .chunk_memo import ChunkMemo, sums, text_runs, word_starts
+from .chunk_memo import ChunkMemo, release, sums, text_runs, word_starts
 from .op13_token_counts import MARK
 
 #: Bytes of a range; texts of fewer bytes are one.
@@ -55,6 +56,7 @@ RANGE_BYTES = 32768
 FAN = 16                    # neighbours composed by one step of the tree
 MAX_CHUNKS = 300_000        # remembered by one Python worker
 PART_CHUNKS = 4096          # encoded at a time: the library's results are large
+RUN_BYTES = 500_000         # of short texts aligned at a time
 JOINED = 256                # plain chunks read together
 MAX_PAIRS = 2_000_000       # id pairs in a slice of the counts: 34 MB
 #: Where no token of A crosses: a single space between characters that are no white space.
@@ -249,15 +251,20 @@ class Tokenizers:
         neither tokenizer lets a token cross; None if they don't read back so."""
         runs = [b"\n" + b"\n".join(chunks[i:i + JOINED]) for i in range(0, len(chunks), JOINED)]
         size = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        texts, ids, counts = [r.decode() for r in runs], [], []
+        ids, counts = [], []
         for which, table, sizes in (("a", self.bytes_a, self.array_a), ("b", self.bytes_b, self.array_b)):
             lead = int(which == "b")                       # the space that B sets before a text
-            own = ([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)] if which == "a"
-                   else self.b.encode(texts, num_threads=1))
-            flat = list(chain.from_iterable(own))
-            if b"".join(map(table.__getitem__, flat)) != b"".join([b" " * lead + r for r in runs]):
-                return None
-            flat = np.array(flat, np.int64)
+            flat = []
+            for i in range(0, len(runs), PART_CHUNKS // JOINED):       # the library's results are large
+                part = runs[i:i + PART_CHUNKS // JOINED]
+                texts = [r.decode() for r in part]
+                own = ([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)] if which == "a"
+                       else self.b.encode(texts, num_threads=1))
+                own = list(chain.from_iterable(own))
+                if b"".join(map(table.__getitem__, own)) != b"".join([b" " * lead + r for r in part]):
+                    return None
+                flat.append(np.array(own, np.int64))
+            flat = np.concatenate(flat)
             ends = np.cumsum(sizes[flat])
             step = np.ones(len(chunks), np.int64)
             step[::JOINED] += lead
@@ -313,6 +320,13 @@ class Aligner:
         self.links = links
         return self
 
+    def finish(self) -> None:
+        """Ends a task: its links are counted and the memory goes, since the worker
+        may wait beside others that need the room."""
+        self.memo.restart()
+        self.use(None)
+        release()
+
     def _forget(self) -> None:
         if self.links is not None:
             self.links.forget(self)
@@ -348,7 +362,7 @@ class Aligner:
 
     def runs(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(first row, chunk numbers, begins of texts among them, good texts)."""
-        for first, data, offsets in text_runs(column):
+        for first, data, offsets in text_runs(column, RUN_BYTES):
             starts = word_starts(data, offsets) if self.tokenizers.cuts else np.unique(offsets[:-1][np.diff(offsets) > 0])
             numbers = self.memo.find(data, starts)
             begins = np.searchsorted(starts, offsets)
@@ -384,7 +398,9 @@ class CountLinks:
         n = len(self.uses)
         if n:
             begins = np.concatenate([[0], np.cumsum(own.sizes[:n, 2])])
-            self.add(own.pairs[:begins[-1]], np.repeat(self.uses, own.sizes[:n, 2]))
+            for a in range(0, n, 1 << 15):                 # a part at a time: sorting takes its own room
+                b = min(n, a + (1 << 15))
+                self.add(own.pairs[begins[a]:begins[b]], np.repeat(self.uses[a:b], own.sizes[a:b, 2]))
         self.uses = np.empty(0, np.int64)
 
     def rows(self) -> pa.RecordBatch:
@@ -421,6 +437,7 @@ _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 def aligner(paths: tuple[str, str]) -> Aligner:
     if paths not in _ALIGNERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")       # a task is one thread
         _ALIGNERS[paths] = Aligner(*paths)
     return _ALIGNERS[paths]
 
@@ -517,6 +534,8 @@ def _align_ranges(paths: tuple[str, str]):
                 if part.closed is not None and part.closed.n_a:
                     out.append(_closed_row(row["key"], row["id"], _first_end(part), part.closed))
                 yield _part_rows(out, batch.column(1).type)
+            release()
+        own.finish()
 
     return run
 
@@ -569,7 +588,7 @@ def _long_groups(docs: DataFrame, paths: tuple[str, str], kind: str, range_bytes
             if out:
                 yield _part_rows(out, batch.column(1).type)
 
-    closed.append(level.where("good").mapInArrow(first_groups, schema))
+    closed.append(materialize(level.where("good").mapInArrow(first_groups, schema), "first-groups"))
     groups = closed[0]
     for more in closed[1:]:
         groups = groups.unionByName(more)
@@ -610,10 +629,11 @@ def _align_short(paths: tuple[str, str]):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(digests)), *map(pa.array, n), pa.array(digests, pa.string()), links,
                      *[pa.nulls(len(digests), pa.int64())] * 2], SHORT_NAMES)
+            release()
             if counted.size() > MAX_PAIRS:
                 yield counts()
+        own.finish()
         if kind is not None:
-            counted.forget(own.use(None))
             yield counts()
 
     return run

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunk_memo import ChunkMemo, piece_starts, sums, text_runs
+from .chunk_memo import ChunkMemo, piece_starts, release, sums, text_runs
 
 #: Chunks remembered by one Python worker.
 MAX_CHUNKS = 600_000
@@ -123,6 +123,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT, id_col: str =
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own.count(batch.column(2)))],
                                              ["id", "n_bytes", "n_tokens"])
+            release()
 
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"),
