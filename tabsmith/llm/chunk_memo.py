@@ -12,7 +12,6 @@ never rests on it.
 
 from __future__ import annotations
 
-import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -29,15 +28,6 @@ _ODD_BLANK = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def release() -> None:
-    """Hands back to the system what this worker has freed: Python and Arrow keep it
-    otherwise, and workers go on to other stages."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def text_runs(column: pa.Array, run_bytes: int = RUN_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of texts, a space set before each text
     that is not empty; null is empty."""

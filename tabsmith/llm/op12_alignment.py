@@ -48,7 +48,8 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import materialize
 
-from .chunk_memo import ChunkMemo, release, sums, text_runs, word_starts
+from .chunk_memo import ChunkMemo, sums, text_runs, word_starts
+from .common import release
 from .op13_token_counts import MARK
 
 #: Bytes of a range; texts of fewer bytes are one.

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunk_memo import ChunkMemo, piece_starts, release, sums, text_runs
+from .chunk_memo import ChunkMemo, piece_starts, sums, text_runs
+from .common import release
 
 #: Chunks remembered by one Python worker.
 MAX_CHUNKS = 600_000

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import materialize
 
+from .common import release
 from .shingles import mix, text_bytes, words_of
 
 MAX_TRAIN_DOCS = 4000          # the bounds of the sample: documents, and their lines together
@@ -349,5 +350,6 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFram
     def good(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
             yield pa.array(text_scores(column, model) >= ACCEPT)
+        release()
 
     return docs.where(good(F.col(f"`{text_col}`")))

@@ -43,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
 from .shingles import NOT_ALNUM, mix, text_bytes, words_of
 
 MAX_EDITS = 0.2
@@ -366,5 +367,6 @@ def _clean(shared):
                 for t, _ in own.leaks(words, offsets):
                     bad[first + t] = True
             yield pa.array(~bad)
+        release()
 
     return clean

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import materialize, output_path
 
+from .common import release
 from .word_tokens import encoder
 
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -161,6 +162,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col:
                 shards = ShardWriter(stream)
             data, offsets = _text_bytes(batch.column(1))
             ids, ends = encode(data, offsets)
+            release()
             for i, doc_id in enumerate(batch.column(0).to_pylist()):
                 shards.add(doc_id, np.append(ids[ends[i]:ends[i + 1]], end).astype("<u4").tobytes())
         if shards is not None:

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import materialize
 
-from .common import numbered
+from .common import numbered, release
 from .components import connected_components, stars
 from .shingles import WIDTH, runs_of_texts, shingle_hashes
 
@@ -91,6 +91,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(SCAN_TYPES, doc_id=ids, n=n, s1=s1, s2=s2)
     words, uses = counts.most(FREQUENT_WORDS)
     yield _batch(SCAN_TYPES, word=words.view(np.int64), uses=uses)
+    release()
 
 
 class _WordCounts:
@@ -275,6 +276,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _lists(*(x[~last] for x in rows))
     if held:
         yield from _lists(*held)
+    release()
 
 
 def _ties(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -400,6 +402,7 @@ def _sorted_postings(texts: DataFrame, table) -> DataFrame:
 
     def postings(batches):
         yield from _postings(shared.value)(batches)
+        release()
 
     return (texts.mapInArrow(postings, POSTING_SCHEMA).repartition("h", F.when(F.col("h").isNull(), F.col("node")))
             .sortWithinPartitions("h", "node"))
