@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.session import materialize
 
-from .chunk_memo import ChunkMemo, sums, text_runs, word_starts
+from .chunk_memo import PLAIN_END, PLAIN_START, ChunkMemo, sums, text_runs, word_starts
 from .common import release
 from .op13_token_counts import MARK
 
@@ -66,11 +66,6 @@ CUT_A = re.compile(rb"(?:(?<=[\x21-\x7e])|(?<=[\xc3-\xdf][\x80-\xbf]))\x20(?=[\x
 CUT_B = re.compile(rb"(?<!\x20)(?<!\xe2\x96\x81)\x20")
 
 
-#: Chunks that may be read together: no white space at their ends, but for one space before.
-PLAIN_START = re.compile(rb"\x20?[\x21-\x7e\xc3-\xe0\xe4-\xf4]")
-PLAIN_END = re.compile(rb"(?:[\x21-\x7e]|[\xc3-\xdf][\x80-\xbf]|[\xe0\xe4-\xef][\x80-\xbf]{2})\Z")
-
-
 class Tokens(NamedTuple):
     """Tokens of one tokenizer: ids and the byte at which each ends."""
     ids: np.ndarray

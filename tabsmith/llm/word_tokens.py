@@ -11,14 +11,19 @@ encoded whole.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 
+from .chunk_memo import PLAIN_END, PLAIN_START
+
 #: Chunks remembered by one Python worker; beyond it the memory starts anew.
 MAX_CHUNKS = 1_000_000
 #: New chunks are encoded so many at a time: the library's results are large.
 PART_CHUNKS = 4096
+#: Plain chunks encoded together.
+JOINED = 256
 #: Texts are cut in runs of about so many bytes.
 RUN_BYTES = 1_000_000
 _SPACE = rb"[\x09-\x0d\x20]"
@@ -47,7 +52,13 @@ class WordTokens:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        special = [re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        special = [re.escape(c.encode()) for c in added.values()]
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Bytes of each token: an entry has a character for each, an added one is plain text.
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
+        for entry, i in vocab.items():
+            self.bytes_of[i] = len(entry.encode()) if i in added else len(entry)
         self.unsure = re.compile(b"|".join([_UNSURE, *special]))
         rng = np.random.default_rng(20240607)
         self.byte_values = rng.integers(1, 1 << 63, size=(2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -147,16 +158,41 @@ class WordTokens:
         where = pos[place]
         return np.where(self.check[where] == second, where, -1)
 
+    def _each(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of each) of chunks, one by one."""
+        own = self._encode([c.decode() for c in chunks])
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        return np.fromiter((i for x in own for i in x), np.uint32, int(sizes.sum())), sizes
+
+    def _joined(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of plain chunks, encoded together with line feeds between them, which
+        no piece holds beside other characters: tokens are dealt out by their bytes."""
+        runs = [b"\n" + b"\n".join(chunks[i:i + JOINED]) for i in range(0, len(chunks), JOINED)]
+        ids = np.concatenate([np.array(x, np.uint32) for x in self._encode([r.decode() for r in runs])])
+        ends = np.cumsum(self.bytes_of[ids])
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        stops = np.cumsum(size + 1)
+        edges = np.concatenate([stops - size, stops])
+        at = np.minimum(np.searchsorted(ends, edges), max(0, len(ends) - 1))
+        if not len(ends) or not np.array_equal(ends[at], edges):
+            return self._each(chunks)
+        first, last = at[:len(chunks)] + 1, at[len(chunks):] + 1
+        sizes = last - first
+        return ids[np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))], sizes
+
     def _learn(self, data, starts, keys, at, second):
         ends = np.append(starts[1:], len(data))
         raw = data.tobytes()
-        sizes, ids = [], [self.ids]
-        for a in range(0, len(at), PART_CHUNKS):
-            own = self._encode([raw[starts[i]:ends[i]].decode() for i in at[a:a + PART_CHUNKS]])
-            sizes.append(np.fromiter(map(len, own), np.int64, len(own)))
-            ids.append(np.fromiter((i for x in own for i in x), np.uint32, int(sizes[-1].sum())))
-        n = np.concatenate(sizes)
-        begin = len(self.ids) + np.cumsum(n) - n
+        chunks = [raw[starts[i]:ends[i]] for i in at.tolist()]
+        plain = np.fromiter((PLAIN_START.match(c) is not None and PLAIN_END.search(c) is not None for c in chunks), bool, len(chunks))
+        n, begin, ids, base = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), [self.ids], len(self.ids)
+        for which, encode in ((np.flatnonzero(plain), self._joined), (np.flatnonzero(~plain), self._each)):
+            for a in range(0, len(which), PART_CHUNKS):
+                own = which[a:a + PART_CHUNKS]
+                part, sizes = encode([chunks[i] for i in own.tolist()])
+                n[own], begin[own] = sizes, base + np.cumsum(sizes) - sizes
+                ids.append(part)
+                base += len(part)
         self.ids = np.concatenate(ids)
         place = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, place, keys)
@@ -170,5 +206,6 @@ _ENCODERS: dict[str, WordTokens] = {}
 
 def encoder(path: str) -> WordTokens:
     if path not in _ENCODERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")       # a task is one thread
         _ENCODERS[path] = WordTokens(path)
     return _ENCODERS[path]
