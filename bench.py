@@ -87,7 +87,7 @@ def main():
         "roc_auc": ce.roc_auc,
         "prediction_stats": ce.prediction_stats,
         "cv_summary": ce.cv_summary,
-        "dataset_build": cs.train_test_union,
+        "train_test_union": cs.train_test_union,
         "feature_build": feature_build,
         "scale_robust": cd.scale_robust,
         "star_join": cd.attendance_star_join,
