@@ -162,7 +162,6 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col:
                 shards = ShardWriter(stream)
             data, offsets = _text_bytes(batch.column(1))
             ids, ends = encode(data, offsets)
-            release()
             for i, doc_id in enumerate(batch.column(0).to_pylist()):
                 shards.add(doc_id, np.append(ids[ends[i]:ends[i + 1]], end).astype("<u4").tobytes())
         if shards is not None:
@@ -171,6 +170,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col:
             yield pa.RecordBatch.from_pydict({
                 "shard": [shard], "path": [path], "n_docs": [len(shards.ids)],
                 "n_tokens": [shards.n_tokens], "n_bytes": [shards.n_bytes]})
+        release()
 
     manifest = materialize(rows.mapInArrow(write, SHARD_SCHEMA), "token-manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
