@@ -131,7 +131,8 @@ STACK_BASES = ["decision_tree", "logistic_reg", "gbdt"]
 STACK_CONFIG = {
     "is_stacking": True,
     "feature_selector": {"enabled": True, "type": "lightgbm", "params": CONFIGS["lightgbm"], "threshold": "mean"},
-    "base_models": [{"name": name, "type": name, "params": CONFIGS[name]} for name in STACK_BASES],
+    "base_models": [{"name": name, "type": name, "params": {**CONFIGS[name], **({"n_estimators": 8} if name == "gbdt" else {})}}
+                    for name in STACK_BASES],
     "meta_learner": {"type": "logistic_reg", "params": {"penalty": "l2", "C": 1.0}},
 }
 STACK_FOLDS = 3
