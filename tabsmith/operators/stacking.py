@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from tabsmith.functions.hashing import hash_hex, hash_unit
 from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
+from tabsmith.session import compact
 
 OUTPUTS = ("predictionCol", "probabilityCol", "rawPredictionCol")
 NAME_DOC = "name of the stage in nested parameter names"
@@ -313,8 +314,9 @@ class StackingClassifier(Estimator, _StackColumns, _Saved):
         if not n:
             raise ValueError("no base estimators")
         # Every base reads the rows once a fold: kept, and recomputed from lineage where lost.
-        folded = self._folded(dataset)[0].persist(StorageLevel.MEMORY_AND_DISK)
+        kept = self._folded(dataset)[0].persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            folded = compact(kept, kept.count())
             scored = self._assembled(self.out_of_fold(dataset, folded), n)
             scored = scored.select(f"{self.uid}_meta", self.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
             try:
@@ -325,7 +327,7 @@ class StackingClassifier(Estimator, _StackColumns, _Saved):
             with ThreadPoolExecutor(max_workers=max(1, self.getOrDefault("parallelism"))) as pool:
                 models = list(pool.map(lambda i: self._base(i).fit(folded), range(n)))
         finally:
-            folded.unpersist()
+            kept.unpersist()
         out = StackingModel(models, meta, self.getOrDefault("baseNames"))
         out._resetUid(self.uid)
         return out._set(featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), **{c: self.getOrDefault(c) for c in OUTPUTS})
@@ -406,17 +408,17 @@ class BaggingClassifier(Estimator, _StackColumns, _Saved):
 
     def _fit(self, dataset: DataFrame) -> BaggingModel:
         weight = f"{self.uid}_weight"
-        rows = dataset.select(F.col(f"`{self.getOrDefault('idCol')}`").alias(f"{self.uid}_id"), self.getFeaturesCol(),
+        kept = dataset.select(F.col(f"`{self.getOrDefault('idCol')}`").alias(f"{self.uid}_id"), self.getFeaturesCol(),
                               self.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            models = []
+            rows, models = compact(kept, kept.count()), []
             for i in range(self.getOrDefault("numModels")):
                 drawn = rows.withColumn(weight, bootstrap_weight(f"{self.uid}_id", f"{self.getOrDefault('seed')}|bag{i}"))
                 base = _with_columns(self.getOrDefault("estimator"), featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
                                      weightCol=weight, **self._columns(i))
                 models.append(base.fit(drawn))
         finally:
-            rows.unpersist()
+            kept.unpersist()
         out = BaggingModel(models)
         out._resetUid(self.uid)
         return out._set(featuresCol=self.getFeaturesCol(), **{c: self.getOrDefault(c) for c in OUTPUTS})

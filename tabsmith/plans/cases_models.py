@@ -23,7 +23,7 @@ from tabsmith.operators.stacking import BaggingClassifier, ConfiguredClassifier,
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans import scoring
 from tabsmith.plans.cases_documented import attendance
-from tabsmith.session import materialize, output_path
+from tabsmith.session import compact, materialize, output_path
 
 FEATURES = ["total_price_k", "acctbal_k", "nation", "order_month", "order_dow", "order_year",
             "status_f", "status_o", "priority_high", "segment_building", "noise_a"]
@@ -206,7 +206,7 @@ def stack_search(spark, sf_dir):
     log's rows, each score a share."""
     from tabsmith.operators import tuning as tu
     train, _ = _train_test(spark, sf_dir)
-    folded = sm.kfold(train, "row_id", 2, fx.SEED, strata=["label"]).cache()
+    folded = compact(sm.kfold(train, "row_id", 2, fx.SEED, strata=["label"]), train.count()).cache()
     try:
         pipe = pipeline_from_config(SEARCH_CONFIG, FEATURES, 2, "row_id")
         trials = tu.score_candidates(folded, FEATURES, pipe, tu.grid_candidates(STACK_GRID), [1, 2], "recall")

@@ -11,7 +11,7 @@ from tabsmith.operators import tuning as tu
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans.cases_models import FEATURES, _train_test
 from tabsmith.plans.cases_sampling import keyed_orders
-from tabsmith.session import materialize, output_path
+from tabsmith.session import compact, materialize, output_path
 from tabsmith.sources import io
 
 N_TRIALS = 40
@@ -101,7 +101,7 @@ def write_best_trials(spark, sf_dir):
 
 def _folded(spark, sf_dir, k=3):
     train, _ = _train_test(spark, sf_dir)
-    return sm.kfold(train, "row_id", k, fx.SEED, strata=["label"]).cache()
+    return compact(sm.kfold(train, "row_id", k, fx.SEED, strata=["label"]), train.count()).cache()
 
 
 def _search(spark, sf_dir, candidates, k=3):

@@ -20,7 +20,7 @@ from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
 from tabsmith.operators import tuning as tu
 from tabsmith.operators.stacking import nested_space, pipeline_from_config
-from tabsmith.session import materialize
+from tabsmith.session import compact, materialize
 from tabsmith.sources.io import write_table
 
 #: The kinds of search by the names that configurations use.
@@ -52,8 +52,9 @@ def train(config: Mapping, rows: DataFrame, features: Sequence[str], key: str =
     is kept is the one fitted on all rows, not that of the last fold."""
     folds = int((config.get("cross_validation") or {}).get("n_splits", 5))
     pipe = pipeline_from_config(config["model"], features, folds, key)
-    folded = sm.kfold(rows.withColumn("label", F.col("label").cast("double")), key, folds, _seed(config)).cache()
+    kept = sm.kfold(rows.withColumn("label", F.col("label").cast("double")), key, folds, _seed(config)).cache()
     try:
+        folded = compact(kept, kept.count())
         model = pipe.fit(folded)
         scored = None
         for k in range(1, folds + 1):
@@ -66,7 +67,7 @@ def train(config: Mapping, rows: DataFrame, features: Sequence[str], key: str =
             table = table.unionByName(_score(model, test.withColumn("label", F.col("label").cast("double")), "test"))
         table = materialize(table, "experiment-metrics")          # a few rows, while the folds are cached
     finally:
-        folded.unpersist()
+        kept.unpersist()
     return Experiment(model, table, _write(model, table, path))
 
 
@@ -112,13 +113,14 @@ def tune(config: Mapping, kind: str, rows: DataFrame, features: Sequence[str], k
                                                seed, parallelism=parallelism, key=key), "trials")
         last = trials.where(F.col("run_id") == trials.agg(F.max("run_id")).head()[0])
     else:
-        folded = sm.kfold(rows, key, cv, seed, strata=["label"]).cache()
+        kept = sm.kfold(rows, key, cv, seed, strata=["label"]).cache()
         try:
+            folded = compact(kept, kept.count())
             trials = last = materialize(tu.score_candidates(
                 folded, features, pipe, found, range(1, cv + 1), metric, parallelism=parallelism,
                 return_train_score=bool(section.get("return_train_score"))), "trials")
         finally:
-            folded.unpersist()
+            kept.unpersist()
     _, best, fitted = tu.refit_best(rows, features, pipe, found, last, metric)
     table = _score(fitted.model, rows, "train")
     if test is not None:

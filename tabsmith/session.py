@@ -77,6 +77,15 @@ def broadcast_small(df, most: int = MAX_BROADCAST_ROWS):
     return F.broadcast(df) if df.count() <= most else df
 
 
+ROWS_PER_PARTITION = 10_000
+
+
+def compact(df, n_rows: int):
+    """``df`` in no more partitions than its rows need: learners run a task for each
+    partition in every round, and empty ones cost as much as full ones."""
+    return df.coalesce(max(1, -(-n_rows // ROWS_PER_PARTITION)))
+
+
 #: Folders of the steps under way (see ``scratch``), the innermost last.
 _STEPS: list[str] = []
 
