@@ -208,9 +208,14 @@ def evaluate(df: DataFrame, group_cols: Sequence[str] = (), label: str = "label"
     one final aggregation per group.  Nothing is read twice and no branch is
     joined back.
     """
+    return evaluate_histogram(score_histogram(df, group_cols, label, score, prediction), group_cols, score, digits, with_stats, cells)
+
+
+def evaluate_histogram(h: DataFrame, group_cols: Sequence[str] = (), score: str = "probability",
+                       digits: int | None = 6, with_stats: bool = False, cells: int | None = None) -> DataFrame:
+    """``evaluate`` from a score histogram on."""
     group_cols = list(group_cols)
-    cells = cells or default_cells(df)
-    h = score_histogram(df, group_cols, label, score, prediction)
+    cells = cells or default_cells(h)
     x = h.withColumn("_cell", _score_cell(score, cells))
     w = Window.partitionBy(*group_cols, "_cell").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     p, n = F.col(score).cast("double"), F.col("n")

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
@@ -23,6 +23,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabsmith.session import even
+
 FEATURES = "features"
 PROB_VEC = "probability_vec"
 SPARK_MAX_DEPTH = 30
@@ -111,6 +113,8 @@ def _random_forest(p, n_features, n_rows):
 
 #: Column that marks the rows on which boosting is watched.
 VALIDATION = "_validation"
+#: Hash of a row's inputs, kept where the inputs themselves are assembled.
+ROW_HASH = "_row_hash"
 EARLY_STOPPING = ("n_iter_no_change", "early_stopping_rounds")
 
 
@@ -128,7 +132,8 @@ def with_validation(df: DataFrame, est, params: Mapping, inputs) -> DataFrame:
     if not est.hasParam("validationIndicatorCol") or not est.isSet("validationIndicatorCol"):
         return df
     share = float((params or {}).get("validation_fraction") or 0.1)
-    return df.withColumn(VALIDATION, F.pmod(F.xxhash64(*inputs), F.lit(1 << 20)) < share * (1 << 20))
+    row = F.col(ROW_HASH) if ROW_HASH in df.columns else F.xxhash64(*inputs)
+    return df.withColumn(VALIDATION, F.pmod(row, F.lit(1 << 20)) < share * (1 << 20))
 
 
 def _gbt(p, n_features, n_rows, depth_default=3):
@@ -256,31 +261,45 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
 
 
+def assembled(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (), label: str = "label") -> DataFrame:
+    """What learners read: the feature vector, the label as a double and ``keep``, put
+    together once for all passes and fits."""
+    features = list(features)
+    rows = df if label == "label" else df.withColumnRenamed(label, "label")
+    rows = rows.withColumn("label", F.col("label").cast("double"))
+    rows = rows.withColumn(ROW_HASH, F.xxhash64(*[F.col(f"`{c}`") for c in [*features, "label"]]))
+    return assembler(features).transform(rows).select(FEATURES, "label", ROW_HASH, *keep)
+
+
+def fit_assembled(rows: DataFrame, features: Sequence[str], model_type: str, params: Mapping | None = None,
+                  n_rows: int | None = None, weight_col: str | None = None) -> FittedModel:
+    """Fit on rows of ``assembled`` (kept by the caller); the model takes raw rows."""
+    features = list(features)
+    if model_type == "logistic_reg" and n_rows is None:
+        n_rows = rows.count()
+    est, ignored = create_estimator(model_type, params, len(features), n_rows or 1)
+    if weight_col is not None:
+        est.setWeightCol(weight_col)
+    fitted = est.fit(with_validation(rows, est, params, [ROW_HASH]))
+    return FittedModel(PipelineModel(stages=[assembler(features), fitted]), model_type, features, ignored)
+
+
 def fit_model(df: DataFrame, features: Sequence[str], model_type: str, params: Mapping | None = None,
               label: str = "label", n_rows: int | None = None, weight_col: str | None = None,
               keep_rows: bool = True) -> FittedModel:
     """Fit ``assembler -> classifier`` on ``df`` (label column ``label``).  Where the
     caller has the rows cached already, ``keep_rows`` is False: no second copy."""
-    features = list(features)
-    train = df if label == "label" else df.withColumnRenamed(label, "label")
-    cols = [*features, "label"] + ([weight_col] if weight_col else [])
-    train = train.select(*cols).withColumn("label", F.col("label").cast("double"))
-    # the learners read their input several times: keep the projected rows
+    rows = assembled(df, features, [weight_col] if weight_col else [], label)
+    # the learners read their input several times: keep the assembled rows
     # (memory, spilling to disk; lost blocks are recomputed from lineage)
     if keep_rows:
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+        n_rows = n_rows or df.count()
+        rows = even(rows, n_rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if model_type == "logistic_reg" and n_rows is None:
-            n_rows = train.count()          # of the kept rows, which the fit reads next
-        est, ignored = create_estimator(model_type, params, len(features), n_rows or 1)
-        if weight_col is not None:
-            est.setWeightCol(weight_col)
-        rows = with_validation(train, est, params, [F.col(f"`{c}`") for c in [*features, "label"]])
-        pm = Pipeline(stages=[assembler(features), est]).fit(rows)
+        return fit_assembled(rows, features, model_type, params, n_rows, weight_col)
     finally:
         if keep_rows:
-            train.unpersist()
-    return FittedModel(pm, model_type, features, ignored)
+            rows.unpersist()
 
 
 def predict(fm: FittedModel | PipelineModel, df: DataFrame, keep: Sequence[str] = (),

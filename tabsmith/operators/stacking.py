@@ -24,7 +24,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tabsmith.functions.hashing import hash_hex, hash_unit
 from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
-from tabsmith.session import compact
+from tabsmith.session import even, learner_partitions
 
 OUTPUTS = ("predictionCol", "probabilityCol", "rawPredictionCol")
 NAME_DOC = "name of the stage in nested parameter names"
@@ -314,11 +314,13 @@ class StackingClassifier(Estimator, _StackColumns, _Saved):
         if not n:
             raise ValueError("no base estimators")
         # Every base reads the rows once a fold: kept, and recomputed from lineage where lost.
-        kept = self._folded(dataset)[0].persist(StorageLevel.MEMORY_AND_DISK)
+        n_rows = dataset.count()
+        folded = even(self._folded(dataset)[0], n_rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            folded = compact(kept, kept.count())
             scored = self._assembled(self.out_of_fold(dataset, folded), n)
-            scored = scored.select(f"{self.uid}_meta", self.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
+            # one part of every fold to a task, as many tasks as the rows have elsewhere
+            scored = scored.select(f"{self.uid}_meta", self.getLabelCol()).coalesce(learner_partitions(dataset.sparkSession, n_rows)) \
+                .persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 meta = _with_columns(self.getOrDefault("finalEstimator"), featuresCol=f"{self.uid}_meta", labelCol=self.getLabelCol(),
                                      **{c: self.getOrDefault(c) for c in OUTPUTS}).fit(scored)
@@ -327,7 +329,7 @@ class StackingClassifier(Estimator, _StackColumns, _Saved):
             with ThreadPoolExecutor(max_workers=max(1, self.getOrDefault("parallelism"))) as pool:
                 models = list(pool.map(lambda i: self._base(i).fit(folded), range(n)))
         finally:
-            kept.unpersist()
+            folded.unpersist()
         out = StackingModel(models, meta, self.getOrDefault("baseNames"))
         out._resetUid(self.uid)
         return out._set(featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), **{c: self.getOrDefault(c) for c in OUTPUTS})
@@ -408,17 +410,16 @@ class BaggingClassifier(Estimator, _StackColumns, _Saved):
 
     def _fit(self, dataset: DataFrame) -> BaggingModel:
         weight = f"{self.uid}_weight"
-        kept = dataset.select(F.col(f"`{self.getOrDefault('idCol')}`").alias(f"{self.uid}_id"), self.getFeaturesCol(),
-                              self.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = dataset.select(F.col(f"`{self.getOrDefault('idCol')}`").alias(f"{self.uid}_id"), self.getFeaturesCol(), self.getLabelCol())
+        rows, models = even(kept, dataset.count()).persist(StorageLevel.MEMORY_AND_DISK), []
         try:
-            rows, models = compact(kept, kept.count()), []
             for i in range(self.getOrDefault("numModels")):
                 drawn = rows.withColumn(weight, bootstrap_weight(f"{self.uid}_id", f"{self.getOrDefault('seed')}|bag{i}"))
                 base = _with_columns(self.getOrDefault("estimator"), featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
                                      weightCol=weight, **self._columns(i))
                 models.append(base.fit(drawn))
         finally:
-            kept.unpersist()
+            rows.unpersist()
         out = BaggingModel(models)
         out._resetUid(self.uid)
         return out._set(featuresCol=self.getFeaturesCol(), **{c: self.getOrDefault(c) for c in OUTPUTS})
@@ -467,6 +468,35 @@ def pipeline_from_config(model: Mapping, features: Sequence[str], n_folds: int =
     return Pipeline(stages=stages)
 
 
+def prepared(model: Estimator, rows: DataFrame, keep: Sequence[str] = ()) -> tuple[list[Transformer], Estimator, DataFrame]:
+    """(transformers that a pipeline begins with, the rest of it, the rows as they leave
+    the transformers): what no fit changes is worked out once for all fits.  Columns that
+    were only put into a vector go, where the stages that follow are known."""
+    heads, stages = [], list(model.getStages()) if isinstance(model, Pipeline) else []
+    while len(stages) > 1 and isinstance(stages[0], Transformer):
+        heads.append(stages.pop(0))
+        rows = heads[-1].transform(rows)
+    if not heads:
+        return [], model, rows
+    if all(isinstance(s, (ConfiguredClassifier, ImportanceSelector, StackingClassifier)) for s in stages):
+        named = {s.getOrDefault(c) for s in stages for c in ("idCol", "foldCol", "labelCol", "featuresCol", "weightCol")
+                 if s.hasParam(c) and s.isDefined(s.getParam(c))}
+        packed = {c for h in heads if isinstance(h, VectorAssembler) for c in h.getInputCols()}
+        rows = rows.drop(*(packed - named - set(keep)))
+    return heads, Pipeline(stages=stages), rows
+
+
+def fit_kept(model: Estimator, rows: DataFrame, candidate: Mapping | None = None) -> Model:
+    """``model`` fitted on rows that are dealt evenly and kept, assembled, for all its stages."""
+    heads, rest, ready = prepared(model, even(rows, rows.count()))
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = rest.fit(ready, route(rest, candidate or {}))
+    finally:
+        ready.unpersist()
+    return PipelineModel(stages=[*heads, *fitted.stages]) if heads else fitted
+
+
 def nested_space(section: Mapping) -> dict:
     """The candidate lists of a search section by nested name."""
     def lists(prefix):

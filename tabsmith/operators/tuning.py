@@ -16,14 +16,15 @@ import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabsmith.operators import metrics as met
 from tabsmith.operators import models as md
-from tabsmith.operators.stacking import NothingSelected, route
-from tabsmith.session import is_written, materialize, output_path
+from tabsmith.operators.stacking import NothingSelected, fit_kept, prepared, route
+from tabsmith.session import even, is_written, materialize, output_path
 from tabsmith.sources.io import read_table, write_table
 
 
@@ -129,45 +130,60 @@ def fit_candidate(train: DataFrame, features: Sequence[str], model: str | Estima
     Estimator with the candidate's parameters set by nested name."""
     if isinstance(model, str):
         return md.fit_model(train, features, model, params, keep_rows=keep_rows)
-    fitted = model.fit(train.withColumn("label", F.col("label").cast("double")), route(model, params))
+    train = train.withColumn("label", F.col("label").cast("double"))
+    fitted = fit_kept(model, train, params) if keep_rows else model.fit(train, route(model, params))
     return md.FittedModel(fitted, type(model).__name__, list(features))
 
 
+def _prepared(folded: DataFrame, features: Sequence[str], model: str | Estimator, fold_col: str):
+    """(rows with all that doesn't depend on a candidate worked out, a function that fits
+    a candidate on such rows and returns the model that scores them)."""
+    if isinstance(model, str):
+        rows = md.assembled(folded, features, [fold_col])
+        return rows, lambda train, params: md.fit_assembled(train, features, model, params).classifier
+    _, rest, rows = prepared(model, folded.withColumn("label", F.col("label").cast("double")), [fold_col])
+    return rows, lambda train, params: rest.fit(train, route(rest, params))
+
+
 def score_candidates(folded: DataFrame, features: Sequence[str], model_type: str | Estimator,
                      candidates: Sequence[Mapping], folds: Sequence[int], metric: str = "recall",
                      run_id: int = 0, base_params: Mapping | None = None, fold_col: str = "fold",
                      parallelism: int = 4, return_train_score: bool = False) -> DataFrame:
-    """Trials log rows for every (candidate, fold).  ``folded`` should be cached.
+    """Trials log rows for every (candidate, fold).  The rows are kept here, assembled,
+    for all fits; ``folded`` need not be cached.
     ``model_type`` is one of the registry or an Estimator, whose candidates name
     its parameters (``stacking__rf__max_depth``); one whose selector keeps no
     feature has a missing score."""
     jobs = [(t, k) for t in range(len(candidates)) for k in folds]
     spark = folded.sparkSession
-    out_path = output_path(spark, "trial-predictions")
+    out_path = output_path(spark, "trial-scores")
+    rows, fit = _prepared(folded, features, model_type, fold_col)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    fold = F.col(fold_col)
 
     def one(job):
         t, k = job
         params = {**(base_params or {}), **candidates[t]}
         try:
-            fm = fit_candidate(folded.filter(F.col(fold_col) != k), features, model_type, params)
+            model = fit(rows.filter(fold != k), params)
         except NothingSelected:
             return                      # the candidate has no score here
-        parts = [md.predict(fm, folded.filter(F.col(fold_col) == k), keep=["label"])
-                 .withColumn("split", F.lit("test"))]
-        if return_train_score:
-            parts.append(md.predict(fm, folded.filter(F.col(fold_col) != k), keep=["label"])
-                         .withColumn("split", F.lit("train")))
-        out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        # each (trial, fold) lands in its own folder of one predictions table
-        out.write.mode("overwrite").parquet(f"{out_path}/trial_id={t}/fold={k}")
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        list(pool.map(one, jobs))
+        asked = rows.filter(fold.isNotNull() if return_train_score else fold == k)
+        split = F.when(fold == k, F.lit("test")).otherwise(F.lit("train"))
+        scored = md.predict(model, asked.withColumn("split", split), keep=["split", "label"])
+        # each (trial, fold) lands in its own folder of one table: counts for every distinct
+        # score, from which all metrics follow, not a row for each prediction
+        met.score_histogram(scored, ["split"]).write.mode("overwrite").parquet(f"{out_path}/trial_id={t}/fold={k}")
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(one, jobs))
+    finally:
+        rows.unpersist()
     splits = ("test", "train") if return_train_score else ("test",)
     asked = spark.createDataFrame([(t, k, s) for t, k in jobs for s in splits], "trial_id int, fold int, split string")
     if is_written(spark, out_path):
-        allp = spark.read.parquet(out_path)
-        scored = met.evaluate(allp, ["trial_id", "fold", "split"], digits=None)
+        scored = met.evaluate_histogram(spark.read.parquet(out_path), ["trial_id", "fold", "split"], digits=None)
         scored = asked.join(scored, ["trial_id", "fold", "split"], "left")
     else:
         scored = asked.withColumn(metric, F.lit(None).cast("double"))
@@ -316,17 +332,14 @@ def halving_search(ranked_rows: DataFrame, features: Sequence[str], model_type:
     logs = []
     for i, (rnd, resources, _) in enumerate(schedule):
         sample = ranked_rows.filter(F.col(rank_col) <= resources)
-        folded = kfold(sample, key, k, seed, strata=["label"]).cache()
-        try:
-            trials = score_candidates(folded, features, model_type, [candidates[j] for j in alive],
-                                      range(1, k + 1), metric, run_id=rnd, parallelism=parallelism)
-            ids = F.array(*[F.lit(j) for j in alive])
-            trials = materialize(trials.withColumn("trial_id", F.element_at(ids, F.col("trial_id") + 1)), "halving-round")
-            ranked = rank_trials(trials, metric).orderBy(F.col("mean_test_score").desc_nulls_last(), "trial_id")
-            order = [r["trial_id"] for r in ranked.select("trial_id").collect()]   # one row per candidate
-            logs.append(trials)
-        finally:
-            folded.unpersist()
+        folded = even(kfold(sample, key, k, seed, strata=["label"]), resources)
+        trials = score_candidates(folded, features, model_type, [candidates[j] for j in alive],
+                                  range(1, k + 1), metric, run_id=rnd, parallelism=parallelism)
+        ids = F.array(*[F.lit(j) for j in alive])
+        trials = materialize(trials.withColumn("trial_id", F.element_at(ids, F.col("trial_id") + 1)), "halving-round")
+        ranked = rank_trials(trials, metric).orderBy(F.col("mean_test_score").desc_nulls_last(), "trial_id")
+        order = [r["trial_id"] for r in ranked.select("trial_id").collect()]   # one row per candidate
+        logs.append(trials)
         if i + 1 < len(schedule):
             alive = order[:schedule[i + 1][2]]
     out = logs[0]

@@ -19,11 +19,11 @@ from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
 from tabsmith.operators import scaling as sc
 from tabsmith.operators import selection as sel
-from tabsmith.operators.stacking import BaggingClassifier, ConfiguredClassifier, ImportanceSelector, pipeline_from_config
+from tabsmith.operators.stacking import BaggingClassifier, ConfiguredClassifier, ImportanceSelector, fit_kept, pipeline_from_config
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans import scoring
 from tabsmith.plans.cases_documented import attendance
-from tabsmith.session import compact, materialize, output_path
+from tabsmith.session import even, materialize, output_path
 
 FEATURES = ["total_price_k", "acctbal_k", "nation", "order_month", "order_dow", "order_year",
             "status_f", "status_o", "priority_high", "segment_building", "noise_a"]
@@ -149,7 +149,8 @@ def stack_pipeline(selector: bool = True):
 
 
 def _fit_stack(train: DataFrame, selector: bool):
-    return stack_pipeline(selector).fit(train.withColumn("label", F.col("label").cast("double")))
+    rows = train.select("row_id", F.col("label").cast("double").alias("label"), *FEATURES)
+    return fit_kept(stack_pipeline(selector), rows) if selector else stack_pipeline(selector).fit(rows)
 
 
 def stacking_oof(spark, sf_dir):
@@ -205,15 +206,12 @@ def stack_search(spark, sf_dir):
     """Grid search over selector, base and meta learner by nested names: the trial
     log's rows, each score a share."""
     from tabsmith.operators import tuning as tu
-    train, _ = _train_test(spark, sf_dir)
-    folded = compact(sm.kfold(train, "row_id", 2, fx.SEED, strata=["label"]), train.count()).cache()
-    try:
-        pipe = pipeline_from_config(SEARCH_CONFIG, FEATURES, 2, "row_id")
-        trials = tu.score_candidates(folded, FEATURES, pipe, tu.grid_candidates(STACK_GRID), [1, 2], "recall")
-        return materialize(trials.select("trial_id", "fold", "metric", F.col("value").between(0.0, 1.0).alias("in_range"),
-                                         *[F.col("params")[k].alias(k) for k in STACK_GRID]), "stack-search")
-    finally:
-        folded.unpersist()
+    train = _train_test(spark, sf_dir)[0].select("row_id", "label", *FEATURES)
+    folded = even(sm.kfold(train, "row_id", 2, fx.SEED, strata=["label"]), train.count())
+    pipe = pipeline_from_config(SEARCH_CONFIG, FEATURES, 2, "row_id")
+    trials = tu.score_candidates(folded, FEATURES, pipe, tu.grid_candidates(STACK_GRID), [1, 2], "recall")
+    return materialize(trials.select("trial_id", "fold", "metric", F.col("value").between(0.0, 1.0).alias("in_range"),
+                                     *[F.col("params")[k].alias(k) for k in STACK_GRID]), "stack-search")
 
 
 SCALING = {"total_price_k": "标准化", "acctbal_k": "min-max变换", "order_month": "robustscaler变换"}

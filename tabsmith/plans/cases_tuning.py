@@ -11,7 +11,7 @@ from tabsmith.operators import tuning as tu
 from tabsmith.plans import fixtures as fx
 from tabsmith.plans.cases_models import FEATURES, _train_test
 from tabsmith.plans.cases_sampling import keyed_orders
-from tabsmith.session import compact, materialize, output_path
+from tabsmith.session import even, materialize, output_path
 from tabsmith.sources import io
 
 N_TRIALS = 40
@@ -100,18 +100,14 @@ def write_best_trials(spark, sf_dir):
 
 
 def _folded(spark, sf_dir, k=3):
-    train, _ = _train_test(spark, sf_dir)
-    return compact(sm.kfold(train, "row_id", k, fx.SEED, strata=["label"]), train.count()).cache()
+    train = _train_test(spark, sf_dir)[0].select("row_id", "label", *FEATURES)
+    return even(sm.kfold(train, "row_id", k, fx.SEED, strata=["label"]), train.count())
 
 
 def _search(spark, sf_dir, candidates, k=3):
-    folded = _folded(spark, sf_dir, k)
-    try:
-        trials = tu.score_candidates(folded, FEATURES, "decision_tree", candidates, range(1, k + 1),
-                                     "recall", base_params={"random_state": 42}, return_train_score=True)
-        return materialize(trials, "trials")          # before the folds are released
-    finally:
-        folded.unpersist()
+    trials = tu.score_candidates(_folded(spark, sf_dir, k), FEATURES, "decision_tree", candidates, range(1, k + 1),
+                                 "recall", base_params={"random_state": 42}, return_train_score=True)
+    return materialize(trials, "trials")
 
 
 def grid_search(spark, sf_dir):
@@ -160,7 +156,7 @@ def halving_samples(spark, sf_dir):
 
 
 def _halve(spark, sf_dir, candidates, min_resources):
-    train, _ = _train_test(spark, sf_dir)
+    train = _train_test(spark, sf_dir)[0].select("row_id", "label", *FEATURES)
     ranked = sm.nested_order(train, "label", "row_id", fx.SEED, tag="halving")
     sched = tu.halving_schedule(train.count(), len(candidates), factor=2, min_resources=min_resources, cv=3)
     return tu.halving_search(ranked, FEATURES, "decision_tree", candidates, sched, k=3, seed=fx.SEED)

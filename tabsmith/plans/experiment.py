@@ -9,8 +9,10 @@ stacks go the same way, as one Spark ML pipeline.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +21,17 @@ from tabsmith.operators import metrics as met
 from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
 from tabsmith.operators import tuning as tu
-from tabsmith.operators.stacking import nested_space, pipeline_from_config
-from tabsmith.session import compact, materialize
+from tabsmith.operators.stacking import nested_space, pipeline_from_config, prepared
+from tabsmith.session import even, materialize
 from tabsmith.sources.io import write_table
 
 #: The kinds of search by the names that configurations use.
 SEARCHES = ("grid", "random", "halving_grid", "halving_random", "bayesian")
 
 
+FITS_AT_A_TIME = 4
+
+
 @dataclass
 class Experiment:
     """A fitted pipeline, its metric rows and where both were written."""
@@ -52,17 +57,20 @@ def train(config: Mapping, rows: DataFrame, features: Sequence[str], key: str =
     is kept is the one fitted on all rows, not that of the last fold."""
     folds = int((config.get("cross_validation") or {}).get("n_splits", 5))
     pipe = pipeline_from_config(config["model"], features, folds, key)
-    kept = sm.kfold(rows.withColumn("label", F.col("label").cast("double")), key, folds, _seed(config)).cache()
+    rows = rows.select(*dict.fromkeys([key, "label", *features])).withColumn("label", F.col("label").cast("double"))
+    folded = even(sm.kfold(rows, key, folds, _seed(config)), rows.count())
+    heads, rest, kept = prepared(pipe, folded, ["fold"])          # assembled once for all fits
+    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        folded = compact(kept, kept.count())
-        model = pipe.fit(folded)
+        with ThreadPoolExecutor(max_workers=FITS_AT_A_TIME) as pool:
+            fits = list(pool.map(lambda k: rest.fit(kept.where(F.col("fold") != k) if k else kept), range(folds + 1)))
         scored = None
         for k in range(1, folds + 1):
-            fitted = pipe.fit(folded.where(F.col("fold") != k))
-            part = md.predict(fitted, folded.where(F.col("fold") == k), keep=["fold", "label"])
+            part = md.predict(fits[k], kept.where(F.col("fold") == k), keep=["fold", "label"])
             scored = part if scored is None else scored.unionByName(part)
         per_fold = met.evaluate(scored, ["fold"], digits=None)
-        table = met.summarize_folds(per_fold, []).unionByName(_score(model, folded, "train"))
+        model = PipelineModel(stages=[*heads, *fits[0].stages])
+        table = met.summarize_folds(per_fold, []).unionByName(_score(fits[0], kept, "train"))
         if test is not None:
             table = table.unionByName(_score(model, test.withColumn("label", F.col("label").cast("double")), "test"))
         table = materialize(table, "experiment-metrics")          # a few rows, while the folds are cached
@@ -103,7 +111,7 @@ def tune(config: Mapping, kind: str, rows: DataFrame, features: Sequence[str], k
     section = config[f"{kind}_search_params"]
     seed, cv, metric = int(section.get("random_state", 42)), int(section.get("cv", 5)), section.get("scoring", "recall")
     pipe = pipeline_from_config(config["model"], features, int((config.get("cross_validation") or {}).get("n_splits", 5)), key)
-    rows = rows.withColumn("label", F.col("label").cast("double"))
+    rows = rows.select(*dict.fromkeys([key, "label", *features])).withColumn("label", F.col("label").cast("double"))
     n = rows.count() if kind.startswith("halving") else 0
     found = candidates(kind, section, n, seed)
     if kind.startswith("halving"):
@@ -113,14 +121,10 @@ def tune(config: Mapping, kind: str, rows: DataFrame, features: Sequence[str], k
                                                seed, parallelism=parallelism, key=key), "trials")
         last = trials.where(F.col("run_id") == trials.agg(F.max("run_id")).head()[0])
     else:
-        kept = sm.kfold(rows, key, cv, seed, strata=["label"]).cache()
-        try:
-            folded = compact(kept, kept.count())
-            trials = last = materialize(tu.score_candidates(
-                folded, features, pipe, found, range(1, cv + 1), metric, parallelism=parallelism,
-                return_train_score=bool(section.get("return_train_score"))), "trials")
-        finally:
-            kept.unpersist()
+        folded = even(sm.kfold(rows, key, cv, seed, strata=["label"]), rows.count())
+        trials = last = materialize(tu.score_candidates(
+            folded, features, pipe, found, range(1, cv + 1), metric, parallelism=parallelism,
+            return_train_score=bool(section.get("return_train_score"))), "trials")
     _, best, fitted = tu.refit_best(rows, features, pipe, found, last, metric)
     table = _score(fitted.model, rows, "train")
     if test is not None:

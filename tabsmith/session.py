@@ -86,6 +86,25 @@ def compact(df, n_rows: int):
     return df.coalesce(max(1, -(-n_rows // ROWS_PER_PARTITION)))
 
 
+LEARNER_ROUNDS = 2
+MOST_ROWS_PER_PARTITION = 1_000_000
+
+
+def learner_partitions(spark: SparkSession, n_rows: int) -> int:
+    """Partitions for rows that a learner reads again and again: as many as the rows need,
+    from there on whole rounds of the cores.  Tasks of a round, and what they send to the
+    driver, then don't grow with the rows until partitions reach their largest size."""
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    rounds = max(LEARNER_ROUNDS, -(-n_rows // (MOST_ROWS_PER_PARTITION * cores)))
+    return max(1, min(-(-n_rows // ROWS_PER_PARTITION), rounds * cores))
+
+
+def even(df, n_rows: int):
+    """``df`` dealt in equal parts: ranks leave parts of uneven size, and a learner waits
+    for the largest one in every round."""
+    return df.repartition(learner_partitions(df.sparkSession, n_rows))
+
+
 #: Folders of the steps under way (see ``scratch``), the innermost last.
 _STEPS: list[str] = []
 
