@@ -120,22 +120,65 @@ def _rules(depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def path_shapley(rows: np.ndarray, ensemble: TreeEnsemble) -> np.ndarray:
-    """Shapley values (rows x features); a missing value (NaN) goes right."""
-    out = np.zeros(rows.shape)
-    rules = _rules(max((len(leaf.features) for leaf in ensemble.leaves), default=0))
-    values = np.where(np.isnan(rows), np.inf, rows)
+def _contributions(leaf: Leaf, passed: np.ndarray, rule) -> np.ndarray:
+    """A leaf's part (rows x its features) for rows that pass the given splits."""
+    t, w = rule
+    # rows x features x points; never 0, for t < 1 and shares of a reached leaf are above 0
+    factors = (1 - t) * np.maximum(leaf.shares, 1e-300)[None, :, None] + t * passed[:, :, None]
+    whole = (factors.prod(axis=1) * w)[:, None, :]
+    return leaf.value * (passed - leaf.shares) * (whole / factors).sum(axis=2)
+
+
+#: Features on a path up to which all patterns of passed splits are worked out before
+#: the rows: 2^8 patterns x 8 features of a leaf are 16 KB.
+MAX_PATTERN = 8
+#: Splits whose outcome is remembered for a batch, a byte for each row.
+MAX_TESTS = 2_048
+
+
+def pattern_tables(ensemble: TreeEnsemble) -> list[np.ndarray | None]:
+    """For each leaf its part for every pattern of passed splits (bit i: the i-th feature
+    of its path); none for longer paths."""
+    rules = _rules(MAX_PATTERN)
+    out: list[np.ndarray | None] = []
     for leaf in ensemble.leaves:
+        d = len(leaf.features)
+        bits = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1 == 1 if 0 < d <= MAX_PATTERN else None
+        out.append(None if bits is None else _contributions(leaf, bits, rules[d]))
+    return out
+
+
+def path_shapley(rows: np.ndarray, ensemble: TreeEnsemble, tables: Sequence[np.ndarray | None] | None = None) -> np.ndarray:
+    """Shapley values (rows x features); a missing value (NaN) goes right.  A leaf's part
+    depends on which splits a row passes only, so it is looked up by that pattern
+    (``pattern_tables``, which a caller with many batches works out once)."""
+    tables = pattern_tables(ensemble) if tables is None else tables
+    rules = _rules(max((len(leaf.features) for leaf in ensemble.leaves), default=0))
+    values = np.ascontiguousarray(np.where(np.isnan(rows), np.inf, rows).T)
+    out, tests = np.zeros(values.shape), {}
+
+    def passes(f, low, high):
+        """Whether rows go through; leaves of a tree share most of their bounds."""
+        if (f, low, high) not in tests:
+            if len(tests) >= MAX_TESTS:
+                tests.clear()
+            x = values[f]
+            tests[f, low, high] = (x <= high if np.isneginf(low) else (x > low) & (x <= high)).view(np.uint8)
+        return tests[f, low, high]
+
+    for leaf, table in zip(ensemble.leaves, tables, strict=True):
         if not len(leaf.features):
             continue
-        x = values[:, leaf.features]
-        passed = ((x > leaf.low) | np.isneginf(leaf.low)) & (x <= leaf.high)
-        t, w = rules[len(leaf.features)]
-        # rows x features x points; never 0, for t < 1 and shares of a reached leaf are above 0
-        factors = (1 - t) * np.maximum(leaf.shares, 1e-300)[None, :, None] + t * passed[:, :, None]
-        whole = (factors.prod(axis=1) * w)[:, None, :]
-        out[:, leaf.features] += leaf.value * (passed - leaf.shares) * (whole / factors).sum(axis=2)
-    return out
+        passed = [passes(f, low, high) for f, low, high in zip(leaf.features.tolist(), leaf.low.tolist(), leaf.high.tolist())]
+        if table is None:
+            out[leaf.features] += _contributions(leaf, np.array(passed).T.astype(bool), rules[len(leaf.features)]).T
+            continue
+        pattern = passed[0].copy()
+        for i, p in enumerate(passed[1:], 1):
+            pattern |= p << i
+        for f, part in zip(leaf.features.tolist(), table.T):
+            out[f] += np.ascontiguousarray(part)[pattern]
+    return out.T
 
 
 def path_contributions(df: DataFrame, features: Sequence[str], model, keep: Sequence[str] = (), k: int = TOP_K,
@@ -154,8 +197,9 @@ def path_contributions(df: DataFrame, features: Sequence[str], model, keep: Sequ
 
     def run(batches):
         ensemble = shared.value
+        tables = pattern_tables(ensemble)
         for pdf in batches:
-            phi = path_shapley(pdf[places].to_numpy(float).reshape(len(pdf), len(features)), ensemble)
+            phi = path_shapley(pdf[places].to_numpy(float).reshape(len(pdf), len(features)), ensemble, tables)
             out = pdf[keep].copy()
             sums = phi.sum(axis=1) + ensemble.base
             if spread_base:

@@ -8,6 +8,7 @@ from tabsmith import session
 from tabsmith.operators import metrics as met
 from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
+from tabsmith.operators import tree_shap as ts
 from tabsmith.operators import tuning as tu
 
 FEATS = ["x1", "x2"]
@@ -57,3 +58,16 @@ def test_fit_assembled_is_fit_model(spark):
     assert np.array_equal(*p)
     packed = md.assembled(rows, FEATS).select(vector_to_array(md.FEATURES).alias("v")).first()["v"]
     assert packed == [rows.first()[f] for f in FEATS]
+
+
+def test_patterns_give_what_every_row_gives(monkeypatch):
+    rng, inf = np.random.default_rng(3), np.inf
+    leaves = [ts.Leaf(float(rng.random()), np.arange(d), rng.uniform(0.05, 0.95, d), np.where(rng.random(d) < 0.5, -inf, 0.3),
+                      np.where(rng.random(d) < 0.5, inf, 0.8)) for d in (0, 1, 2, 5, ts.MAX_PATTERN, ts.MAX_PATTERN + 2) for _ in range(4)]
+    forest, rows = ts.TreeEnsemble(leaves, 0.0), rng.random((500, ts.MAX_PATTERN + 2))
+    rows[rng.random(rows.shape) < 0.05] = np.nan
+    rows[0], rows[1] = -inf, inf
+    tables = ts.pattern_tables(forest)
+    assert [t is None for t in tables] == [len(leaf.features) in (0, ts.MAX_PATTERN + 2) for leaf in leaves]
+    monkeypatch.setattr(ts, "MAX_TESTS", 3)
+    assert np.array_equal(ts.path_shapley(rows, forest, tables), ts.path_shapley(rows, forest, [None] * len(leaves)))
