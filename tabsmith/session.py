@@ -78,14 +78,6 @@ def broadcast_small(df, most: int = MAX_BROADCAST_ROWS):
 
 
 ROWS_PER_PARTITION = 10_000
-
-
-def compact(df, n_rows: int):
-    """``df`` in no more partitions than its rows need: learners run a task for each
-    partition in every round, and empty ones cost as much as full ones."""
-    return df.coalesce(max(1, -(-n_rows // ROWS_PER_PARTITION)))
-
-
 LEARNER_ROUNDS = 2
 MOST_ROWS_PER_PARTITION = 1_000_000
 
