@@ -328,6 +328,7 @@ def halving_search(ranked_rows: DataFrame, features: Sequence[str], model_type:
     keeps the label's shares in each) and keeps the best
     ``ceil(n / factor)``.  Returns the trials log of every round (run_id = round)."""
     from tabsmith.operators.sampling import kfold
+    ranked_rows = materialize(ranked_rows, "halving-order")     # every round reads a prefix of it
     alive = list(range(len(candidates)))
     logs = []
     for i, (rnd, resources, _) in enumerate(schedule):

@@ -71,3 +71,13 @@ def test_patterns_give_what_every_row_gives(monkeypatch):
     assert [t is None for t in tables] == [len(leaf.features) in (0, ts.MAX_PATTERN + 2) for leaf in leaves]
     monkeypatch.setattr(ts, "MAX_TESTS", 3)
     assert np.array_equal(ts.path_shapley(rows, forest, tables), ts.path_shapley(rows, forest, [None] * len(leaves)))
+
+
+def test_halving_ranks_its_rows_once(spark, monkeypatch):
+    names, write = [], tu.materialize
+    monkeypatch.setattr(tu, "materialize", lambda df, name: names.append(name) or write(df, name))
+    ranked = sm.nested_order(_rows(spark, 2_000), "label", "row_id")
+    trials = tu.halving_search(ranked, FEATS, "decision_tree", [{"max_depth": d} for d in (1, 2)], [(0, 1_000, 2), (1, 2_000, 1)], k=2)
+    assert trials.count() == 6 and names.count("halving-order") == 1
+    log = trials._jdf.queryExecution().analyzed().toString()
+    assert "Window" not in log
