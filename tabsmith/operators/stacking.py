@@ -294,20 +294,27 @@ class StackingClassifier(Estimator, _StackColumns, _Saved):
     def out_of_fold(self, dataset: DataFrame, folded: DataFrame | None = None) -> DataFrame:
         """The rows (fold, label, ...) with each base's probability from models that
         have not seen the row's fold, in columns ``<uid>_p<i>``."""
+        with ThreadPoolExecutor(max_workers=max(1, self.getOrDefault("parallelism"))) as pool:
+            return self._fold_scores(dataset, folded, pool)[0]
+
+    def _fold_scores(self, dataset: DataFrame, folded: DataFrame | None, pool: ThreadPoolExecutor, whole: bool = False):
+        """(``out_of_fold``'s rows, futures of the bases fitted on all rows if ``whole``):
+        those fits wait behind the folds' and go on while the meta model learns."""
         folded, fold = (folded, "fold") if folded is not None else self._folded(dataset)
         folds = sorted(r[0] for r in folded.select(fold).distinct().collect())          # one row for each fold
         if len(folds) < 2:
             raise ValueError("out-of-fold scores need two folds with rows at least")
         jobs = [(k, i) for k in folds for i in range(len(self.getOrDefault("bases")))]
-        with ThreadPoolExecutor(max_workers=max(1, self.getOrDefault("parallelism"))) as pool:
-            fitted = dict(zip(jobs, pool.map(lambda j: self._base(j[1]).fit(folded.where(F.col(fold) != j[0])), jobs), strict=True))
+        parts = pool.map(lambda j: self._base(j[1]).fit(folded.where(F.col(fold) != j[0])), jobs)
+        rest = [pool.submit(self._base(i).fit, folded) for i in range(len(self.getOrDefault("bases")))] if whole else []
+        fitted = dict(zip(jobs, parts, strict=True))
         out = None
         for k in folds:
             part = folded.where(F.col(fold) == k)
             for i in range(len(self.getOrDefault("bases"))):
                 part = self._add_base(part, fitted[k, i], i)
             out = part if out is None else out.unionByName(part)
-        return out
+        return out, rest
 
     def _fit(self, dataset: DataFrame) -> StackingModel:
         n = len(self.getOrDefault("bases"))
@@ -317,17 +324,18 @@ class StackingClassifier(Estimator, _StackColumns, _Saved):
         n_rows = dataset.count()
         folded = even(self._folded(dataset)[0], n_rows).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            scored = self._assembled(self.out_of_fold(dataset, folded), n)
-            # one part of every fold to a task, as many tasks as the rows have elsewhere
-            scored = scored.select(f"{self.uid}_meta", self.getLabelCol()).coalesce(learner_partitions(dataset.sparkSession, n_rows)) \
-                .persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                meta = _with_columns(self.getOrDefault("finalEstimator"), featuresCol=f"{self.uid}_meta", labelCol=self.getLabelCol(),
-                                     **{c: self.getOrDefault(c) for c in OUTPUTS}).fit(scored)
-            finally:
-                scored.unpersist()
             with ThreadPoolExecutor(max_workers=max(1, self.getOrDefault("parallelism"))) as pool:
-                models = list(pool.map(lambda i: self._base(i).fit(folded), range(n)))
+                scored, whole = self._fold_scores(dataset, folded, pool, whole=True)
+                scored = self._assembled(scored, n)
+                # one part of every fold to a task, as many tasks as the rows have elsewhere
+                scored = scored.select(f"{self.uid}_meta", self.getLabelCol()).coalesce(learner_partitions(dataset.sparkSession, n_rows)) \
+                    .persist(StorageLevel.MEMORY_AND_DISK)
+                try:
+                    meta = _with_columns(self.getOrDefault("finalEstimator"), featuresCol=f"{self.uid}_meta", labelCol=self.getLabelCol(),
+                                         **{c: self.getOrDefault(c) for c in OUTPUTS}).fit(scored)
+                finally:
+                    scored.unpersist()
+                models = [f.result() for f in whole]
         finally:
             folded.unpersist()
         out = StackingModel(models, meta, self.getOrDefault("baseNames"))

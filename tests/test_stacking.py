@@ -1,5 +1,7 @@
 """Stacking, selection and nested parameter names as Spark ML stages."""
 
+import time
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -202,3 +204,24 @@ def test_bagging_draws_saves_and_averages(rows, tmp_path):
         assert all(abs(r.p - mean[r.row_id]) < 1e-12 and r.prediction_d == float(r.p >= 0.5) for r in got)
     total = frame.select(F.sum(st.bootstrap_weight("row_id", "42|bag0"))).head()[0]
     assert 800 < total < 1000
+
+
+def test_whole_fits_do_not_wait_for_the_meta_model(rows, monkeypatch):
+    """The bases' fits on all rows are under way while the meta model learns."""
+    asked, meta_began, fit = [], [], st.ConfiguredClassifier._fit
+    bases = ("line", "tree")
+
+    def traced(self, dataset):
+        name = self.getOrDefault("name")
+        if name == "final_estimator":
+            meta_began.append(True)
+            until = time.monotonic() + 60
+            while time.monotonic() < until and sum(n in bases for n in asked) < 8:
+                time.sleep(0.01)
+            assert sum(n in bases for n in asked) == 8          # 2 bases in 3 folds and on all rows
+        asked.append(name)
+        return fit(self, dataset)
+
+    monkeypatch.setattr(st.ConfiguredClassifier, "_fit", traced)
+    st.pipeline_from_config({**CONFIG, "feature_selector": {"enabled": False}}, FEATS, 3).fit(rows)
+    assert meta_began and asked[-1] == "final_estimator"
