@@ -302,6 +302,26 @@ def fit_model(df: DataFrame, features: Sequence[str], model_type: str, params: M
             rows.unpersist()
 
 
+#: Fits at a time over the same kept rows: one fills the cores that the other leaves idle between
+#: its jobs, and no more than two learners' own copies of the rows are held at once.
+FITS_AT_A_TIME = 2
+
+
+def fit_models(df: DataFrame, features: Sequence[str], configs: Mapping[str, Mapping], label: str = "label",
+               n_rows: int | None = None, parallelism: int = FITS_AT_A_TIME) -> dict[str, FittedModel]:
+    """The model of every type in ``configs`` (type -> parameters) as ``fit_model`` gives it,
+    the rows assembled, dealt and kept once for all of them."""
+    n_rows = n_rows or df.count()
+    rows = even(assembled(df, features, label=label), n_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows.count()                    # kept before several fits ask for them at a time
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            fitted = pool.map(lambda c: fit_assembled(rows, features, *c, n_rows), configs.items())
+            return dict(zip(configs, fitted, strict=True))
+    finally:
+        rows.unpersist()
+
+
 def predict(fm: FittedModel | PipelineModel, df: DataFrame, keep: Sequence[str] = (),
             threshold: float | None = None) -> DataFrame:
     """Add ``prediction`` (int) and ``probability`` (class-1 probability).

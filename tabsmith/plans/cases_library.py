@@ -53,9 +53,8 @@ def boosted_attribution(spark, sf_dir):
 def attribution_sums(spark, sf_dir):
     """Contributions add up to what the model itself gives, less its expected output."""
     parts = []
-    for model_type in ENSEMBLES:
-        train, test = _train_test(spark, sf_dir)
-        fm = md.fit_model(train, FEATURES, model_type, CONFIGS[model_type])
+    train, test = _train_test(spark, sf_dir)
+    for model_type, fm in md.fit_models(train, FEATURES, {m: CONFIGS[m] for m in ENSEMBLES}).items():
         told = ts.margins(fm.classifier, md.assembler(FEATURES).transform(test), ["row_id", "label", *FEATURES])
         out = ts.path_contributions(told, FEATURES, fm.classifier, ["row_id", "label", "margin"], k=0, total="total")
         parts.append(out.select(F.lit(model_type).alias("model"), "row_id", "label",
@@ -215,9 +214,9 @@ REPORT_MODELS = ("logistic_reg", "decision_tree", "random_forest", "gbdt")
 def saved_models(spark, sf_dir) -> tuple[dict[str, str], DataFrame]:
     train, test = _train_test(spark, sf_dir)
     paths = {}
-    for name in REPORT_MODELS:
+    for name, fm in md.fit_models(train, FEATURES, {m: CONFIGS[m] for m in REPORT_MODELS}).items():
         paths[name] = output_path(spark, f"model-{name}")
-        md.fit_model(train, FEATURES, name, CONFIGS[name]).model.write().overwrite().save(paths[name])
+        fm.model.write().overwrite().save(paths[name])
     return paths, test
 
 

@@ -245,8 +245,8 @@ def scored_rows(spark, sf_dir):
     the prediction that the probability implies."""
     train, test = _train_test(spark, sf_dir)
     parts = []
-    for model_type, config in CONFIGS.items():
-        scored = md.predict(md.fit_model(train, FEATURES, model_type, config), test, keep=["row_id", "label"])
+    for model_type, fm in md.fit_models(train, FEATURES, CONFIGS).items():
+        scored = md.predict(fm, test, keep=["row_id", "label"])
         p = F.col("probability")
         parts.append(scored.select(
             F.lit(model_type).alias("model"), "row_id", "label", p.between(0.0, 1.0).alias("in_range"),

@@ -10,6 +10,9 @@ from tabsmith.operators import models as md
 from tabsmith.operators import sampling as sm
 from tabsmith.operators import tree_shap as ts
 from tabsmith.operators import tuning as tu
+from tabsmith.plans import cases_models as cm
+
+from tests.conftest import SF001
 
 FEATS = ["x1", "x2"]
 
@@ -81,3 +84,26 @@ def test_halving_ranks_its_rows_once(spark, monkeypatch):
     assert trials.count() == 6 and names.count("halving-order") == 1
     log = trials._jdf.queryExecution().analyzed().toString()
     assert "Window" not in log
+
+
+def test_models_of_one_table_share_its_rows(spark, monkeypatch):
+    dealt, deal = [], md.even
+    monkeypatch.setattr(md, "even", lambda df, n: dealt.append(n) or deal(df, n))
+    monkeypatch.setattr(cm, "CONFIGS", {m: cm.CONFIGS[m] for m in ("decision_tree", "logistic_reg")})
+    scored = cm.scored_rows(spark, SF001)
+    assert len(dealt) == 1                                                                   # not once for every model
+    assert {r["model"] for r in scored.select("model").distinct().collect()} == {"decision_tree", "logistic_reg"}
+    assert scored.filter("in_range").count() == scored.count() == 2 * cm._train_test(spark, SF001)[1].count()
+
+
+def test_models_fitted_together_are_those_fitted_alone(spark):
+    rows = _rows(spark, 12_000)
+    configs = {"decision_tree": {"max_depth": 3}, "gbdt": {"n_estimators": 3, "subsample": 0.8, "n_iter_no_change": 2},
+               "logistic_reg": {"C": 10.0}, "random_forest": {"n_estimators": 4, "max_depth": 3}}
+    together = md.fit_models(rows, FEATS, configs)
+    assert list(together) == list(configs)
+    for model_type, params in configs.items():
+        fms = together[model_type], md.fit_model(rows, FEATS, model_type, params)
+        p = [np.array(sorted(tuple(r) for r in md.predict(fm, rows, keep=["row_id"]).collect())) for fm in fms]
+        assert np.allclose(*p, rtol=0, atol=1e-9)
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
