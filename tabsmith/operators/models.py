@@ -23,7 +23,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.session import even
+from tabsmith.session import even, storage_memory
 
 FEATURES = "features"
 PROB_VEC = "probability_vec"
@@ -284,6 +284,11 @@ def fit_assembled(rows: DataFrame, features: Sequence[str], model_type: str, par
     return FittedModel(PipelineModel(stages=[assembler(features), fitted]), model_type, features, ignored)
 
 
+#: Where rows wait for learners.  Each learner keeps its own form of them in memory for its passes and
+#: reads these few times only: a second copy in memory would push out what every pass needs.
+KEPT = StorageLevel.DISK_ONLY
+
+
 def fit_model(df: DataFrame, features: Sequence[str], model_type: str, params: Mapping | None = None,
               label: str = "label", n_rows: int | None = None, weight_col: str | None = None,
               keep_rows: bool = True) -> FittedModel:
@@ -291,10 +296,10 @@ def fit_model(df: DataFrame, features: Sequence[str], model_type: str, params: M
     caller has the rows cached already, ``keep_rows`` is False: no second copy."""
     rows = assembled(df, features, [weight_col] if weight_col else [], label)
     # the learners read their input several times: keep the assembled rows
-    # (memory, spilling to disk; lost blocks are recomputed from lineage)
+    # (lost blocks are recomputed from lineage)
     if keep_rows:
         n_rows = n_rows or df.count()
-        rows = even(rows, n_rows).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = even(rows, n_rows).persist(KEPT)
     try:
         return fit_assembled(rows, features, model_type, params, n_rows, weight_col)
     finally:
@@ -305,14 +310,25 @@ def fit_model(df: DataFrame, features: Sequence[str], model_type: str, params: M
 #: Fits at a time over the same kept rows: one fills the cores that the other leaves idle between
 #: its jobs, and no more than two learners' own copies of the rows are held at once.
 FITS_AT_A_TIME = 2
+#: Bytes that a learner keeps for a row besides 8 for every feature (boosting, the largest: its binned
+#: row, its weight, four generations of its score).
+BYTES_OF_A_FIT = 256
+
+
+def fits_at_a_time(spark, n_rows: int, n_features: int) -> int:
+    """``FITS_AT_A_TIME`` where memory holds so many learners' rows, else one: fits that push out each
+    other's rows read them from disk in every pass."""
+    most = storage_memory(spark) // max(1, n_rows * (BYTES_OF_A_FIT + 8 * n_features))
+    return max(1, min(FITS_AT_A_TIME, most))
 
 
 def fit_models(df: DataFrame, features: Sequence[str], configs: Mapping[str, Mapping], label: str = "label",
-               n_rows: int | None = None, parallelism: int = FITS_AT_A_TIME) -> dict[str, FittedModel]:
+               n_rows: int | None = None, parallelism: int | None = None) -> dict[str, FittedModel]:
     """The model of every type in ``configs`` (type -> parameters) as ``fit_model`` gives it,
     the rows assembled, dealt and kept once for all of them."""
     n_rows = n_rows or df.count()
-    rows = even(assembled(df, features, label=label), n_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    parallelism = parallelism or fits_at_a_time(df.sparkSession, n_rows, len(features))
+    rows = even(assembled(df, features, label=label), n_rows).persist(KEPT)
     try:
         rows.count()                    # kept before several fits ask for them at a time
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

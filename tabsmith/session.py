@@ -97,6 +97,17 @@ def even(df, n_rows: int):
     return df.repartition(learner_partitions(df.sparkSession, n_rows))
 
 
+def storage_memory(spark: SparkSession) -> int:
+    """Bytes that all executors together have for kept rows (the driver's, where it runs the tasks)."""
+    sc = spark.sparkContext._jsc.sc()
+    stores, driver = sc.getExecutorMemoryStatus(), sc.env().blockManager().blockManagerId().hostPort()
+    found, names = {}, stores.keysIterator()
+    while names.hasNext():
+        name = names.next()
+        found[name] = stores.apply(name)._1()
+    return sum(most for name, most in found.items() if name != driver or len(found) == 1)
+
+
 #: Folders of the steps under way (see ``scratch``), the innermost last.
 _STEPS: list[str] = []
 

@@ -1,5 +1,8 @@
 """Rows that learners read: even parts, assembled once; searches keep counts of scores."""
 
+import threading
+import time
+
 import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -107,3 +110,35 @@ def test_models_fitted_together_are_those_fitted_alone(spark):
         p = [np.array(sorted(tuple(r) for r in md.predict(fm, rows, keep=["row_id"]).collect())) for fm in fms]
         assert np.allclose(*p, rtol=0, atol=1e-9)
     assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+
+def _fits_under_way(monkeypatch, levels, most):
+    lock, now = threading.Lock(), [0]
+    fit = md.fit_assembled
+
+    def watched(rows, *args, **kwargs):
+        with lock:
+            now[0] += 1
+            most.append(now[0])
+            levels.append(rows.storageLevel)
+        time.sleep(0.5)
+        try:
+            return fit(rows, *args, **kwargs)
+        finally:
+            with lock:
+                now[0] -= 1
+    monkeypatch.setattr(md, "fit_assembled", watched)
+
+
+def test_fits_that_memory_does_not_hold_run_one_at_a_time(spark, monkeypatch):
+    rows, configs = _rows(spark, 2_000), {"decision_tree": {"max_depth": 2}, "logistic_reg": {}, "random_forest": {"n_estimators": 2, "max_depth": 2}}
+    need = 2_000 * (md.BYTES_OF_A_FIT + 8 * len(FEATS))
+    for memory, at_once in ((need // 2, 1), (2 * need - 1, 1), (2 * need, 2), (20 * need, 2)):
+        levels, most = [], []
+        with monkeypatch.context() as m:
+            m.setattr(md, "storage_memory", lambda _: memory)
+            _fits_under_way(m, levels, most)
+            assert list(md.fit_models(rows, FEATS, configs)) == list(configs)
+        assert max(most) == at_once
+        assert len(levels) == 3 and not any(level.useMemory for level in levels)     # learners keep their own copy in memory
+    assert md.fits_at_a_time(spark, 2_000, 2) == 2 and 0 < session.storage_memory(spark) < 8 << 30
